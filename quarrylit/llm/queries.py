@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, repetition, warc
+from . import decontaminate, fst, packing, repetition, secrets, warc
 from .shared import documents
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -21,10 +27,22 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.score(documents(spark, sf_dir))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fst.counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
