@@ -286,7 +286,7 @@ def pack(docs: DataFrame, path: str, *, targets: dict[str, float] | None = None,
     if docs.select(name.alias("q")).distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
         name = F.concat(F.lit("h:"), F.pmod(F.xxhash64(name), F.lit(MAX_QUEUES)).cast("string"))
     id_type = docs.schema[id_column].dataType
-    schema = T.StructType([T.StructField("id", id_type)]).add("part", "int").add("queue", "string").add("before", "long").add("n", "long").add("ids", "binary")
+    schema = T.StructType([T.StructField("id", id_type)]).add("part", "integer").add("queue", "string").add("before", "long").add("n", "long").add("ids", "binary")
     encoded = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), name.alias("queue")).mapInArrow(lambda it: _encode(it, path, end_id), schema)
     encoded = kept(encoded, "tokens")
     parts = encoded.groupBy("queue", "part").agg(F.sum("n").alias("n"))
