@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fst, packing, repetition, secrets, warc
+from . import decontaminate, fst, langid, packing, quality, repetition, secrets, toxicity, warc
 from .shared import documents
 
 
@@ -31,6 +31,21 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs, documents(spark, sf_dir, "labels")))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.predict(docs, langid.fit(docs)).drop("rejected")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, documents(spark, sf_dir, "labels")))
+
+
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.score(documents(spark, sf_dir))
 
