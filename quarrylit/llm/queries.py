@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fst, langid, packing, quality, repetition, secrets, toxicity, warc
+from . import decontaminate, fst, jaccard, langid, packing, quality, repetition, secrets, toxicity, warc
 from .shared import documents
 
 
@@ -31,6 +31,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(documents(spark, sf_dir))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.score(docs, quality.fit(docs, documents(spark, sf_dir, "labels")))
