@@ -1,0 +1 @@
+"""Literature-metadata extraction as DataFrames."""

@@ -5,11 +5,527 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarrylit.functions import fields, text
+from quarrylit.operators import geometry, jsons, layout, linkage, screening, usage, validate
+from quarrylit.plans import report
+from quarrylit.plans.corpus import ORACLE as CORPUS
+from quarrylit.plans.corpus import corpus
+from quarrylit.streaming import logs
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with its equivalent in DuckDB's SQL."""
+
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---- usage: events as model calls -------------------------------------------------------------------------
+
+_MODELS = ("gpt-4o", "gpt-4o-mini-2024", "claude-sonnet-4-20250514", "deepseek-chat", "unknown-model", "o3-mini")
+_CALLS = (
+    "calls AS (SELECT event_id, CASE event_type WHEN 'view' THEN 'phase0' WHEN 'click' THEN 'phase1' WHEN 'purchase' THEN 'phase2_agent' WHEN 'error' THEN 'phase3' ELSE 'phase1_agent' END AS phase, "
+    "CASE event_id % 6 WHEN 0 THEN 'gpt-4o' WHEN 1 THEN 'gpt-4o-mini-2024' WHEN 2 THEN 'claude-sonnet-4-20250514' WHEN 3 THEN 'deepseek-chat' WHEN 4 THEN 'unknown-model' ELSE 'o3-mini' END AS model, "
+    "500 + event_id % 1500 AS input_tokens, 50 + event_id % 400 AS output_tokens, value AS wall_seconds, concat('doc', cast(user_id % 50 AS VARCHAR)) AS pdf_name FROM events)"
+)
+_RATES = "rates AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', {i}, {o})" for k, (i, o) in usage.PRICES.items()) + ") t(name, rate_in, rate_out))"
+_PRICED = (
+    f"{_CALLS}, {_RATES}, models AS (SELECT DISTINCT model FROM calls), best AS (SELECT model, name, rate_in, rate_out, row_number() OVER (PARTITION BY model ORDER BY length(name) DESC) AS r "
+    "FROM models JOIN rates ON starts_with(model, name)), priced AS (SELECT c.*, coalesce(b.rate_in, 2.0) AS rate_in, coalesce(b.rate_out, 8.0) AS rate_out, coalesce(b.name, '') AS matched, "
+    "floor((input_tokens / 1e6 * coalesce(b.rate_in, 2.0) + output_tokens / 1e6 * coalesce(b.rate_out, 8.0)) * 1e6 + 0.5) / 1e6 AS cost_usd FROM calls c LEFT JOIN best b ON c.model = b.model AND b.r = 1)"
+)
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    phase = F.when(kind == "view", "phase0").when(kind == "click", "phase1").when(kind == "purchase", "phase2_agent").when(kind == "error", "phase3").otherwise("phase1_agent")
+    model = F.array(*(F.lit(m) for m in _MODELS))[(F.col("event_id") % 6).cast("int")]
+    return e.select("event_id", phase.alias("phase"), model.alias("model"), (500 + F.col("event_id") % 1500).alias("input_tokens"), (50 + F.col("event_id") % 400).alias("output_tokens"), F.col("value").alias("wall_seconds"), F.concat(F.lit("doc"), (F.col("user_id") % 50).cast("string")).alias("pdf_name"))
+
+
+_SUMS = "count(*) AS requests, cast(sum(input_tokens) AS BIGINT) AS input_tokens, cast(sum(output_tokens) AS BIGINT) AS output_tokens, sum(cast(round(cost_usd * 1e6) AS BIGINT)) / 1e6 AS cost_usd, round(sum(wall_seconds), 3) AS wall_seconds"
+
+
+@query(f"WITH {_PRICED} SELECT model, matched, rate_in, rate_out, count(*) AS calls FROM priced GROUP BY ALL")
+def price_longest_prefix(spark, sf_dir):
+    priced = usage.cost(_calls(spark, sf_dir))
+    return priced.groupBy("model", F.col("price.matched").alias("matched"), F.col("price.input").alias("rate_in"), F.col("price.output").alias("rate_out")).agg(F.count("*").alias("calls"))
+
+
+@query(f"WITH {_PRICED} SELECT event_id, model, cost_usd FROM priced")
+def call_cost(spark, sf_dir):
+    return usage.cost(_calls(spark, sf_dir)).select("event_id", "model", "cost_usd")
+
+
+@query(f"WITH {_PRICED} SELECT phase, {_SUMS} FROM priced GROUP BY phase")
+def usage_by_phase(spark, sf_dir):
+    return usage.by_phase(usage.cost(_calls(spark, sf_dir)))
+
+
+@query(f"WITH {_PRICED} SELECT CASE WHEN grouping(phase) = 1 THEN 'TOTAL' ELSE phase END AS phase, {_SUMS} FROM priced GROUP BY ROLLUP (phase)")
+def usage_rollup(spark, sf_dir):
+    return usage.with_total(usage.cost(_calls(spark, sf_dir)))
+
+
+@query(f"WITH {_PRICED} SELECT pdf_name, CASE WHEN grouping(phase) = 1 THEN 'TOTAL' ELSE phase END AS phase, count(*) AS calls, sum(cast(round(cost_usd * 1e6) AS BIGINT)) / 1e6 AS cost, round(sum(wall_seconds), 3) AS wall FROM priced GROUP BY GROUPING SETS ((pdf_name, phase), (pdf_name))")
+def usage_by_doc_phase(spark, sf_dir):
+    return usage.by_document(usage.cost(_calls(spark, sf_dir)))
+
+
+_STEP_CASE = "CASE phase WHEN 'phase0' THEN 's0' WHEN 'phase1' THEN 's1' WHEN 'phase1_agent' THEN 's1' WHEN 'phase2_agent' THEN 's2' WHEN 'phase3' THEN 's3' END"
+_STEP_SUMS = ", ".join(f"sum(cast(round(CASE WHEN {_STEP_CASE} = '{s}' THEN cost_usd ELSE 0 END * 1e6) AS BIGINT)) / 1e6 AS cost_{s}, count(*) FILTER (WHERE {_STEP_CASE} = '{s}') AS calls_{s}" for s in ("s0", "s1", "s2", "s3"))
+
+
+@query(f"WITH {_PRICED} SELECT pdf_name, {_STEP_SUMS} FROM priced GROUP BY pdf_name")
+def step_buckets(spark, sf_dir):
+    return usage.step_costs(usage.cost(_calls(spark, sf_dir)))
+
+
+@query("SELECT event_type AS tool, count(*) AS n FROM events GROUP BY event_type")
+def tool_counts(spark, sf_dir):
+    traces = _table(spark, sf_dir, "events").groupBy(F.col("user_id")).agg(F.collect_list(F.struct(F.col("event_type").alias("tool"))).alias("agent_trace"))
+    return usage.tool_counts(traces).withColumnRenamed("count", "n")
+
+
+# ---- screening: documents with labels ---------------------------------------------------------------------
+
+_SCREEN = "screen AS (SELECT d.doc_id, d.source, d.text, CASE WHEN l.quality = 1 THEN 'keep' WHEN l.quality = 0 THEN 'reject' END AS decision, CASE WHEN l.quality IS NULL THEN 'error' ELSE 'reject' END AS folder FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+
+
+def _screen(spark, sf_dir):
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    d = _table(spark, sf_dir, "documents").select("doc_id", "source", "text").join(labels, "doc_id", "left")
+    decision = F.when(F.col("quality") == 1, "keep").when(F.col("quality") == 0, "reject")
+    return d.select("doc_id", "source", "text", decision.alias("decision"), F.when(F.col("quality").isNull(), "error").otherwise("reject").alias("folder"))
+
+
+@query(f"WITH {_SCREEN}, d AS (SELECT upper(coalesce(decision, folder)) AS d FROM screen) SELECT count(*) AS total, count(*) FILTER (WHERE d = 'KEEP') AS kept, count(*) FILTER (WHERE d = 'REJECT') AS rejected, count(*) FILTER (WHERE d NOT IN ('KEEP', 'REJECT')) AS errors FROM d")
+def screening_consolidated(spark, sf_dir):
+    return screening.consolidate(_screen(spark, sf_dir))
+
+
+@query(f"WITH {_SCREEN} SELECT source, count(*) AS kept FROM screen WHERE decision = 'keep' GROUP BY source")
+def screening_gate(spark, sf_dir):
+    return _screen(spark, sf_dir).where("decision = 'keep'").groupBy("source").agg(F.count("*").alias("kept"))
+
+
+_WORDS = ["the", "und", "les", "that", "license", "version"]
+_WORD_LIST = "[" + ", ".join(f"'{w}'" for w in _WORDS) + "]"
+
+
+@query(f"SELECT doc_id, cast(len(list_filter({_WORD_LIST}, lambda w: contains(lower(text), w))) AS INTEGER) AS signals FROM documents")
+def keyword_signals(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", text.signals(F.col("text"), _WORDS).alias("signals"))
+
+
+@query("WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(text, '[^ -~]', 'x', 'g'), '([.!?])\\s+', '\\1\x01', 'g') AS t FROM documents) SELECT doc_id, substring(coalesce(array_to_string(list_filter(string_split(t, '\x01'), lambda s: contains(lower(s), 'license') OR contains(lower(s), 'that')), ' '), ''), 1, 2000) AS methods FROM t")
+def keyword_sentences(spark, sf_dir):
+    plain = F.regexp_replace("text", "[^ -~]", "x")
+    return _table(spark, sf_dir, "documents").select("doc_id", text.sentences_with(plain, ["license", "that"], 2000).alias("methods"))
+
+
+@query("SELECT doc_id, 1 AS page, h.rank AS rank, h.hit AS hit FROM (SELECT doc_id, unnest(list_transform(range(1, 1 + least(8, len(m))), lambda i: {'rank': cast(i AS INTEGER), 'hit': m[i]})) AS h FROM (SELECT doc_id, regexp_extract_all(text, '(?i)licen[sc]e|version [0-9.]+') AS m FROM documents))")
+def snippet_hits(spark, sf_dir):
+    pages = _table(spark, sf_dir, "documents").select("doc_id", F.lit(1).alias("page"), "text")
+    return layout.snippets(pages, r"(?i)licen[sc]e|version [0-9.]+").select("doc_id", "page", "rank", "hit")
+
+
+@query("SELECT source, doc_id, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS r FROM documents) WHERE r <= 3")
+def per_source_topn(spark, sf_dir):
+    rows = _table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars")
+    return screening.first_per(rows, "source", [F.desc("n_chars"), F.asc("doc_id")], 3)
+
+
+@query("SELECT o_custkey, min(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY o_custkey")
+def dedup_last_wins(spark, sf_dir):
+    return screening.last_wins(_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice"), "o_custkey", "o_orderkey")
+
+
+@query("SELECT source, count(*) AS n FROM documents WHERE source IN ('src0', 'src3', 'src7') GROUP BY source")
+def source_allowlist(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").where(F.col("source").isin("src0", "src3", "src7")).groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, contains(lower(text), 'creativecommons') OR contains(lower(text), 'creative commons') OR contains(lower(text), '/cc/') OR starts_with(lower(text), 'cc') AS open, n_chars > 1000 AS large FROM documents")
+def license_filter(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", screening.licensed(F.col("text")).alias("open"), (F.col("n_chars") > 1000).alias("large"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def cache_misses(spark, sf_dir):
+    return screening.cache_misses(_table(spark, sf_dir, "documents").select("doc_id"), _table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT doc_id, least(1.0, greatest(0.0, coalesce(CASE WHEN doc_id % 3 = 0 THEN doc_id / 500.0 END, try_cast(nullif(regexp_extract(concat('Confidence: 0.', cast(doc_id % 90 + 10 AS VARCHAR)), '(?i)confidence\\D{0,12}(\\d*\\.?\\d+)', 1), '') AS DOUBLE), 0.75))) AS confidence FROM documents")
+def inferred_confidence(spark, sf_dir):
+    reason = F.concat(F.lit("Confidence: 0."), (F.col("doc_id") % 90 + 10).cast("string"))
+    value = F.when(F.col("doc_id") % 3 == 0, F.col("doc_id") / 500.0)
+    return _table(spark, sf_dir, "documents").select("doc_id", text.inferred_confidence(value, reason).alias("confidence"))
+
+
+# ---- fields of the derived corpus -------------------------------------------------------------------------
+
+def _one(pattern: str, group: int = 1, case: str = "(?i)") -> str:
+    return f"regexp_extract(text, '{case}{pattern}', {group})"
+
+
+_NUM = r"(\d+(?:\.\d+)?)"
+
+
+# A weight's pattern has no word boundary, so `FWHM = ` is read as one before `Mw = ` is: that is the rule.
+@query(
+    f"WITH {CORPUS} SELECT doc_id, concat({_one('2theta = ' + _NUM + ' to')}, '–', {_one('2theta = [0-9.]+ to ' + _NUM)}, '° 2θ') AS scan_range_2theta, concat({_one('step size ' + _NUM)}, '°') AS step_size, "
+    f"concat('Cu-Kα (λ=', {_one('lambda = ' + _NUM)}, ' Å)') AS radiation, concat({_one('lambda = ' + _NUM)}, ' Å') AS radiation_wavelength, {_one('(pseudo-Voigt)')} AS profile_function, {_one(r' Z = (\\d+)'.replace(chr(92) * 2, chr(92)))} AS formula_units_z, "
+    f"concat({_one('X-ray density = ' + _NUM)}, ' g/cm³') AS xray_density, concat({_one('cell volume = ' + _NUM)}, ' ų') AS cell_volume, concat({_one('FWHM = ' + _NUM)}, ' g/mol') AS formula_weight, "
+    f"CASE WHEN cast({_one('Space group No. ([0-9]{1,3})')} AS INTEGER) BETWEEN 1 AND 230 THEN {_one('Space group No. ([0-9]{1,3})')} ELSE '' END AS space_group_number FROM corpus"
+)
+def fields_scalar(spark, sf_dir):
+    c = corpus(spark, sf_dir)
+    x = fields.extractors(F.col("text"))
+    names = ("scan_range_2theta", "step_size", "radiation", "radiation_wavelength", "profile_function", "xray_density", "cell_volume", "formula_weight", "space_group_number")
+    return c.select("doc_id", *(x[n].alias(n) for n in names), x["formula_units_Z"].alias("formula_units_z"))
+
+
+_PHASE_SORT = "array_to_string(list_sort(list_distinct({})), '|')"
+
+
+@query(
+    f"WITH {CORPUS} SELECT doc_id, 'FullProf|GSAS-II' AS software, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '(?i)\\b(fcc|bcc|hcp|cubic|tetragonal|hexagonal|monoclinic)\\b', 1), lambda x: lower(x)))), '|') AS crystal_structure, "
+    "concat('ICDD ', regexp_extract(text, 'JCPDS ([0-9-]+)', 1), '|rutile') AS reported_phases, concat(regexp_extract(text, 'peak at ([0-9.]+) deg', 1), '°') AS peak_positions_2theta, concat(regexp_extract(text, 'FWHM = ([0-9.]+)', 1), '°') AS fwhm, "
+    "concat(regexp_extract(text, 'ICSD [0-9]+'), '|', regexp_extract(text, 'mp-[0-9]+')) AS database_refs, array_to_string(list_sort(list_distinct([concat('(', regexp_extract(text, 'Peaks \\(([0-9]{3})\\)', 1), ')'), '(220)'])), '|') AS miller_indices, "
+    "array_to_string(list_sort(list_distinct([regexp_extract(text, 'Wyckoff position ([0-9]a)', 1), '8c'])), '|') AS wyckoff_positions FROM corpus"
+)
+def fields_list(spark, sf_dir):
+    x = fields.extractors(F.col("text"))
+    names = ("software", "crystal_structure", "reported_phases", "peak_positions_2theta", "fwhm", "database_refs", "miller_indices", "wyckoff_positions")
+    return corpus(spark, sf_dir).select("doc_id", *(F.array_join(x[n], "|").alias(n) for n in names))
+
+
+@query(f"WITH {CORPUS} SELECT doc_id, concat(regexp_extract(text, 'a = ([0-9.]+)\\(', 1), '(', regexp_extract(text, 'a = [0-9.]+\\(([0-9])\\)', 1), ') Å') AS a, concat(regexp_extract(text, ', c = ([0-9.]+) A', 1), ' Å') AS c FROM corpus")
+def fields_lattice(spark, sf_dir):
+    cell = fields.extractors(F.col("text"))["lattice_parameters"]
+    return corpus(spark, sf_dir).select("doc_id", cell["a"].alias("a"), cell["c"].alias("c"))
+
+
+@query(f"WITH {CORPUS} SELECT doc_id, 'TiO2' AS formula FROM corpus")
+def field_formula(spark, sf_dir):
+    return corpus(spark, sf_dir).select("doc_id", fields.formula_mode(F.col("text")).alias("formula"))
+
+
+@query(f"WITH {CORPUS}, c AS (SELECT list_distinct(list_filter(regexp_extract_all(text, '(?i)\\b(fcc|bcc|hcp|cubic|tetragonal|hexagonal|monoclinic)\\b', 1), lambda x: true)) AS xs FROM corpus) SELECT lower(x) AS structure, count(*) AS documents FROM (SELECT unnest(xs) AS x FROM c) GROUP BY 1")
+def candidate_counts(spark, sf_dir):
+    found = corpus(spark, sf_dir).select(F.explode(fields.extractors(F.col("text"))["crystal_structure"]).alias("structure"))
+    return found.groupBy("structure").agg(F.count("*").alias("documents"))
+
+
+@query(f"WITH {CORPUS} SELECT doc_id, concat('2401.', cast(10000 + doc_id AS VARCHAR)) AS arxiv_id, concat('10.48550/arXiv.2401.', cast(10000 + doc_id AS VARCHAR)) AS arxiv_doi, concat('10.1000/x.', cast(doc_id AS VARCHAR)) AS doi FROM corpus")
+def identifiers(spark, sf_dir):
+    t = F.col("text")
+    return corpus(spark, sf_dir).select("doc_id", text.arxiv_id(t).alias("arxiv_id"), text.arxiv_doi(text.arxiv_id(t)).alias("arxiv_doi"), text.doi(t).alias("doi"))
+
+
+# ---- validators -------------------------------------------------------------------------------------------
+
+_SYSTEM_ROWS = "systems AS (SELECT * FROM (VALUES (1, 2, 'triclinic'), (3, 15, 'monoclinic'), (16, 74, 'orthorhombic'), (75, 142, 'tetragonal'), (143, 167, 'trigonal'), (168, 194, 'hexagonal'), (195, 230, 'cubic')) t(lo, hi, system))"
+
+
+@query(f"WITH {_SYSTEM_ROWS} SELECT p_partkey, coalesce(system, '') AS system FROM part LEFT JOIN systems ON p_size * 5 - 4 BETWEEN lo AND hi")
+def group_number_to_system(spark, sf_dir):
+    return _table(spark, sf_dir, "part").select("p_partkey", validate.system_of_number(F.col("p_size") * 5 - 4).alias("system"))
+
+
+_SYMBOLS = (("P1", 1), ("P-1", 2), ("P2_1/c", 14), ("C2/c", 15), ("Pnma", 62), ("I4/mmm", 139), ("R-3m", 166), ("P6_3/mmc", 194), ("Fm-3m", 225), ("Fd-3m", 227), ("Im-3m", 229))
+_WRITTEN = ("Fm-3m", "fm3m", "P 21/c", "Pnma", "P63/mmc", "XYZ", "R-3m", "i4/mmm", "C2/c", "P-1", "p1")
+_SYMBOL_ROWS = "symbols AS (SELECT * FROM (VALUES " + ", ".join(f"('{s}', {n}, {i})" for i, (s, n) in enumerate(_SYMBOLS)) + ") t(symbol, number, seq))"
+_WRITTEN_SQL = "[" + ", ".join(f"'{w}'" for w in _WRITTEN) + "][cast(p_partkey % 11 AS INTEGER) + 1]"
+_LOOSE = "lower(regexp_replace({}, '[_ -]', '', 'g'))"
+
+
+@query(
+    f"WITH {_SYMBOL_ROWS}, w AS (SELECT p_partkey, {_WRITTEN_SQL} AS symbol FROM part), l AS (SELECT {_LOOSE.format('symbol')} AS k, arg_min(number, seq) AS number FROM symbols GROUP BY 1) "
+    f"SELECT p_partkey, w.symbol AS symbol, coalesce(s.number, l.number) AS space_group_number FROM w LEFT JOIN symbols s ON w.symbol = s.symbol LEFT JOIN l ON {_LOOSE.format('w.symbol')} = l.k"
+)
+def symbol_to_number(spark, sf_dir):
+    table = spark.createDataFrame([(s, n, i) for i, (s, n) in enumerate(_SYMBOLS)], "symbol string, number int, seq int")
+    rows = _table(spark, sf_dir, "part").select("p_partkey", F.array(*(F.lit(w) for w in _WRITTEN))[(F.col("p_partkey") % 11).cast("int")].alias("symbol"))
+    return validate.number_of_symbol(rows, table)
+
+
+@query(
+    "WITH w AS (SELECT p_partkey, round(1.38 + (p_partkey % 400) / 2000.0, 4) AS x FROM part), s AS (SELECT p_partkey, x, abs(x - 1.5418) AS d, least(abs(x - 1.5406), abs(x - 1.5444), abs(x - 1.5418), abs(x - 1.3922)) AS m FROM w) "
+    "SELECT p_partkey, CASE WHEN d <= 0.002 THEN 'consistent' WHEN m <= 0.002 THEN 'MISLABELED' ELSE 'MISMATCH' END AS status, 'cu' AS element FROM s"
+)
+def wavelength_check(spark, sf_dir):
+    stated = F.round(1.38 + (F.col("p_partkey") % 400) / 2000.0, 4).cast("string")
+    got = validate.wavelength_check(F.lit("Cu Kα"), F.concat(stated, F.lit(" Å")))
+    return _table(spark, sf_dir, "part").select("p_partkey", got["status"].alias("status"), got["element"].alias("element"))
+
+
+_CELL_SQL = "cells AS (SELECT p_partkey, ['cubic', 'tetragonal', 'hexagonal', 'orthorhombic'][cast(p_size % 4 AS INTEGER) + 1] AS system, 5.0 AS a, 5.0 + (p_partkey % 3) * 0.1 AS b, 5.0 + (p_partkey % 2) AS c, 90.0 + (p_partkey % 5) * 10.0 AS gamma FROM part)"
+
+
+@query(
+    f"WITH {_CELL_SQL} SELECT p_partkey, system, array_to_string(list_filter([CASE WHEN system IN ('cubic', 'tetragonal', 'hexagonal') AND abs(a - b) > 0.02 THEN 'a=b' END, CASE WHEN system = 'cubic' AND abs(b - c) > 0.02 THEN 'b=c' END, "
+    "CASE WHEN system <> 'hexagonal' AND abs(gamma - 90) > 0.5 THEN 'gamma=90' END, CASE WHEN system = 'hexagonal' AND abs(gamma - 120) > 0.5 THEN 'gamma=120' END], lambda x: x IS NOT NULL), '|') AS issues FROM cells"
+)
+def lattice_check(spark, sf_dir):
+    key = F.col("p_partkey")
+    edge = lambda x: F.concat(x.cast("string"), F.lit(" Å"))
+    cell = {"a": F.lit("5.0 Å"), "b": edge(5.0 + (key % 3) * 0.1), "c": edge(5.0 + key % 2), "gamma": F.concat((90.0 + (key % 5) * 10.0).cast("string"), F.lit("°"))}
+    rows = _table(spark, sf_dir, "part").withColumn("system", F.array(*(F.lit(s) for s in ("cubic", "tetragonal", "hexagonal", "orthorhombic")))[(F.col("p_size") % 4).cast("int")])
+    got = validate.lattice_check(F.col("system"), cell)
+    return rows.select("p_partkey", "system", F.array_join(got["issues"], "|").alias("issues"))
+
+
+@query(
+    f"WITH {_SYSTEM_ROWS}, p AS (SELECT p_partkey, p_size * 5 - 4 AS n, ['cubic', 'tetragonal', 'hexagonal', ''][cast(p_size % 4 AS INTEGER) + 1] AS stated FROM part) "
+    "SELECT p_partkey, CASE WHEN system IS NULL THEN 'error' WHEN stated = '' THEN 'resolved' WHEN system = stated THEN 'consistent' ELSE 'CONTRADICTION' END AS status, CASE WHEN system IS NULL OR (stated <> '' AND system <> stated) THEN 'unsupported' ELSE 'supported' END AS verdict FROM p LEFT JOIN systems ON n BETWEEN lo AND hi"
+)
+def space_group_check(spark, sf_dir):
+    stated = F.array(*(F.lit(s) for s in ("cubic", "tetragonal", "hexagonal", "")))[(F.col("p_size") % 4).cast("int")]
+    status = validate.space_group_check(F.col("p_size") * 5 - 4, stated)
+    rows = _table(spark, sf_dir, "part").select("p_partkey", status.alias("status"))
+    return rows.select("p_partkey", "status", validate.post_check(F.lit("supported"), [F.col("status") == "CONTRADICTION", F.col("status") == "error"]).alias("verdict"))
+
+
+@query("SELECT p_type, CASE WHEN lower(p_type) IN ('cubic') THEN 'cubic' ELSE '' END AS system, count(*) AS n FROM part GROUP BY 1, 2")
+def structure_word_system(spark, sf_dir):
+    return _table(spark, sf_dir, "part").groupBy("p_type", validate.normal_system(F.col("p_type")).alias("system")).agg(F.count("*").alias("n"))
+
+
+# ---- records ----------------------------------------------------------------------------------------------
+
+@query("WITH w AS (SELECT conv_id, turn, trim(regexp_replace(role, '\\s+', ' ', 'g')) AS v FROM conversations) SELECT conv_id, arg_min(v, turn) AS role, min(turn) AS turn FROM w GROUP BY conv_id, lower(v)")
+def uniq_materials(spark, sf_dir):
+    return screening.distinct_rows(_table(spark, sf_dir, "conversations").select("conv_id", "role", "turn"), "conv_id", "role", "turn")
+
+
+@query("SELECT p_brand, array_to_string(list_sort(list_distinct(list(p_type))), '|') AS kinds FROM part GROUP BY p_brand")
+def ordered_distinct_list(spark, sf_dir):
+    grouped = _table(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_sort(F.collect_set("p_type")).alias("v"))
+    return grouped.select("p_brand", F.array_join(screening.ordered_distinct(F.concat("v", F.transform("v", lambda x: F.lower(x)))), "|").alias("kinds"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN trim(p_name) WHEN p_size % 2 = 0 THEN p_brand ELSE p_type END AS material FROM part")
+def main_material_choice(spark, sf_dir):
+    a, b = F.when(F.col("p_size") % 3 != 0, F.col("p_name")).otherwise("  "), F.when(F.col("p_size") % 2 == 0, F.col("p_brand"))
+    return _table(spark, sf_dir, "part").select("p_partkey", screening.first_filled(a, b, F.col("p_type")).alias("material"))
+
+
+@query("SELECT doc_id, array_to_string(list_filter(['title', 'cell'], lambda f: CASE f WHEN 'title' THEN quality = 1 ELSE toxic = 0 END), '|') AS kept, CASE WHEN quality = 1 THEN 'x' ELSE 'candidate' END AS final FROM labels")
+def supported_split(spark, sf_dir):
+    verdict = lambda test, yes: F.struct(F.when(test, yes).otherwise("unsupported").alias("status"))
+    block = F.create_map(F.lit("title"), verdict(F.col("quality") == 1, "supported"), F.lit("cell"), verdict(F.col("toxic") == 0, "unclear"))
+    final = screening.final_value(F.lit("candidate"), F.when(F.col("quality") == 1, "x").otherwise(""))
+    return _table(spark, sf_dir, "labels").select("doc_id", F.array_join(F.map_keys(screening.supported(block)), "|").alias("kept"), final.alias("final"))
+
+
+@query("SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(list_distinct(string_split(lower(a.p_name), ' ')), list_distinct(string_split(lower(b.p_name), ' ')))) / greatest(len(list_distinct(string_split(lower(a.p_name), ' '))), len(list_distinct(string_split(lower(b.p_name), ' ')))) AS score FROM part a JOIN part b ON a.p_partkey + 1 = b.p_partkey")
+def author_overlap(spark, sf_dir):
+    p = _table(spark, sf_dir, "part").select("p_partkey", F.array_distinct(F.split(F.lower("p_name"), " ")).alias("t"))
+    q = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_partkey").alias("b"), F.col("t").alias("u"))
+    return p.join(q, "p_partkey").select(F.col("p_partkey").alias("a"), "b", text.overlap(F.col("t"), F.col("u")).alias("score"))
+
+
+@query("SELECT s_suppkey, lower(s_name) AS surnames FROM supplier")
+def surname_tokens(spark, sf_dir):
+    return _table(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(text.surnames(F.concat(F.lit("A. "), F.col("s_name"), F.lit(" and B. "), F.col("s_name"))), "|").alias("surnames"))
+
+
+@query()
+def title_link_top1(spark, sf_dir):
+    part = _table(spark, sf_dir, "part")
+    records = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.lit("Doe, J.").alias("authors"), F.element_at(F.split("p_name", " "), 1).alias("block"))
+    some = part.groupBy("p_name").agg(F.min("p_partkey").alias("seq"))
+    candidates = some.select(F.col("seq").alias("candidate_id"), "seq", F.col("p_name").alias("candidate_title"), F.lit("J. Doe; Doe, J.").alias("candidate_authors"), F.element_at(F.split("p_name", " "), 1).alias("block"))
+    return linkage.link(records, candidates)
+
+
+@query("WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z0-9. ]', '-', 'g'), '\\s+', ' ', 'g') AS t0 FROM documents), u AS (SELECT doc_id, trim(trim(t0), '._ ') AS t FROM t) SELECT doc_id, CASE WHEN t = '' THEN 'paper' WHEN length(t) > 60 THEN concat(rtrim(substring(t, 1, 49), ' ._'), '_', substring(sha1(t), 1, 10)) ELSE t END AS stem FROM u")
+def safe_stem(spark, sf_dir):
+    line = F.regexp_replace(F.split("text", "\n")[0], "[^A-Za-z0-9. ]", "-")
+    return _table(spark, sf_dir, "documents").select("doc_id", text.safe_stem(line).alias("stem"))
+
+
+@query("SELECT page_id, trim(regexp_replace(lower(url), '[^a-z0-9]+', ' ', 'g')) AS title FROM pages")
+def title_normalise(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", text.match_key(F.col("url")).alias("title"))
+
+
+@query()
+def safe_title(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", text.safe_title(F.col("url"), F.lit("paper"), F.col("page_id").cast("string")).alias("title"))
+
+
+@query("SELECT page_id, replace(url, 'example.com', '<HOST redacted>') AS url, CASE WHEN contains(lower(url), 'arxiv') THEN 'arxiv' WHEN contains(lower(url), 'springer') THEN 'springer' ELSE 'unknown' END AS source, CASE WHEN contains(lower(url), '401') THEN 'key' WHEN contains(lower(url), '429') THEN 'rate limit' ELSE substring(url, 1, 300) END AS error FROM pages")
+def redact_and_classify(spark, sf_dir):
+    u = F.col("url")
+    return _table(spark, sf_dir, "pages").select("page_id", text.redact(u, {"HOST": "example.com", "SHORT": "http"}).alias("url"), text.source_type(u).alias("source"), text.error_class(u).alias("error"))
+
+
+@query("SELECT event_id, 'k' AS path, cast(json_extract_string(props, '$.k') AS VARCHAR) AS value FROM events")
+def json_leaf_walk(spark, sf_dir):
+    return jsons.leaves(_table(spark, sf_dir, "events"), "event_id", "props", depth=2)
+
+
+@query("WITH a AS (SELECT user_id, arg_min(json_extract_string(props, '$.k'), event_id) AS old, arg_max(json_extract_string(props, '$.k'), event_id) AS new FROM events GROUP BY user_id) SELECT user_id, 'k' AS path, old, new, 'changed' AS change FROM a WHERE old IS DISTINCT FROM new")
+def json_diff(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").groupBy("user_id").agg(F.min_by("props", "event_id").alias("a"), F.max_by("props", "event_id").alias("b"))
+    return jsons.difference(jsons.leaves(e, "user_id", "a", depth=2), jsons.leaves(e, "user_id", "b", depth=2), "user_id")
+
+
+@query()
+def first_json_object(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("Reply: "), F.col("props"), F.lit(" and {\"x\": 1}")).alias("reply"))
+    return e.select("event_id", text.first_json(F.col("reply")).alias("object"))
+
+
+# ---- logs, layout, geometry -------------------------------------------------------------------------------
+
+@query("SELECT user_id, event_type AS phase, arg_max(value, event_id) AS status FROM events GROUP BY user_id, event_type")
+def phase_status_from_log(spark, sf_dir):
+    return logs.last_status(_table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("phase"), F.col("value").alias("status"), "event_id"), ["user_id", "phase"], "status", F.col("event_id"))
+
+
+@query("SELECT event_id, event_type, ts FROM events ORDER BY ts DESC, event_id LIMIT 200")
+def newest_files(spark, sf_dir):
+    files = _table(spark, sf_dir, "events").select(F.col("event_id").alias("path"), F.col("ts").alias("modificationTime"), "event_type")
+    return screening.newest(files, 200).select(F.col("path").alias("event_id"), "event_type", F.col("modificationTime").alias("ts"))
+
+
+_BOX_SQL = "boxes AS (SELECT l_orderkey AS page, l_linenumber * 1000000 + l_partkey AS box_id, l_quantity AS x0, l_linenumber * 10.0 AS y0, l_quantity + 1 + l_discount * 100 AS x1, l_linenumber * 10.0 + 5 + l_tax * 100 AS y1 FROM lineitem)"
+
+
+def _boxes(spark, sf_dir):
+    r = _table(spark, sf_dir, "lineitem")
+    y0 = F.col("l_linenumber") * 10.0
+    return r.select(F.col("l_orderkey").alias("page"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("box_id"), F.col("l_quantity").alias("x0"), y0.alias("y0"), (F.col("l_quantity") + 1 + F.col("l_discount") * 100).alias("x1"), (y0 + 5 + F.col("l_tax") * 100).alias("y1"))
+
+
+@query(
+    f"WITH {_BOX_SQL}, p AS (SELECT a.page, a.box_id AS a, b.box_id AS b, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS i, (a.x1 - a.x0) * (a.y1 - a.y0) AS aa, (b.x1 - b.x0) * (b.y1 - b.y0) AS ab "
+    "FROM boxes a JOIN boxes b ON a.page = b.page AND a.box_id < b.box_id) SELECT page, a, b, round(i / (aa + ab - i), 6) AS iou FROM p WHERE i > 0"
+)
+def box_iou_pairs(spark, sf_dir):
+    return geometry.pairs_on_page(_boxes(spark, sf_dir)).select("page", "a", "b", F.round("iou", 6).alias("iou"))
+
+
+@query(f"WITH {_BOX_SQL} SELECT page, box_id FROM boxes WHERE round((x1 - x0) * (y1 - y0) / 5000.0, 9) BETWEEN 0.01 AND 0.90")
+def box_area_filter(spark, sf_dir):
+    share = geometry.area(F.struct("x0", "y0", "x1", "y1")) / 5000.0
+    return _boxes(spark, sf_dir).where(F.round(share, 9).between(0.01, 0.90)).select("page", "box_id")
+
+
+@query()
+def box_merge(spark, sf_dir):
+    return geometry.merge(_boxes(spark, sf_dir))
+
+
+@query()
+def vector_regions(spark, sf_dir):
+    return geometry.vector_regions(_boxes(spark, sf_dir), width=70.0, height=90.0, cells=90, least=4, pad=1.0, most=0.9)
+
+
+_CAPTION_SQL = "blocks AS (SELECT l_orderkey AS doc_id, 1 AS page, l_linenumber * 1000000 + l_partkey AS block_no, l_quantity * 10 AS y0, concat(CASE WHEN l_linestatus = 'O' THEN 'As in ' ELSE '' END, 'Figure ', cast(l_linenumber % 2 + 1 AS VARCHAR), ' ', l_returnflag) AS text FROM lineitem)"
+
+
+def _caption_blocks(spark, sf_dir):
+    r = _table(spark, sf_dir, "lineitem")
+    words = F.concat(F.when(F.col("l_linestatus") == "O", "As in ").otherwise(""), F.lit("Figure "), (F.col("l_linenumber") % 2 + 1).cast("string"), F.lit(" "), F.col("l_returnflag"))
+    return r.select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("block_no"), (F.col("l_quantity") * 10).alias("y0"), words.alias("text"))
+
+
+@query(
+    f"WITH {_CAPTION_SQL}, s AS (SELECT doc_id, page, block_no, CASE WHEN starts_with(text, 'Figure') THEN 10.0 + 50.0 ELSE 44.0 END - y0 / 50.0 AS score FROM blocks WHERE contains(text, 'Figure 1')) "
+    "SELECT doc_id, page, 1 AS figure, block_no, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, block_no) AS r FROM s) WHERE r = 1"
+)
+def caption_pick(spark, sf_dir):
+    blocks = _caption_blocks(spark, sf_dir)
+    figures = blocks.select("doc_id", "page").distinct().withColumn("figure", F.lit(1))
+    return layout.caption_blocks(blocks, figures).withColumn("score", F.round("score", 6))
+
+
+@query()
+def caption_window(spark, sf_dir):
+    c = corpus(spark, sf_dir)
+    sentences = F.transform(text.sentences(F.concat(F.lit("Figure 1: pattern. "), F.col("text"))), lambda s, i: F.struct((i * 12.0).alias("y0"), F.lit(50.0).alias("x0"), (i * 12.0 + 10.0).alias("y1"), s.alias("text")))
+    blocks = layout.reading_order(sentences)
+    return c.select("doc_id", layout.assemble_caption(blocks, F.lit(1), F.lit(800.0)).alias("caption"), layout.nearby_text(blocks, F.lit(1), F.lit(800.0)).alias("nearby"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, used, total > 40 AS truncated FROM (SELECT l_orderkey, l_linenumber, l_partkey, sum(length(concat(l_returnflag, ' | ', cast(l_partkey AS VARCHAR))) + 1) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS used, sum(length(concat(l_returnflag, ' | ', cast(l_partkey AS VARCHAR))) + 1) OVER (PARTITION BY l_orderkey)::BIGINT AS total FROM lineitem) WHERE used <= 40")
+def table_budget_rows(spark, sf_dir):
+    r = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate").alias("seq"), F.concat_ws(" | ", "l_returnflag", F.col("l_partkey").cast("string")).alias("row"))
+    return layout.within_budget(r, "l_orderkey", "seq", "row", 40).select("l_orderkey", "l_linenumber", "l_partkey", "used", "truncated")
+
+
+@query("SELECT a.l_orderkey AS doc_id, a.l_linenumber AS page, b.l_linenumber AS table_page, count(*) AS tables FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber BETWEEN a.l_linenumber - 1 AND a.l_linenumber + 1 GROUP BY ALL")
+def tables_near_page(spark, sf_dir):
+    r = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"))
+    return layout.on_adjacent_pages(r, r).groupBy("doc_id", "page", "table_page").agg(F.count("*").alias("tables"))
+
+
+# ---- report -----------------------------------------------------------------------------------------------
+
+_TIMED = "timing AS (SELECT concat('document-with-a-name-of-forty-chars-here', cast(user_id AS VARCHAR)) AS pdf_name, user_id AS seq, round(sum(value), 3) AS wall FROM events GROUP BY user_id)"
+
+
+@query(
+    f"WITH {_TIMED}, d AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN concat('document-with-a-name-of-forty-chars-here', cast(doc_id AS VARCHAR)) ELSE concat('paper', cast(doc_id AS VARCHAR)) END AS stem FROM documents), r AS (SELECT substring(pdf_name, 1, 40) AS p, arg_min(wall, seq) AS wall FROM timing GROUP BY 1) "
+    "SELECT doc_id, stem, coalesce(t.wall, r.wall) AS wall FROM d LEFT JOIN timing t ON d.stem = t.pdf_name LEFT JOIN r ON substring(d.stem, 1, 40) = r.p"
+)
+def timing_prefix_join(spark, sf_dir):
+    name = lambda c: F.concat(F.lit("document-with-a-name-of-forty-chars-here"), c.cast("string"))
+    timing = _table(spark, sf_dir, "events").groupBy("user_id").agg(F.round(F.sum("value"), 3).alias("wall")).select(name(F.col("user_id")).alias("pdf_name"), F.col("user_id").alias("seq"), "wall")
+    d = _table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, name(F.col("doc_id"))).otherwise(F.concat(F.lit("paper"), F.col("doc_id").cast("string"))).alias("stem"))
+    return report.with_timing(d, timing)
+
+
+@query("WITH f AS (SELECT conv_id AS stem, turn - min(turn) OVER (PARTITION BY conv_id) AS pos, role AS figure FROM conversations) SELECT a.stem AS stem, cast(a.pos AS INTEGER) AS pos, a.figure AS figure, b.figure AS log FROM f a LEFT JOIN f b ON a.stem = b.stem AND a.pos = b.pos AND b.pos < 2")
+def positional_pairs(spark, sf_dir):
+    c = _table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("stem")).agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]).alias("figures"))
+    return report.paired(c.select("stem", "figures"), c.select("stem", F.slice("figures", 1, 2).alias("entries")))
+
+
+@query(
+    f"WITH {_SCREEN}, {_PRICED}, costs AS (SELECT pdf_name, sum(cast(round(cost_usd * 1e6) AS BIGINT)) / 1e6 AS cost, {_STEP_SUMS} FROM priced GROUP BY pdf_name), r AS (SELECT s.doc_id, s.source, coalesce(s.decision, s.folder) AS decision, c.cost, c.cost_s0, c.cost_s1, c.cost_s2, c.cost_s3, c.calls_s0, c.calls_s1, c.calls_s2, c.calls_s3 "
+    "FROM screen s LEFT JOIN costs c ON concat('doc', cast(s.doc_id % 60 AS VARCHAR)) = c.pdf_name) SELECT * FROM r"
+)
+def report_frame(spark, sf_dir):
+    """Every paper of the report, in its order."""
+    calls = usage.cost(_calls(spark, sf_dir))
+    costs = usage.step_costs(calls).join(calls.groupBy("pdf_name").agg(usage.summed(F.col("cost_usd")).alias("cost")), "pdf_name").withColumnRenamed("pdf_name", "stem")
+    s = _screen(spark, sf_dir).select("doc_id", "source", F.coalesce("decision", "folder").alias("decision"), F.concat(F.lit("doc"), (F.col("doc_id") % 60).cast("string")).alias("stem"))
+    rows = report.papers(s, costs).drop("stem")
+    return rows.orderBy(*report.order(F.col("decision"), F.col("cost"), F.col("doc_id")))
+
+
+@query(f"WITH {_SCREEN}, {_PRICED}, costs AS (SELECT pdf_name, sum(cast(round(cost_usd * 1e6) AS BIGINT)) / 1e6 AS cost FROM priced GROUP BY pdf_name) SELECT count(*) AS papers, count(*) FILTER (WHERE decision = 'keep') AS kept, round(coalesce(avg(CASE WHEN decision = 'keep' THEN cost END), 0), 4) AS avg_cost FROM screen s LEFT JOIN costs c ON concat('doc', cast(s.doc_id % 60 AS VARCHAR)) = c.pdf_name")
+def report_header(spark, sf_dir):
+    costs = usage.cost(_calls(spark, sf_dir)).groupBy("pdf_name").agg(usage.summed(F.col("cost_usd")).alias("cost")).withColumnRenamed("pdf_name", "stem")
+    s = _screen(spark, sf_dir).select("decision", F.concat(F.lit("doc"), (F.col("doc_id") % 60).cast("string")).alias("stem"))
+    return report.header(report.papers(s, costs))
