@@ -13,7 +13,7 @@ global order.  It is cut into fragments, and a set into one segment for each fra
    Verified links give components.
 3. The rest.  Groups whose sets are still in several components are gone through pair by
    pair, in blocks of bounded size: a pair of one component needs no look; of others the
-   segments' sizes and digests bound the overlap, and only pairs that may be linked go on
+   sizes and digests of the segments' parts bound the overlap, and only pairs that may be linked go on
    to be verified.  No link is lost, and a group of near copies makes no square of rows.
 4. Verification counts the overlap of each fragment separately and sums it per pair.
    Every set moves once for each pair it is in, cut into segments.
@@ -112,11 +112,15 @@ def fragment(shingle: np.ndarray, fragments: np.ndarray | int) -> np.ndarray:
     return ((shingle >> np.uint64(32)) * np.asarray(fragments).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
 
 
-_SIGNED = T.StructType().add("sid", "long").add("n", "long").add("class", "integer").add("digests", T.ArrayType(T.LongType())).add("sizes", T.ArrayType(T.IntegerType()))
+_SIGNED = T.StructType().add("sid", "long").add("n", "long").add("class", "integer").add("digests", T.ArrayType(T.LongType())).add("fine", "binary")
 
 
-def _segments(shingle: np.ndarray, rule: Rule, classes: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(class, keys, sizes) of one set's segments in each class where it may be of a linked pair.
+#: Parts of a segment whose sizes and eight-bit digests bound overlaps.
+FINE = 4
+
+
+def _segments(shingle: np.ndarray, rule: Rule, classes: np.ndarray, with_fine: bool = False) -> list[tuple[int, np.ndarray, bytes]]:
+    """(class, keys, fine) of one set's segments in each class where it may be of a linked pair.
 
     It is the smaller set of pairs in its own class, and the larger one of pairs in classes below that
     hold sizes down to share/over of its own."""
@@ -130,14 +134,17 @@ def _segments(shingle: np.ndarray, rule: Rule, classes: np.ndarray) -> list[tupl
         if not differing:
             continue  # linked sets of this class are equal
         k = differing + 1
-        of = fragment(shingle, k)
-        bounds = np.searchsorted(of, np.arange(k + 1))
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(at.mix(shingle), out=total[1:])
+        bounds = np.searchsorted(fragment(shingle, FINE * k), np.arange(FINE * k + 1))
         place = (np.uint64(c) << np.uint64(40)) + np.arange(k).astype(np.uint64)
-        digest = at.mix(total[bounds[1:]] - total[bounds[:-1]] + at.mix(place + np.uint64(1)))
+        digest = at.mix(total[bounds[FINE::FINE]] - total[bounds[:-1:FINE]] + at.mix(place + np.uint64(1)))
         digest = digest & ~np.uint64(0xFF) | np.uint64(c)  # the low byte names the class
-        out.append((c, digest.view(np.int64), np.diff(bounds).astype(np.int32)))
+        fine = b""
+        if with_fine:
+            tag = at.mix(total[bounds[1:]] - total[bounds[:-1]]) >> np.uint64(56)
+            fine = (np.diff(bounds).astype(np.uint64) << np.uint64(8) | tag).astype("<u4").tobytes()  # a part of 2**24 shingles would need a text of gigabytes
+        out.append((c, digest.view(np.int64), fine))
     return out
 
 
@@ -215,7 +222,7 @@ def _maybe(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
-    """Per wanted set and class: its size, and the keys and sizes of its segments."""
+    """Per wanted set and class: its size, its segments' keys, and the sizes and digests of their parts."""
     classes, needed = rule.classes(1 << 40), _filter(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,13 +234,13 @@ def signatures(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, id_col
                 out = []
                 for i in np.flatnonzero(_maybe(needed.value, ids) & (np.diff(bounds) > 0)).tolist():
                     if once(int(ids[i])):
-                        out += [(ids[i], bounds[i + 1] - bounds[i], *x) for x in _segments(shingle[bounds[i] : bounds[i + 1]], rule, classes)]
+                        out += [(ids[i], bounds[i + 1] - bounds[i], *x) for x in _segments(shingle[bounds[i] : bounds[i + 1]], rule, classes, True)]
                 if out:
-                    sid, n, c, digests, sizes = zip(*out, strict=True)
+                    sid, n, c, digests, fine = zip(*out, strict=True)
                     at_ = pa.array(np.concatenate(([0], np.cumsum([len(d) for d in digests]))).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(sid, pa.int64()), pa.array(n, pa.int64()), pa.array(c, pa.int32()), pa.ListArray.from_arrays(at_, pa.array(np.concatenate(digests))), pa.ListArray.from_arrays(at_, pa.array(np.concatenate(sizes)))],
-                        names=["sid", "n", "class", "digests", "sizes"],
+                        [pa.array(sid, pa.int64()), pa.array(n, pa.int64()), pa.array(c, pa.int32()), pa.ListArray.from_arrays(at_, pa.array(np.concatenate(digests))), pa.array(fine, pa.binary())],
+                        names=["sid", "n", "class", "digests", "fine"],
                     )
 
     made = docs.where(F.col(id_column).isNotNull()).select(F.col(text).alias("text")).mapInArrow(run, _SIGNED)
@@ -287,7 +294,7 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (group, i, j, place, sid, n, component, digests, sizes) of blocks -> pairs that may be linked.
+    """Sorted rows (group, i, j, place, sid, n, component, digests, fine) of blocks -> pairs that may be linked.
 
     A pair comes out of the first group that has both only."""
     held: list[tuple] = []
@@ -300,7 +307,7 @@ def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Re
                 yield from _block_pairs(key, held, rule)
                 held = []
             key = now
-            held.append((columns[3][r].as_py(), columns[4][r].as_py(), columns[5][r].as_py(), columns[6][r].as_py(), columns[7][r].values.to_numpy(), columns[8][r].values.to_numpy()))
+            held.append((columns[3][r].as_py(), columns[4][r].as_py(), columns[5][r].as_py(), columns[6][r].as_py(), columns[7][r].values.to_numpy(), np.frombuffer(columns[8][r].as_buffer(), "<u4")))
     if held:
         yield from _block_pairs(key, held, rule)
 
@@ -309,7 +316,8 @@ def _block_pairs(key: tuple, held: list[tuple], rule: Rule) -> Iterator[pa.Recor
     _, i, j = key
     own = np.array([h[0] for h in held])
     sid, n, component = (np.array([h[k] for h in held], np.int64) for k in (1, 2, 3))
-    digests, sizes = np.stack([h[4] for h in held]), np.stack([h[5] for h in held]).astype(np.int64)
+    digests, fine = np.stack([h[4] for h in held]), np.stack([h[5] for h in held])
+    sizes = (fine >> 8).astype(np.int64)
     left = np.flatnonzero(own == i)
     right = np.flatnonzero(own == j)
     out_a, out_b = [], []
@@ -321,8 +329,8 @@ def _block_pairs(key: tuple, held: list[tuple], rule: Rule) -> Iterator[pa.Recor
         if not len(y):
             continue
         same = digests[y] == digests[x]
-        # equal segments overlap wholly, others of one size lack a shingle at least
-        bound = np.where(same, sizes[x], np.minimum(sizes[y], sizes[x]) - (sizes[y] == sizes[x])).sum(1)
+        # parts that look equal overlap wholly at most, others of one size lack a shingle at least
+        bound = np.where(fine[y] == fine[x], sizes[x], np.minimum(sizes[y], sizes[x]) - (sizes[y] == sizes[x])).sum(1)
         group = int(np.flatnonzero(digests[x] == key[0])[0])
         good = rule.linked(bound, n[x], n[y]) & (same.argmax(1) == group)
         out_a.append(np.full(int(good.sum()), sid[x]))
@@ -340,10 +348,10 @@ def _rest(docs: DataFrame, groups: DataFrame, components: DataFrame, rule: Rule,
     signed = signatures(docs, rows.select("sid").distinct(), rule, text, id_column)
     rows = rows.withColumn("class", F.col("key").bitwiseAND(0xFF).cast("int")).join(signed, ["sid", "class"])
     place = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    rows = rows.select("key", "sid", "n", "component", "digests", "sizes", "blocks", place.alias("place"))
+    rows = rows.select("key", "sid", "n", "component", "digests", "fine", "blocks", place.alias("place"))
     # a block meets itself and every other one: each pair of blocks is a unit of work of two blocks at most
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("key", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "sid", "n", "component", "digests", "sizes")
+    rows = rows.select("key", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "sid", "n", "component", "digests", "fine")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return rows.mapInArrow(lambda it: _rest_pairs(it, rule), "a long, b long").distinct()
 
