@@ -6,7 +6,7 @@ are kept; the machine learns a weight for each and, through factors, one for eac
 them, so that two terms can mean together what neither does alone.  Scoring reads whole
 texts row by row; the model is a table of at most TERMS rows.
 
-Fitted on a bounded sample of labelled rows (PER_LABEL of each label, in learn.py).
+Fitted on a bounded sample of labelled rows (SAMPLE of each label).
 
 Defined cases: a null or empty text has no terms and gets the base rate's score; without
 labels of both kinds every score is the share of label 1 (0.5 without any label).
@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrowtext as at
-from .learn import PER_LABEL, adam, held_out, labelled, sigmoid
+from .learn import adam, held_out, labelled, sigmoid
 
 TERMS = 4096
 FACTORS = 8
+#: Rows of each label to fit on: their terms are what the driver holds.
+SAMPLE = 2500
 LEAST_DOCUMENTS = 4
 PREFIXES = (4, 5, 6)
 
@@ -131,7 +133,7 @@ def fit_terms(y: np.ndarray, per_row: list[np.ndarray], weight: np.ndarray, *, m
     return machine
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", modulus: int = 3, remainder: int = 1, per_label: int = PER_LABEL, text: str = "text", id_column: str = "doc_id") -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", modulus: int = 3, remainder: int = 1, per_label: int = SAMPLE, text: str = "text", id_column: str = "doc_id") -> Machine:
     rows, weights = labelled(docs, labels, label, modulus, remainder, per_label, text, id_column)
     got = rows.mapInArrow(_sample_terms, "label int, terms binary").toPandas()  # the bounded sample
     got = got.sort_values(["label", "terms"], kind="stable")
