@@ -10,11 +10,12 @@ global order.  It is cut into fragments, and a set into one segment for each fra
    common words, lines and passages don't bring sets together, only whole equal segments do.
 2. Links first.  In every group of equal segments each set is compared with two of the
    group (the least and the greatest id): a number of pairs in proportion to the rows.
-   Verified links give components.
+   Sketches (bitmaps of a few bits a shingle) bound overlaps from above, and pairs that
+   can't be linked go no further.  Verified links give components.
 3. The rest.  Groups whose sets are still in several components are gone through pair by
-   pair, in blocks of bounded size: a pair of one component needs no look; of others the
-   sizes and digests of the segments' parts bound the overlap, and only pairs that may be linked go on
-   to be verified.  No link is lost, and a group of near copies makes no square of rows.
+   pair, in blocks of bounded size: a pair of one component needs no look, of others the
+   sketches bound the overlap, and only pairs that may be linked go on to be verified.
+   No link is lost, and a group of near copies makes no square of rows.
 4. Verification counts the overlap of each fragment separately and sums it per pair.
    Every set moves once for each pair it is in, cut into segments.
 
@@ -112,52 +113,75 @@ def fragment(shingle: np.ndarray, fragments: np.ndarray | int) -> np.ndarray:
     return ((shingle >> np.uint64(32)) * np.asarray(fragments).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
 
 
-_SIGNED = T.StructType().add("sid", "long").add("n", "long").add("class", "integer").add("digests", T.ArrayType(T.LongType())).add("fine", "binary")
+def _fragments(differing: int, least: int) -> int:
+    """Fragments of a class: so many that even sets of its least size fill more of them than a linked pair can differ in."""
+    k = differing + 1
+    while k < 2 * (differing + 1) and k * (1 - np.exp(-least / k)) - 2 * np.sqrt(k * np.exp(-least / k)) < differing + 1:
+        k += max(1, k // 50)
+    return k if k < 2 * (differing + 1) else differing + 1
 
 
-#: Parts of a segment whose sizes and eight-bit digests bound overlaps.
-FINE = 4
-
-
-def _segments(shingle: np.ndarray, rule: Rule, classes: np.ndarray, with_fine: bool = False) -> list[tuple[int, np.ndarray, bytes]]:
-    """(class, keys, fine) of one set's segments in each class where it may be of a linked pair.
+def _segments(shingle: np.ndarray, rule: Rule, classes: np.ndarray) -> list[np.ndarray]:
+    """The keys of one set's segments in each class where it may be of a linked pair.
 
     It is the smaller set of pairs in its own class, and the larger one of pairs in classes below that
-    hold sizes down to share/over of its own."""
+    hold sizes down to share/over of its own.  A set that fills more fragments than a linked pair can
+    differ in shares a full one with every set that it is linked with, and leaves empty ones out."""
     n = len(shingle)
     own = int(np.searchsorted(classes, n, "right")) - 1
     least = -(-n * rule.share // rule.over)
     low = int(np.searchsorted(classes, least, "right")) - 1
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(at.mix(shingle), out=total[1:])
     out = []
     for c in range(low, own + 1):
         differing = rule.differing(int(classes[c + 1]) - 1)
         if not differing:
             continue  # linked sets of this class are equal
-        k = differing + 1
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(at.mix(shingle), out=total[1:])
-        bounds = np.searchsorted(fragment(shingle, FINE * k), np.arange(FINE * k + 1))
+        k = _fragments(differing, int(classes[c]))
+        bounds = np.searchsorted(fragment(shingle, k), np.arange(k + 1))
         place = (np.uint64(c) << np.uint64(40)) + np.arange(k).astype(np.uint64)
-        digest = at.mix(total[bounds[FINE::FINE]] - total[bounds[:-1:FINE]] + at.mix(place + np.uint64(1)))
-        digest = digest & ~np.uint64(0xFF) | np.uint64(c)  # the low byte names the class
-        fine = b""
-        if with_fine:
-            tag = at.mix(total[bounds[1:]] - total[bounds[:-1]]) >> np.uint64(56)
-            fine = (np.diff(bounds).astype(np.uint64) << np.uint64(8) | tag).astype("<u4").tobytes()  # a part of 2**24 shingles would need a text of gigabytes
-        out.append((c, digest.view(np.int64), fine))
+        key = at.mix(total[bounds[1:]] - total[bounds[:-1]] + at.mix(place + np.uint64(1)))
+        full = bounds[1:] > bounds[:-1]
+        out.append((key[full] if full.sum() > differing else key).view(np.int64))
     return out
 
 
+def sketch(shingle: np.ndarray) -> bytes:
+    """A bitmap of four to eight bits a shingle, by the shingles' upper bits; halves fold together pairwise."""
+    bits = max(64, 1 << int(4 * len(shingle) - 1).bit_length())
+    out = np.zeros(bits, bool)
+    out[(shingle >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
+def _fold(maps: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bitmaps (bytes) folded to a smaller width in bytes: neighbouring bits are or-ed."""
+    while maps.shape[-1] > width:
+        bits = np.unpackbits(maps, axis=-1)
+        maps = np.packbits(bits[..., ::2] | bits[..., 1::2], axis=-1)
+    return maps
+
+
+def _bound(x: np.ndarray, nx: int, y: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    """No set of y (rows of one width) has more in common with x than this: a bit that one lacks is a shingle that it lacks."""
+    width = min(x.shape[-1], y.shape[-1])
+    x, y = _fold(x, width), _fold(y, width)
+    lacks = lambda a, b: np.bitwise_count((a & ~b).reshape(len(y), -1)).sum(1, dtype=np.int64)
+    return np.minimum(nx - lacks(np.broadcast_to(x, y.shape), y), ny - lacks(y, x))
+
+
 def document_sets(docs: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
-    """Per row: doc_id, the size of its set, and the set's id."""
+    """Per row: doc_id, the size of its set, the set's id and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in at.slices(batch, "text"):
                 shingle, bounds = sets_of(texts, rule.width)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(bounds)), pa.array(set_ids(shingle, bounds))], names=["doc_id", "n", "sid"])
+                maps = [sketch(shingle[a:b]) if b > a else b"" for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(bounds)), pa.array(set_ids(shingle, bounds)), pa.array(maps, pa.binary())], names=["doc_id", "n", "sid", "sketch"])
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_column].dataType)]).add("n", "long").add("sid", "long")
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_column].dataType)]).add("n", "long").add("sid", "long").add("sketch", "binary")
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
@@ -191,7 +215,7 @@ def segment_keys(docs: DataFrame, rule: Rule, text: str, id_column: str) -> Data
                 keys, owner = [], []
                 for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
                     if b > a and once(int(ids[i])):
-                        for _, key, _ in _segments(shingle[a:b], rule, classes):
+                        for key in _segments(shingle[a:b], rule, classes):
                             keys.append(key)
                             owner.append(np.full(len(key), ids[i]))
                 if keys:
@@ -221,32 +245,6 @@ def _maybe(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (words[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
 
 
-def signatures(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
-    """Per wanted set and class: its size, its segments' keys, and the sizes and digests of their parts."""
-    classes, needed = rule.classes(1 << 40), _filter(wanted)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = _Once()
-        for batch in batches:
-            for _, texts in at.slices(batch, "text", limit=1 << 19):
-                shingle, bounds = sets_of(texts, rule.width)
-                ids = set_ids(shingle, bounds)
-                out = []
-                for i in np.flatnonzero(_maybe(needed.value, ids) & (np.diff(bounds) > 0)).tolist():
-                    if once(int(ids[i])):
-                        out += [(ids[i], bounds[i + 1] - bounds[i], *x) for x in _segments(shingle[bounds[i] : bounds[i + 1]], rule, classes, True)]
-                if out:
-                    sid, n, c, digests, fine = zip(*out, strict=True)
-                    at_ = pa.array(np.concatenate(([0], np.cumsum([len(d) for d in digests]))).astype(np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sid, pa.int64()), pa.array(n, pa.int64()), pa.array(c, pa.int32()), pa.ListArray.from_arrays(at_, pa.array(np.concatenate(digests))), pa.array(fine, pa.binary())],
-                        names=["sid", "n", "class", "digests", "fine"],
-                    )
-
-    made = docs.where(F.col(id_column).isNotNull()).select(F.col(text).alias("text")).mapInArrow(run, _SIGNED)
-    return made.join(wanted, "sid", "left_semi").dropDuplicates(["sid", "class"])
-
-
 def _tokens(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
     """The shingles of the wanted sets by fragment: (sid, fragment, n, shingles)."""
     needed = _filter(wanted)
@@ -293,10 +291,21 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
+def _likely(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """(a, b, na, nb, sketch of a, sketch of b) -> the pairs that may be linked."""
+    for batch in batches:
+        na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        keep = np.zeros(batch.num_rows, bool)
+        for i in np.flatnonzero(rule.over * np.minimum(na, nb) >= rule.share * np.maximum(na, nb)).tolist():
+            x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint8) for k in (4, 5))
+            keep[i] = rule.linked(_bound(x, na[i], y[None], nb[i : i + 1])[0], na[i], nb[i])
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
+
+
 def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (group, i, j, place, sid, n, component, digests, fine) of blocks -> pairs that may be linked.
+    """Sorted rows (key, i, j, place, sid, n, component, sketch, keys) of blocks -> pairs that may be linked.
 
-    A pair comes out of the first group that has both only."""
+    A pair comes out of the first open group only that has both."""
     held: list[tuple] = []
     key = None
     for batch in batches:
@@ -307,51 +316,47 @@ def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Re
                 yield from _block_pairs(key, held, rule)
                 held = []
             key = now
-            held.append((columns[3][r].as_py(), columns[4][r].as_py(), columns[5][r].as_py(), columns[6][r].as_py(), columns[7][r].values.to_numpy(), np.frombuffer(columns[8][r].as_buffer(), "<u4")))
+            held.append((columns[3][r].as_py(), columns[4][r].as_py(), columns[5][r].as_py(), columns[6][r].as_py(), np.frombuffer(columns[7][r].as_buffer(), np.uint8), columns[8][r].values.to_numpy()))
     if held:
         yield from _block_pairs(key, held, rule)
 
 
 def _block_pairs(key: tuple, held: list[tuple], rule: Rule) -> Iterator[pa.RecordBatch]:
-    _, i, j = key
+    group, i, j = key
     own = np.array([h[0] for h in held])
     sid, n, component = (np.array([h[k] for h in held], np.int64) for k in (1, 2, 3))
-    digests, fine = np.stack([h[4] for h in held]), np.stack([h[5] for h in held])
-    sizes = (fine >> 8).astype(np.int64)
-    left = np.flatnonzero(own == i)
-    right = np.flatnonzero(own == j)
-    out_a, out_b = [], []
-    for x in left.tolist():
-        y = right[(sid[right] > sid[x]) | (i != j)]
-        y = y[component[y] != component[x]]
-        small, large = np.minimum(n[y], n[x]), np.maximum(n[y], n[x])
-        y = y[rule.over * small >= rule.share * large]
-        if not len(y):
-            continue
-        same = digests[y] == digests[x]
-        # parts that look equal overlap wholly at most, others of one size lack a shingle at least
-        bound = np.where(fine[y] == fine[x], sizes[x], np.minimum(sizes[y], sizes[x]) - (sizes[y] == sizes[x])).sum(1)
-        group = int(np.flatnonzero(digests[x] == key[0])[0])
-        good = rule.linked(bound, n[x], n[y]) & (same.argmax(1) == group)
-        out_a.append(np.full(int(good.sum()), sid[x]))
-        out_b.append(sid[y[good]])
-    a, b = np.concatenate(out_a or [np.zeros(0, np.int64)]), np.concatenate(out_b or [np.zeros(0, np.int64)])
-    if len(a):
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-
-def _rest(docs: DataFrame, groups: DataFrame, components: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
+    widths = np.array([len(h[4]) for h in held])
+    maps = {w: np.stack([h[4] for h in held if len(h[4]) == w]) for w in np.unique(widths).tolist()}
+    place = np.zeros(len(held), np.int64)  # of a row among those of its width
+    for w in maps:
+        place[widths == w] = np.arange(len(maps[w]))
+    out = []
+    for x in np.flatnonzero(own == i).tolist():
+        may = (own == j) & (component != component[x]) & (rule.over * np.minimum(n, n[x]) >= rule.share * np.maximum(n, n[x]))
+        if i == j:
+            may &= sid > sid[x]
+        for w in maps:
+            y = np.flatnonzero(may & (widths == w))
+            if len(y):
+                for z in y[rule.linked(_bound(held[x][4], n[x], maps[w][place[y]], n[y]), n[x], n[y])].tolist():
+                    if np.intersect1d(held[x][5], held[z][5], assume_unique=True)[0] == group:
+                        out.append((min(sid[x], sid[z]), max(sid[x], sid[z])))
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+
+def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different components that share a group and may be linked."""
     rows = groups.join(components.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", F.coalesce("component", "sid").alias("component"))
     open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("key", F.ceil(F.col("members") / F.lit(rule.block)).cast("int").alias("blocks"))
     rows = kept(rows.join(open_, "key"), "open")
-    signed = signatures(docs, rows.select("sid").distinct(), rule, text, id_column)
-    rows = rows.withColumn("class", F.col("key").bitwiseAND(0xFF).cast("int")).join(signed, ["sid", "class"])
+    keys = rows.groupBy("sid").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # a set has no more of them than segments
+    rows = rows.join(keys, "sid").join(sketches, "sid")
     place = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    rows = rows.select("key", "sid", "n", "component", "digests", "fine", "blocks", place.alias("place"))
+    rows = rows.select("key", "sid", "n", "component", "sketch", "keys", "blocks", place.alias("place"))
     # a block meets itself and every other one: each pair of blocks is a unit of work of two blocks at most
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("key", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "sid", "n", "component", "digests", "fine")
+    rows = rows.select("key", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "sid", "n", "component", "sketch", "keys")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return rows.mapInArrow(lambda it: _rest_pairs(it, rule), "a long, b long").distinct()
 
@@ -359,30 +364,41 @@ def _rest(docs: DataFrame, groups: DataFrame, components: DataFrame, rule: Rule,
 def components(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest id that links lead to, its own included)."""
     own = kept(document_sets(docs, rule, text, id_column), "sets")
-    found = _set_components(docs, rule, text, id_column)
+    found = _set_components(docs, own, rule, text, id_column)
     first = own.where("sid <> 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
     whole = first.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     whole = kept(whole, "components")
     whole = whole.join(whole.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("sid", "component_id")
     # equal sets are as many rows as there are copies of them: the join's skew is Spark's to split
-    out = own.join(whole, "sid", "left")
+    out = own.drop("sketch").join(whole, "sid", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("sid") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), component.cast(docs.schema[id_column].dataType).alias("component_id"))
 
 
-def _set_components(docs: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
+def _set_components(docs: DataFrame, own: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
     """(node, component) of every set that is linked with another one."""
     edge = lambda f: f("sid").over(Window.partitionBy("key"))
     groups = segment_keys(docs, rule, text, id_column).repartition("key").select("key", "sid", edge(F.min).alias("first"), edge(F.max).alias("last")).where("first <> last")
     groups = kept(groups.distinct(), "groups")
     stars = groups.select("sid", F.explode(F.array("first", "last")).alias("hub")).where("sid <> hub").select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
-    tokens = kept(_tokens(docs, groups.select("sid").distinct(), rule, text, id_column), "tokens")
-    links = kept(verified(stars, tokens, rule), "links")
+    sketches = own.where("sid <> 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sketches = kept(sketches.join(groups.select("sid").distinct(), "sid", "left_semi"), "sketches")
+    one, two = (sketches.select(F.col("sid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
+    both = stars.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
+    stars = kept(both.mapInArrow(lambda it: _likely(it, rule), "a long, b long"), "stars")
+    links = kept(_verified(docs, stars, rule, text, id_column), "links")
     found = connected(links)
-    more = kept(verified(kept(_rest(docs, groups, found, rule, text, id_column), "pairs"), tokens, rule), "links")
+    more = kept(_rest(groups, sketches, found, rule), "pairs")
+    more = kept(_verified(docs, more, rule, text, id_column), "links")
     return connected(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
 
+def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
+    """The linked ones of the pairs; only sets of a pair give their shingles."""
+    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+    return verified(pairs, kept(_tokens(docs, wanted, rule, text, id_column), "tokens"), rule)
+
+
 def one_of_each(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The documents without those linked, directly or over others, with one of a smaller id.
 
