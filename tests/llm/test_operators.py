@@ -1,0 +1,367 @@
+"""Each operator against a brute-force version on small inputs that hold the awkward cases."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pytest
+
+from quarrylit.llm import arrowtext as at
+from quarrylit.llm import components, decontaminate, fst, jaccard, langid, packing, quality, repetition, secrets, toxicity, warc
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LONG = "lorem ipsum " * 30_000
+
+
+def frame(spark, texts, **more):
+    rows = pd.DataFrame({"doc_id": range(len(texts)), "text": texts} | more)
+    return spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"{k} string" for k in more)]))
+
+
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+
+
+# ---- 1 ----------------------------------------------------------------------------------------------------
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(text, items, width=13):
+    words = WORD.findall((text or "").translate(LOWER))
+    hit, found = set(), set()
+    for key, item in items:
+        own = WORD.findall((item or "").translate(LOWER))
+        n = min(width, len(own))
+        for i in range(len(own) - n + 1 if n else 0):
+            for k in range(len(words) - n + 1):
+                if words[k : k + n] == own[i : i + n]:
+                    hit.update(range(k, k + n))
+                    found.add(str(key))
+    return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_decontamination(spark, block_bytes):
+    rng = random.Random(4)
+    items = [(i, " ".join(rng.choice("abcde") for _ in range(rng.choice([2, 5, 13, 15])))) for i in range(6)] + [(10, None), (11, ""), (2, "é É7 z")]
+    texts = [None, "", "...", *(" ".join(rng.choice("abcdeABC") for _ in range(rng.randint(1, 60))) for _ in range(80)), "x É7, é É7. Z"]
+    texts += [items[0][1].upper() + "! tail " + "q " * 500, items[0][1], items[0][1]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.scan(frame(spark, texts), bench, block_bytes=block_bytes).toPandas().set_index("doc_id")
+    for i, t in enumerate(texts):
+        assert tuple(got.loc[i, ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]]) == contamination(t, items), (i, t)
+    docs = frame(spark, texts, n_words=["7"] * len(texts))  # a clashing name passes through
+    left = decontaminate.remove(docs, bench, block_bytes=block_bytes)
+    assert left.columns == docs.columns
+    assert set(left.toPandas().doc_id) == {i for i, t in enumerate(texts) if not contamination(t, items)[4]}
+    whole = decontaminate.remove(docs, bench, what="spans", block_bytes=block_bytes).toPandas().set_index("doc_id").text
+    assert len(whole) == len(texts) and whole[len(texts) - 1].strip() == ""
+    assert decontaminate.scan(empty(spark), bench).count() == 0
+    assert decontaminate.scan(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+# ---- 2 ----------------------------------------------------------------------------------------------------
+
+
+def test_warc_round_trip(spark, tmp_path):
+    rng = random.Random(2)
+    pages = [(i, f"http://a/{i}?q=é \r\nx", rng.choice(["", "same", "é" * 10, f"WARC/1.1\r\n\r\n{i}", LONG + str(i % 2)])) for i in range(40)] + [(90, None, None), (None, "u", "only"), (91, "u", "same")]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    manifest = warc.write(table, f"file://{tmp_path}/w", archive_bytes=2000, chunk_bytes=1000)
+    chunks = warc.read(manifest, chunk_bytes=777)
+    got = warc.records(chunks).toPandas()
+    assert got.digest_matches.all() and len(got) == len(pages)
+    bodies = {r.record_id: "" for r in got.itertuples()}
+    for r in chunks.orderBy("record_id", "chunk_no").toPandas().itertuples():
+        bodies[r.record_id] += bytes(r.data).hex()
+        assert len(r.data) <= 777
+    groups = collections.defaultdict(list)
+    for i, _, html in pages:
+        groups[html or ""].append(i)
+    for r in got.itertuples():
+        key = None if r.record_id is None else int(r.record_id)
+        html = next(h or "" for i, _, h in pages if i == key)
+        first = max((i for i in groups[html] if i is not None), default=None)
+        raw = html.encode()
+        import base64
+
+        assert r.payload_bytes == len(raw) and r.payload_digest == base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        assert r.record_type == ("response" if key == first else "revisit")
+        assert (r.refers_to is None) == (key == first) and (key == first or int(r.refers_to) == first)
+        assert bytes.fromhex(bodies[r.record_id]) == (raw if key == first else b"")
+    assert warc.read(warc.write(table.limit(0), f"file://{tmp_path}/e")).count() == 0
+
+
+# ---- 3 ----------------------------------------------------------------------------------------------------
+
+
+def strong(t):
+    out = []
+    for rank, (kind, pattern, group, least) in enumerate((("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8), ("access", r"AKIA[A-Z0-9]+", 0, 16), ("hex", r"[0-9a-f]+", 0, 32))):
+        out += [(m.start(), rank, m.end(), kind) for m in re.finditer(pattern, t or "", re.A) if len(m.group(group)) >= least]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(out))
+
+
+def test_secrets(spark):
+    rng = random.Random(3)
+    parts = ["token", "secret", "PassWord", "api_key", "=", ":", " ", '"', "abcdefgh", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "é", "😀", "\n", "user", "."]
+    texts = [None, "", "token=abcdefgh", "user: bob pass: s3cr3t host: db.example.com", "user: bob", "user=bob12" + " " * 300 + "pass=abcd1", "token=abcdefgh " * 700]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    docs = frame(spark, texts, spans=["x"] * len(texts))
+    got = secrets.scan(docs.unionByName(docs)).toPandas().drop_duplicates().set_index("doc_id")
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        base = strong(t)
+        assert got.base_sha256[i] == hashlib.sha256(base.encode()).hexdigest(), t
+        assert set(base.split(",")) - {""} <= set(got.spans[i].split(","))
+    assert got.spans[3] == "login:0:9,pass:10:22,endpoint:23:43" and got.spans[4] == "" and got.spans[5] == ""
+    clean = secrets.redact(docs).toPandas().set_index("doc_id")
+    assert clean.text[0] is None and clean.text[2] == "[REDACTED]" and clean.text[3] == "[REDACTED] [REDACTED] [REDACTED]" and clean.text[4] == "user: bob"
+    assert not any(strong(t) and "abcdefgh" in t and strong(t).startswith("assign") and "token=abcdefgh" in t for t in clean.text if t)
+    assert list(clean.columns) == ["text", "spans"] and secrets.scan(empty(spark)).count() == 0
+
+
+# ---- 4 ----------------------------------------------------------------------------------------------------
+
+
+def sets(text, width):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return frozenset(zip(*(w[i:] for i in range(width)), strict=False)) if len(w) >= width else frozenset([tuple(w)] if w else [])
+
+
+def brute_components(texts, width, share):
+    s = [sets(t, width) for t in texts]
+    parent = list(range(len(s)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(s)):
+        for j in range(i):
+            both = len(s[i] & s[j])
+            if s[i] and s[j] and 100 * both >= share * (len(s[i]) + len(s[j]) - both):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(s))], [len(x) for x in s]
+
+
+@pytest.mark.parametrize(("width", "share"), [(3, 90), (5, 80)])
+def test_jaccard_join(spark, width, share):
+    rng = random.Random(width)
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [[rng.choice(vocabulary) for _ in range(n)] for n in (12, 60, 150, 150)]
+    texts = [None, "", " \n", "one", "one two", "One two"]
+    for b in base:
+        for _ in range(60):
+            own = list(b)
+            for _ in range(rng.randint(0, 4)):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            texts.append(" ".join(own[: len(own) - rng.randint(0, 3)]))
+    texts += [" ".join(base[1])] * 40
+    rule = jaccard.Rule(width=width, share=share, block=16)  # small blocks, so that groups span several
+    got = jaccard.components(frame(spark, texts, n=["x"] * len(texts)), rule).toPandas().set_index("doc_id").sort_index()
+    want, sizes = brute_components(texts, width, share)
+    assert got.n_shingles.tolist() == sizes
+    assert got.component_id.tolist() == want
+    left = jaccard.one_of_each(frame(spark, texts, component_id=["x"] * len(texts)), rule)
+    assert left.columns == ["doc_id", "text", "component_id"] and sorted(r[0] for r in left.select("doc_id").collect()) == sorted(set(want))
+
+
+def test_jaccard_awkward_rows(spark):
+    assert jaccard.components(empty(spark)).count() == 0
+    rows = [(None, "a b c d e"), (3, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (5, None)]
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert sorted(got.component_id.dropna().tolist()) == [1, 1, 1, 5] and got.component_id.isna().sum() == 1
+
+
+def test_connected(spark):
+    chain = [(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)]
+    got = {r.node: r.component for r in components.connected(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(31)} | {100: 100, 101: 100}
+
+
+# ---- 5, 6, 7 ----------------------------------------------------------------------------------------------
+
+
+def test_quality_learns_shape(spark):
+    rng = random.Random(5)
+    good = [" ".join(rng.choice(["the", "river", "was", "long", "and", "cold"]) for _ in range(30)) + "." for _ in range(120)]
+    bad = [" ".join(rng.choice(["the###", "RIVER!!", "a$$$", "x|"]) for _ in range(30)) for _ in range(120)]
+    docs = frame(spark, [*good, *bad, None, ""])
+    labels = spark.createDataFrame([(i, int(i < 120), 0) for i in range(240)], "doc_id long, quality int, toxic int")
+    got = quality.score(docs, quality.fit(docs, labels)).toPandas().set_index("doc_id").sort_index()
+    held = [i for i in range(240) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert got.held_out[:240].sum() == len(held) and got.held_out[held].all()
+    assert np.mean([got.predicted[i] == int(i < 120) for i in held]) > 0.9
+    assert got.score.between(0, 1).all()
+    none = quality.score(docs, quality.fit(docs, labels.limit(0))).toPandas()
+    assert (none.score - 0.5).abs().max() < 1e-6
+    assert quality.score(empty(spark), quality.fit(empty(spark), labels)).count() == 0
+
+
+def test_language(spark):
+    rng = random.Random(6)
+    words = {"en": ["the", "with", "that", "which"], "de": ["und", "nicht", "ungeheuer", "schule"], "fr": ["être", "beaucoup", "où", "voilà"]}
+    texts, langs = [], []
+    for lang, w in words.items():
+        for _ in range(60):
+            texts.append(" ".join(rng.choice(w) for _ in range(rng.randint(5, 30))))
+            langs.append(lang)
+    texts += [None, "", "123 ...", "漢字"]
+    docs = frame(spark, texts, lang=[*langs, None, None, "en", None])
+    got = langid.predict(docs, langid.fit(docs)).toPandas().set_index("doc_id").sort_index()
+    held = [i for i in range(180) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([got.lang_pred[i] == langs[i] for i in held]) > 0.95
+    assert got.lang_pred[180:183].tolist() == ["und"] * 3 and got.lang_pred[183] in words
+    assert got.score.between(0, 1).all()
+    assert set(langid.predict(docs, langid.fit(docs.where("lang is null"))).toPandas().lang_pred) == {"und"}
+    assert langid.fit(empty(spark)) is None
+
+
+def test_toxicity_learns_a_pair(spark):
+    """Neither term is toxic by itself; both together are."""
+    rng = random.Random(7)
+    texts, y = [], []
+    for i in range(900):
+        has = (i % 3 == 0, i % 2 == 0)
+        words = [f"filler{rng.randrange(50)}" for _ in range(10)] + ["grumble"] * has[0] + ["villagers"] * has[1]
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        y.append(int(all(has)))
+    texts += [None, ""]
+    owner, term = toxicity.terms(at.Texts.of(pa.array(texts[:600])))
+    machine = toxicity.fit_terms(np.array(y[:600], float), [term[owner == i] for i in range(600)], np.ones(600))
+    score = machine.score(at.Texts.of(pa.array(texts)))
+    assert np.mean((score[600:900] >= 0.5) == np.array(y[600:])) > 0.97
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, 1, y[i]) for i in range(900)], "doc_id long, quality int, toxic int")
+    got = toxicity.score(docs, toxicity.fit(docs, labels)).toPandas().set_index("doc_id").sort_index()
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert got.held_out[held].all() and got.held_out.sum() >= len(held) and np.mean([(got.score[i] >= 0.5) == y[i] for i in held]) > 0.95
+    assert toxicity.score(empty(spark), toxicity.fit(docs, labels.limit(0))).count() == 0
+
+
+# ---- 8 ----------------------------------------------------------------------------------------------------
+
+
+def repetition_of(text, limits):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, length = len(w), [0] * len(w)
+    at_ = collections.defaultdict(list)
+    for i in range(n - limits.min_repeat + 1):
+        at_[tuple(w[i : i + limits.min_repeat])].append(i)
+    for places in at_.values():
+        for x in places:
+            for y in places:
+                k = 0
+                while x != y and max(x, y) + k < n and w[x + k] == w[y + k]:
+                    k += 1
+                length[x] = max(length[x], k)
+    windows = collections.Counter(tuple(w[i : i + 8]) for i in range(n - 7))
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return {
+        "n_words": n, "word_chars": sum(map(len, w)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text or "")), "n_dup_lines": dup,
+        "n_repeat_words": len({j for i in range(n - 7) if windows[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}),
+        "n_covered_words": len({j for i in range(n) for j in range(i, i + length[i])}), "longest_repeat": max(length, default=0),
+    }
+
+
+def test_repetition(spark):
+    rng = random.Random(1)
+    texts = [None, "", "  ", "a", "é " * 12, "x\ny\nx\n\n x\nx", "\x00 a\x00b \x00 a\x00b", "same " * 3000]
+    texts += ["".join(rng.choice(["a", "b", "cé", " ", " ", "\n", "# "]) for _ in range(rng.randint(0, 200))) for _ in range(150)]
+    limits = repetition.Limits()
+    got = repetition.score(frame(spark, texts, kept=["x"] * len(texts))).toPandas().set_index("doc_id")
+    for i, t in enumerate(texts):
+        if t and len(t) > 5000:
+            assert got.longest_repeat[i] == 2999 and got.n_repeat_words[i] == 3000
+            continue
+        want = repetition_of(t, limits)
+        assert {k: int(got[k][i]) for k in want} == want, t
+        assert got.base_failed[i] == (want["n_words"] < 20 or 100 * want["n_repeat_words"] > 30 * want["n_words"])
+        assert not (got.base_failed[i] and got.kept[i])
+    docs = frame(spark, texts, kept=["x"] * len(texts))
+    assert set(repetition.keep(docs).toPandas().doc_id) == set(got.index[got.kept])
+    assert repetition.keep(empty(spark)).count() == 0
+    assert repetition.spans("a b c d x a b c d") == [(0, 4), (5, 9)]
+
+
+# ---- 9 ----------------------------------------------------------------------------------------------------
+
+
+def test_packing(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(9)
+    symbols = ["'", "s", "re", " ", "  ", "\n", "aZ", "9", "!", "É", "ß", "×", "漢", "😀", "<|endoftext|>", "\x00", "\x1c", "́", "Σ", "hello"]
+    texts = [None, "", *("".join(rng.choice(symbols) for _ in range(rng.randint(0, 300))) for _ in range(200)), LONG]
+    source = [rng.choice(["a", "a", "b", None, "c"]) for _ in texts]
+    ids = [np.array(e.ids + [2], "<u4") for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    got = packing.pack(frame(spark, texts, source=source), path, window=512).toPandas()
+    for i, own in got.groupby("doc_id"):
+        at_ = 0
+        for p in own.sort_values("start").itertuples():
+            assert p.start == at_ and p.doc_tokens == len(ids[i]) and p.ids_crc32 == zlib.crc32(ids[i][at_ : at_ + p.length].tobytes())
+            at_ += p.length
+        assert at_ == len(ids[i])
+    short = 0
+    for _, own in got.groupby("sequence_id"):
+        at_ = 0
+        for p in own.sort_values("offset").itertuples():
+            assert p.offset == at_
+            at_ += p.length
+        short += at_ < 512
+        assert at_ <= 512
+    assert got.doc_id.nunique() == len(texts) and short <= 1
+    assert packing.pack(empty(spark), path).count() == 0
+    many = packing.pack(frame(spark, [f"t{i}" for i in range(90)], source=[f"s{i}" for i in range(90)]), path)  # more sources than queues
+    assert many.count() >= 90
+
+
+@pytest.mark.parametrize("weights", [None, [1.0, 5.0, 1.0, 1.0]])
+def test_schedule_serves_all(weights):
+    tokens = [90_000, 10, 0, 33_333]
+    plan = packing.schedule(tokens, weights)
+    assert sum(s.serve.sum(0) * s.times for s in plan).tolist() == tokens
+    sizes = [row.sum() for s in plan for _ in range(s.times) for row in s.serve]
+    assert all(x == 4096 for x in sizes[:-1]) and sizes[-1] <= 4096
+
+
+# ---- 10 ---------------------------------------------------------------------------------------------------
+
+
+def test_token_counts(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(10)
+    symbols = ["'", "s", "t", "r", "e", "v", "l", " ", "  ", "\n", "\t", "a", "Z", "9", "!", "é", "\xa0", "漢", "😀", "<|endoftext|>", "ing", "the", "　"]
+    texts = [None, "", " ", "a ", "don't we're I'll 's '' 'sa", "<|endoftext|>", LONG, " " * 1000]
+    texts += ["".join(rng.choice(symbols) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    got = fst.counts(frame(spark, texts, n_tokens=["x"] * len(texts)), path).toPandas().set_index("doc_id").sort_index()
+    want = [len(e.ids) for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert got.n_tokens.tolist() == want and got.n_bytes.tolist() == [len((t or "").encode()) for t in texts]
+    assert got.over_limit.tolist() == [n > 512 for n in want] and fst.counts(empty(spark), path).count() == 0
+
+
+def test_scan_composes_maps():
+    rng = np.random.default_rng(1)
+    maps = rng.integers(0, 8, (8, 37)).astype(np.uint8)
+    got, now = fst.scan(maps), np.arange(8)
+    for i in range(37):
+        now = maps[now, i]
+        assert (got[:, i] == now).all()
