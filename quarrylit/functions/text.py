@@ -172,7 +172,7 @@ def signals(c: Column, words: list[str]) -> Column:
 
 def abstract(c: Column, longest: int = 2500) -> Column:
     """From an `Abstract` heading to the introduction, keywords or the end."""
-    return F.substring(F.trim(F.regexp_extract(c, r"(?dis)\babstract\b[\s:.\-]*(.*?)(?=\b(?:keywords?|introduction|1\.\s+introduction)\b|\z)", 1)), 1, longest)
+    return F.substring(F.regexp_replace(F.regexp_extract(c, r"(?dis)\babstract\b[\s:.\-]*(.*?)(?=\b(?:keywords?|introduction|1\.\s+introduction)\b|\z)", 1), r"^\s+|\s+$", ""), 1, longest)
 
 
 def references(c: Column, longest: int = 8000) -> Column:

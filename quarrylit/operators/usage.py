@@ -45,16 +45,17 @@ def summed(c: Column) -> Column:
     return F.sum(F.round(c * 1e6).cast("long")) / 1e6
 
 
-_SUMS = (F.count("*").alias("requests"), F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"), summed(F.col("cost_usd")).alias("cost_usd"), F.round(F.sum("wall_seconds"), 3).alias("wall_seconds"))
+def _sums() -> tuple[Column, ...]:
+    return (F.count("*").alias("requests"), F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"), summed(F.col("cost_usd")).alias("cost_usd"), F.round(F.sum("wall_seconds"), 3).alias("wall_seconds"))
 
 
 def by_phase(calls: DataFrame) -> DataFrame:
-    return calls.groupBy("phase").agg(*_SUMS)
+    return calls.groupBy("phase").agg(*_sums())
 
 
 def with_total(calls: DataFrame) -> DataFrame:
     """Per phase and, with the phase `TOTAL`, over all of them: one shuffle."""
-    return calls.rollup("phase").agg(*_SUMS, F.grouping("phase").alias("g")).select(F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("phase")).alias("phase"), "requests", "input_tokens", "output_tokens", "cost_usd", "wall_seconds")
+    return calls.rollup("phase").agg(*_sums(), F.grouping("phase").alias("g")).select(F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("phase")).alias("phase"), "requests", "input_tokens", "output_tokens", "cost_usd", "wall_seconds")
 
 
 def by_document(calls: DataFrame) -> DataFrame:

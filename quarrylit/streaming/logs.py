@@ -31,6 +31,6 @@ def tail(spark: SparkSession, folder: str) -> DataFrame:
 def watch(stream: DataFrame, name: str, path: str):
     """Starts a query that keeps each phase's last status in a table in memory; stop it by the returned handle.
 
-    A line's phase is the word before its first colon; later arrival wins."""
-    rows = stream.select(F.regexp_extract("message", r"^([A-Za-z0-9_ ]+):", 1).alias("phase"), F.regexp_extract("message", r":\s*(\w+)", 1).alias("status"), F.struct("clock", F.monotonically_increasing_id().alias("n")).alias("at")).where("phase <> ''")
+    A line's phase is the word before its first colon; the latest clock wins."""
+    rows = stream.select(F.regexp_extract("message", r"^([A-Za-z0-9_ ]+):", 1).alias("phase"), F.regexp_extract("message", r":\s*(\w+)", 1).alias("status"), F.col("clock").alias("at")).where("phase <> ''")
     return rows.groupBy("phase").agg(F.max_by("status", "at").alias("status")).writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", path).start()
