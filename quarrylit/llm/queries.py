@@ -66,5 +66,47 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+#: Windows are joined on their words; hit words are counted once each.
+_OP1 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '{_ALNUM}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '{_ALNUM}') AS w FROM benchmark),
+bw AS (SELECT item_id, least(13, len(w)) AS n, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS x FROM bw),
+widths AS (SELECT DISTINCT n FROM windows),
+dw AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, widths WHERE len(w) >= n),
+hits AS (SELECT doc_id, item_id, h.n AS n, i FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS x FROM dw) h JOIN windows v ON h.n = v.n AND h.x = v.x),
+spread AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ks FROM (SELECT DISTINCT doc_id, cast(item_id AS VARCHAR) AS k FROM hits) GROUP BY doc_id)
+SELECT d.doc_id AS doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ks, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN spread s ON d.doc_id = s.doc_id LEFT JOIN items t ON d.doc_id = t.doc_id"""
+
+#: Five bits of the digest at a time: from two hexadecimal digits each.
+_OP2 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS m FROM p)
+SELECT page_id, cast(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((((strpos('0123456789abcdef', x[5 * i // 4 + 1]) - 1) * 16 + strpos('0123456789abcdef', x[5 * i // 4 + 2]) - 1) >> (3 - 5 * i % 4)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to
+FROM d"""
+
+#: Links by shared shingles, then what they reach.
+_OP4 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '{_SPACED}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS x
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 90 * (x.n + y.n - o)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id AS doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) m ON d.doc_id = m.a"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The operators that SQL can express as a whole; the others are tested against brute force."""
+    return {"op1_decontaminate": _OP1, "op2_warc": _OP2, "op4_jaccard_join": _OP4}

@@ -365,3 +365,27 @@ def test_scan_composes_maps():
     for i in range(37):
         now = maps[now, i]
         assert (got[:, i] == now).all()
+
+
+# ---- the queries that SQL can express ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["op1_decontaminate", "op2_warc", "op4_jaccard_join"])
+def test_oracles(spark, name):
+    from pathlib import Path
+
+    from quarrylit.llm import queries
+
+    duckdb = pytest.importorskip("duckdb")
+    data = Path("/root/testdata/sf0.001")
+    if not data.exists():
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    for f in data.glob("*.parquet"):
+        con.execute(f"create view {f.stem} as select * from '{f}'")
+    got = queries.queries()[name](spark, str(data))
+    cursor = con.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in cursor.description]
+    assert sorted(names) == sorted(got.columns)
+    order = sorted(names)
+    assert sorted((tuple(r[c] for c in order) for r in got.collect()), key=repr) == sorted((tuple(r[names.index(c)] for c in order) for r in cursor.fetchall()), key=repr)
