@@ -8,13 +8,20 @@ need certainty verify equal hashes against the bytes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Text bytes that a kernel handles at once; a longer text makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):  # another C library: nothing to ask
+    _LIBC = None
 
 _RNG = np.random.default_rng(20240229)
 _BYTE_CODE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,12 +79,14 @@ class Texts:
 
     @classmethod
     def of(cls, column: pa.Array) -> Texts:
-        column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
+        if not pa.types.is_string(column.type):
+            column = column.cast(pa.large_string())
         null = np.asarray(column.is_null())
         if null.any():
             column = column.fill_null("")
         _, offs, data = column.buffers()
-        offsets = np.frombuffer(offs, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+        kind = np.int32 if pa.types.is_string(column.type) else np.int64
+        offsets = np.frombuffer(offs, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
         data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
         return cls(data[offsets[0] : offsets[-1]], offsets - offsets[0], null)
 
@@ -161,6 +170,13 @@ def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray
     return np.cumsum(turn[:-1]) > 0
 
 
+def _return_memory() -> None:
+    """Gives freed memory back to the system: workers live on, and an executor has several beside its heap."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """The batch in runs of rows whose texts have about `limit` bytes at most."""
     texts = Texts.of(batch.column(batch.schema.get_field_index(column)))
@@ -170,3 +186,5 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         offs = texts.offsets[at : to + 1]
         yield batch.slice(at, to - at), Texts(texts.data[offs[0] : offs[-1]], offs - offs[0], texts.null[at:to])
         at = to
+    del texts
+    _return_memory()

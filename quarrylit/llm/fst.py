@@ -344,7 +344,7 @@ def counter(path: str) -> Counter:
 class Memo:
     """Counts of pre-tokens seen before in this worker, by 64-bit hash; bounded, and only a matter of speed."""
 
-    MOST = 1_500_000
+    MOST = 1_000_000
 
     def __init__(self):
         self.hash, self.value = np.zeros(0, np.uint64), np.zeros(0, np.int32)

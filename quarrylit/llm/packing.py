@@ -52,7 +52,7 @@ class Encoder:
     Pieces of ASCII and Latin-1 letters go straight to its BPE model; others to the whole tokenizer.
     At most MOST pieces are remembered; that bounds memory and changes no result."""
 
-    MOST = 1_200_000
+    MOST = 600_000
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     #: Fixed: how the tokenizer file splits a lower-cased piece, for the characters of _PLAIN.
     _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
