@@ -1,8 +1,8 @@
 """Secret scans with multipart credential linking, in DataFrame expressions only.
 
 Strong findings (assignments, access keys, long hexadecimal strings) stand by themselves.
-Weak candidates (user names or account ids, short secrets, endpoints) are reported only
-where complementary parts meet: an access identifier opens a scope of ``scope`` code
+Weak candidates (user names or account ids, short secrets, endpoints, long mixed strings
+without a key word) are reported only where complementary parts meet: an access identifier opens a scope of ``scope`` code
 points on either side, and an interval join brings to it the secrets and endpoints that
 begin inside.  A weak identifier or secret needs the other part in the scope; an endpoint
 needs both.
@@ -30,11 +30,16 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 0, 16),
     "hex": (r"[0-9a-f]{32,}", 0, 32),
 }
-#: Weak kinds: pattern and role.
+#: Where a key word begins: after no letter or digit (so after the _ of DB_USER), or at a capital inside a name (dbUser, DBUser).
+_NAME = "(?:(?<![A-Za-z0-9])|(?<=[a-z0-9])(?=[A-Z])|(?=[A-Z][a-z]))"
+_RUN = "A-Za-z0-9+/_-"
+#: Weak kinds: pattern and role.  A span begins at the key word, as those of assign do, not at the name's earlier parts.
 WEAK = {
-    "login": (r"""\b(?i:user_?name|user_?id|user|login|account_?id|account|client_?id|access_?key_?id|access_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}""", "id"),
-    "pass": (r"""\b(?i:pwd|pass|passphrase|credential|secret_?key|auth_?key|private_?key|access_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=!@#%-]{4,}""", "secret"),
-    "endpoint": (r"""\b(?i:(?:https?|ftp|ssh|jdbc:[a-z]+|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+|(?:host|hostname|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,})""", "endpoint"),
+    "login": (_NAME + r"""(?i:(?:pg)?user_?name|user_?id|(?:pg)?user|login|account_?id|account_?name|account|client_?id|access_?key_?id|access_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}""", "id"),
+    "pass": (_NAME + r"""(?i:pwd|pass|passphrase|password|passwd|secret|token|api_?key|credential|secret_?key|secret_?access_?key|auth_?key|private_?key|access_?key|account_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=!@#%-]{4,}""", "secret"),
+    "endpoint": (_NAME + r"""(?i:(?:https?|ftp|ssh|jdbc:[a-z]+|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+|(?:(?:pg)?host|host_?name|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,})""", "endpoint"),
+    # no key word: a run of 32 characters or more with a small letter, a capital and a digit
+    "bare": (rf"(?<![A-Za-z0-9+/])(?!//)(?=[{_RUN}]{{32}})(?=[A-Z0-9+/_-]*[a-z])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Za-z+/_-]*[0-9])[{_RUN}]+={{0,2}}", "secret"),
 }
 ROLE = {"assign": "secret", "access": "id", "hex": "secret"} | {k: role for k, (_, role) in WEAK.items()}
 ORDER = {k: i for i, k in enumerate([*BASE, *WEAK])}
@@ -84,8 +89,11 @@ def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
 
 
 def _weak(base: Column, found: Column) -> Column:
-    """Weak spans that don't touch a strong one."""
-    return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    """Weak spans that don't overlap a strong one; bare ones overlap no other weak one either."""
+    over = lambda s, b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+    own = F.filter(found, lambda s: ~F.exists(base, lambda b: over(s, b)))
+    named = F.filter(found, lambda s: s["kind"] != "bare")
+    return F.filter(own, lambda s: (s["kind"] != "bare") | ~F.exists(named, lambda b: over(s, b)))
 
 
 _KEY = ["__id", "__hash", "__length"]
@@ -99,7 +107,7 @@ def _spans(docs: DataFrame, text: str, id_column: str) -> DataFrame:
     rows = rows.select(
         *_KEY,
         F.concat(*(_found(F.col("__text"), k, p, g, least) for k, (p, g, least) in BASE.items())).alias("base"),
-        F.when(F.col("__text").rlike("[:=]"), F.concat(*(_found(F.col("__text"), k, p, 0, 1) for k, (p, _) in WEAK.items()))).otherwise(none).alias("maybe"),
+        F.when(F.col("__text").rlike("[:=]|AKIA"), F.concat(*(_found(F.col("__text"), k, p, 0, 1) for k, (p, _) in WEAK.items()))).otherwise(none).alias("maybe"),
     )
     return rows.select(*_KEY, "base", _weak(F.col("base"), F.col("maybe")).alias("weak"))
 
