@@ -4,7 +4,8 @@ For all texts of a slice at once, the suffixes that share their first ``min_repe
 with another suffix of the same text are sorted by prefix doubling.  Neighbours in that
 order give longest common prefixes, whose intervals are the maximal repeated substrings;
 the spans of their occurrences are united.  A text fails when the united spans hold too
-large a share of its words, or when one repeat is too long.
+large a share of its words, or when one repeat is too long: longer than a number of words,
+as any share of the text that the base rule doesn't reach grows with the text.
 
 Row by row, no shuffle; memory follows the slice (about 100 bytes a word).
 
@@ -35,7 +36,6 @@ class Limits:
     min_repeat: int = 4
     covered_percent: int = 40
     longest_words: int = 60
-    longest_percent: int = 25
 
 
 def repeats(words: at.Words, least: int) -> np.ndarray:
@@ -142,7 +142,7 @@ def measure(texts: at.Texts, limits: Limits) -> dict[str, np.ndarray]:
         "longest_repeat": longest,
     }
     out["base_failed"] = (n < limits.min_words) | (100 * out["n_repeat_words"] > limits.window_percent * n)
-    out["kept"] = ~out["base_failed"] & (100 * out["n_covered_words"] <= limits.covered_percent * n) & ~((longest > limits.longest_words) & (100 * longest > limits.longest_percent * n))
+    out["kept"] = ~out["base_failed"] & (100 * out["n_covered_words"] <= limits.covered_percent * n) & (longest <= limits.longest_words)
     return out
 
 

@@ -324,6 +324,18 @@ def test_repetition(spark):
     assert repetition.spans("a b c d x a b c d") == [(0, 4), (5, 9)]
 
 
+def test_repetition_limits_bind():
+    """Each limit of the suffix array rejects a text that nothing else does."""
+    w = [f"w{i}" for i in range(7000)]
+    texts = [" ".join(w[:6000] + w[2000:3000]), " ".join(w[:2000] + w[:61]), " ".join(w[:2000] + w[:60]), " ".join(f"a b c d e {x}" for x in w[:50]), " ".join(w)]
+    limits = repetition.Limits()
+    got = repetition.measure(at.Texts.of(pa.array(texts, pa.large_string())), limits)
+    assert not got["base_failed"].any()
+    assert got["kept"].tolist() == [False, False, True, False, True]
+    assert got["longest_repeat"].tolist() == [1000, 61, 60, 5, 0]
+    assert (100 * got["n_covered_words"] > limits.covered_percent * got["n_words"]).tolist() == [False, False, False, True, False]
+
+
 # ---- 9 ----------------------------------------------------------------------------------------------------
 
 
