@@ -12,12 +12,17 @@
    thus carry over windows and partitions without a sequential pass.
 4. A queue that runs out leaves its share to the rest.  Only the last window can be short.
 
-Memory: a schedule has at most MAX_QUEUES queues; with more sources than that, sources share
-queues by hash.  A source with a third of all rows is one queue, read by as many tasks as its
-rows have.
+Memory: a schedule on the driver has at most MAX_QUEUES queues.  With more sources than that
+every source still is a queue of its own, and the schedule is a table: queues are cut into
+quanta of their share of a window, and quanta are served in the order of the share of the
+source's credit that they use up (stride scheduling), so a queue that runs out leaves its
+share to the rest there too.  A source whose share is less than a MAX_QUEUES-th of a window is
+served that many tokens at a time, not in every window, and is never further from its target
+than about that many.  A source with a third of all rows is one queue, read by as many tasks
+as its rows have.
 
 Defined cases: a null or empty text is just the end token; a null source is a queue of its
-own; documents that repeat are packed each for itself; no documents give no pieces.
+own, which targets name None; documents that repeat are packed each for itself; no documents give no pieces.
 """
 
 from __future__ import annotations
@@ -276,15 +281,106 @@ def _pieces(batches: Iterator[pa.RecordBatch], plan, wide: int, id_column: str)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows[of])), *(pa.array(x.astype(np.int64)) for x in (start, length, crc, size[of], window[w], offset[w] + at0 - token[w]))], names=[id_column, *_PIECES])
 
 
-def pack(docs: DataFrame, path: str, *, targets: dict[str, float] | None = None, window: int = WINDOW, end_id: int = END_ID, text: str = "text", id_column: str = "doc_id", source: str = "source") -> DataFrame:
+def _crcs(batches: Iterator[pa.RecordBatch], wide: int, id_column: str) -> Iterator[pa.RecordBatch]:
+    """(id, n, ids, cuts) -> pieces; cuts that follow each other in a window are one piece."""
+    for batch in batches:
+        row, out = [], []
+        for i, (n, own) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+            held, made = np.frombuffer(batch.column(2)[i].as_buffer(), f"<u{wide}").astype("<u4"), []
+            for c in own:
+                start, length, window, offset = c["start"], c["length"], c["window"], c["offset"]
+                if made and made[-1][2] == window and made[-1][3] + made[-1][1] == offset:
+                    made[-1][1] += length
+                else:
+                    made.append([start, length, window, offset])
+            row += [i] * len(made)
+            out += [(s, k, zlib.crc32(held[s : s + k]), n, w, o) for s, k, w, o in made]
+        columns = np.array(out, np.int64).reshape(-1, len(_PIECES)).T
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *(pa.array(x) for x in columns)], names=[id_column, *_PIECES])
+
+
+def _named(key: str | None) -> str:
+    return "null" if key is None else f"s:{key}"
+
+
+def _quanta(parts: DataFrame, targets: dict[str | None, float] | None, window: int) -> DataFrame:
+    """(queue, k, size, pos): the quanta of all queues, of `size` tokens each (a queue's last may be shorter), and where
+    they begin in the whole service."""
+    spark = parts.sparkSession
+    totals = parts.groupBy("queue").agg(F.sum("n").alias("total"))
+    wanted = spark.createDataFrame([(_named(k), float(v)) for k, v in (targets or {}).items()], "queue string, target double")
+    totals = kept(totals.join(F.broadcast(wanted), "queue", "left"), "totals")
+    target, others = totals.agg(F.sum("target"), F.sum(F.when(F.col("target").isNull(), F.col("total")))).first()
+    weight = F.coalesce(F.col("target"), F.col("total") * F.lit(_rest_share(target or 0.0) / (others or 1)))
+    totals = totals.withColumn("weight", F.greatest(weight, F.lit(1e-12)))
+    every = totals.agg(F.sum("weight")).first()[0]
+    size = F.greatest(F.lit(max(1, window // MAX_QUEUES)), F.floor(F.col("weight") / F.lit(every) * F.lit(window))).cast("long")
+    totals = totals.withColumn("size", size)
+    # quanta that begin in a part of the queue
+    first = F.ceil(F.col("base") / F.col("size")).cast("long")
+    last = F.ceil((F.col("base") + F.col("n")) / F.col("size")).cast("long") - 1
+    own = parts.join(totals, "queue").where(first <= last).select("queue", "total", "weight", "size", F.explode(F.sequence(first, last)).alias("k"))
+    own = own.withColumn("length", F.least("size", F.col("total") - F.col("k") * F.col("size")))
+    # a point of the quantum, the same in all of a queue's, so that small queues don't all come at once
+    phase = F.pmod(F.xxhash64("queue"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    own = own.withColumn("turn", (F.col("k") * F.col("size") + phase * F.col("length")) / F.col("weight"))
+    order = ["turn", "queue", "k"]
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    own = kept(own.select(*order, "size", "length").repartitionByRange(n, *order).withColumn("slice", F.spark_partition_id()), "quanta")
+    slices = own.groupBy("slice").agg(F.sum("length").alias("sum")).collect()  # a row a partition
+    base, upto = [], 0
+    for r in sorted(slices, key=lambda r: r["slice"]):
+        base.append((r["slice"], upto))
+        upto += r["sum"]
+    before = F.coalesce(F.sum("length").over(Window.partitionBy("slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return own.select("*", before.alias("before")).join(F.broadcast(spark.createDataFrame(base, "slice int, first long")), "slice").select("queue", "k", "size", (F.col("first") + F.col("before")).alias("pos"))
+
+
+def _pieces_of_many(encoded: DataFrame, parts: DataFrame, targets: dict[str | None, float] | None, window: int, wide: int, id_column: str, out: T.StructType) -> DataFrame:
+    """The pieces, with the schedule as a table.  A document's key is (queue, part, before): it holds a token at least."""
+    quanta = kept(_quanta(parts, targets, window), "service")
+    sizes = quanta.where("k = 0").select("queue", "size")
+    key = ["queue", "part", "before"]
+    places = encoded.select(*key, "n").join(parts.select("queue", "part", "base"), ["queue", "part"]).join(sizes, "queue")
+    low = F.col("base") + F.col("before")
+    places = places.select(*key, low.alias("low"), (low + F.col("n")).alias("high"), "size").withColumn("k", F.explode(F.sequence(F.floor(F.col("low") / F.col("size")), F.floor((F.col("high") - 1) / F.col("size")))))
+    met = places.join(quanta.select("queue", "k", "pos"), ["queue", "k"])
+    start = F.greatest("low", F.col("k") * F.col("size"))
+    met = met.select(*key, (start - F.col("low")).alias("start"), (F.least("high", (F.col("k") + 1) * F.col("size")) - start).alias("length"), (F.col("pos") + start - F.col("k") * F.col("size")).alias("at"))
+    w = F.lit(window)
+    met = met.withColumn("window", F.explode(F.sequence(F.floor(F.col("at") / w), F.floor((F.col("at") + F.col("length") - 1) / w))))
+    begin = F.greatest("at", F.col("window") * w)
+    cut = F.struct(
+        (F.col("start") + begin - F.col("at")).alias("start"),
+        (F.least(F.col("at") + F.col("length"), (F.col("window") + 1) * w) - begin).alias("length"),
+        F.col("window"),
+        (begin - F.col("window") * w).alias("offset"),
+    )
+    cut_up = met.groupBy(*key).agg(F.array_sort(F.collect_list(cut)).alias("cuts"))
+    return encoded.join(cut_up, key).select("id", "n", "ids", "cuts").mapInArrow(lambda it: _crcs(it, wide, id_column), out)
+
+
+def _rest_share(target: float) -> float:
+    """What targets leave to the sources that have none; where they leave nothing, so little that these follow at the end."""
+    return 1 - target if target < 1 else 1e-6
+
+
+def _weights(totals: list[tuple[str, int]], targets: dict[str | None, float] | None) -> list[float]:
+    """Shares of the queues: those with a target have it, the rest share what is left in proportion to their tokens."""
+    wanted = {_named(k): float(v) for k, v in (targets or {}).items()}
+    others = sum(n for q, n in totals if q not in wanted)
+    rest = _rest_share(sum(wanted[q] for q, _ in totals if q in wanted))
+    return [wanted[q] if q in wanted else (n * rest / others if wanted else float(n)) for q, n in totals]
+
+
+def pack(docs: DataFrame, path: str, *, targets: dict[str | None, float] | None = None, window: int = WINDOW, end_id: int = END_ID, text: str = "text", id_column: str = "doc_id", source: str = "source") -> DataFrame:
     """Per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    targets: the share of each source (others share what they bring); by default every window has the
-    whole input's mixture."""
+    targets: the share of each source (None names the null source; others share what is left in
+    proportion to what they bring); by default every window has the whole input's mixture."""
     spark = docs.sparkSession
     name: Column = F.coalesce(F.concat(F.lit("s:"), F.col(source).cast("string")), F.lit("null"))
-    if docs.select(name.alias("q")).distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        name = F.concat(F.lit("h:"), F.pmod(F.xxhash64(name), F.lit(MAX_QUEUES)).cast("string"))
+    many = docs.select(name.alias("q")).distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES
     id_type = docs.schema[id_column].dataType
     schema = T.StructType([T.StructField("id", id_type)]).add("part", "integer").add("queue", "string").add("before", "long").add("n", "long").add("ids", "binary")
     encoded = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), name.alias("queue")).mapInArrow(lambda it: _encode(it, path, end_id), schema)
@@ -292,15 +388,16 @@ def pack(docs: DataFrame, path: str, *, targets: dict[str, float] | None = None,
     parts = encoded.groupBy("queue", "part").agg(F.sum("n").alias("n"))
     earlier = F.coalesce(F.sum("n").over(Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = kept(parts.select("queue", "part", "n", earlier.alias("base")), "parts")
-    totals = sorted((r["queue"], r["n"]) for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).collect())  # MAX_QUEUES rows at most
-    names = {q: i for i, (q, _) in enumerate(totals)}
-    weights = [float((targets or {}).get(q[2:], n if not targets else 0)) for q, n in totals]
-    plan = spark.sparkContext.broadcast((names, schedule([n for _, n in totals], weights, window=window)))
-    placed = encoded.join(parts.select("queue", "part", "base"), ["queue", "part"]).select("id", "queue", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
     wide = 2 if _vocabulary(path) <= 1 << 16 else 4
     out = T.StructType([T.StructField(id_column, id_type)])
     for c in _PIECES:
         out = out.add(c, "long")
+    if many:
+        return _pieces_of_many(encoded, parts, targets, window, wide, id_column, out)
+    totals = sorted((r["queue"], r["n"]) for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).collect())  # MAX_QUEUES rows at most
+    names = {q: i for i, (q, _) in enumerate(totals)}
+    plan = spark.sparkContext.broadcast((names, schedule([n for _, n in totals], _weights(totals, targets), window=window)))
+    placed = encoded.join(parts.select("queue", "part", "base"), ["queue", "part"]).select("id", "queue", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
     return placed.mapInArrow(lambda it: _pieces(it, plan, wide, id_column), out)
 
 

@@ -369,6 +369,43 @@ def test_packing(spark):
     assert many.count() >= 90
 
 
+def test_packing_holds_shares_of_many_sources(spark, monkeypatch):
+    """A hot source, one with a target, a null one and 90 small ones: shares hold in every window, whatever the number of sources."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    source = ["hot"] * 200 + ["aim"] * 80 + [None] * 40 + [f"s{i}" for i in range(90)]
+    docs = frame(spark, ["cat " * (20 if str(s).startswith("s") else 99) for s in source], source=source)
+    name = pd.Series(source).fillna("none")
+
+    def served(got, window):
+        own = got.sort_values(["sequence_id", "offset"])
+        assert (own.groupby("sequence_id").length.cumsum() - own.length == own.offset).all()
+        whole = own.groupby("sequence_id").length.sum()
+        assert (whole.iloc[:-1] == window).all() and whole.iloc[-1] <= window and whole.index.tolist() == list(range(len(whole)))
+        for _, d in own.sort_values("start").groupby("doc_id"):
+            assert (d.length.cumsum() - d.length == d.start).all() and d.length.sum() == d.doc_tokens.iloc[0]
+        return own.assign(source=own.doc_id.map(name)).pivot_table(index="sequence_id", columns="source", values="length", aggfunc="sum", fill_value=0)
+
+    one = zlib.crc32(np.array(encoded_ids(path, "cat " * 20), "<u4").tobytes())
+    for most in (64, 100):
+        monkeypatch.setattr(packing, "MAX_QUEUES", most)
+        got = packing.pack(docs, path, window=512).toPandas()
+        assert (got[(got.doc_tokens == got.length) & got.doc_id.map(name).str.startswith("s")].ids_crc32 == one).all()
+        table = served(got, 512)
+        share = table.sum() / table.sum().sum()
+        for s in ("hot", "aim", "none"):
+            assert (table[s].iloc[:-1] - 512 * share[s]).abs().max() <= 0.15 * 512, (most, s)
+        table = served(packing.pack(docs, path, targets={"aim": 0.5, None: 0.25}, window=512).toPandas(), 512)
+        first = table.iloc[: int(table["aim"].sum() / 256) - 2]
+        assert len(first) > 10 and abs(first["aim"].mean() - 256) < 16 and abs(first["none"].iloc[:10].mean() - 128) < 16, most
+        assert (first["aim"] > 128).all() and (first["hot"] > 0).all()
+
+
+def encoded_ids(path, text):
+    from tokenizers import Tokenizer
+
+    return [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
+
+
 @pytest.mark.parametrize("weights", [None, [1.0, 5.0, 1.0, 1.0]])
 def test_schedule_serves_all(weights):
     tokens = [90_000, 10, 0, 33_333]
