@@ -389,13 +389,13 @@ def redact_and_classify(spark, sf_dir):
 
 @query("SELECT event_id, 'k' AS path, cast(json_extract_string(props, '$.k') AS VARCHAR) AS value FROM events")
 def json_leaf_walk(spark, sf_dir):
-    return jsons.leaves(_table(spark, sf_dir, "events"), "event_id", "props", depth=2)
+    return jsons.leaves(_table(spark, sf_dir, "events"), "event_id", "props")
 
 
 @query("WITH a AS (SELECT user_id, arg_min(json_extract_string(props, '$.k'), event_id) AS old, arg_max(json_extract_string(props, '$.k'), event_id) AS new FROM events GROUP BY user_id) SELECT user_id, 'k' AS path, old, new, 'changed' AS change FROM a WHERE old IS DISTINCT FROM new")
 def json_diff(spark, sf_dir):
     e = _table(spark, sf_dir, "events").groupBy("user_id").agg(F.min_by("props", "event_id").alias("a"), F.max_by("props", "event_id").alias("b"))
-    return jsons.difference(jsons.leaves(e, "user_id", "a", depth=2), jsons.leaves(e, "user_id", "b", depth=2), "user_id")
+    return jsons.difference(jsons.leaves(e, "user_id", "a"), jsons.leaves(e, "user_id", "b"), "user_id")
 
 
 @query()

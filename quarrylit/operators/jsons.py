@@ -6,23 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def leaves(docs: DataFrame, key: str, json: str, *, depth: int = 8) -> DataFrame:
-    """(key, path, value) of every scalar of a document, to a given depth.
+def leaves(docs: DataFrame, key: str, json: str) -> DataFrame:
+    """(key, path, value) of every scalar of a document, however deep.
 
-    One explode a level over what is nested still; documents that don't parse have none."""
+    One explode a level until nothing is nested, which a look at each level tells; documents that don't parse have none."""
     level = docs.select(key, F.lit("").alias("path"), F.try_parse_json(json).alias("v")).where("v is not null")
     out = None
-    for _ in range(depth):
+    while True:
         level = level.select(key, "path", "v", F.schema_of_variant("v").alias("kind"))
         nested = F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")
         scalar = level.where(~nested).select(key, "path", F.try_variant_get("v", "$", "string").alias("value"))
         out = scalar if out is None else out.unionByName(scalar)
-        keys = level.where(nested).createOrReplaceTempView
+        below = level.where(nested)
+        if below.isEmpty():
+            return out
         name = f"__leaves_{id(level)}"
-        keys(name)
+        below.createOrReplaceTempView(name)
         level = docs.sparkSession.sql(f"select `{key}`, concat(path, case when e.key is null then concat('[', e.pos, ']') when path = '' then e.key else concat('.', e.key) end) as path, e.value as v from {name}, lateral variant_explode(v) as e")
         docs.sparkSession.catalog.dropTempView(name)
-    return out
 
 
 def difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -80,6 +80,13 @@ def test_linkage_prefers_the_earlier(spark):
     assert sorted(r.score for r in linkage.structure_scores(hits, "TiO2", 136, "tetragonal").collect()) == [90.0, 180.0]
 
 
+def test_json_leaves_below_eight_levels(spark):
+    deep = '{"a":' * 12 + "[7]" + "}" * 12
+    a = spark.createDataFrame([(1, deep), (2, '{"b": 1}'), (3, "{"), (4, None)], "k int, j string")
+    assert sorted(tuple(r) for r in jsons.leaves(a, "k", "j").collect()) == [(1, ".".join("a" * 12) + "[0]", "7"), (2, "b", "1")]
+    assert jsons.leaves(a.limit(0), "k", "j").count() == 0
+
+
 def test_json(spark):
     a = spark.createDataFrame([(1, '{"x": {"y": [1, 2]}, "z": null}'), (2, "broken")], "k int, j string")
     got = {(r.k, r.path): r.value for r in jsons.leaves(a, "k", "j").collect()}
