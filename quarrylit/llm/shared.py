@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a folder of this machine serves a session that is all on this machine, and no other."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        import tempfile
-
-        folder = "file://" + tempfile.mkdtemp(prefix="quarrylit-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='quarrylit-')}"
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
