@@ -2,8 +2,9 @@
 
 A batch of texts is one flat byte buffer with document offsets.  Words, word
 hashes and n-gram hashes are computed with whole-buffer numpy operations, so a
-Python worker never loops over words.  Hashes are 64 bits wide; callers that
-need certainty verify equal hashes against the bytes.
+Python worker never loops over words.  Hashes are 64 bits wide and mixed at every
+step (no sums of powers, under which arrangements of equal parts can cancel out);
+``distinct`` verifies equal hashes against the bytes, for callers that need certainty.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Text bytes that a kernel handles at once; a longer text makes a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -23,25 +25,6 @@ try:
 except (OSError, AttributeError):  # another C library: nothing to ask
     _LIBC = None
 
-_RNG = np.random.default_rng(20240229)
-_BYTE_CODE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_UNBASE = pow(_BASE, -1, 1 << 64)
-_powers = {True: np.ones(1, np.uint64), False: np.ones(1, np.uint64)}
-
-
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """base**k (or its inverse) modulo 2**64 for k below n."""
-    if len(_powers[inverse]) < n:
-        out = np.full(max(n, SLICE_BYTES + 4096), _UNBASE if inverse else _BASE, np.uint64)
-        out[0] = 1
-        out = np.multiply.accumulate(out)
-        if n > 4 * SLICE_BYTES:
-            return out
-        _powers[inverse] = out
-    return _powers[inverse][:n]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser, so that every output bit depends on every input bit."""
     h = h ^ (h >> np.uint64(30))
@@ -51,6 +34,64 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Steps of eight bytes that spans go through together; what is left of longer ones is hashed by itself.
+_STEPS = 32
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_TURN = np.uint64(0x9FB21C651E98DF25)
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, as numbers."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans; spans of one length up to eight bytes never share one."""
+    size = end - start
+    h = mix(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x2545F4914F6CDD1D))
+    eight = _eights(data)
+    active = np.flatnonzero(size)
+    for k in range(_STEPS):
+        if k:
+            active = active[size[active] > 8 * k]
+        if not len(active):
+            return h
+        block = eight[start[active] + 8 * k] & _MASK[np.minimum(size[active] - 8 * k, 8)]
+        h[active] = mix(h[active] * _TURN ^ block)
+    for i in active[size[active] > 8 * _STEPS].tolist():
+        h[i] ^= np.uint64(xxhash.xxh3_64_intdigest(data[start[i] + 8 * _STEPS : end[i]].tobytes(), int(h[i])))
+    return h
+
+
+def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each class of equal spans, and every span's class.  Equal hashes are verified by the bytes."""
+    _, first, back = np.unique(h, return_index=True, return_inverse=True)
+    like, size = first[back], end - start
+    wrong = size != size[like]
+    eight = _eights(data)
+    active = np.flatnonzero((like != np.arange(len(h))) & ~wrong)
+    for k in range(_STEPS):
+        active = active[size[active] > 8 * k]
+        if not len(active):
+            break
+        mask = _MASK[np.minimum(size[active] - 8 * k, 8)]
+        wrong[active] |= (eight[start[active] + 8 * k] ^ eight[start[like[active]] + 8 * k]) & mask != 0
+    for i in active[size[active] > 8 * _STEPS].tolist():
+        wrong[i] |= data[start[i] : end[i]].tobytes() != data[start[like[i]] : end[like[i]]].tobytes()
+    if wrong.any():
+        own: dict[bytes, int] = {}
+        more = []
+        for i in np.flatnonzero(wrong).tolist():
+            key = data[start[i] : end[i]].tobytes()
+            if key not in own:
+                own[key] = len(first) + len(more)
+                more.append(i)
+            back[i] = own[key]
+        first = np.concatenate((first, more))
+    return first, back
+
+
 def byte_table(kept: str | bytes | None = None, *, separators: bytes = b"", lower: bool = False) -> np.ndarray:
     """256 entries: 0 for a separator, else the (lower-cased) byte."""
     table = np.arange(256, dtype=np.uint8)
@@ -120,38 +161,32 @@ class Words:
         self.bounds = np.searchsorted(self.start, texts.offsets)
         self.count = np.diff(self.bounds)
         self.owner = np.repeat(np.arange(texts.n), self.count)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_CODE[folded] * powers(n), out=total[1:])
-        # the length goes in, so that no run of equal bytes is a multiple of another
-        self.hash = mix((total[self.end] - total[self.start]) * powers(n + 1, True)[self.start] + (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        self.hash = span_hash(folded, self.start, self.end)
 
     def __len__(self) -> int:
         return len(self.start)
 
 
-_STEP = 0xC2B2AE3D27D4EB4F | 1
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of what a and b are the hashes of, one after the other."""
+    return mix(a * _TURN + (b ^ (b >> np.uint64(32))))
 
 
 def ngrams(h: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of each n consecutive entries (wrapping past the end is the caller's to drop)."""
+    """Hashes of each n consecutive entries (those past a text's end are the caller's to drop)."""
     size = len(h) - n + 1
     if size <= 0:
         return np.zeros(0, np.uint64)
-    out, width, power, done = None, 1, h.copy(), 0
-    step = _STEP
-    left = n
-    while left:
-        if left & 1:
-            part = power[done : done + size] if done + size <= len(power) else power[done:][:size]
-            part = part * np.uint64(pow(_STEP, done, 1 << 64))
-            out = part if out is None else out + part
+    out, width, part, done = None, 1, h, 0
+    while True:
+        if n & width:
+            own = part[done : done + size]
+            out = own if out is None else joined(out, own)
             done += width
-        left >>= 1
-        if left:
-            power = power[:-width] + power[width:] * np.uint64(step)
-            step = step * step % (1 << 64)
-            width *= 2
-    return mix(out)
+        if done == n:
+            return mix(out)
+        part = joined(part[:-width], part[width:])
+        width *= 2
 
 
 def ngram_starts(words: Words, n: int) -> np.ndarray:
@@ -170,7 +205,7 @@ def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray
     return np.cumsum(turn[:-1]) > 0
 
 
-def _return_memory() -> None:
+def return_memory() -> None:
     """Gives freed memory back to the system: workers live on, and an executor has several beside its heap."""
     pa.default_memory_pool().release_unused()
     if _LIBC is not None:
@@ -187,4 +222,4 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         yield batch.slice(at, to - at), Texts(texts.data[offs[0] : offs[-1]], offs - offs[0], texts.null[at:to])
         at = to
     del texts
-    _return_memory()
+    return_memory()

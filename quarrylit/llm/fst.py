@@ -14,6 +14,8 @@ Two deterministic transducers, compiled from a byte-level BPE tokenizer's file:
   up to a bound beyond which the table starts anew; results don't depend on that.
 
 Pre-tokens of a slice run in lockstep, once for each distinct one, so a step is a gather.
+Long ones are cut into chunks too: the maps of their chunks, from entry states to exit states
+and added counts, are composed by the same doubling.
 
 That the last token of a prefix's encoding follows from the pairs of adjacent tokens that
 may stand side by side is a known property of BPE (each prefix's encoding ends in the
@@ -41,6 +43,9 @@ from . import arrowtext as at
 #: Fixed: the characters that \s stands for.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
+#: Fixed: what the splitter stands for.
+PRE_TOKENIZER = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
 # Character classes.  Letters that occur in contractions have classes of their own.
 LETTER, NUMBER, SPACE, BLANK, OTHER, QUOTE, ONE, R, E, V, L = range(11)
 _LETTERS = (LETTER, ONE, R, E, V, L)
@@ -229,6 +234,8 @@ class Counter:
     def __init__(self, path: str):
         spec = json.loads(open(path, encoding="utf-8").read())
         model = spec["model"]
+        if spec.get("normalizer") or spec.get("pre_tokenizer") != PRE_TOKENIZER or any(model.get(k) for k in ("dropout", "ignore_merges", "byte_fallback", "end_of_word_suffix", "continuing_subword_prefix")):
+            raise ValueError("not the byte-level BPE file that the splitter is written for")
         code = byte_symbols()
         raw = lambda s: bytes(code[c] for c in s)
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -311,13 +318,26 @@ class Counter:
             self.keys.append(key)
         return to, count
 
+    #: Spans of more bytes are cut into pieces, which run from states guessed by running over some bytes before them.
+    LONG = 1024
+    PIECE = 256
+    WARM = 48
+
     def count(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """The tokens of each span of the bytes; spans run in lockstep, longest ones last."""
+        """The tokens of each span of the bytes."""
         if len(self.keys) > self.MOST_STATES:
             self.reset()
+        out = np.zeros(len(start), np.int64)
+        short = length <= self.LONG
+        out[short] = self._run(data, start[short], length[short], np.zeros(int(short.sum()), np.int32))[0]
+        if not short.all():
+            out[~short] = self._long(data, start[~short], length[~short])
+        return out
+
+    def _run(self, data: np.ndarray, start: np.ndarray, length: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens that spans add from their entry states on, and their exit states; spans run in lockstep."""
         order = np.argsort(-length, kind="stable")
-        start, length = start[order], length[order]
-        state = np.zeros(len(start), np.int32)
+        start, length, state = start[order], length[order], state[order]
         total = np.zeros(len(start), np.int64)
         for k in range(int(length[0]) if len(length) else 0):
             n = int(np.searchsorted(-length, -k, "left"))  # those longer than k
@@ -331,9 +351,37 @@ class Counter:
                 slot = self.arcs.find(arc)
             total[:n] += self.arcs.delta[slot]
             state[:n] = self.arcs.to[slot]
-        out = np.empty(len(start), np.int64)
-        out[order] = total
-        return out
+        back = np.argsort(order)
+        return total[back], state[back]
+
+    def _long(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Long spans by maps of their pieces: from an entry state to the exit state and the tokens added.
+
+        A piece's map begins with one guessed entry state and grows by the exit states of the piece before,
+        until every exit is an entry.  Prefix composition by doubling then sums up from each span's start."""
+        per = -(-length // self.PIECE)
+        span = np.repeat(np.arange(len(start)), per)
+        head = np.cumsum(per) - per
+        at_ = start[span] + (np.arange(len(span)) - head[span]) * self.PIECE
+        size = np.minimum(self.PIECE, start[span] + length[span] - at_)
+        last = np.append(span[1:] != span[:-1], True)
+        warm = np.where(np.arange(len(span)) == head[span], 0, self.WARM)
+        entry = self._run(data, at_ - warm, warm, np.zeros(len(span), np.int32))[1]
+        index: dict[tuple[int, int], int] = {}
+        piece, exits, added = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        new, state = np.arange(len(span)), entry
+        while len(new):
+            index.update(zip(zip(new.tolist(), state.tolist(), strict=True), range(len(piece), len(piece) + len(new)), strict=True))
+            count, to = self._run(data, at_[new], size[new], state)
+            piece, exits, added = np.concatenate((piece, new)), np.concatenate((exits, to)), np.concatenate((added, count))
+            follow = [(p + 1, e) for p, e in zip(piece.tolist(), exits.tolist(), strict=True) if not last[p]]
+            more = sorted({x for x in follow if x not in index})
+            new, state = np.array([p for p, _ in more], np.int64), np.array([e for _, e in more], np.int32)
+        after = np.array([-1 if last[p] else index[p + 1, e] for p, e in zip(piece.tolist(), exits.tolist(), strict=True)])
+        while (after >= 0).any():
+            added = added + np.where(after >= 0, added[after], 0)
+            after = np.where(after >= 0, after[after], -1)
+        return added[head]
 
 
 @lru_cache(2)
@@ -341,30 +389,13 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
-class Memo:
-    """Counts of pre-tokens seen before in this worker, by 64-bit hash; bounded, and only a matter of speed."""
-
-    MOST = 1_000_000
-
-    def __init__(self):
-        self.hash, self.value = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-
-    def get(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hash):
-            return np.full(len(h), -1, np.int32)
-        i = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-        return np.where(self.hash[i] == h, self.value[i], -1).astype(np.int32)
-
-    def add(self, h: np.ndarray, value: np.ndarray) -> None:
-        if len(self.hash) + len(h) > self.MOST:
-            self.hash, self.value = self.hash[:0], self.value[:0]
-        place = np.searchsorted(self.hash, h)
-        self.hash, self.value = np.insert(self.hash, place, h), np.insert(self.value, place, value)
+#: Pre-tokens that a worker remembers the counts of, by their bytes: only a matter of speed.
+MOST = 300_000
 
 
 @lru_cache(2)
-def memo(path: str) -> Memo:
-    return Memo()
+def memo(path: str) -> dict[bytes, int]:
+    return {}
 
 
 def token_counts(texts: at.Texts, path: str) -> np.ndarray:
@@ -386,15 +417,16 @@ def token_counts(texts: at.Texts, path: str) -> np.ndarray:
     if not len(start):
         return special
     length = np.diff(np.append(start, len(texts.data)))
-    n = len(texts.data)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(at._BYTE_CODE[texts.data] * at.powers(n), out=total[1:])
-    h = at.mix((total[start + length] - total[start]) * at.powers(n + 1, True)[start] + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    distinct, where, back = np.unique(h, return_index=True, return_inverse=True)
-    value = seen.get(distinct)
-    if (new := value < 0).any():
-        value[new] = machine.count(texts.data, start[where[new]], length[where[new]])
-        seen.add(distinct[new], value[new])
+    end = start + length
+    where, back = at.distinct(texts.data, start, end, at.span_hash(texts.data, start, end))
+    raw = texts.data.tobytes()
+    pieces = [raw[s:e] for s, e in zip(start[where].tolist(), end[where].tolist(), strict=True)]
+    if len(seen) + len(pieces) > MOST:
+        seen.clear()
+    if new := [i for i, x in enumerate(pieces) if x not in seen]:
+        got = machine.count(texts.data, start[where[new]], length[where[new]])
+        seen.update(zip((pieces[i] for i in new), got.tolist(), strict=True))
+    value = np.fromiter(map(seen.__getitem__, pieces), np.int64, len(pieces))
     sums = np.zeros(len(start) + 1, np.int64)
     np.cumsum(value[back], out=sums[1:])
     bounds = np.searchsorted(start, texts.offsets)

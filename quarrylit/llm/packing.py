@@ -27,6 +27,7 @@ own, which targets name None; documents that repeat are packed each for itself;
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -55,10 +56,12 @@ class Encoder:
 
     The tokenizer drops white space and never joins across it, so a text's ids are its pieces' ids.
     Pieces of ASCII and Latin-1 letters go straight to its BPE model; others to the whole tokenizer.
-    At most MOST pieces are remembered; that bounds memory and changes no result."""
+    At most MOST pieces are remembered, by their bytes; that bounds memory and changes no result."""
 
-    MOST = 600_000
+    MOST = 300_000
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    #: Fixed: the tokenizer file's splitting pattern.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     #: Fixed: how the tokenizer file splits a lower-cased piece, for the characters of _PLAIN.
     _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
@@ -66,6 +69,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)["pre_tokenizer"].get("pretokenizers", [])
+        # of another file every piece goes to the whole tokenizer
+        self.known = bool(parts) and parts[0].get("pattern") == {"Regex": self.PATTERN}
         self.model = self.tokenizer.model
         self.symbol = {b: c for c, b in byte_symbols().items()}
         self.wide = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
@@ -73,14 +80,14 @@ class Encoder:
         self.reset()
 
     def reset(self) -> None:
-        self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.slot: dict[bytes, int] = {}
         self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)  # slot 0: the end of a document
         self.flat = np.array([self.end_id], self.wide)
         self.split: dict[str, list[int]] = {}
 
     def _piece(self, raw: bytes) -> list[int]:
         text = raw.decode("utf-8")
-        if not self._PLAIN.fullmatch(text) or "<|" in text:
+        if not self.known or not self._PLAIN.fullmatch(text) or "<|" in text:
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         out = []
         for part in self._SPLIT.findall(text.lower()):
@@ -95,24 +102,20 @@ class Encoder:
     def encode(self, texts: at.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the texts' bounds in them."""
         words = at.Words(texts, at.SPACED)
-        distinct, where, back = np.unique(words.hash, return_index=True, return_inverse=True)
-        if len(self.hash) + len(distinct) > self.MOST:
+        where, back = at.distinct(words.folded, words.start, words.end, words.hash)
+        if len(self.slot) + len(where) > self.MOST:
             self.reset()
-        place = np.searchsorted(self.hash, distinct)
-        known = np.zeros(len(distinct), bool)
-        inner = place < len(self.hash)
-        known[inner] = self.hash[place[inner]] == distinct[inner]
-        new = np.flatnonzero(~known)
-        if len(new):
-            raw = texts.data.tobytes()
-            ids = [self._piece(raw[s:e]) for s, e in zip(words.start[where[new]].tolist(), words.end[where[new]].tolist(), strict=True)]
+        raw = texts.data.tobytes()
+        pieces = [raw[s:e] for s, e in zip(words.start[where].tolist(), words.end[where].tolist(), strict=True)]
+        new = [x for x in pieces if x not in self.slot]
+        if new:
+            ids = [self._piece(x) for x in new]
             size = np.fromiter(map(len, ids), np.int64, len(ids))
-            slot = len(self.start) + np.arange(len(new))
+            self.slot.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
             self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
             self.size = np.concatenate((self.size, size))
             self.flat = np.concatenate((self.flat, np.fromiter((x for y in ids for x in y), self.wide, int(size.sum()))))
-            self.hash, self.slot = np.insert(self.hash, place[new], distinct[new]), np.insert(self.slot, place[new], slot)
-        own = self.slot[np.searchsorted(self.hash, distinct)][back] if len(distinct) else np.zeros(0, np.int64)
+        own = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))[back]
         own = np.insert(own, words.bounds[1:], 0)
         size = self.size[own]
         upto = np.concatenate(([0], np.cumsum(size)))

@@ -39,6 +39,24 @@ BLOCKS = 16
 FAN_IN = 256
 HIDDEN = 32
 
+#: Codes of bytes and powers for sums over the letters of a piece; rows are so few that words share them anyway.
+_BYTE_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(n: int, base: int) -> np.ndarray:
+    """base**k modulo 2**64 for k below n."""
+    if len(_powers.get(base, ())) < n:
+        out = np.full(max(n, at.SLICE_BYTES + 4096), base, np.uint64)
+        out[0] = 1
+        out = np.multiply.accumulate(out)
+        if n > 4 * at.SLICE_BYTES:
+            return out
+        _powers[base] = out
+    return _powers[base][:n]
+
+
 _rng = np.random.default_rng(31)
 _PLACE = np.argsort(_rng.random((ROWS, WIDTH)), 1)[:, :NONZERO]
 _SIGN = _rng.choice((-1, 1), (ROWS, NONZERO))
@@ -71,10 +89,10 @@ def words_of(texts: at.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     shape = at.mix(shape.astype(np.uint64) * np.uint64(128) + np.where(_MARK[last], last, 0).astype(np.uint64)) % np.uint64(2048)
     folded = np.where(_UPPER | _LOWER, np.where(_UPPER, np.arange(256) + 32, np.arange(256)), 0).astype(np.uint8)
     n = len(texts.data)
-    codes = np.where(folded[texts.data] > 0, at._BYTE_CODE[folded[texts.data]] * at.powers(n), np.uint64(0))
+    codes = np.where(folded[texts.data] > 0, _BYTE_CODE[folded[texts.data]] * powers(n, _BASE), np.uint64(0))
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(codes, out=total[1:])
-    core = at.mix((total[pieces.end] - total[pieces.start]) * at.powers(n + 1, True)[pieces.start])
+    core = at.mix((total[pieces.end] - total[pieces.start]) * powers(n + 1, pow(_BASE, -1, 1 << 64))[pieces.start])
     return (2048 + core % np.uint64(ROWS - 2048)).astype(np.int64), shape.astype(np.int64), pieces.owner, pieces.bounds
 
 

@@ -7,7 +7,8 @@ the spans of their occurrences are united.  A text fails when the united spans h
 large a share of its words, or when one repeat is too long: longer than a number of words,
 as any share of the text that the base rule doesn't reach grows with the text.
 
-Row by row, no shuffle; memory follows the slice (about 100 bytes a word).
+Row by row, no shuffle; memory follows the slice (about 100 bytes a word, and 4 more for each
+doubling).  Hashes only find what may be equal: words, lines and repeats are verified.
 
 Defined cases: a null or empty text has no words and fails for having too few; ties and
 repeated rows are judged alike, each on its own; other columns pass through ``keep``.
@@ -55,16 +56,22 @@ def repeats(words: at.Words, least: int) -> np.ndarray:
     member[1:] |= same
     member[:-1] |= same
     suffix = inside[order[member]]
-    key = key[member]
-    new = np.concatenate(([True], key[1:] != key[:-1]))
+    # equal hashes are verified by the words themselves
+    word = at.distinct(words.folded, words.start, words.end, words.hash)[1]
+    parts = [words.owner[suffix], *(word[suffix + k] for k in range(least))]
+    by = np.lexsort((*reversed(parts), key[member]))
+    suffix = suffix[by]
+    new = np.ones(len(suffix), bool)
+    new[1:] = np.logical_or.reduce([x[by][1:] != x[by][:-1] for x in parts])
     rank_of = lambda new: np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
     group = rank_of(new)
     first_group = group.copy()
-    rank = np.arange(n, 2 * n)  # unlike any group's
+    rank = np.arange(n, 2 * n, dtype=np.int32 if n < 1 << 30 else np.int64)  # unlike any group's
     rank[suffix] = group
     text_end = words.bounds[1:][words.owner]
-    step, active = least, np.arange(len(suffix))
+    step, active, levels = least, np.arange(len(suffix)), []
     while len(active):
+        levels.append((step, rank.copy()))
         p = suffix[active]
         to = p + step
         follow = np.where(to < text_end[p], rank[np.minimum(to, n - 1)], -1 - p)
@@ -77,20 +84,21 @@ def repeats(words: at.Words, least: int) -> np.ndarray:
         _, back, size = np.unique(group[active], return_inverse=True, return_counts=True)
         active = active[size[back] > 1]
         step *= 2
-    # longest common prefixes of neighbours, by bisection over prefix hashes
+    # longest common prefixes of neighbours, from the longest step that both share down to single words
     pairs = np.flatnonzero(first_group[1:] == first_group[:-1])
     a, b = suffix[pairs], suffix[pairs + 1]
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(words.hash * at.powers(n), out=total[1:])
-    un = at.powers(n + 1, True)
-    low = np.full(len(a), least)
-    high = np.minimum(text_end[a] - a, text_end[b] - b)
-    while (open_ := low < high).any():
-        mid = np.where(open_, (low + high + 1) // 2, low)
-        eq = (total[a + mid] - total[a]) * un[a] == (total[b + mid] - total[b]) * un[b]
-        low, high = np.where(eq, mid, low), np.where(eq, high, mid - 1)
-    np.maximum.at(out, a, low)
-    np.maximum.at(out, b, low)
+    length = np.zeros(len(a), np.int64)
+    left = lambda k: np.maximum(a, b) + k < text_end[a]
+    for step, rank in reversed(levels):
+        x, y = np.minimum(a + length, n - 1), np.minimum(b + length, n - 1)
+        length += np.where(left(length) & (rank[x] == rank[y]), step, 0)
+    going = np.ones(len(a), bool)
+    for _ in range(least - 1):
+        x, y = np.minimum(a + length, n - 1), np.minimum(b + length, n - 1)
+        going &= left(length) & (word[x] == word[y])
+        length += going
+    np.maximum.at(out, a, length)
+    np.maximum.at(out, b, length)
     return out
 
 
@@ -112,12 +120,9 @@ def _duplicate_lines(texts: at.Texts, inside: np.ndarray) -> np.ndarray:
     np.cumsum(inside, out=words[1:])
     full = words[end] > words[start]
     start, end, owner = start[full], end[full], owner[full]
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(at._BYTE_CODE[texts.data] * at.powers(n), out=total[1:])
-    h = at.mix((total[end] - total[start]) * at.powers(n + 1, True)[start] + (end - start).astype(np.uint64))
-    order = np.lexsort((h, owner))
-    again = (h[order][1:] == h[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-    return np.bincount(owner[order][1:][again], minlength=texts.n)
+    first, line = at.distinct(texts.data, start, end, at.span_hash(texts.data, start, end))
+    own, size = np.unique(owner * max(1, len(first)) + line, return_counts=True)
+    return np.bincount(own // max(1, len(first)), size - 1, texts.n).astype(np.int64)
 
 
 def measure(texts: at.Texts, limits: Limits) -> dict[str, np.ndarray]:

@@ -36,16 +36,13 @@ PREFIXES = (4, 5, 6)
 def terms(texts: at.Texts) -> tuple[np.ndarray, np.ndarray]:
     """(text, term) of every distinct pair, by text."""
     words = at.Words(texts, at.ALNUM_LOWER)
-    n = len(texts.data)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(at._BYTE_CODE[words.folded] * at.powers(n), out=total[1:])
+    eight = at._eights(words.folded)
     owner, term = [words.owner], [words.hash]
     size = words.end - words.start
     for k in PREFIXES:
         long = size >= k
-        s = words.start[long]
         owner.append(words.owner[long])
-        term.append(at.mix((total[s + k] - total[s]) * at.powers(n + 1, True)[s] ^ np.uint64(0xA0761D6478BD642F + k)))
+        term.append(at.mix(eight[words.start[long]] & at._MASK[k] ^ np.uint64(0xA0761D6478BD642F + (k << 56))))
     owner, term = np.concatenate(owner), np.concatenate(term)
     order = np.lexsort((term, owner))
     owner, term = owner[order], term[order]
