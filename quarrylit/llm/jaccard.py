@@ -3,27 +3,37 @@
 A document's set is its distinct word shingles as 64-bit hashes; their numeric order is the
 global order.  It is cut into fragments, and a set into one segment for each fragment.
 
-1. Candidates.  Sets with a Jaccard similarity of p/q or more differ in a bounded number of
-   shingles.  Sets are put into size classes; a class cuts the order into one more fragment
-   than a linked pair of it can have differing shingles, so every linked pair has at least
-   one fragment whose segments are the same.  Segments' digests are compared by equality:
-   common words, lines and passages don't bring sets together, only whole equal segments do.
-2. Links first.  In every group of equal segments each set is compared with two of the
-   group (the least and the greatest id): a number of pairs in proportion to the rows.
-   Sketches (bitmaps of a few bits a shingle) bound overlaps from above, and pairs that
-   can't be linked go no further.  Verified links give components.
-3. The rest.  Groups whose sets are still in several components are gone through pair by
+1. Sample.  Linked sets lack a bounded number of each other's shingles (Rule.spare), so the
+   first ``sample * spare + 1`` shingles of both in the global order have a known number in
+   common at least (Rule.least_met).  Only these samples move: to the tasks of their
+   fragments, which count for each shingle the sets that have it.  Shingles of one set end
+   there; of the others each set gets its own back, with the counts.
+2. Candidates.  In the order of rising counts, the samples of linked sets meet among the first
+   ``sample size - least_met + 1`` of each.  Most of a set's are met by nobody; a passage that
+   many documents share is at the end of that order and brings sets together only where they
+   hold little else.
+3. Links first.  Of shingles in which the same sets meet one makes a group.  Each group has two
+   hubs, its first and last set in a random order; each set is compared with the two that are
+   hubs of most of its groups.  Sketches (bitmaps of a few bits a shingle) bound overlaps from
+   above, and pairs that can't be linked go no further.  Verified links give components; ROUNDS
+   of this, each with another order, leave few groups with sets of several components.
+4. The rest.  Groups whose sets are still in several components are gone through pair by
    pair, in blocks of bounded size: a pair of one component needs no look, of others the
    sketches bound the overlap, and only pairs that may be linked go on to be verified.
    No link is lost, and a group of near copies makes no square of rows.
-4. Verification counts the overlap of each fragment separately and sums it per pair.
+5. Verification counts the overlap of each fragment separately and sums it per pair.
    Every set moves once for each pair it is in, cut into segments.
 
+Hot shingles (in more than HOT_SHARE of a sample of documents, and so few in number) are
+known to be shared, and don't go to a fragment's task at all; which shingles are taken for
+hot changes the cost, never the links.
+
 Equal sets are one node from the start, whatever their number.  What is kept between steps
 is a table in the shared folder, so lost executors cost a step at most.
 
-Ids of sets are 64-bit digests of their shingles; with n sets, two different ones share an id
-with a probability of about n**2 / 2**63, and shingles of a pair likewise.
+Ids of sets are 128-bit digests of their shingles: with n sets two different ones share an id
+with a probability of about n**2 / 2**129.  Shingles are compared by 64 bits: a pair of sets
+with m shingles is judged wrongly with a probability of about m**2 / 2**65.
 
 Defined cases: a null, empty or word-less text has the empty set and is linked with
 nothing; rows that repeat have the same component; a row with a null id is linked with
@@ -34,6 +44,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,22 +69,31 @@ class Rule:
     #: Sets of a block when a group is gone through pair by pair.
     block: int = 512
 
-    def differing(self, smaller: int) -> int:
-        """The most shingles in which a linked pair differs, if the smaller set has so many.
+    #: Shingles of a sample for each one that a linked set may lack.
+    sample: int = 2
+
+    def spare(self, n):
+        """The most of a set's n shingles that a linked one lacks: over * overlap >= share * n."""
+        return n * (self.over - self.share) // self.over
 
-        With overlap o and sizes a <= b: over * o >= share * (a + b - o) and b <= a * over / share, so
-        a + b - 2 * o <= (a + b) * (over - share) / (over + share) <= a * (over - share) / share."""
-        return smaller * (self.over - self.share) // self.share
+    def sampled(self, n):
+        """The number of shingles, the first of the global order, that stand for a set of n."""
+        return np.minimum(n, self.sample * self.spare(n) + 1)
 
     def linked(self, overlap, a, b):
         return self.over * overlap >= self.share * (a + b - overlap)
 
-    def classes(self, most: int) -> np.ndarray:
-        """First sizes of the size classes, for smaller sets of up to `most` shingles."""
-        out = [1]
-        while out[-1] <= most:
-            out.append(max(out[-1] + 1, out[-1] * 13 // 10))
-        return np.array(out, np.int64)
+
+@lru_cache(1 << 16)
+def least_met(rule: Rule, n: int) -> int:
+    """How many shingles the samples of a set of n and of any linked one have in common at least.
+
+    Of the two samples take the one that ends first in the global order.  What the other set has of it, it
+    has in its own sample; and it lacks at most what it lacks of the whole set, which the two sizes bound."""
+    other = np.arange(-(-n * rule.share // rule.over), n * rule.over // rule.share + 1)
+    overlap = -(-rule.share * (n + other) // (rule.over + rule.share))
+    other, overlap = (x[overlap <= np.minimum(n, other)] for x in (other, overlap))
+    return int(min((rule.sampled(n) - (n - overlap)).min(), (rule.sampled(other) - (other - overlap)).min()))
 
 
 def sets_of(texts: at.Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,9 +104,9 @@ def sets_of(texts: at.Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
     for n in range(1, width):
         short = np.flatnonzero(words.count == n)
         first = words.bounds[short]
-        h = np.zeros(len(short), np.uint64)
-        for k in range(n):
-            h = at.mix(h + words.hash[first + k] + np.uint64(n))
+        h = at.mix(words.hash[first] + np.uint64(n))
+        for k in range(1, n):
+            h = at.joined(h, words.hash[first + k])
         owner.append(short)
         shingle.append(h)
     owner, shingle = np.concatenate(owner), np.concatenate(shingle)
@@ -100,51 +120,27 @@ def sets_of(texts: at.Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def set_ids(shingle: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A digest of each set, never negative; 0 for the empty set only."""
-    total = np.zeros(len(shingle) + 1, np.uint64)
-    np.cumsum(at.mix(shingle + np.uint64(0x5851F42D4C957F2D)), out=total[1:])
+    """A digest of 16 bytes of each set, as two numbers; both 0 for the empty set only."""
     size = np.diff(bounds)
-    h = at.mix(total[bounds[1:]] - total[bounds[:-1]] + size.astype(np.uint64))
-    return np.where(size > 0, (h >> np.uint64(1)).astype(np.int64) | 1, 0)
-
-
-def fragment(shingle: np.ndarray, fragments: np.ndarray | int) -> np.ndarray:
-    """The fragment of the global order that a shingle is in: equal ranges of its upper 32 bits."""
-    return ((shingle >> np.uint64(32)) * np.asarray(fragments).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-
+    out = np.zeros((len(size), 2), np.uint64)
+    for k, salt in enumerate((0x5851F42D4C957F2D, 0x14057B7EF767814F)):
+        total = np.zeros(len(shingle) + 1, np.uint64)
+        np.cumsum(at.mix(shingle ^ np.uint64(salt)), out=total[1:])
+        out[:, k] = at.mix(total[bounds[1:]] - total[bounds[:-1]] + size.astype(np.uint64) * np.uint64(salt))
+    out[size == 0] = 0
+    return out
 
-def _fragments(differing: int, least: int) -> int:
-    """Fragments of a class: so many that even sets of its least size fill more of them than a linked pair can differ in."""
-    k = differing + 1
-    while k < 2 * (differing + 1) and k * (1 - np.exp(-least / k)) - 2 * np.sqrt(k * np.exp(-least / k)) < differing + 1:
-        k += max(1, k // 50)
-    return k if k < 2 * (differing + 1) else differing + 1
 
+def _binaries(rows: np.ndarray) -> pa.Array:
+    """Rows of equal length as binary values."""
+    width = rows.shape[1] * rows.dtype.itemsize
+    offsets = np.arange(len(rows) + 1, dtype=np.int64) * width
+    return pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(rows).tobytes())]).cast(pa.binary())
 
-def _segments(shingle: np.ndarray, rule: Rule, classes: np.ndarray) -> list[np.ndarray]:
-    """The keys of one set's segments in each class where it may be of a linked pair.
 
-    It is the smaller set of pairs in its own class, and the larger one of pairs in classes below that
-    hold sizes down to share/over of its own.  A set that fills more fragments than a linked pair can
-    differ in shares a full one with every set that it is linked with, and leaves empty ones out."""
-    n = len(shingle)
-    own = int(np.searchsorted(classes, n, "right")) - 1
-    least = -(-n * rule.share // rule.over)
-    low = int(np.searchsorted(classes, least, "right")) - 1
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(at.mix(shingle), out=total[1:])
-    out = []
-    for c in range(low, own + 1):
-        differing = rule.differing(int(classes[c + 1]) - 1)
-        if not differing:
-            continue  # linked sets of this class are equal
-        k = _fragments(differing, int(classes[c]))
-        bounds = np.searchsorted(fragment(shingle, k), np.arange(k + 1))
-        place = (np.uint64(c) << np.uint64(40)) + np.arange(k).astype(np.uint64)
-        key = at.mix(total[bounds[1:]] - total[bounds[:-1]] + at.mix(place + np.uint64(1)))
-        full = bounds[1:] > bounds[:-1]
-        out.append((key[full] if full.sum() > differing else key).view(np.int64))
-    return out
+def fragment(shingle: np.ndarray, fragments: int) -> np.ndarray:
+    """The fragment of the global order that a shingle is in: equal ranges of its upper 32 bits."""
+    return ((shingle >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int64)
 
 
 def sketch(shingle: np.ndarray) -> bytes:
@@ -172,16 +168,20 @@ def _bound(x: np.ndarray, nx: int, y: np.ndarray, ny: np.ndarray) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
-    """Per row: doc_id, the size of its set, the set's id and its sketch."""
+    """Per row: doc_id, the size n of its set, the set's id sid (null for the empty set) and the id's first 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in at.slices(batch, "text"):
                 shingle, bounds = sets_of(texts, rule.width)
-                maps = [sketch(shingle[a:b]) if b > a else b"" for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(bounds)), pa.array(set_ids(shingle, bounds)), pa.array(maps, pa.binary())], names=["doc_id", "n", "sid", "sketch"])
-
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_column].dataType)]).add("n", "long").add("sid", "long").add("sketch", "binary")
+                ids, n = set_ids(shingle, bounds), np.diff(bounds)
+                met = np.array([least_met(rule, x) if x else 0 for x in n.tolist()], np.int64)
+                sid = _binaries(ids).filter(pa.array(n > 0)) if not n.all() else _binaries(ids)
+                if not n.all():
+                    sid = sid.take(pa.array(np.cumsum(n > 0) - 1, mask=n == 0))
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n), sid, pa.array(ids[:, 0].view(np.int64)), pa.array(rule.sampled(n)), pa.array(met)], names=["doc_id", "n", "sid", "lo", "sampled", "met"])
+
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_column].dataType)]).add("n", "long").add("sid", "binary").add("lo", "long").add("sampled", "long").add("met", "long")
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
@@ -191,9 +191,9 @@ class _Once:
     MOST = 500_000
 
     def __init__(self):
-        self.seen: set[int] = set()
+        self.seen: set[bytes] = set()
 
-    def __call__(self, key: int) -> bool:
+    def __call__(self, key: bytes) -> bool:
         if key in self.seen:
             return False
         if len(self.seen) >= self.MOST:
@@ -202,26 +202,123 @@ class _Once:
         return True
 
 
-def segment_keys(docs: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
-    """(key, sid): the keys of each set's segments.  Copies within a task are left out before the shuffle."""
-    classes = rule.classes(1 << 40)
+#: Rounds of comparing sets with hubs.
+ROUNDS = 3
+#: Sampled shingles that a task holds before it hands them out, and about how many a fragment has.
+HELD = 1 << 19
+FRAGMENT = 1 << 19
+#: A shingle is hot that more than this share of HOT_SAMPLE documents has.
+HOT_SHARE = 0.01
+HOT_SAMPLE = 8_000
+_HOT_COUNT = (1 << 31) - 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = _Once()
-        for batch in batches:
-            for _, texts in at.slices(batch, "text", limit=1 << 19):
-                shingle, bounds = sets_of(texts, rule.width)
-                ids = set_ids(shingle, bounds)
-                keys, owner = [], []
-                for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
-                    if b > a and once(int(ids[i])):
-                        for key in _segments(shingle[a:b], rule, classes):
-                            keys.append(key)
-                            owner.append(np.full(len(key), ids[i]))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(owner))], names=["key", "sid"])
 
-    return docs.where(F.col(id_column).isNotNull()).select(F.col(text).alias("text")).mapInArrow(run, "key long, sid long")
+def _samples(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(shingle, first 64 bits of the set's id) of the samples.  Copies within a task are left out."""
+    once = _Once()
+    for batch in batches:
+        for _, texts in at.slices(batch, "text"):
+            shingle, bounds = sets_of(texts, rule.width)
+            ids, n = set_ids(shingle, bounds), np.diff(bounds)
+            raw = ids.tobytes()
+            new = np.fromiter((k > 0 and once(raw[16 * i : 16 * i + 16]) for i, k in enumerate(n.tolist())), bool, len(n))
+            rank = np.arange(len(shingle)) - np.repeat(bounds[:-1], n)
+            take = rank < np.repeat(np.where(new, rule.sampled(n), 0), n)
+            yield shingle[take], np.repeat(ids[:, 0], n)[take]
+
+
+def _hot(docs: DataFrame, rule: Rule, documents: int) -> np.ndarray:
+    """Hot shingles, in order: at most 1 / HOT_SHARE times as many as a sample has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shingle, lo in _samples(batches, rule):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(lo.view(np.int64))], names=["shingle", "lo"])
+
+    share = min(1.0, HOT_SAMPLE / max(1, documents))
+    some = docs if share == 1 else docs.sample(share, seed=17)
+    found = some.mapInArrow(run, "shingle long, lo long").distinct().groupBy("shingle").count().where(F.col("count") > max(80, HOT_SHARE * min(documents, HOT_SAMPLE)))
+    return np.sort(found.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+
+
+def _hand_out(held: list[tuple[np.ndarray, np.ndarray]], fragments: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row (fragment, shingles, sets) for each fragment: upper 6 bytes of shingles, 8 of sets' ids.
+
+    Hot shingles go by their sets, to fragments from `fragments` on, which only drop repeats."""
+    shingle, lo = (np.concatenate(x) for x in zip(*held, strict=True))
+    f = fragment(shingle, fragments)
+    if len(hot):
+        at_hot = np.minimum(np.searchsorted(hot, shingle), len(hot) - 1)
+        f = np.where(hot[at_hot] == shingle, fragments + (lo % np.uint64(fragments)).astype(np.int64), f)
+    order = np.lexsort((shingle, f))
+    shingle, lo, f = shingle[order], lo[order], f[order]
+    bounds = np.concatenate(([0], np.flatnonzero(np.diff(f)) + 1, [len(f)]))
+    upper = shingle.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
+    lo = lo.astype("<u8").view(np.uint8).reshape(-1, 8)
+    for some in np.array_split(np.arange(len(bounds) - 1), max(1, len(f) >> 18)):
+        if len(some):
+            cut = [(int(f[bounds[i]]), upper[bounds[i] : bounds[i + 1]].tobytes(), lo[bounds[i] : bounds[i + 1]].tobytes()) for i in some.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*cut, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["fragment", "shingles", "sets"])
+
+
+def _count_sets(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.RecordBatch]:
+    """Rows of fragments in order -> (lo, shingle, sets): the shingles that several sets have, with the number of these."""
+
+    def finish(f: int, held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        upper = np.frombuffer(b"".join(x for x, _ in held), np.uint8).reshape(-1, 6)
+        shingle = np.zeros((len(upper), 8), np.uint8)
+        shingle[:, :6] = upper
+        shingle, lo = shingle.view("<i8").reshape(-1), np.frombuffer(b"".join(x for _, x in held), "<i8")
+        order = np.lexsort((lo, shingle))
+        shingle, lo = shingle[order], lo[order]
+        new = np.ones(len(lo), bool)
+        new[1:] = (shingle[1:] != shingle[:-1]) | (lo[1:] != lo[:-1])
+        shingle, lo = shingle[new], lo[new]
+        first = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+        sets = np.diff(np.append(first, len(lo)))
+        sets = np.repeat(sets, sets) if f < fragments else np.full(len(lo), _HOT_COUNT)
+        shared = sets > 1
+        yield pa.RecordBatch.from_arrays([pa.array(lo[shared]), pa.array(shingle[shared]), pa.array(sets[shared], pa.int64())], names=["lo", "shingle", "sets"])
+
+    now, held = None, []
+    for batch in batches:
+        for f, shingles, sets in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if f != now and held:
+                yield from finish(now, held)
+                held = []
+                at.return_memory()
+            now = f
+            held.append((shingles, sets))
+    if held:
+        yield from finish(now, held)
+
+
+def candidate_keys(docs: DataFrame, sets: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
+    """(key, sid, lo): the shingles in which each set may meet a linked one, without those that it alone has."""
+    texts = docs.where(F.col(id_column).isNotNull()).select(F.col(text).alias("text"))
+    size = sets.agg(F.count("*").alias("sets"), F.sum("sampled").alias("sampled")).first()
+    fragments = (size["sampled"] or 0) // FRAGMENT + 1
+    hot = docs.sparkSession.sparkContext.broadcast(_hot(texts, rule, size["sets"]))
+
+    def hand_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for own in _samples(batches, rule):
+            held.append(own)
+            n += len(own[0])
+            if n >= HELD:
+                yield from _hand_out(held, fragments, hot.value)
+                held, n = [], 0
+                at.return_memory()
+        if n:
+            yield from _hand_out(held, fragments, hot.value)
+
+    dealt = texts.mapInArrow(hand_out, "fragment long, shingles binary, sets binary").repartition("fragment").sortWithinPartitions("fragment")
+    shared = dealt.mapInArrow(lambda it: _count_sets(it, fragments), "lo long, shingle long, sets long")
+    # should two sets have the same first 64 bits, each has the other's shingles too, which only makes more keys
+    own = Window.partitionBy("lo", "sid")
+    met = shared.join(sets.select("lo", "sid", "n", "sampled", "met"), "lo")
+    met = met.select("*", F.row_number().over(own.orderBy("sets", "shingle")).alias("place"), F.count("*").over(own).alias("shared"))
+    # the shingles that nobody else has come first in the order of counts
+    return met.where("place <= sampled - met + 1 - (sampled - shared)").select(F.col("shingle").alias("key"), "sid", "lo")
 
 
 #: Bits of the filter that keeps sets which no later step asks for out of the shuffle: 8 MB at any size of input.
@@ -229,10 +326,10 @@ FILTER_BITS = 26
 
 
 def _filter(wanted: DataFrame):
-    """A broadcast bitmap over ids' hashes (a Bloom filter of one hash): ids outside it aren't wanted.
+    """A broadcast bitmap over ids (a Bloom filter of one hash): sets outside it aren't wanted.
 
     Its words are or-ed together by Spark; what the driver gets is the bitmap, whatever the number of ids."""
-    bits = wanted.select(F.expr(f"pmod(shiftrightunsigned(sid, 3), {1 << FILTER_BITS})").alias("bit"))
+    bits = wanted.select(F.expr(f"pmod(lo, {1 << FILTER_BITS})").alias("bit"))
     words = bits.selectExpr("cast(bit div 32 as int) as word", "shiftleft(1L, cast(bit % 32 as int)) as bits").groupBy("word").agg(F.bit_or("bits").alias("bits"))
     got = words.toPandas()
     out = np.zeros(1 << FILTER_BITS - 5, np.uint32)
@@ -240,13 +337,13 @@ def _filter(wanted: DataFrame):
     return wanted.sparkSession.sparkContext.broadcast(out)
 
 
-def _maybe(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    bit = (ids >> 3) % (1 << FILTER_BITS)
+def _maybe(words: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    bit = (lo % np.uint64(1 << FILTER_BITS)).astype(np.int64)
     return (words[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
 
 
 def _tokens(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
-    """The shingles of the wanted sets by fragment: (sid, fragment, n, shingles)."""
+    """The shingles of the wanted sets by fragment, and their sketch: (sid, fragment, n, shingles, sketch of fragment 0)."""
     needed = _filter(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,17 +352,18 @@ def _tokens(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, id_column
             for _, texts in at.slices(batch, "text"):
                 shingle, bounds = sets_of(texts, rule.width)
                 ids = set_ids(shingle, bounds)
-                out = []
-                for i in np.flatnonzero(_maybe(needed.value, ids) & (np.diff(bounds) > 0)).tolist():
-                    if once(int(ids[i])):
+                raw, out = ids.tobytes(), []
+                for i in np.flatnonzero(_maybe(needed.value, ids[:, 0]) & (np.diff(bounds) > 0)).tolist():
+                    sid = raw[16 * i : 16 * i + 16]
+                    if once(sid):
                         own = shingle[bounds[i] : bounds[i + 1]]
                         cut = np.searchsorted(fragment(own, rule.fragments), np.arange(rule.fragments + 1))
-                        out += [(ids[i], f, len(own), own[cut[f] : cut[f + 1]].astype("<u8").tobytes()) for f in range(rule.fragments)]
+                        out += [(sid, f, len(own), own[cut[f] : cut[f + 1]].astype("<u8").tobytes(), None if f else sketch(own)) for f in range(rule.fragments)]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["sid", "fragment", "n", "shingles"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["sid", "fragment", "n", "shingles", "sketch"])
 
-    made = docs.where(F.col(id_column).isNotNull()).select(F.col(text).alias("text")).mapInArrow(run, "sid long, fragment int, n long, shingles binary")
-    return made.join(wanted, "sid", "left_semi").dropDuplicates(["sid", "fragment"])
+    made = docs.where(F.col(id_column).isNotNull()).select(F.col(text).alias("text")).mapInArrow(run, "sid binary, fragment int, n long, shingles binary, sketch binary")
+    return made.join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid", "fragment"])
 
 
 def verified(pairs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
@@ -280,7 +378,7 @@ def verified(pairs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
     one = tokens.select(F.col("sid").alias("a"), "fragment", F.col("n").alias("na"), F.col("shingles").alias("sa"))
     two = tokens.select(F.col("sid").alias("b"), F.col("fragment").alias("fb"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     met = pairs.join(one, "a").join(two, (pairs["b"] == two["b"]) & (F.col("fragment") == F.col("fb"))).select("a", pairs["b"], "na", "nb", "sa", "sb")
-    partial = met.mapInArrow(run, "a long, b long, na long, nb long, partial long")
+    partial = met.mapInArrow(run, "a binary, b binary, na long, nb long, partial long")
     summed = partial.groupBy("a", "b").agg(F.sum("partial").alias("overlap"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     return summed.where(rule.linked(F.col("overlap"), F.col("na"), F.col("nb"))).select("a", "b")
 
@@ -303,28 +401,28 @@ def _likely(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
 
 
 def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (key, i, j, place, sid, n, component, sketch, keys) of blocks -> pairs that may be linked.
+    """Sorted rows (key, i, j, place, sid, n, component, sketch, earlier) of blocks -> pairs that may be linked.
 
-    A pair comes out of the first open group only that has both."""
+    A pair comes out of the first open group that has both: no other one, of a lesser key, is among both sets' earlier ones."""
     held: list[tuple] = []
     key = None
     for batch in batches:
-        columns = [batch.column(k) for k in range(9)]
-        for r in range(batch.num_rows):
-            now = (columns[0][r].as_py(), columns[1][r].as_py(), columns[2][r].as_py())
+        for *now, place, sid, n, component, bits, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if now != key and held:
                 yield from _block_pairs(key, held, rule)
                 held = []
             key = now
-            held.append((columns[3][r].as_py(), columns[4][r].as_py(), columns[5][r].as_py(), columns[6][r].as_py(), np.frombuffer(columns[7][r].as_buffer(), np.uint8), columns[8][r].values.to_numpy()))
+            held.append((place, sid, n, component, np.frombuffer(bits, np.uint8), frozenset(k for k in keys if k < now[0])))
     if held:
         yield from _block_pairs(key, held, rule)
 
 
-def _block_pairs(key: tuple, held: list[tuple], rule: Rule) -> Iterator[pa.RecordBatch]:
-    group, i, j = key
-    own = np.array([h[0] for h in held])
-    sid, n, component = (np.array([h[k] for h in held], np.int64) for k in (1, 2, 3))
+def _block_pairs(key: list, held: list[tuple], rule: Rule) -> Iterator[pa.RecordBatch]:
+    _, i, j = key
+    held.sort(key=lambda h: h[1])
+    sid = [h[1] for h in held]
+    own, n = (np.array([h[k] for h in held], np.int64) for k in (0, 2))
+    component = np.unique([h[3] for h in held], return_inverse=True)[1]
     widths = np.array([len(h[4]) for h in held])
     maps = {w: np.stack([h[4] for h in held if len(h[4]) == w]) for w in np.unique(widths).tolist()}
     place = np.zeros(len(held), np.int64)  # of a row among those of its width
@@ -334,23 +432,38 @@ def _block_pairs(key: tuple, held: list[tuple], rule: Rule) -> Iterator[pa.Recor
     for x in np.flatnonzero(own == i).tolist():
         may = (own == j) & (component != component[x]) & (rule.over * np.minimum(n, n[x]) >= rule.share * np.maximum(n, n[x]))
         if i == j:
-            may &= sid > sid[x]
+            may[: x + 1] = False
         for w in maps:
             y = np.flatnonzero(may & (widths == w))
             if len(y):
-                for z in y[rule.linked(_bound(held[x][4], n[x], maps[w][place[y]], n[y]), n[x], n[y])].tolist():
-                    if np.intersect1d(held[x][5], held[z][5], assume_unique=True)[0] == group:
-                        out.append((min(sid[x], sid[z]), max(sid[x], sid[z])))
+                near = y[rule.linked(_bound(held[x][4], n[x], maps[w][place[y]], n[y]), n[x], n[y])].tolist()
+                out += [(sid[min(x, z)], sid[max(x, z)]) for z in near if held[x][5].isdisjoint(held[z][5])]
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+
+def _with_components(groups: DataFrame, components: DataFrame) -> DataFrame:
+    return groups.join(components.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", F.coalesce("component", "sid").alias("component"))
+
+
+def _stars(groups: DataFrame, components: DataFrame, salt: int) -> DataFrame:
+    """Pairs of sets with two hubs of other components: those of most of the set's groups."""
+    rows = _with_components(groups, components)
+    one = F.struct(F.xxhash64("sid", F.lit(salt)), "sid", "component")
+    # rows of a group are combined before they move, and then met by one row: the join's skew is Spark's to split
+    hubs = rows.groupBy("key").agg(F.min(one).alias("first"), F.max(one).alias("last"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    met = rows.join(hubs.select("key", "first", "last"), "key").select("sid", "component", F.explode(F.array("first", "last")).alias("hub")).where("component <> hub.component")
+    best = Window.partitionBy("sid").orderBy(F.desc("count"), "hub")
+    few = met.groupBy("sid", F.col("hub.sid").alias("hub")).count().withColumn("place", F.row_number().over(best)).where("place <= 2")
+    return few.select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
 
 
 def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different components that share a group and may be linked."""
-    rows = groups.join(components.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", F.coalesce("component", "sid").alias("component"))
+    rows = _with_components(groups, components)
     open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("key", F.ceil(F.col("members") / F.lit(rule.block)).cast("int").alias("blocks"))
     rows = kept(rows.join(open_, "key"), "open")
-    keys = rows.groupBy("sid").agg(F.array_sort(F.collect_list("key")).alias("keys"))  # a set has no more of them than segments
+    keys = rows.groupBy("sid").agg(F.collect_list("key").alias("keys"))  # a set has no more of them than shingles in its sample
     rows = rows.join(keys, "sid").join(sketches, "sid")
     place = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     rows = rows.select("key", "sid", "n", "component", "sketch", "keys", "blocks", place.alias("place"))
@@ -358,45 +471,47 @@ def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: R
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("key", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "sid", "n", "component", "sketch", "keys")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(lambda it: _rest_pairs(it, rule), "a long, b long").distinct()
+    return rows.mapInArrow(lambda it: _rest_pairs(it, rule), "a binary, b binary").distinct()
 
 
 def components(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest id that links lead to, its own included)."""
     own = kept(document_sets(docs, rule, text, id_column), "sets")
-    found = _set_components(docs, own, rule, text, id_column)
-    first = own.where("sid <> 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
-    whole = first.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    sets = own.where("sid is not null and doc_id is not null").groupBy("sid")
+    sets = kept(sets.agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("lo", "n", "sampled", "met"))), "distinct")
+    found = _set_components(docs, sets, rule, text, id_column)
+    whole = sets.select("sid", "least").join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     whole = kept(whole, "components")
     whole = whole.join(whole.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("sid", "component_id")
     # equal sets are as many rows as there are copies of them: the join's skew is Spark's to split
-    out = own.drop("sketch").join(whole, "sid", "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("sid") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    out = own.select("doc_id", "n", "sid").join(whole, "sid", "left")
+    component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), component.cast(docs.schema[id_column].dataType).alias("component_id"))
 
 
-def _set_components(docs: DataFrame, own: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
+def _set_components(docs: DataFrame, sets: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
     """(node, component) of every set that is linked with another one."""
-    edge = lambda f: f("sid").over(Window.partitionBy("key"))
-    groups = segment_keys(docs, rule, text, id_column).repartition("key").select("key", "sid", edge(F.min).alias("first"), edge(F.max).alias("last")).where("first <> last")
-    groups = kept(groups.distinct(), "groups")
-    stars = groups.select("sid", F.explode(F.array("first", "last")).alias("hub")).where("sid <> hub").select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
-    sketches = own.where("sid <> 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    sketches = kept(sketches.join(groups.select("sid").distinct(), "sid", "left_semi"), "sketches")
+    keys = kept(candidate_keys(docs, sets, rule, text, id_column), "keys")
+    every = (F.min("sid").alias("first"), F.max("sid").alias("last"), F.count("*").alias("members"), F.bit_xor("lo").alias("all"))
+    # a hot key's rows are combined before they move, and met by one row: the join's skew is Spark's to split
+    met = keys.groupBy("key").agg(*every).where("members > 1").groupBy("first", "last", "members", "all").agg(F.min("key").alias("key"))
+    groups = kept(keys.join(met.select("key"), "key", "left_semi"), "groups")
+    wanted = kept(groups.groupBy("sid").agg(F.min("lo").alias("lo")), "wanted")
+    groups = groups.select("key", "sid")
+    tokens = kept(_tokens(docs, wanted, rule, text, id_column), "tokens")
+    sketches = tokens.where("fragment = 0").select("sid", "n", "sketch")
     one, two = (sketches.select(F.col("sid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
-    both = stars.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
-    stars = kept(both.mapInArrow(lambda it: _likely(it, rule), "a long, b long"), "stars")
-    links = kept(_verified(docs, stars, rule, text, id_column), "links")
-    found = connected(links)
-    more = kept(_rest(groups, sketches, found, rule), "pairs")
-    more = kept(_verified(docs, more, rule, text, id_column), "links")
-    return connected(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
-    """The linked ones of the pairs; only sets of a pair give their shingles."""
-    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    return verified(pairs, kept(_tokens(docs, wanted, rule, text, id_column), "tokens"), rule)
+    found = docs.sparkSession.createDataFrame([], "node binary, component binary")
+    for salt in range(ROUNDS):
+        both = _stars(groups, found, salt).join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
+        stars = kept(both.mapInArrow(lambda it: _likely(it, rule), "a binary, b binary"), "stars")
+        found = _merged(found, verified(stars, tokens, rule))
+    return _merged(found, verified(kept(_rest(groups, sketches, found, rule), "pairs"), tokens, rule))
+
+
+def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """The components that these have with more links."""
+    return connected(components.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text", id_column: str = "doc_id") -> DataFrame:
