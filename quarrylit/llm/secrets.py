@@ -52,22 +52,28 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def running_sum(steps: Column) -> Column:
-    """Sums up to and with each entry.  Blocks of about the square root of the length keep the cost at n**1.5 copies."""
+def running(steps: Column, plus) -> Column:
+    """plus over all entries up to and with each.  Blocks of about the square root of the length keep the cost at n**1.5 copies."""
 
     def grow(xs: Column) -> Column:
-        more = lambda acc, x: let((acc["sum"] + x).cast("int"), lambda y: F.struct(y.alias("sum"), F.concat(acc["all"], F.array(y)).alias("all")))
-        return F.aggregate(xs, F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all")), more)["all"]
+        more = lambda acc, x: let(F.when(F.size(acc) == 0, x).otherwise(plus(F.element_at(acc, -1), x)).cast("int"), lambda y: F.concat(acc, F.array(y)))
+        return F.aggregate(xs, F.array().cast("array<int>"), more)
 
     def blocks(xs: Column) -> Column:
         size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(xs))).cast("int"))
         return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(xs) - 1), size), lambda s: F.slice(xs, s + 1, size))
 
-    def total(parts: Column) -> Column:
-        sums = grow(F.transform(parts, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x)))
-        return let(sums, lambda upto: F.flatten(F.transform(parts, lambda b, i: let(F.when(i == 0, F.lit(0)).otherwise(upto[i - 1]), lambda first: F.transform(grow(b), lambda x: x + first)))))
+    def total(own: Column) -> Column:
+        # own: each block's running values; the last one of each, run over blocks, goes into the next block's
+        return let(grow(F.transform(own, lambda g: F.element_at(g, -1))), lambda upto: F.flatten(F.transform(own, lambda g, i: F.when(i == 0, g).otherwise(F.transform(g, lambda x: plus(upto[i - 1], x))))))
+
+    made = let(blocks(steps), lambda parts: let(F.transform(parts, grow), total))
+    return F.when(F.size(steps) == 0, F.array().cast("array<int>")).otherwise(made)
 
-    return let(steps, lambda xs: let(blocks(xs), total))
+
+def running_sum(steps: Column) -> Column:
+    """Sums up to and with each entry."""
+    return let(steps, lambda xs: running(xs, lambda a, b: a + b))
 
 
 def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -88,12 +94,30 @@ def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
     return F.when(text.rlike(pattern), let(parts, spans)).otherwise(F.array().cast(f"array<{SPAN}>")).cast(f"array<{SPAN}>")
 
 
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others.
+
+    In the order of starts a span overlaps one that comes before it if the furthest end so far is beyond its
+    start, and one that comes after it if the next start of one is before its end."""
+    far = (1 << 31) - 1
+    own = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("mine"), s["end"].alias("end"), s["rank"].alias("rank"), s["kind"].alias("kind")))
+    other = F.transform(others, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("mine"), s["end"].alias("end"), s["rank"].alias("rank"), s["kind"].alias("kind")))
+
+    def met(every: Column) -> Column:
+        ends = running(F.transform(every, lambda s: F.when(s["mine"] == 0, s["end"]).otherwise(0)), F.greatest)
+        starts = F.reverse(running(F.reverse(F.transform(every, lambda s: F.when(s["mine"] == 0, s["start"]).otherwise(far))), F.least))
+        places = F.struct(ends.alias("ends"), starts.alias("starts"))
+        free = lambda x: F.filter(F.transform(every, lambda s, i: F.struct(s.alias("s"), ((s["mine"] == 1) & (x["ends"][i] <= s["start"]) & (x["starts"][i] >= s["end"])).alias("free"))), lambda y: y["free"])
+        return let(places, lambda x: F.transform(free(x), lambda y: F.struct(y["s"]["start"], y["s"]["rank"], y["s"]["end"], y["s"]["kind"])))
+
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), let(F.array_sort(F.concat(own, other)), met).cast(f"array<{SPAN}>")).otherwise(spans)
+
+
 def _weak(base: Column, found: Column) -> Column:
     """Weak spans that don't overlap a strong one; bare ones overlap no other weak one either."""
-    over = lambda s, b: (b["start"] < s["end"]) & (s["start"] < b["end"])
-    own = F.filter(found, lambda s: ~F.exists(base, lambda b: over(s, b)))
     named = F.filter(found, lambda s: s["kind"] != "bare")
-    return F.filter(own, lambda s: (s["kind"] != "bare") | ~F.exists(named, lambda b: over(s, b)))
+    bare = F.filter(found, lambda s: s["kind"] == "bare")
+    return F.when(F.size(found) > 0, F.concat(_apart(named, base), _apart(_apart(bare, base), named))).otherwise(found)
 
 
 _KEY = ["__id", "__hash", "__length"]
@@ -118,7 +142,7 @@ def _linked(spans: DataFrame, scope: int) -> DataFrame:
     role = F.create_map(*(F.lit(x) for kv in ROLE.items() for x in kv))
     every = F.concat("base", "weak")
     has = lambda r: F.exists(every, lambda s: role[s["kind"]] == r)
-    some = spans.where((F.size("weak") > 0) & has("id") & has("secret")).select(*_KEY, F.explode(F.array_distinct(every)).alias("s")).distinct()
+    some = spans.where((F.size("weak") > 0) & has("id") & has("secret")).select(*_KEY, F.explode(every).alias("s")).distinct()
     parts = some.select(*_KEY, "s", role[F.col("s.kind")].alias("role"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
     bucket = lambda c: F.floor(c / F.lit(2 * scope)).cast("long")
     ids = parts.where("role = 'id'").select(*(F.col(k).alias(f"i{k}") for k in _KEY), F.col("s").alias("id"), (F.col("start") - scope).alias("low"), (F.col("end") + scope).alias("high"))
@@ -152,6 +176,33 @@ def scan(docs: DataFrame, *, scope: int = SCOPE, text: str = "text", id_column:
     return rows.select(F.col("__id").alias(id_column), *(n(k) for k in BASE), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.concat("base", "more")).alias("spans"))
 
 
+#: Code points of the pieces that a text is cut into, so that a place is found without reading from the text's start.
+PIECE = 1024
+
+
+def _replaced(text: Column, spans: Column, mark: str) -> Column:
+    """The text with a mark for each run of spans (in order of start) that touch or overlap."""
+
+    def gaps(ends: Column) -> Column:
+        # what lies before each run, and after the last
+        before = F.transform(spans, lambda s, i: F.struct(F.when(i == 0, 0).otherwise(ends[i - 1]).alias("low"), s["start"].alias("high"), (i == 0).alias("first")))
+        return F.concat(F.filter(before, lambda g: g["first"] | (g["high"] > g["low"])), F.array(F.struct(F.element_at(ends, -1).alias("low"), F.length(text).alias("high"), F.lit(False).alias("first"))))
+
+    def built(x: Column) -> Column:
+        def cut(g: Column) -> Column:
+            a, b = F.floor(g["low"] / PIECE).cast("int"), F.floor(g["high"] / PIECE).cast("int")
+            head, tail = F.substring(x["pieces"][a], g["low"] % PIECE + 1, F.lit(PIECE)), F.substring(x["pieces"][b], F.lit(1), g["high"] % PIECE)
+            inner = F.substring(x["pieces"][a], g["low"] % PIECE + 1, g["high"] - g["low"])
+            return F.when(g["high"] <= g["low"], F.lit("")).when(a == b, inner).otherwise(F.concat(head, F.array_join(F.slice(x["pieces"], a + 2, b - a - 1), ""), tail))
+
+        return F.array_join(F.transform(x["gaps"], cut), mark)
+
+    # one piece more than the text has, which is empty: a gap may end where the text does
+    pieces = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / PIECE).cast("int")), lambda i: F.substring(text, i * PIECE + 1, F.lit(PIECE)))
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    return let(F.struct(let(ends, gaps).alias("gaps"), pieces.alias("pieces")), built)
+
+
 def redact(docs: DataFrame, *, mark: str = "[REDACTED]", scope: int = SCOPE, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The documents with every span, strong or linked, replaced by the mark; a null text stays null.
 
@@ -164,16 +215,6 @@ def redact(docs: DataFrame, *, mark: str = "[REDACTED]", scope: int = SCOPE, tex
     linked = kept(linked.where(F.size("__spans") > 0), "redactions")
     same = F.col("__id").eqNullSafe(F.col("r__id")) & (F.col("__hash") == F.col("r__hash")) & (F.col("__length") == F.col("r__length"))
     rows = keyed.join(linked, same, "left")
-    built = F.aggregate(
-        "__spans",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when((s["start"] <= acc["at"]) & (acc["at"] > 0), acc["out"])
-            .otherwise(F.concat(acc["out"], F.array(F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))))
-            .alias("out"),
-        ),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text), acc["at"] + 1, F.length(text))),
-    )
+    built = _replaced(F.col(text), F.col("__spans"), mark)
     new = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(built)
     return rows.select(*(new.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns))
