@@ -1,7 +1,8 @@
 """WARC through a chunked record table.
 
-Payloads never travel whole once they left their table: the JVM cuts each into rows
-(record identifier, chunk number, at most ``chunk_bytes``), the writer streams these rows
+Payloads never travel whole once they left their table: where a row is read the JVM cuts it
+into rows (record identifier, chunk number, at most ``chunk_bytes``), which then meet the
+answer whether their payload is a copy; the writer streams these rows
 into gzipped WARC members and keeps a running SHA-1, and the reader streams archives back
 into the same rows, each with the digest of the payload so far.
 
@@ -46,20 +47,22 @@ CHUNKS = "archive string, record_id string, record_type string, refers_to string
 def chunk_rows(pages: DataFrame, *, id_column: str = "page_id", url: str = "url", payload: str = "html", chunk_bytes: int = CHUNK, min_revisit_bytes: int = 0) -> DataFrame:
     """(record_id, url, sha1, size, refers_to, chunk_no, data): the chunked record table that a writer takes.
 
-    Only (digest, size, id) is grouped; the payloads move once, to meet their group's answer.  A payload
-    that a third of all rows hold is one key of that join, whose sides Spark splits at run time."""
+    Only (digest, size, id) is grouped; payloads move once, in chunks, to meet their group's answer.  A
+    payload that a third of all rows hold is one key of that join, whose sides Spark splits at run time by
+    the tasks that rows come from, so a record's chunks stay together; they are put in order there."""
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_column).cast("string").alias("record_id"), F.col(id_column).alias("__id"), F.col(url).cast("string").alias("url"), body.alias("body"))
     rows = rows.select("*", F.sha1("body").alias("sha1"), F.octet_length("body").cast("long").alias("size"))
     repeated = rows.where(F.col("size") >= min_revisit_bytes).groupBy("sha1", "size").agg(F.max("__id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = rows.join(repeated, ["sha1", "size"], "left")
-    refers = F.when(F.col("first_id").isNotNull() & ~F.col("__id").eqNullSafe(F.col("first_id")), F.col("first_id").cast("string"))
-    n = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(chunk_bytes)).cast("int"))
-    held = F.when(refers.isNull(), F.col("body")).otherwise(F.lit(b""))
-    rows = rows.select("record_id", "url", "sha1", "size", refers.alias("refers_to"), held.alias("body"), F.when(refers.isNull(), n).otherwise(F.lit(1)).alias("chunks"))
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(chunk_bytes)).cast("int"))
+    rows = rows.select("*", F.monotonically_increasing_id().alias("__row"), chunks.alias("chunks"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk_no"))
     data = F.substring(F.col("body"), F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes))
-    return rows.select("record_id", "url", "sha1", "size", "refers_to", "chunk_no", (F.col("chunk_no") == F.col("chunks") - 1).alias("last"), data.alias("data"))
+    rows = rows.select("record_id", "__id", "__row", "url", "sha1", "size", "chunks", "chunk_no", data.alias("data")).join(repeated, ["sha1", "size"], "left")
+    refers = F.when(F.col("first_id").isNotNull() & ~F.col("__id").eqNullSafe(F.col("first_id")), F.col("first_id").cast("string"))
+    rows = rows.withColumn("refers_to", refers).where(F.col("refers_to").isNull() | (F.col("chunk_no") == 0)).sortWithinPartitions("sha1", "size", "__row", "chunk_no")
+    last = F.col("refers_to").isNotNull() | (F.col("chunk_no") == F.col("chunks") - 1)
+    return rows.select("record_id", "url", "sha1", "size", "refers_to", "chunk_no", last.alias("last"), F.when(F.col("refers_to").isNull(), F.col("data")).otherwise(F.lit(b"")).alias("data"))
 
 
 def _urn(record_id: str | None) -> str:
