@@ -7,10 +7,12 @@ together by stochastic gradient descent; on rows held back from that, a temperat
 calibrates probabilities and a threshold for rejection is set, so that a share TRUSTED of
 what is not rejected is right.  Scoring reads whole texts row by row.
 
-Fitted on a bounded sample: PER_LANGUAGE rows of each of the LANGUAGES most frequent values.
+Fitted on a bounded sample of every value: about SAMPLE rows in all, PER_LANGUAGE of each at
+most and LEAST at least, so that no value is left out.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and rejected;
-without any labelled row every prediction is `und`.
+without any labelled row every prediction is `und`; rows that repeat are judged alike; a null
+id is never learned from and not held out; columns beside text, lang and id don't matter.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from .learn import chosen, fold, held_out
 BUCKETS = 4096
 WIDTH = 16
 PER_LANGUAGE = 800
-LANGUAGES = 200
+SAMPLE = 40_000
+LEAST = 10
 TRUSTED = 0.99
 EPOCHS = 40
 #: Rows counted at once: bounds the count matrix.
@@ -92,7 +95,22 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, languages: list[str], *, seed: int = 5, epochs: int = EPOCHS, rate: float = 30.0) -> Model:
+class Rows:
+    """Shares of subwords, row by row: what is there, and dense for a few rows at a time."""
+
+    def __init__(self, at_: list[bytes], share: list[bytes]):
+        self.start = np.concatenate(([0], np.cumsum([len(x) // 2 for x in at_]))).astype(np.int64)
+        self.at, self.share = np.frombuffer(b"".join(at_), "<u2"), np.frombuffer(b"".join(share), "<f4")
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), BUCKETS), np.float32)
+        for i, r in enumerate(rows.tolist()):
+            own = slice(self.start[r], self.start[r + 1])
+            out[i, self.at[own]] = self.share[own]
+        return out
+
+
+def train(x: Rows, y: np.ndarray, languages: list[str], *, seed: int = 5, epochs: int = EPOCHS, rate: float = 30.0) -> Model:
     """SGD over all but every fifth row; these calibrate."""
     rng = np.random.default_rng(seed)
     model = Model(languages, rng.normal(0, 0.5, (BUCKETS, WIDTH)), np.zeros((WIDTH, len(languages))), np.zeros(len(languages)))
@@ -113,11 +131,11 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], *, seed: int = 5,
             model.bias -= step * 0.01 * error.sum(0)
             model.table -= step * (xs.T @ into)
     if len(back):
-        z = model.logits(x[back])
+        z = np.concatenate([model.logits(x[part]) for part in np.array_split(back, -(-len(back) // ROWS))])
         grid = np.exp(np.linspace(np.log(0.05), np.log(5), 50))
         loss = [-np.log(softmax(z / t)[np.arange(len(back)), y[back]] + 1e-12).mean() for t in grid]
         model.heat = float(grid[int(np.argmin(loss))])
-        p = model.probabilities(x[back])
+        p = softmax(z / model.heat)
         top, right = p.max(1), p.argmax(1) == y[back]
         order = np.argsort(-top, kind="stable")
         share = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
@@ -131,26 +149,23 @@ def _groups(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch,
         yield from at.slices(batch.slice(first, ROWS), text)
 
 
-def fit(docs: DataFrame, *, modulus: int = 5, remainder: int = 0, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, text: str = "text", lang: str = "lang", id_column: str = "doc_id") -> Model | None:
-    rows = docs.select(id_column, text, F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col(text).isNotNull() & (fold(id_column, modulus) != remainder))
-    some, _ = chosen(rows, "lang", id_column, per_language, languages)
+def fit(docs: DataFrame, *, modulus: int = 5, remainder: int = 0, per_language: int = PER_LANGUAGE, sample: int = SAMPLE, text: str = "text", lang: str = "lang", id_column: str = "doc_id") -> Model | None:
+    rows = docs.select(id_column, F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(id_column, modulus) != remainder))
+    some = chosen(rows, "lang", id_column, F.greatest(F.lit(LEAST), F.least(F.lit(per_language), F.lit(sample) / F.col("labels"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _groups(batch, text):
+            for part, texts in _groups(batch, "text"):
                 x = subwords(texts)
                 held = [(np.flatnonzero(r).astype("<u2"), r[r > 0].astype("<f4")) for r in x]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array([i.tobytes() for i, _ in held], pa.binary()), pa.array([v.tobytes() for _, v in held], pa.binary())], names=["lang", "at", "share"])
 
-    got = some.select(text, "lang").mapInArrow(run, "lang string, at binary, share binary").toPandas()  # the bounded sample
+    got = some.select("text", "lang").mapInArrow(run, "lang string, at binary, share binary").toPandas()  # the bounded sample
     if not len(got):
         return None
     got = got.sort_values(["lang", "share", "at"], kind="stable", ignore_index=True)  # the same order whatever the partitions
-    x = np.zeros((len(got), BUCKETS), np.float32)
-    for i, (a, v) in enumerate(zip(got["at"], got["share"], strict=True)):
-        x[i, np.frombuffer(a, "<u2")] = np.frombuffer(v, "<f4")
     names = sorted(got["lang"].unique())
-    return train(x, got["lang"].map({k: i for i, k in enumerate(names)}).to_numpy(), names)
+    return train(Rows(got["at"].tolist(), got["share"].tolist()), got["lang"].map({k: i for i, k in enumerate(names)}).to_numpy(), names)
 
 
 def predict(docs: DataFrame, model: Model | None, *, modulus: int = 5, remainder: int = 0, text: str = "text", id_column: str = "doc_id") -> DataFrame:

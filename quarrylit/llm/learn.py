@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept
+
 #: Rows of each label that a classifier is fitted on, at most about; chosen by a hash of the id over all labelled rows.
 PER_LABEL = 4000
 
@@ -21,23 +23,25 @@ def held_out(id_column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(fold(id_column, modulus) == remainder, F.lit(False)).alias("held_out")
 
 
-def chosen(rows: DataFrame, label: str, id_column: str, per_label: int, labels: int = 1000) -> tuple[DataFrame, dict]:
-    """About per_label rows of each label (of the most frequent `labels`), and how many rows one stands for."""
-    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(labels).collect()
-    share = {r[label]: min(1.0, per_label / r["count"]) for r in counts}
-    if not share:
-        return rows.limit(0), {}
-    limit = F.create_map(*(F.lit(x) for k, v in share.items() for x in (k, int(v * (1 << 30)))))[F.col(label)]
-    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), id_column), F.lit(1 << 30)) < limit), {k: 1 / v for k, v in share.items()}
+def chosen(rows: DataFrame, label: str, id_column: str, per_label: Column | int) -> DataFrame:
+    """About per_label rows of each label, with how many rows one stands for.  A row a label is what is broadcast.
+
+    per_label may name ``labels``, the number of labels there are."""
+    counts = rows.groupBy(label).agg(F.count("*").alias("__rows"))
+    counts = counts.crossJoin(F.broadcast(counts.agg(F.count("*").alias("labels")))).select(F.col(label).alias("__label"), "__rows", "labels")  # one row on the right
+    wanted = F.greatest(F.lit(1.0), F.col("__rows") / per_label)
+    some = rows.join(F.broadcast(counts), F.col(label) == F.col("__label")).withColumn("weight", wanted)
+    place = F.pmod(F.xxhash64(F.lit("sample"), id_column), F.lit(1 << 30))
+    return some.where(place < F.lit(1 << 30) / F.col("weight")).drop("__label", "__rows", "labels")
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, per_label: int, text: str = "text", id_column: str = "doc_id") -> tuple[DataFrame, dict]:
-    """(text, label) of a bounded sample of the rows that may be learned from, and the weight of each label's rows.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, per_label: int, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """(text, label, weight) of a bounded sample of the rows that may be learned from, kept as a table.
 
     The sample's ids, two labels of about per_label rows each, are what is broadcast."""
     rows = labels.select(id_column, F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & (fold(id_column, modulus) != remainder))
-    some, weight = chosen(rows, "label", id_column, per_label)
-    return docs.select(id_column, text).join(F.broadcast(some), id_column).select(F.col(text).alias("text"), "label"), weight
+    some = chosen(rows, "label", id_column, F.lit(per_label))
+    return kept(docs.select(id_column, F.col(text).alias("text")).join(F.broadcast(some), id_column).select("text", "label", "weight"), "sample")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

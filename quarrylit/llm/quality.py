@@ -4,7 +4,7 @@ Each white-space separated piece of a text is two words: its folded letters, and
 (case, symbols at its end, length, whether it repeats the piece before).  Words hash to
 rows.  Every word has a fixed sparse random index vector; a word's vector is the sum of
 the index vectors around it over all documents (a pass over the whole corpus whose partial
-sums, one matrix a task, are added up in two levels), scaled by its count, next to its own
+sums, one matrix a task, are added up FAN_IN at a time), scaled by its count, next to its own
 index vector.  A document is the mean of its words' vectors and of their squares, with its
 length.  A network of two layers follows, trained in numpy; rows held back from that set
 a temperature for its probabilities.
@@ -117,22 +117,36 @@ def _sum_matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for _, texts in at.slices(batch):
             contexts(texts, out, seen)
     own = np.concatenate((out, seen[:, None]), 1)
-    part = TaskContext.get().partitionId() // FAN_IN
     if seen.any():
         blocks = np.split(own, BLOCKS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(BLOCKS, part)), pa.array(np.arange(BLOCKS)), pa.array([b.astype("<f8").tobytes() for b in blocks], pa.binary())], names=["part", "block", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(BLOCKS, TaskContext.get().partitionId())), pa.array(np.arange(BLOCKS)), pa.array([b.astype("<f8").tobytes() for b in blocks], pa.binary())], names=["part", "block", "sums"])
 
 
-def _add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_buffer(), "<f8") for x in table.column("sums"))
-    return pa.table({"part": [table.column("part")[0].as_py()], "block": [key[-1].as_py()], "sums": pa.array([total.tobytes()], pa.binary())})
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (part, block) -> one a (part, block): added up one by one, a block of a matrix at a time."""
+    now, total = None, None
+    made = lambda: pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.array([now[1]]), pa.array([total.tobytes()], pa.binary())], names=["part", "block", "sums"])
+    for batch in batches:
+        for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            own = np.frombuffer(batch.column(2)[i].as_buffer(), "<f8")
+            if key != now and now is not None:
+                yield made()
+            now, total = key, own.copy() if key != now else total + own
+    if now is not None:
+        yield made()
 
 
 def word_vectors(docs: DataFrame, *, text: str = "text") -> np.ndarray:
     """ROWS vectors of 2 * WIDTH: the mean surroundings of a word over all documents, and its own index vector."""
     schema = "part long, block long, sums binary"
     sums = docs.select(F.col(text).alias("text")).mapInArrow(_sum_matrices, schema)
-    sums = sums.groupBy("part", "block").applyInArrow(_add, schema).groupBy("block").applyInArrow(_add, schema)
+    parts = max(1, docs.rdd.getNumPartitions())
+    while True:  # FAN_IN matrices at most are one task's, whatever the number of tasks
+        parts = -(-parts // FAN_IN)
+        near = sums.withColumn("part", F.floor(F.col("part") / FAN_IN)).repartition("part", "block").sortWithinPartitions("part", "block")
+        sums = near.mapInArrow(_add, schema)
+        if parts == 1:
+            break
     got = sorted((r["block"], r["sums"]) for r in sums.collect())  # BLOCKS rows, one matrix in all
     out = np.zeros((ROWS, WIDTH + 1))
     for block, raw in got:
@@ -200,17 +214,17 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, vectors: np.ndarray,
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", modulus: int = 5, remainder: int = 0, per_label: int = PER_LABEL, text: str = "text", id_column: str = "doc_id") -> Network:
     vectors = word_vectors(docs, text=text)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
-    rows, weights = labelled(docs, labels, label, modulus, remainder, per_label, text, id_column)
+    rows = labelled(docs, labels, label, modulus, remainder, per_label, text, id_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in at.slices(batch):
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array([r.tobytes() for r in pool(texts, shared.value)], pa.binary())], names=["label", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array([r.tobytes() for r in pool(texts, shared.value)], pa.binary())], names=["label", "weight", "x"])
 
-    got = rows.mapInArrow(run, "label int, x binary").toPandas().sort_values(["label", "x"], kind="stable")  # the bounded sample
+    got = rows.mapInArrow(run, "label int, weight double, x binary").toPandas().sort_values(["label", "x"], kind="stable")  # the bounded sample, one vector a row
     y = got["label"].to_numpy(float)
     x = np.array([np.frombuffer(r, float) for r in got["x"]]).reshape(len(y), -1) if len(y) else np.zeros((0, 6 * WIDTH + 1))
-    return train(x, y, np.array([weights[int(k)] for k in y]), vectors)
+    return train(x, y, got["weight"].to_numpy(float), vectors)
 
 
 def score(docs: DataFrame, net: Network, *, threshold: float = 0.3, modulus: int = 5, remainder: int = 0, text: str = "text", id_column: str = "doc_id") -> DataFrame:

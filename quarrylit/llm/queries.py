@@ -42,7 +42,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return langid.predict(docs, langid.fit(docs)).drop("rejected")
+    return langid.predict(docs, langid.fit(docs))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

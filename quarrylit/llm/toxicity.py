@@ -1,15 +1,20 @@
 """Toxicity: a factorization machine over hashed terms.
 
 Terms are the text's lower-cased words and the words' beginnings of 4 to 6 bytes, as
-64-bit hashes.  Of the sample's terms those that depend on the label most (chi-square)
-are kept; the machine learns a weight for each and, through factors, one for each pair of
-them, so that two terms can mean together what neither does alone.  Scoring reads whole
-texts row by row; the model is a table of at most TERMS rows.
+64-bit hashes.  The machine's terms are those of the sample that tell something: by themselves
+(a chi-square beyond what chance gives the best of so many terms), or in a pair whose share of
+label 1 is beyond what its two terms add up to; pairs are looked for among the PAIRED terms that
+most documents have, however little each says alone.  The machine learns a weight for each term
+and, through factors, one for each pair of them, so that two terms can mean together what neither
+does alone.  Scoring reads whole texts row by row; the model is a table of at most TERMS rows.
 
-Fitted on a bounded sample of labelled rows (SAMPLE of each label).
+Fitted on a bounded sample of labelled rows (SAMPLE of each label).  Terms are counted by
+Spark; the driver gets the sample's rows as numbers of known terms.
 
 Defined cases: a null or empty text has no terms and gets the base rate's score; without
-labels of both kinds every score is the share of label 1 (0.5 without any label).
+labels of both kinds every score is the share of label 1 (0.5 without any label); rows that
+repeat are scored alike; a null id is never learned from and not held out; columns beside the
+text and id don't matter.
 """
 
 from __future__ import annotations
@@ -24,13 +29,21 @@ from pyspark.sql import types as T
 
 from . import arrowtext as at
 from .learn import adam, held_out, labelled, sigmoid
+from .shared import kept
 
 TERMS = 4096
 FACTORS = 8
-#: Rows of each label to fit on: their terms are what the driver holds.
-SAMPLE = 2500
-LEAST_DOCUMENTS = 4
+#: Rows of each label to fit on.
+SAMPLE = 4000
+#: A term of fewer documents of the sample tells nothing that lasts.
+LEAST_DOCUMENTS = 2
 PREFIXES = (4, 5, 6)
+#: A chi-square counts that is over CHANCE times the logarithm of how many there are; pairs are of so many terms.
+CHANCE, PAIRED = 2.0, 1024
+#: So many of the best terms are taken in any case: a small sample has none beyond chance.
+BEST = 32
+#: Decay of weights and of factors, and passes over the sample.
+W_DECAY, V_DECAY, EPOCHS = 1e-4, 2e-2, 30
 
 
 def terms(texts: at.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -77,38 +90,70 @@ class Machine:
         return sigmoid(self.logits(owner[row >= 0], row[row >= 0], texts.n))
 
 
-def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, label, weight) -> (term, documents, those of label 1), added up in the task's slices."""
     for batch in batches:
         for rows, texts in at.slices(batch):
             owner, term = terms(texts)
-            bounds = np.searchsorted(owner, np.arange(texts.n + 1))
-            yield pa.RecordBatch.from_arrays([rows.column(1), pa.array([term[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], names=["label", "terms"])
-
-
-def fit_terms(y: np.ndarray, per_row: list[np.ndarray], weight: np.ndarray, *, most: int = TERMS, factors: int = FACTORS, seed: int = 11) -> Machine:
-    """The machine of rows with labels y, their terms and weights."""
+            y = rows.column(1).to_numpy()[owner]
+            known, back, df = np.unique(term, return_inverse=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(df, pa.int64()), pa.array(np.bincount(back, y, len(known)).astype(np.int64))], names=["term", "df", "positive"])
+
+
+def candidate_terms(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """In order, terms that the machine may know, and whether each tells something by itself."""
+    n, p = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not 0 < p < n:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    counts = rows.mapInArrow(_count_terms, "term long, df long, positive long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("positive").alias("positive"))
+    expected = F.col("df") * F.lit(p / n)
+    chi = F.pow(F.col("positive") - expected, 2) / F.greatest(expected * F.lit(1 - p / n) * (1 - F.col("df") / F.lit(n + 1)), F.lit(1e-9))
+    counts = kept(counts.where(F.col("df") >= LEAST_DOCUMENTS).select("term", "df", chi.alias("chi")), "terms")
+    chance = CHANCE * np.log(max(2, counts.count()))
+    best = counts.orderBy(F.desc("chi"), "term")
+    telling = best.where(F.col("chi") > float(chance)).limit(most).union(best.limit(BEST)).select("term", F.lit(True).alias("telling"))
+    frequent = counts.orderBy(F.desc("df"), "term").limit(PAIRED).select("term", F.lit(False).alias("telling"))
+    got = telling.union(frequent).groupBy("term").agg(F.max("telling").alias("telling")).toPandas()  # at most TERMS + BEST + PAIRED rows
+    term = got["term"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(term)
+    return term[order], got["telling"].to_numpy(bool)[order]
+
+
+def in_pairs(y: np.ndarray, per_row: list[np.ndarray], among: np.ndarray, n: int) -> np.ndarray:
+    """Of n terms, whether each tells something in a pair of the ones that are looked `among`."""
+    place = np.full(n, -1)
+    place[among] = np.arange(len(among))
+    has = np.zeros((len(y), len(among)), np.float32)
+    for i, x in enumerate(per_row):
+        own = place[x]
+        has[i, own[own >= 0]] = 1
+    both, bad = has.T @ has, has[y > 0].T @ has[y > 0]
+    base = y.mean()
+    share = (np.diag(bad) + base) / (np.diag(both) + 1)
+    added = np.clip(share[:, None] + share[None, :] - base, 0.02, 0.98)
+    beyond = (bad - both * added) ** 2 / np.maximum(both * added * (1 - added), 1e-9)
+    chance = CHANCE * np.log(max(2.0, len(among) ** 2 / 2))
+    told = (both >= LEAST_DOCUMENTS) & (beyond > chance)
+    np.fill_diagonal(told, False)
+    out = np.zeros(n, bool)
+    out[among[told.any(1)]] = True
+    return out
+
+
+def fit_rows(y: np.ndarray, per_row: list[np.ndarray], weight: np.ndarray, known: np.ndarray, telling: np.ndarray, *, factors: int = FACTORS, seed: int = 11) -> Machine:
+    """The machine of rows with labels y, weights, and the numbers of the known terms that each has."""
     prior = float(np.average(y, weights=weight)) if len(y) else 0.5
     bias = float(np.log((prior + 1e-3) / (1 - prior + 1e-3)))
-    empty = Machine(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), bias)
-    if not len(y) or y.min() == y.max():
-        return empty
-    owner = np.repeat(np.arange(len(y)), [len(x) for x in per_row])
-    flat = np.concatenate(per_row)
-    known, back, df = np.unique(flat, return_inverse=True, return_counts=True)
-    pos = np.bincount(back, y[owner], len(known))
-    n, p = len(y), y.sum()
-    expected = df * p / n
-    chi = (pos - expected) ** 2 / np.maximum(expected * (1 - p / n) * (1 - df / (n + 1)), 1e-9)
-    best = np.flatnonzero((df >= LEAST_DOCUMENTS) & (chi > 40))
-    best = np.sort(best[np.argsort(-chi[best], kind="stable")][:most])
-    if not len(best):
-        return empty
-    machine = Machine(known[best], np.zeros(len(best)), np.random.default_rng(seed).normal(0, 0.01, (len(best), factors)), bias)
-    place = np.full(len(known), -1)
-    place[best] = np.arange(len(best))
-    row = place[back]
-    owner, row = owner[row >= 0], row[row >= 0]
-    start = np.searchsorted(owner, np.arange(len(y) + 1))
+    if not len(known) or not len(y) or y.min() == y.max():
+        return Machine(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), bias)
+    keep = telling | in_pairs(y, per_row, np.flatnonzero(~telling), len(known)) if not telling.all() else telling
+    place = np.where(keep, np.cumsum(keep) - 1, -1)
+    known, per_row = known[keep], [own[own >= 0] for own in (place[x] for x in per_row)]
+    if not len(known):
+        return Machine(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), bias)
+    machine = Machine(known, np.zeros(len(known)), np.random.default_rng(seed).normal(0, 0.01, (len(known), factors)), bias)
+    row = np.concatenate(per_row).astype(np.int64)
+    start = np.concatenate(([0], np.cumsum([len(x) for x in per_row])))
     constant = np.array([bias])
     weight = weight / weight.mean()
 
@@ -118,24 +163,36 @@ def fit_terms(y: np.ndarray, per_row: list[np.ndarray], weight: np.ndarray, *, m
         r = row[np.repeat(start[rows] - np.cumsum(size) + size, size) + np.arange(size.sum())]
         machine.bias = float(constant[0])
         error = (sigmoid(machine.logits(own, r, len(rows))) - y[rows]) * weight[rows] / len(rows)
-        gw = np.bincount(r, error[own], len(machine.w)) + 2e-5 * machine.w
+        gw = np.bincount(r, error[own], len(machine.w)) + W_DECAY * machine.w
         gv = np.empty_like(machine.v)
         for k, f in enumerate(machine.v.T):
             s = np.bincount(own, f[r], len(rows))
-            gv[:, k] = np.bincount(r, error[own] * (s[own] - f[r]), len(machine.w)) + 2e-2 * f
+            gv[:, k] = np.bincount(r, error[own] * (s[own] - f[r]), len(machine.w)) + V_DECAY * f
         return [gw, gv, np.array([error.sum()])]
 
-    adam([machine.w, machine.v, constant], gradients, len(y), epochs=30, batch=64, rate=0.05)
+    adam([machine.w, machine.v, constant], gradients, len(y), epochs=EPOCHS, batch=64, rate=0.05)
     machine.bias = float(constant[0])
     return machine
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", modulus: int = 3, remainder: int = 1, per_label: int = SAMPLE, text: str = "text", id_column: str = "doc_id") -> Machine:
-    rows, weights = labelled(docs, labels, label, modulus, remainder, per_label, text, id_column)
-    got = rows.mapInArrow(_sample_terms, "label int, terms binary").toPandas()  # the bounded sample
+def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", modulus: int = 3, remainder: int = 1, per_label: int = SAMPLE, most: int = TERMS, text: str = "text", id_column: str = "doc_id") -> Machine:
+    rows = labelled(docs, labels, label, modulus, remainder, per_label, text, id_column)
+    known, telling = candidate_terms(rows, most)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in at.slices(batch):
+                owner, term = terms(texts)
+                i = np.minimum(np.searchsorted(shared.value, term), max(0, len(shared.value) - 1))
+                there = shared.value[i] == term if len(shared.value) else np.zeros(len(term), bool)
+                owner, i = owner[there], i[there].astype("<u2")
+                bounds = np.searchsorted(owner, np.arange(texts.n + 1))
+                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array([i[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], names=["label", "weight", "terms"])
+
+    got = rows.mapInArrow(run, "label int, weight double, terms binary").toPandas()  # the bounded sample: at most TERMS numbers of 2 bytes a row
     got = got.sort_values(["label", "terms"], kind="stable")
-    y = got["label"].to_numpy(float)
-    return fit_terms(y, [np.frombuffer(x, np.uint64) for x in got["terms"]], np.array([weights[int(k)] for k in y]))
+    return fit_rows(got["label"].to_numpy(float), [np.frombuffer(x, "<u2") for x in got["terms"]], got["weight"].to_numpy(float), known, telling)
 
 
 def score(docs: DataFrame, model: Machine, *, threshold: float = 0.7, modulus: int = 3, remainder: int = 1, text: str = "text", id_column: str = "doc_id") -> DataFrame:
