@@ -6,9 +6,11 @@ window, hits of the set are verified word by word, and the words inside verified
 windows are marked.  Documents stream through row by row: no shuffle.
 
 The set is broadcast in blocks of at most ``block_bytes`` of benchmark text, whose size
-is computed before anything is sent.  With several blocks, marks are carried from block
-to block in two hidden columns, over a table in the shared folder, so that any benchmark
-size gives whole results.
+is computed before anything is sent.  With one block a text is read once and judged there.
+With several, each block's pass over the texts gives only those that it hits, as a digest of
+the text, packed bits of its hit words and the items; these rows are brought together by the
+digest, so that no text moves or is written between blocks and any benchmark size gives
+whole results.
 
 Defined cases: a null or word-less text has no words and is clean; a null benchmark text
 has no windows; a null item_id is written as the empty string, items that share an id are
@@ -32,7 +34,7 @@ from .shared import kept
 WINDOW = 13
 #: Most benchmark text that one broadcast holds (its hash set takes about 20 times that).
 BLOCK_BYTES = 4 << 20
-_BITS, _ITEMS = "__decon_bits", "__decon_items"
+_KEY, _BITS, _ITEMS = "__decon_key", "__decon_bits", "__decon_items"
 
 
 class WindowSet:
@@ -83,71 +85,104 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) ->
     return [sized]
 
 
-def _marks(batches: Iterator[pa.RecordBatch], text: str, windows, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    found = windows.value
+def _marks(texts: at.Texts, words: at.Words, found: WindowSet) -> tuple[np.ndarray, list[set[str]]]:
+    """Which words are hit, and each text's items."""
+    turn = np.zeros(len(words) + 1, np.int64)
+    items: list[set[str]] = [set() for _ in range(texts.n)]
+    for first, n, item in found.hits(words):
+        turn[first] += 1
+        turn[first + n] -= 1
+        items[words.owner[first]].add(found.ids[item])
+    return np.cumsum(turn[:-1]) > 0, items
+
+
+_REPORT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def _digest(items: set[str] | list[str]) -> str:
+    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+
+
+def _judged(rows: pa.RecordBatch, texts: at.Texts, words: at.Words, hit: np.ndarray, items: list, mode: str, share: int, text: str) -> pa.RecordBatch:
+    """What the mode makes of rows: report columns beside theirs, rows that stay, or texts without their hit words."""
+    total = np.concatenate(([0], np.cumsum(hit)))
+    n_hit = total[words.bounds[1:]] - total[words.bounds[:-1]]
+    bad = (n_hit > 0) & (share * n_hit >= words.count)
+    if mode == "documents":
+        return rows.filter(pa.array(~bad))
+    if mode == "spans":
+        out = rows.column(rows.schema.get_field_index(text)).to_pylist()
+        for i in np.flatnonzero(n_hit).tolist():
+            out[i] = _without(texts, words, i, hit[words.bounds[i] : words.bounds[i + 1]])
+        return rows.set_column(rows.schema.get_field_index(text), text, pa.array(out, pa.string()))
+    own = [rows.column(0), pa.array(words.count, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([_digest(x) for x in items], pa.string()), pa.array(bad)]
+    return pa.RecordBatch.from_arrays(own, names=[rows.schema.names[0], *_REPORT])
+
+
+def _one_pass(batches: Iterator[pa.RecordBatch], text: str, windows, mode: str, share: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, texts in at.slices(batch, text):
             words = at.Words(texts, at.ALNUM_LOWER)
-            turn = np.zeros(len(words) + 1, np.int64)
-            items: list[set[str]] = [set() for _ in range(texts.n)]
-            for first, n, item in found.hits(words):
-                turn[first] += 1
-                turn[first + n] -= 1
-                items[words.owner[first]].add(found.ids[item])
-            hit = np.cumsum(turn[:-1]) > 0
-            bits = []
-            had = rows.column(rows.schema.get_field_index(_BITS)) if _BITS in rows.schema.names else None
-            for i in range(texts.n):
-                own = hit[words.bounds[i] : words.bounds[i + 1]]
-                if had is not None and had[i].as_py():
-                    own = own | np.unpackbits(np.frombuffer(had[i].as_py(), np.uint8), count=len(own)).astype(bool)
-                bits.append(np.packbits(own).tobytes() if own.any() else b"")
-            if had is not None:
-                before = rows.column(rows.schema.get_field_index(_ITEMS)).to_pylist()
-                items = [x | set(y) for x, y in zip(items, before, strict=True)]
-            plain = [c for name, c in zip(rows.schema.names, rows.columns, strict=True) if name not in (_BITS, _ITEMS)]
-            yield pa.RecordBatch.from_arrays([*plain, pa.array(bits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], names=[*(n for n in rows.schema.names if n not in (_BITS, _ITEMS)), _BITS, _ITEMS])
-
-
-def mark(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents with two hidden columns: packed bits of hit words, and the ids of the items found."""
-    out = docs
-    blocks = _blocks(benchmark, item_id, item_text, block_bytes)
-    for i, block in enumerate(blocks):
+            yield _judged(rows, texts, words, *_marks(texts, words, windows.value), mode, share, text)
+
+
+def _hit_texts(batches: Iterator[pa.RecordBatch], windows) -> Iterator[pa.RecordBatch]:
+    """Texts -> (digest, number of words, packed bits of hit words, items) of those that the block hits."""
+    for batch in batches:
+        for _, texts in at.slices(batch, "text"):
+            words = at.Words(texts, at.ALNUM_LOWER)
+            hit, items = _marks(texts, words, windows.value)
+            out = [
+                (hashlib.md5(texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes()).hexdigest(), int(words.count[i]), np.packbits(hit[words.bounds[i] : words.bounds[i + 1]]).tobytes(), sorted(items[i]))
+                for i in range(texts.n)
+                if items[i]
+            ]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.binary(), pa.list_(pa.string())), strict=True)], names=[_KEY, "n", _BITS, _ITEMS])
+
+
+def _any_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, n, list of bits, items) -> (digest, n, bits, n_hit, items)."""
+    for batch in batches:
+        bits = [np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in own]) for own in batch.column(2).to_pylist()]
+        n_hit = [int(np.bitwise_count(x).sum()) for x in bits]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(n_hit, pa.int64()), batch.column(3)], names=[_KEY, "n", _BITS, "n_hit", _ITEMS])
+
+
+def _hit_by_any(docs: DataFrame, blocks: list, text: str) -> DataFrame:
+    """A row for each different text that any block hits.  A text has a row a block at most."""
+    items = T.ArrayType(T.StringType())
+    schema = T.StructType().add(_KEY, "string").add("n", "long").add(_BITS, "binary").add(_ITEMS, items)
+    found = None
+    for windows in blocks:
+        own = kept(docs.select(F.col(text).alias("text")).where("text is not null").mapInArrow(lambda it, w=windows: _hit_texts(it, w), schema), "hits")
+        found = own if found is None else found.unionByName(own)
+    whole = found.groupBy(_KEY).agg(F.min("n").alias("n"), F.collect_set(_BITS).alias("all"), F.array_distinct(F.flatten(F.collect_set(_ITEMS))).alias(_ITEMS))
+    return kept(whole.select(_KEY, "n", "all", _ITEMS).mapInArrow(_any_of, T.StructType().add(_KEY, "string").add("n", "long").add(_BITS, "binary").add("n_hit", "long").add(_ITEMS, items)), "hits")
+
+
+def _windows(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, width: int, block_bytes: int):
+    """The broadcast windows of each block, one after the other."""
+    for block in _blocks(benchmark, item_id, item_text, block_bytes):
         rows = block.collect()  # within block_bytes
-        windows = docs.sparkSession.sparkContext.broadcast(WindowSet([r["id"] for r in rows], [r["text"] for r in rows], width))
-        schema = T.StructType([f for f in out.schema if f.name not in (_BITS, _ITEMS)]).add(_BITS, "binary").add(_ITEMS, T.ArrayType(T.StringType()))
-        out = out.mapInArrow(lambda it, w=windows: _marks(it, text, w, None), schema)
-        if i + 1 < len(blocks):
-            out = kept(out, "decontaminate")
-    return out
+        yield docs.sparkSession.sparkContext.broadcast(WindowSet([r["id"] for r in rows], [r["text"] for r in rows], width))
 
 
-def _finish(batches: Iterator[pa.RecordBatch], text: str, mode: str, share: int) -> Iterator[pa.RecordBatch]:
+def _count_words(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, texts in at.slices(batch, text):
-            words = at.Words(texts, at.ALNUM_LOWER)
-            bits, items = (rows.column(rows.schema.get_field_index(c)).to_pylist() for c in (_BITS, _ITEMS))
-            n_hit = np.zeros(texts.n, np.int64)
-            texts_out = rows.column(rows.schema.get_field_index(text)).to_pylist() if mode == "spans" else None
-            for i, b in enumerate(bits):
-                if b:
-                    own = np.unpackbits(np.frombuffer(b, np.uint8), count=int(words.count[i])).astype(bool)
-                    n_hit[i] = own.sum()
-                    if mode == "spans":
-                        texts_out[i] = _without(texts, words, i, own)
-            bad = (n_hit > 0) & (share * n_hit >= words.count)
-            plain = rows.select([n for n in rows.schema.names if n not in (_BITS, _ITEMS)])
-            if mode == "documents":
-                yield plain.filter(pa.array(~bad))
-            elif mode == "spans":
-                yield plain.set_column(plain.schema.get_field_index(text), text, pa.array(texts_out, pa.string()))
-            else:
-                digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
-                yield pa.RecordBatch.from_arrays([*plain.columns, pa.array(words.count, pa.int64()), pa.array(n_hit), pa.array([len(x) for x in items], pa.int64()), pa.array(digest), pa.array(bad)], names=[*plain.schema.names, *_REPORT])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array(at.Words(texts, at.ALNUM_LOWER).count, pa.int64())], names=[rows.schema.names[0], _KEY, "n_words"])
 
 
-_REPORT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+def _apply(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Rows with the bits of their hit words -> rows without these words."""
+    for batch in batches:
+        for rows, texts in at.slices(batch, text):
+            words = at.Words(texts, at.ALNUM_LOWER)
+            bits = rows.column(rows.schema.get_field_index(_BITS)).to_pylist()
+            own = [np.unpackbits(np.frombuffer(b, np.uint8), count=int(n)).astype(bool) if b else np.zeros(int(n), bool) for b, n in zip(bits, words.count, strict=True)]
+            plain = rows.select([n for n in rows.schema.names if n not in (_KEY, _BITS)])
+            yield _judged(plain, texts, words, np.concatenate([np.zeros(0, bool), *own]), [], "spans", 1, text)
 
 
 def _without(texts: at.Texts, words: at.Words, i: int, hit: np.ndarray) -> str:
@@ -162,18 +197,32 @@ def _without(texts: at.Texts, words: at.Words, i: int, hit: np.ndarray) -> str:
     return b"".join([*out, raw[last:]]).decode("utf-8", "replace")
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, *, share: int = 20, text: str = "text", id_column: str = "doc_id", **options) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, *, share: int = 20, text: str = "text", id_column: str = "doc_id", item_id: str = "item_id", item_text: str = "text", width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated (a share-th of its words or more is hit)."""
-    marked = mark(docs.select(id_column, text), benchmark, text=text, **options)
-    schema = T.StructType([docs.schema[id_column], docs.schema[text]])
+    schema = T.StructType([docs.schema[id_column]])
     for name, kind in zip(_REPORT, ("long", "long", "long", "string", "boolean"), strict=True):
         schema = schema.add(name, kind)
-    return marked.mapInArrow(lambda it: _finish(it, text, "report", share), schema).drop(text)
-
-
-def remove(docs: DataFrame, benchmark: DataFrame, *, what: str = "documents", share: int = 20, text: str = "text", **options) -> DataFrame:
+    blocks = list(_windows(docs, benchmark, item_id, item_text, width, block_bytes))
+    rows = docs.select(id_column, text)
+    if len(blocks) == 1:
+        return rows.mapInArrow(lambda it: _one_pass(it, text, blocks[0], "report", share), schema)
+    found = _hit_by_any(docs, blocks, text).select(_KEY, "n_hit", _ITEMS)
+    counted = rows.withColumn(_KEY, F.md5(F.col(text).cast("binary"))).mapInArrow(lambda it: _count_words(it, text), T.StructType([docs.schema[id_column]]).add(_KEY, "string").add("n_words", "long"))
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    items = F.array_sort(F.coalesce(_ITEMS, F.array().cast("array<string>")))
+    bad = (n_hit > 0) & (share * n_hit >= F.col("n_words"))
+    return counted.join(found, _KEY, "left").select(id_column, "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), bad.alias("contaminated"))
+
+
+def remove(docs: DataFrame, benchmark: DataFrame, *, what: str = "documents", share: int = 20, text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents without the contaminated ones (what="documents"), or all of them without the hit words (what="spans")."""
     if what not in ("documents", "spans"):
         raise ValueError("what is 'documents' or 'spans'")
-    marked = mark(docs, benchmark, text=text, **options)
-    return marked.mapInArrow(lambda it: _finish(it, text, what, share), docs.schema)
+    blocks = list(_windows(docs, benchmark, item_id, item_text, width, block_bytes))
+    if len(blocks) == 1:
+        return docs.mapInArrow(lambda it: _one_pass(it, text, blocks[0], what, share), docs.schema)
+    found = _hit_by_any(docs, blocks, text)
+    keyed = docs.withColumn(_KEY, F.md5(F.col(text).cast("binary")))
+    if what == "documents":
+        return keyed.join(found.where((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n"))).select(_KEY), _KEY, "left_anti").select(*docs.columns)
+    return keyed.join(found.select(_KEY, _BITS), _KEY, "left").select(*docs.columns, _KEY, _BITS).mapInArrow(lambda it: _apply(it, text), docs.schema)

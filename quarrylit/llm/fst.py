@@ -390,7 +390,7 @@ def counter(path: str) -> Counter:
 
 
 #: Pre-tokens that a worker remembers the counts of, by their bytes: only a matter of speed.
-MOST = 300_000
+MOST = 150_000
 
 
 @lru_cache(2)

@@ -64,8 +64,8 @@ class Rule:
     width: int = 3
     share: int = 90
     over: int = 100
-    #: Fragments of a set that verification counts separately.
-    fragments: int = 4
+    #: Fragments of a set that verification counts separately: a long set's are small rows.
+    fragments: int = 16
     #: Sets of a block when a group is gone through pair by pair.
     block: int = 512
 

@@ -58,7 +58,7 @@ class Encoder:
     Pieces of ASCII and Latin-1 letters go straight to its BPE model; others to the whole tokenizer.
     At most MOST pieces are remembered, by their bytes; that bounds memory and changes no result."""
 
-    MOST = 300_000
+    MOST = 150_000
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     #: Fixed: the tokenizer file's splitting pattern.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
