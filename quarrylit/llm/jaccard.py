@@ -19,8 +19,10 @@ global order.  It is cut into fragments, and a set into one segment for each fra
    of this, each with another order, leave few groups with sets of several components.
 4. The rest.  Groups whose sets are still in several components are gone through pair by
    pair, in blocks of bounded size: a pair of one component needs no look, of others the
-   sketches bound the overlap, and only pairs that may be linked go on to be verified.
-   No link is lost, and a group of near copies makes no square of rows.
+   sketches bound the overlap, and only pairs that may be linked go on to be verified.  A first
+   pass verifies only the likeliest pair of each set with each other component, so that few are
+   left for the second, which takes them all.  No link is lost, and a group of near copies makes
+   no square of rows.
 5. Verification counts the overlap of each fragment separately and sums it per pair.
    Every set moves once for each pair it is in, cut into segments.
 
@@ -64,8 +66,8 @@ class Rule:
     width: int = 3
     share: int = 90
     over: int = 100
-    #: Fragments of a set that verification counts separately: a long set's are small rows.
-    fragments: int = 16
+    #: Fragments of a set that verification counts separately.
+    fragments: int = 4
     #: Sets of a block when a group is gone through pair by pair.
     block: int = 512
 
@@ -203,7 +205,7 @@ class _Once:
 
 
 #: Rounds of comparing sets with hubs.
-ROUNDS = 3
+ROUNDS = 2
 #: Sampled shingles that a task holds before it hands them out, and about how many a fragment has.
 HELD = 1 << 19
 FRAGMENT = 1 << 19
@@ -400,7 +402,7 @@ def _likely(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
 
 
-def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule, likeliest: bool) -> Iterator[pa.RecordBatch]:
     """Sorted rows (key, i, j, place, sid, n, component, sketch, earlier) of blocks -> pairs that may be linked.
 
     A pair comes out of the first open group that has both: no other one, of a lesser key, is among both sets' earlier ones."""
@@ -409,15 +411,15 @@ def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Re
     for batch in batches:
         for *now, place, sid, n, component, bits, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if now != key and held:
-                yield from _block_pairs(key, held, rule)
+                yield from _block_pairs(key, held, rule, likeliest)
                 held = []
             key = now
             held.append((place, sid, n, component, np.frombuffer(bits, np.uint8), frozenset(k for k in keys if k < now[0])))
     if held:
-        yield from _block_pairs(key, held, rule)
+        yield from _block_pairs(key, held, rule, likeliest)
 
 
-def _block_pairs(key: list, held: list[tuple], rule: Rule) -> Iterator[pa.RecordBatch]:
+def _block_pairs(key: list, held: list[tuple], rule: Rule, likeliest: bool) -> Iterator[pa.RecordBatch]:
     _, i, j = key
     held.sort(key=lambda h: h[1])
     sid = [h[1] for h in held]
@@ -433,11 +435,18 @@ def _block_pairs(key: list, held: list[tuple], rule: Rule) -> Iterator[pa.Record
         may = (own == j) & (component != component[x]) & (rule.over * np.minimum(n, n[x]) >= rule.share * np.maximum(n, n[x]))
         if i == j:
             may[: x + 1] = False
+        near: dict[int, tuple[float, int]] = {}
         for w in maps:
             y = np.flatnonzero(may & (widths == w))
             if len(y):
-                near = y[rule.linked(_bound(held[x][4], n[x], maps[w][place[y]], n[y]), n[x], n[y])].tolist()
-                out += [(sid[min(x, z)], sid[max(x, z)]) for z in near if held[x][5].isdisjoint(held[z][5])]
+                bound = _bound(held[x][4], n[x], maps[w][place[y]], n[y])
+                fit = rule.linked(bound, n[x], n[y])
+                for z, o in zip(y[fit].tolist(), bound[fit].tolist(), strict=True):
+                    if held[x][5].isdisjoint(held[z][5]):
+                        share = o / (n[x] + n[z] - o)
+                        to = component[z] if likeliest else z
+                        near[to] = max(near.get(to, (0.0, 0)), (share, z))
+        out += [(sid[min(x, z)], sid[max(x, z)]) for _, z in near.values()]
     if out:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["a", "b"])
 
@@ -458,8 +467,8 @@ def _stars(groups: DataFrame, components: DataFrame, salt: int) -> DataFrame:
     return few.select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
 
 
-def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of different components that share a group and may be linked."""
+def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: Rule, likeliest: bool) -> DataFrame:
+    """Pairs of different components that share a group and may be linked: all, or a block's likeliest one of a set and a component."""
     rows = _with_components(groups, components)
     open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("key", F.ceil(F.col("members") / F.lit(rule.block)).cast("int").alias("blocks"))
     rows = kept(rows.join(open_, "key"), "open")
@@ -471,7 +480,7 @@ def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: R
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("key", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "sid", "n", "component", "sketch", "keys")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(lambda it: _rest_pairs(it, rule), "a binary, b binary").distinct()
+    return rows.mapInArrow(lambda it: _rest_pairs(it, rule, likeliest), "a binary, b binary").distinct()
 
 
 def components(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -506,7 +515,9 @@ def _set_components(docs: DataFrame, sets: DataFrame, rule: Rule, text: str, id_
         both = _stars(groups, found, salt).join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
         stars = kept(both.mapInArrow(lambda it: _likely(it, rule), "a binary, b binary"), "stars")
         found = _merged(found, verified(stars, tokens, rule))
-    return _merged(found, verified(kept(_rest(groups, sketches, found, rule), "pairs"), tokens, rule))
+    for likeliest in (True, False):
+        found = _merged(found, verified(kept(_rest(groups, sketches, found, rule, likeliest), "pairs"), tokens, rule))
+    return found
 
 
 def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
