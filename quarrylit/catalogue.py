@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylit.functions import fields, text
-from quarrylit.operators import geometry, jsons, layout, linkage, screening, usage, validate
+from quarrylit.operators import figures, geometry, jsons, layout, linkage, records, screening, usage, validate
 from quarrylit.plans import report
 from quarrylit.plans.corpus import ORACLE as CORPUS
 from quarrylit.plans.corpus import corpus
@@ -312,9 +312,22 @@ def space_group_check(spark, sf_dir):
     return rows.select("p_partkey", "status", validate.post_check(F.lit("supported"), [F.col("status") == "CONTRADICTION", F.col("status") == "error"]).alias("verdict"))
 
 
-@query("SELECT p_type, CASE WHEN lower(p_type) IN ('cubic') THEN 'cubic' ELSE '' END AS system, count(*) AS n FROM part GROUP BY 1, 2")
+_STRUCTURES = ("FCC structure", "hexagonal close-packed", "Rock-salt  phase", "tetragonal (rutile)", "Simple Cubic", "no such Thing", "spinel type", "distorted body-centred cubic", "", "monoclinic distortion of perovskite")
+_NAMED = ("cubic", "hexagonal", "cubic", "tetragonal", "cubic", "no such thing", "cubic", "cubic", "", "monoclinic")
+
+
+@query(f"SELECT p_partkey, {list(_NAMED)}[cast(p_partkey % 10 AS INTEGER) + 1] AS system, {list(_NAMED)}[cast(p_size % 10 AS INTEGER) + 1] AS other FROM part")
 def structure_word_system(spark, sf_dir):
-    return _table(spark, sf_dir, "part").groupBy("p_type", validate.normal_system(F.col("p_type")).alias("system")).agg(F.count("*").alias("n"))
+    words = F.array(*(F.lit(w) for w in _STRUCTURES))
+    named = lambda c: validate.normal_system(words[(F.col(c) % 10).cast("int")])
+    return _table(spark, sf_dir, "part").select("p_partkey", named("p_partkey").alias("system"), named("p_size").alias("other"))
+
+
+@query(f"WITH p AS (SELECT p_partkey, [x FOR x IN [{list(_NAMED)}[cast(p_partkey % 10 AS INTEGER) + 1], {list(_NAMED)}[cast(p_size % 10 AS INTEGER) + 1]] IF x <> ''] AS s FROM part) SELECT p_partkey, array_to_string(CASE WHEN len(s) = 2 AND s[1] = s[2] THEN [s[1]] ELSE s END, '|') AS systems FROM p")
+def systems_of_values(spark, sf_dir):
+    words = F.array(*(F.lit(w) for w in _STRUCTURES))
+    both = F.array(*(words[(F.col(c) % 10).cast("int")] for c in ("p_partkey", "p_size")))
+    return _table(spark, sf_dir, "part").select("p_partkey", F.array_join(validate.systems_of(both), "|").alias("systems"))
 
 
 # ---- records ----------------------------------------------------------------------------------------------
@@ -450,23 +463,37 @@ def vector_regions(spark, sf_dir):
     return geometry.vector_regions(_boxes(spark, sf_dir), width=70.0, height=90.0, cells=90, least=4, pad=1.0, most=0.9)
 
 
-_CAPTION_SQL = "blocks AS (SELECT l_orderkey AS doc_id, 1 AS page, l_linenumber * 1000000 + l_partkey AS block_no, l_quantity * 10 AS y0, concat(CASE WHEN l_linestatus = 'O' THEN 'As in ' ELSE '' END, 'Figure ', cast(l_linenumber % 2 + 1 AS VARCHAR), ' ', l_returnflag) AS text FROM lineitem)"
+_CAPTION_SQL = "blocks AS (SELECT l_orderkey AS doc_id, 1 AS page, l_linenumber * 1000000 + l_partkey AS block_no, l_quantity * 10 + 0.75 AS y0, concat(CASE WHEN l_linestatus = 'O' THEN 'As in ' ELSE '' END, CASE l_partkey % 3 WHEN 0 THEN 'Fig. ' ELSE 'figure ' END, cast(l_linenumber % 2 + 1 AS VARCHAR), ': ', l_returnflag, ' and Figure 1') AS text FROM lineitem)"
 
 
 def _caption_blocks(spark, sf_dir):
     r = _table(spark, sf_dir, "lineitem")
-    words = F.concat(F.when(F.col("l_linestatus") == "O", "As in ").otherwise(""), F.lit("Figure "), (F.col("l_linenumber") % 2 + 1).cast("string"), F.lit(" "), F.col("l_returnflag"))
-    return r.select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("block_no"), (F.col("l_quantity") * 10).alias("y0"), words.alias("text"))
+    label = F.when(F.col("l_partkey") % 3 == 0, "Fig. ").otherwise("figure ")
+    words = F.concat(F.when(F.col("l_linestatus") == "O", "As in ").otherwise(""), label, (F.col("l_linenumber") % 2 + 1).cast("string"), F.lit(": "), F.col("l_returnflag"), F.lit(" and Figure 1"))
+    return r.select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("block_no"), (F.col("l_quantity") * 10 + 0.75).alias("y0"), words.alias("text"))
 
 
 @query(
-    f"WITH {_CAPTION_SQL}, s AS (SELECT doc_id, page, block_no, CASE WHEN starts_with(text, 'Figure') THEN 10.0 + 50.0 ELSE 44.0 END - y0 / 50.0 AS score FROM blocks WHERE contains(text, 'Figure 1')) "
-    "SELECT doc_id, page, 1 AS figure, block_no, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, block_no) AS r FROM s) WHERE r = 1"
+    f"WITH {_CAPTION_SQL}, s AS (SELECT doc_id, page, block_no, CASE WHEN starts_with(text, 'As') THEN 44 ELSE 60 END - cast(floor(y0) AS BIGINT) // 50 AS score FROM blocks WHERE regexp_extract(lower(text), '[0-9]') = '1') "
+    "SELECT doc_id, page, 1 AS figure, block_no, cast(score AS BIGINT) AS score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, block_no) AS r FROM s) WHERE r = 1"
 )
 def caption_pick(spark, sf_dir):
     blocks = _caption_blocks(spark, sf_dir)
-    figures = blocks.select("doc_id", "page").distinct().withColumn("figure", F.lit(1))
-    return layout.caption_blocks(blocks, figures).withColumn("score", F.round("score", 6))
+    numbered = blocks.select("doc_id", "page").distinct().withColumn("figure", F.lit(1))
+    return layout.caption_blocks(blocks, numbered)
+
+
+@query(f"WITH {_CAPTION_SQL} SELECT doc_id, block_no, regexp_extract(text, '(?:[Ff]igure|Fig\\.) [0-9]') AS label, substring(text, 1, 300) AS caption FROM blocks")
+def page_captions(spark, sf_dir):
+    return layout.page_captions(_caption_blocks(spark, sf_dir)).select("doc_id", "block_no", "label", "caption")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, count(*) AS n, bool_or(l_quantity * 10 >= 430 AND (l_returnflag IN ('A', 'R') OR l_linestatus = 'F')) AS footer FROM lineitem GROUP BY ALL")
+def page_footers(spark, sf_dir):
+    words = F.when(F.col("l_returnflag") == "A", "ISSN 12").when(F.col("l_returnflag") == "R", "page 7").otherwise("text")
+    words = F.concat(words, F.when(F.col("l_linestatus") == "F", " of 1999").otherwise(" of 99"))
+    low = layout.is_footer(F.col("l_quantity") * 10, F.lit(500.0), words)
+    return _table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.count("*").alias("n"), F.bool_or(low).alias("footer"))
 
 
 @query()
@@ -529,3 +556,95 @@ def report_header(spark, sf_dir):
     costs = usage.cost(_calls(spark, sf_dir)).groupBy("pdf_name").agg(usage.summed(F.col("cost_usd")).alias("cost")).withColumnRenamed("pdf_name", "stem")
     s = _screen(spark, sf_dir).select("decision", F.concat(F.lit("doc"), (F.col("doc_id") % 60).cast("string")).alias("stem"))
     return report.header(report.papers(s, costs))
+
+
+# ---- record cleaning --------------------------------------------------------------------------------------
+
+
+@query(f"WITH {CORPUS} SELECT doc_id, regexp_extract(text, 'lambda = ([0-9]+[.][0-9]+)', 1) AS wavelength, CASE WHEN p_size % 2 = 0 THEN '0.7107' ELSE '' END AS plain FROM corpus")
+def wavelength_of_text(spark, sf_dir):
+    plain = F.when(F.col("p_size") % 2 == 0, "Mo 17.5 keV, 0.7107 and 1.54").otherwise("Mo K1 at 17.5")
+    return corpus(spark, sf_dir).select("doc_id", records.wavelength_of(F.col("text")).alias("wavelength"), records.wavelength_of(plain).alias("plain"))
+
+
+@query("SELECT p_partkey, cast(CASE WHEN p_size * 7 BETWEEN 1 AND 230 THEN p_size * 7 ELSE 0 END AS INTEGER) AS number, cast(CASE WHEN p_size * 7 BETWEEN 1 AND 230 THEN p_size * 7 ELSE p_partkey % 230 + 1 END AS INTEGER) AS first_number FROM part")
+def group_numbers(spark, sf_dir):
+    own = F.concat(F.lit("No. "), (F.col("p_size") * 7).cast("string"), F.lit(" of 230"))
+    return _table(spark, sf_dir, "part").select("p_partkey", records.group_number(own).alias("number"), records.first_group_number(F.array(F.lit("none"), own, (F.col("p_partkey") % 230 + 1).cast("string"))).alias("first_number"))
+
+
+@query("SELECT page_id, regexp_replace(url, '[^\\p{L}\\p{N}._ -]', '_', 'g') AS name, concat('Some title ', cast(page_id AS VARCHAR)) AS title FROM pages")
+def upload_names(spark, sf_dir):
+    n = F.col("page_id").cast("string")
+    tail = F.when(F.col("page_id") % 3 == 0, "__2401.12345v2").when(F.col("page_id") % 3 == 1, "__10.1000_x.1").otherwise("")
+    return _table(spark, sf_dir, "pages").select("page_id", records.upload_name(F.col("url")).alias("name"), records.pretty_title(F.concat(F.lit("a_b/Some_title_"), n, tail, F.lit(".pdf"))).alias("title"))
+
+
+@query("SELECT p_partkey, p_size % 3 <> 0 AND p_retailprice * 40 > 50000 AS by_size, p_size % 3 <> 0 AS by_type, p_size % 4 <> 0 AND p_size % 5 <> 0 AND p_size % 7 <> 0 AS figure, p_size / 50.0 BETWEEN 0.01 AND 0.90 AS crop, p_brand IN ('Brand#11', 'Brand#23') AS journal FROM part")
+def record_guards(spark, sf_dir):
+    size, kind = F.col("p_retailprice") * 40, F.when(F.col("p_size") % 3 == 0, "text/html").otherwise("Application/PDF; x")
+    figure = records.figure_kept(F.when(F.col("p_size") % 4 != 0, F.col("p_size")), F.col("p_size") % 5 != 0, F.when(F.col("p_size") % 7 == 0, "simulated").when(F.col("p_size") % 2 == 0, "measured"))
+    return _table(spark, sf_dir, "part").select("p_partkey", records.file_kept(size, kind).alias("by_size"), records.file_kept(size, kind, sized=False).alias("by_type"), figure.alias("figure"), records.crop_kept(F.col("p_size") / 50.0).alias("crop"), records.journal_kept(F.col("p_brand"), ["Brand#11", "Brand#23"]).alias("journal"))
+
+
+@query("SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'http://creativecommons.org/licenses/by/4.0' WHEN 1 THEN 'http://arxiv.org/nonexclusive' END AS licence, CASE p_size % 3 WHEN 0 THEN true WHEN 1 THEN false END AS open FROM part")
+def licences(spark, sf_dir):
+    answer = F.when(F.col("p_size") % 3 == 0, "<x><license> http://creativecommons.org/licenses/by/4.0</license>").when(F.col("p_size") % 3 == 1, "<license>http://arxiv.org/nonexclusive</license>").otherwise("<error/>")
+    found = records.licence(answer)
+    return _table(spark, sf_dir, "part").select("p_partkey", found.alias("licence"), records.is_open_licence(found).alias("open"))
+
+
+@query("SELECT doc_id, cast(doc_id AS INTEGER) % 7 AS step, CASE WHEN lang IS NULL THEN '' ELSE lang END AS tool, coalesce(substring(text, 1, 400), '') AS observation FROM documents")
+def trimmed_traces(spark, sf_dir):
+    step = F.struct((F.col("doc_id").cast("int") % 7).alias("step"), F.col("lang").alias("tool"), F.col("text").alias("observation"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.explode(records.trimmed_trace(F.array(step))).alias("s")).select("doc_id", "s.step", "s.tool", "s.observation")
+
+
+_FILES = "concat('lib/', cast(p_partkey AS VARCHAR), CASE p_size % 5 WHEN 0 THEN '.pdf' WHEN 1 THEN '.json' WHEN 2 THEN '_agent_cache_1.json' WHEN 3 THEN '.txt' ELSE '.png' END)"
+
+
+@query("SELECT CASE p_size % 5 WHEN 0 THEN 'pdf' WHEN 1 THEN 'json' ELSE 'log' END AS kind, count(*) AS files FROM part WHERE p_size % 5 IN (0, 1, 3) GROUP BY 1")
+def library_stats(spark, sf_dir):
+    return records.library(_table(spark, sf_dir, "part").select(F.expr(_FILES.replace("VARCHAR", "STRING")).alias("path")))
+
+
+@query("SELECT user_id, count(*) AS documents, count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) = count(*) FILTER (WHERE event_type = 'error') AS all_failed FROM events GROUP BY user_id")
+def error_counters(spark, sf_dir):
+    return records.errors(_table(spark, sf_dir, "events").withColumn("failed", F.col("event_type") == "error"), "user_id", "failed")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN concat('/old/', p_partkey, '.pdf') WHEN p_size % 3 = 1 THEN concat('/pdfs/', p_partkey, '.pdf') WHEN p_size % 2 = 0 THEN concat('/json/', p_partkey, '.pdf') END AS pdf_path FROM part")
+def pdf_paths(spark, sf_dir):
+    p = _table(spark, sf_dir, "part")
+    name = F.concat(F.col("p_partkey").cast("string"), F.lit(".pdf"))
+    at = F.when(F.col("p_size") % 3 == 0, "/old/").when(F.col("p_size") % 3 == 1, "/pdfs/").when(F.col("p_size") % 2 == 0, "/json/")
+    rows = p.select("p_partkey", F.concat(F.lit("/old/"), name).alias("stored"), F.concat(F.lit("/json/"), name, F.lit(".json")).alias("json_path"))
+    return records.resolved_paths(rows, p.select(F.concat(at, name).alias("path")).where("path is not null"), "/pdfs/").select("p_partkey", "pdf_path")
+
+
+@query("SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source")
+def first_of_path(spark, sf_dir):
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "source", F.when(F.col("doc_id") % 2 == 0, F.upper("source")).otherwise(F.col("source")).alias("path"))
+    return records.first_of_path(rows, "path", "doc_id").select("source", "doc_id")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'Fe2O3' WHEN p_size % 3 = 0 THEN 'NiO' WHEN p_size % 5 = 0 THEN 'TiO2' ELSE '' END AS material, concat('t', cast(p_partkey AS VARCHAR)) AS title, cast(p_size AS INTEGER) AS figure_number FROM part")
+def slim_records(spark, sf_dir):
+    r = "concat('{\"title\":\"t', p_partkey, '\",\"xrd_figures\":[{\"matched_fig_num\":', p_size, ',\"plot_info\":{\"reported_materials\":[\" \"', CASE WHEN p_size % 3 = 0 THEN ',\"NiO\",\"nio\"' ELSE '' END, '],\"legend_entries\":[{\"material\":\"', CASE WHEN p_size % 5 = 0 THEN ' TiO2 ' ELSE '' END, '\"}]},\"phase2_xrd_text\":{\"regex_candidate\":{\"material_systems\":[', CASE WHEN p_size % 2 = 0 THEN '\"Fe2O3\"' ELSE '' END, ']}}}]}')"
+    out = records.slim(_table(spark, sf_dir, "part").select("p_partkey", F.expr(r).alias("record")))
+    return out.select("p_partkey", "title", F.explode("figures").alias("f")).select("p_partkey", "f.material", "title", "f.figure_number")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, least(1.0, (CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END + CASE WHEN l_quantity >= 25 THEN 1 ELSE 0 END + CASE WHEN l_partkey % 2 = 0 THEN 1 ELSE 0 END + CASE l_returnflag WHEN 'A' THEN 2 WHEN 'R' THEN 1 ELSE 0 END) / 5.0) AS score, l_partkey % 2 = 0 AND NOT (l_returnflag = 'N' AND l_linestatus = 'O') AS call FROM lineitem")
+def figure_candidates(spark, sf_dir):
+    kind = F.when(F.col("l_linestatus") == "O", "vector").otherwise("raster")
+    near = F.when(F.col("l_returnflag") == "A", "an XRD pattern").when(F.col("l_returnflag") == "R", "words").otherwise(F.when(F.col("l_linestatus") == "O", " ").otherwise("words"))
+    page = F.when(F.col("l_returnflag") == "R", "Rietveld").otherwise("")
+    got = figures.candidate_score(kind, F.when(F.col("l_quantity") >= 25, 0.03).otherwise(0.02), F.when(F.col("l_partkey") % 2 == 0, 1200).otherwise(1199), near, page)
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", got.alias("c")).select("l_orderkey", "l_linenumber", "l_partkey", "c.score", "c.call")
+
+
+@query()
+def titles_and_materials(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents")
+    return d.select("doc_id", records.text_title(F.col("text")).alias("title"), records.guessed_material(F.lit(""), F.col("text")).alias("material"))

@@ -17,7 +17,7 @@ def _any(text: Column, words: tuple[str, ...]) -> Column:
 
 
 def candidate_score(kind: Column, share: Column, crop_bytes: Column, near: Column, page: Column) -> Column:
-    """(score, call, reasons) of a figure candidate: five signals make a score of 1; too low a score, too small a
+    """(score, call, reasons, whose names are fixed values) of a figure candidate: five signals make a score of 1; too low a score, too small a
     crop or a drawing without any text near it is not worth a call."""
     drawn, wide, rendered = kind.isin("vector", "mixed"), share >= LEAST_SHARE, crop_bytes >= LEAST_BYTES
     by_near = _any(near, NEAR_WORDS)
@@ -25,8 +25,8 @@ def candidate_score(kind: Column, share: Column, crop_bytes: Column, near: Colum
     points = drawn.cast("int") + wide.cast("int") + rendered.cast("int") + F.when(by_near, 2).when(by_page, 1).otherwise(0)
     score = F.round(F.least(F.lit(1.0), points / 5.0), 4)
     textless = (kind == "vector") & (F.trim(F.coalesce(near, F.lit(""))) == "")
-    stops = ((textless, "textless_drawing"), (~rendered, "tiny_crop"), (score < LEAST_SCORE, "low_score"))
-    reasons = F.array_compact(F.array(*(F.when(c, r) for c, r in ((drawn, "drawn"), (wide, "area"), (rendered, "rendered"), (by_near, "near_text"), (by_page, "page_text"), *stops))))
+    stops = ((textless, "skip_textless_vector_candidate"), (~rendered, "skip_tiny_render"), (score < LEAST_SCORE, "below_agent_score_threshold"))
+    reasons = F.array_compact(F.array(*(F.when(c, r) for c, r in ((drawn, "vector_or_mixed_candidate"), (wide, "reasonable_area"), (rendered, "nontrivial_crop"), (by_near, "nearby_text_support"), (by_page, "page_text_support"), *stops))))
     return F.struct(score.alias("score"), (~textless & rendered & (score >= LEAST_SCORE)).alias("call"), reasons.alias("reasons"))
 
 
@@ -44,11 +44,14 @@ def filled(c: Column, kind: str) -> Column:
     return F.coalesce(F.trim(c) != "", F.lit(False)) if kind == "string" else F.coalesce(F.size(c) > 0, F.lit(False))
 
 
-def provenance(in_document: Column, in_figure: Column, verified: Column) -> Column:
-    """(sources, status) of a field: where a value of it was found, and the verdict on it if there is one."""
+def provenance(in_document: Column, in_figure: Column, verified: Column, caption: Column | None = None, field: str = "") -> Column:
+    """(sources, verified_status) of a field: where a value of it was found, and the verdict on it if there is one.
+
+    A caption is a source of phases and materials.  The names are fixed values."""
     status = F.coalesce(F.nullif(verified, F.lit("")), F.lit("not_verified"))
-    sources = F.array_compact(F.array(F.when(in_document, "document"), F.when(in_figure, "figure"), F.when(status != "not_verified", "verification")))
-    return F.struct(sources.alias("sources"), status.alias("status"))
+    told = F.coalesce(caption != "", F.lit(False)) if caption is not None and field in ("reported_phases", "reported_materials") else F.lit(False)
+    sources = F.array_compact(F.array(F.when(in_document, "global_regex"), F.when(in_figure, "figure_vision_phase1"), F.when(told, "caption"), F.when(status != "not_verified", "llm_verification")))
+    return F.struct(sources.alias("sources"), status.alias("verified_status"))
 
 
 def figure_candidate(document: Column, figure: Column) -> Column:
@@ -67,12 +70,15 @@ def summary(papers: DataFrame) -> DataFrame:
 
 
 def patched(records: DataFrame, curves: DataFrame) -> DataFrame:
-    """The records with curves (stem, figure_number, curves) put into the first figure of that number."""
-    own = curves.groupBy("stem").agg(F.map_from_entries(F.collect_list(F.struct("figure_number", "curves"))).alias("__curves"))
+    """The records with curves (stem, figure_number, curves) put into the first figure of that number.
+
+    Of several curves of one number the least counts; curves without a number are left out."""
+    one = curves.where("figure_number is not null").groupBy("stem", "figure_number").agg(F.min("curves").alias("curves"))
+    own = one.groupBy("stem").agg(F.map_from_entries(F.collect_list(F.struct("figure_number", "curves"))).alias("__curves"))
 
     def put(figures: Column) -> Column:
         numbers = F.transform(figures, lambda f: f["figure_number"])
-        return F.transform(figures, lambda f, i: F.when(F.array_position(numbers, f["figure_number"]) == i + 1, f.withField("curves", F.coalesce(F.col("__curves")[f["figure_number"]], f["curves"]))).otherwise(f))
+        return F.transform(figures, lambda f, i: F.when(F.array_position(numbers, f["figure_number"]) == i + 1, f.withField("curves", F.coalesce(F.try_element_at(F.col("__curves"), f["figure_number"]), f["curves"]))).otherwise(f))
 
     out = records.join(own, "stem", "left")
     return out.withColumn("figures", F.when(F.col("__curves").isNull(), F.col("figures")).otherwise(put(F.col("figures")))).drop("__curves")

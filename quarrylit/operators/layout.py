@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrylit.functions.text import sentences, unify
+
 CAPTION_MOST, NEARBY_MOST, GAP, GAP_AFTER, JUMP = 700, 2500, 18.0, 60, 120.0
 
 
@@ -13,17 +15,23 @@ def reading_order(blocks: Column) -> Column:
     return F.array_sort(F.transform(blocks, lambda b: F.struct(b["y0"], b["x0"], b["y1"], b["text"])))
 
 
+# How a caption begins, and what makes a low block a footer.
+LABEL = r"(?i)(fig\.|figure)\s*(\d+)\s*[:.\-]?\s*"
+FOOTER = r"(?i)copyright|all rights reserved|doi|issn|\bpage\s*\d+\b"
+WINDOW_SENTENCES, WINDOW_MOST, TABLES_MOST, CONTEXT_BLOCKS = 10, 6000, 2000, 12
+
+
 def is_footer(y0: Column, height: Column, text: Column) -> Column:
-    """Low on the page and short, with a page number, a year or a publisher's words."""
-    short = F.length(F.trim(text)) <= 120
-    cue = text.rlike(r"(?i)\b(?:doi|copyright|journal|vol\.|www\.|page)\b|^\s*\d{1,4}\s*$|\b(?:19|20)\d{2}\b")
-    return (y0 >= 0.86 * height) & short & cue
+    """Low on the page, with a publisher's words or a page number; or short, with a year."""
+    year = text.rlike(r"\b(?:19|20)\d{2}\b") & (F.length(text) < 120)
+    return (height > 0) & (y0 >= 0.86 * height) & (text.rlike(FOOTER) | year)
 
 
 def caption_score(text: Column, y0: Column, number: Column) -> Column:
-    """How well a block begins the caption of a figure; null if it doesn't name it."""
-    at = F.regexp_instr(text, F.concat(F.lit(r"(?i)(?:fig\.|figure)\s*"), number.cast("string"), F.lit(r"\b")))
-    return F.when(at > 0, F.when(at == 1, 10.0).otherwise(0.0) + F.greatest(F.lit(0.0), F.lit(50.0) - (at - 1)) - y0 / 50.0)
+    """How well a block begins the caption of a figure; null if the first label in it is not the figure's."""
+    at = F.regexp_instr(text, F.lit(LABEL)) - 1
+    named = (at >= 0) & (F.regexp_extract(text, LABEL, 2) == number.cast("string"))
+    return F.when(named, F.when(at == 0, 10).otherwise(0) + F.greatest(F.lit(0), 50 - at) - F.floor(y0.cast("long") / 50)).cast("long")
 
 
 def caption_blocks(blocks: DataFrame, figures: DataFrame) -> DataFrame:
@@ -34,34 +42,61 @@ def caption_blocks(blocks: DataFrame, figures: DataFrame) -> DataFrame:
 
 def assemble_caption(blocks: Column, begin: Column, height: Column) -> Column:
     """The caption that starts at a place (from 1) of blocks in reading order: following blocks are taken until a footer,
-    another caption, a gap below a caption that is long already, a jump to another column or a full caption."""
+    a figure's caption, a gap below a caption that is long already, a jump to another column, or one that it has no room for."""
     first = blocks[begin - 1]
     rest = F.slice(blocks, begin + 1, F.greatest(F.lit(0), F.size(blocks) - begin))
 
     def step(acc: Column, b: Column) -> Column:
+        gap = b["y0"] - acc["y1"]
         stop = (
             acc["over"]
             | is_footer(b["y0"], height, b["text"])
-            | b["text"].rlike(r"(?i)^\s*(?:fig\.|figure|table)\s*\d+")
-            | ((b["y0"] - acc["y1"] > GAP) & (F.length(acc["text"]) >= GAP_AFTER))
-            | (F.abs(b["x0"] - acc["x0"]) > JUMP)
-            | (F.length(acc["text"]) > CAPTION_MOST)
+            | b["text"].rlike("^(?:" + LABEL + ")")
+            | ((gap > GAP) & (F.length(acc["text"]) > GAP_AFTER))
+            | ((F.abs(b["x0"] - acc["x0"]) > JUMP) & (gap > 2))
+            | (F.length(acc["text"]) + 1 + F.length(b["text"]) > CAPTION_MOST)
         )
-        text = F.when(stop, acc["text"]).otherwise(F.concat(acc["text"], F.lit(" "), F.trim(b["text"])))
+        text = F.when(stop, acc["text"]).otherwise(F.concat(acc["text"], F.lit(" "), b["text"]))
         return F.struct(stop.alias("over"), F.when(stop, acc["y1"]).otherwise(b["y1"]).alias("y1"), acc["x0"].alias("x0"), text.alias("text"))
 
-    return F.aggregate(rest, F.struct(F.lit(False).alias("over"), first["y1"].alias("y1"), first["x0"].alias("x0"), F.trim(first["text"]).alias("text")), step)["text"]
+    return F.trim(F.aggregate(rest, F.struct(F.lit(False).alias("over"), first["y1"].alias("y1"), first["x0"].alias("x0"), first["text"].alias("text")), step)["text"])
 
 
 def nearby_text(blocks: Column, begin: Column, height: Column, n: int = 4) -> Column:
-    """The text of the next n blocks without footers, up to another caption or the budget."""
+    """The next n blocks without footers, a line each, up to a figure's caption or one that the budget has no room for."""
 
     def step(acc: Column, b: Column) -> Column:
-        stop = acc["over"] | b["text"].rlike(r"(?i)^\s*(?:fig\.|figure|table)\s*\d+") | (F.length(acc["text"]) >= NEARBY_MOST)
-        skip = stop | is_footer(b["y0"], height, b["text"])
-        return F.struct(stop.alias("over"), F.when(skip, acc["text"]).otherwise(F.concat_ws(" ", F.nullif(acc["text"], F.lit("")), F.trim(b["text"]))).alias("text"))
+        footer = is_footer(b["y0"], height, b["text"])
+        stop = acc["over"] | (~footer & (b["text"].rlike("^(?:" + LABEL + ")") | (acc["used"] + F.length(b["text"]) > NEARBY_MOST)))
+        take = ~stop & ~footer
+        return F.struct(stop.alias("over"), (acc["used"] + F.when(take, F.length(b["text"])).otherwise(0)).alias("used"), F.when(take, F.concat(acc["lines"], F.array(b["text"]))).otherwise(acc["lines"]).alias("lines"))
+
+    start = F.struct(F.lit(False).alias("over"), F.lit(0).alias("used"), F.array().cast("array<string>").alias("lines"))
+    return F.trim(F.array_join(F.aggregate(F.slice(blocks, begin + 1, n), start, step)["lines"], "\n"))
+
+
+def figure_window(caption: Column, nearby: Column, tables: Column | None = None) -> Column:
+    """The first sentences of a figure's caption and the text near it, with tables of the pages around."""
+    blob = unify(F.concat_ws("\n", F.coalesce(caption, F.lit("")), F.coalesce(nearby, F.lit(""))))
+    own = F.filter(F.transform(sentences(blob), lambda s: F.trim(s)), lambda s: s != "")
+    window = F.substring(F.array_join(F.slice(own, 1, WINDOW_SENTENCES), " "), 1, WINDOW_MOST)
+    if tables is None:
+        return window
+    return F.concat(window, F.when(F.trim(F.coalesce(tables, F.lit(""))) != "", F.concat(F.lit("\n\n[TABLES NEAR FIGURE]\n"), F.substring(tables, 1, TABLES_MOST))).otherwise(""))
+
+
+def figure_context(blocks: Column, begin: Column, caption: Column, page_text: Column, most: int) -> Column:
+    """The blocks from a figure's caption on (its place from 1, null if it wasn't found), else the caption and the page's text."""
+    local = F.array_join(F.transform(F.slice(blocks, F.coalesce(begin, F.lit(1)), CONTEXT_BLOCKS), lambda b: b["text"]), " ")
+    whole = F.concat_ws("\n", F.nullif(caption, F.lit("")), F.substring(page_text, 1, most))
+    return F.substring(unify(F.when(begin.isNotNull(), local).otherwise(whole)), 1, most)
+
 
-    return F.aggregate(F.slice(blocks, begin + 1, n), F.struct(F.lit(False).alias("over"), F.lit("").alias("text")), step)["text"]
+def page_captions(blocks: DataFrame, text: str = "text") -> DataFrame:
+    """The blocks that name a figure or a table, with the label and the beginning of their text."""
+    label = F.trim(F.regexp_extract(text, r"(?i)(fig(?:ure|\.)\s*\d+|table\s*\d+)\s*[:.\-]?\s*", 1))
+    short = F.substring(F.regexp_replace(F.trim(F.col(text)), r"\s+", " "), 1, 300)
+    return blocks.withColumn("label", label).withColumn("caption", short).where("label <> ''")
 
 
 def snippets(pages: DataFrame, pattern: str, *, most: int = 8, around: int = 160, key: str = "doc_id") -> DataFrame:

@@ -7,21 +7,26 @@ from pyspark.sql import functions as F
 
 from quarrylit.functions.text import match_key, overlap, similarity, surnames
 
-# Weights of title and authors, and the least score.
-CROSSREF = (0.80, 0.20, 0.80)
-ARXIV = (0.70, 0.20, 0.75)
+# Weights of title, authors and identifier, and the least score.
+CROSSREF = (0.80, 0.20, 0.00, 0.80)
+ARXIV = (0.70, 0.20, 0.10, 0.75)
 
 
-def link(records: DataFrame, candidates: DataFrame, *, weights: tuple[float, float, float] = CROSSREF, block: str = "block") -> DataFrame:
+def link(records: DataFrame, candidates: DataFrame, *, weights: tuple[float, float, float, float] = CROSSREF, block: str = "block") -> DataFrame:
     """Per record its best candidate over the threshold; of equal scores the earlier one.
 
     records (id, title, authors, block) meet candidates (candidate_id, seq, candidate_title, candidate_authors,
-    block) that share a blocking key; the title ratio is the one Arrow-batched step."""
-    title, author, least = weights
+    block) that share a blocking key; the title ratio is the one Arrow-batched step.  Where records have an arxiv_id and
+    candidates a candidate_arxiv_id, one that begins with the record's counts as its identifier."""
+    title, author, by_id, least = weights
     met = records.join(candidates, block)
     met = met.withColumn("title_score", similarity(match_key(F.col("title")), match_key(F.col("candidate_title"))))
     met = met.withColumn("author_score", overlap(surnames(F.col("authors")), surnames(F.col("candidate_authors"))))
-    met = met.withColumn("score", title * F.col("title_score") + author * F.col("author_score")).where(F.col("score") >= least)
+    same = F.lit(0.0)
+    if "arxiv_id" in met.columns and "candidate_arxiv_id" in met.columns:
+        hint = F.nullif(F.replace(F.lower("arxiv_id"), F.lit("arxiv:"), F.lit("")), F.lit(""))
+        same = F.when(F.startswith(F.lower("candidate_arxiv_id"), hint), 1.0).otherwise(0.0)
+    met = met.withColumn("score", by_id * same + title * F.col("title_score") + author * F.col("author_score")).where(F.col("score") >= least)
     best = F.max_by(F.struct("candidate_id", "score"), F.struct("score", (-F.col("seq")).alias("first")))
     return met.groupBy("id").agg(best.alias("m")).select("id", F.col("m.candidate_id").alias("candidate_id"), F.col("m.score").alias("score"))
 

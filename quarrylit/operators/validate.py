@@ -51,13 +51,24 @@ def number_of_symbol(rows: DataFrame, table: DataFrame, symbol: str = "symbol")
 
 
 def normal_system(words: Column) -> Column:
-    """The crystal system that a structure description names: as a whole, else by the first system among its words in a fixed order."""
-    low = F.trim(F.lower(F.coalesce(words, F.lit(""))))
-    table = {w: s for s, ws in STRUCTURES.items() for w in ws} | {s: s for s in SYSTEMS}
-    whole = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))[low]
-    tokens = F.split(low, r"[^a-z]+")
-    by_token = F.coalesce(*(F.when(F.array_contains(tokens, s), s) for s in SYSTEMS))
-    return F.coalesce(whole, by_token, F.lit(""))
+    """The crystal system that a structure description names: as a whole, by a system's name among its words, by a structure's
+    name inside it, in a fixed order each; a description that names none stays as it is, in small letters."""
+    low = F.trim(F.regexp_replace(F.translate(F.lower(F.coalesce(words, F.lit(""))), "-", " "), r"\s+", " "))
+
+    def system(v: Column) -> Column:
+        table = [(w, s) for s, ws in STRUCTURES.items() for w in ws]
+        whole = F.create_map(*(F.lit(x) for kv in table for x in kv))[v]
+        tokens = F.split(v, " ")
+        named = [F.when(F.array_contains(tokens, s), s) for s in SYSTEMS]
+        inside = [F.when(F.contains(v, F.lit(w)) if " " in w else F.array_contains(tokens, w), s) for w, s in table]
+        return F.coalesce(whole, *named, *inside, v)
+
+    return F.transform(F.array(low), system)[0]
+
+
+def systems_of(values: Column) -> Column:
+    """The distinct systems of a list of descriptions, in order."""
+    return F.array_distinct(F.filter(F.transform(values, normal_system), lambda s: s != ""))
 
 
 def _apart(a: Column, b: Column, tolerance: float) -> Column:

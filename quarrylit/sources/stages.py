@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+import json
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -60,3 +63,30 @@ def write_records(rows: DataFrame, folder: str, by: str = "decision") -> None:
 
 def append_lines(rows: DataFrame, folder: str) -> None:
     rows.write.mode("append").json(folder)
+
+
+def save_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, where the session's own file systems reach."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(conf).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def manifest(spark: SparkSession, folder: str, **settings) -> str:
+    """What a run was started with, as run.json in its folder; returns the file's path."""
+    path = f"{folder.rstrip('/')}/run.json"
+    save_text(spark, path, json.dumps(settings, ensure_ascii=False, indent=2, sort_keys=True, default=str))
+    return path
+
+
+def zipped(files: DataFrame, root: str) -> bytes:
+    """The files (path, content) of one run's export, below `root`, as a ZIP archive in the order of their paths."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for r in files.orderBy("path").toLocalIterator():  # a file at a time
+            z.writestr(zipfile.ZipInfo(r["path"].split(root.rstrip("/") + "/", 1)[-1]), bytes(r["content"]), zipfile.ZIP_DEFLATED)
+    return out.getvalue()

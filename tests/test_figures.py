@@ -13,11 +13,11 @@ def score(spark, kind, share, size, near, page=""):
 
 def test_candidate_scores(spark):
     got = score(spark, "vector", 0.05, 5000, "Figure 1 XRD")
-    assert got["score"] == 1.0 and got["call"] and got["reasons"] == ["drawn", "area", "rendered", "near_text"]
+    assert got["score"] == 1.0 and got["call"] and got["reasons"] == ["vector_or_mixed_candidate", "reasonable_area", "nontrivial_crop", "nearby_text_support"]
     got = score(spark, "vector", 0.05, 5000, " ", "Rietveld")
-    assert got["score"] == 0.8 and not got["call"] and got["reasons"][-1] == "textless_drawing"
+    assert got["score"] == 0.8 and not got["call"] and got["reasons"][-1] == "skip_textless_vector_candidate"
     got = score(spark, "raster", 0.01, 100, "", "")
-    assert got["score"] == 0.0 and got["reasons"] == ["tiny_crop", "low_score"]
+    assert got["score"] == 0.0 and got["reasons"] == ["skip_tiny_render", "below_agent_score_threshold"]
 
 
 def test_text_near(spark):
@@ -29,8 +29,10 @@ def test_text_near(spark):
 
 def test_records(spark):
     got = value(spark, figures.provenance(F.lit(True), F.lit(False), F.lit("supported")))
-    assert (got["sources"], got["status"]) == (["document", "verification"], "supported")
-    assert value(spark, figures.provenance(F.lit(False), F.lit(False), F.lit("")))["status"] == "not_verified"
+    assert (got["sources"], got["verified_status"]) == (["global_regex", "llm_verification"], "supported")
+    assert value(spark, figures.provenance(F.lit(False), F.lit(False), F.lit("")))["verified_status"] == "not_verified"
+    got = value(spark, figures.provenance(F.lit(False), F.lit(True), F.lit(None).cast("string"), F.lit("Fig. 1"), "reported_phases"))
+    assert (got["sources"], got["verified_status"]) == (["figure_vision_phase1", "caption"], "not_verified")
     assert value(spark, figures.figure_id(F.lit("p"), F.lit(2), F.lit(7))) == "p__fig2_p7"
     names = {"iron": "Fe"}
     assert [value(spark, figures.formula_like(F.lit(x), names)) for x in ("Iron", "Ti O2", "the NiFe2O4 phase", "123", None)] == ["Fe", "TiO2", "NiFe2O4", "", ""]
@@ -39,7 +41,7 @@ def test_records(spark):
 
 def test_patches_the_first_figure_only(spark):
     rows = spark.createDataFrame([("p", [(1, "old"), (2, None), (2, None)])], "stem string, figures array<struct<figure_number:int, curves:string>>")
-    curves = spark.createDataFrame([("p", 2, "new")], "stem string, figure_number int, curves string")
+    curves = spark.createDataFrame([("p", 2, "new"), ("p", 2, "newer"), ("p", None, "lost")], "stem string, figure_number int, curves string")
     assert [tuple(f) for f in figures.patched(rows, curves).first().figures] == [(1, "old"), (2, "new"), (2, None)]
     files = spark.createDataFrame([("p", "b", "2"), ("p", "a", "1"), ("p", "z", "3")], "stem string, tag string, path string")
     assert [tuple(v) for v in figures.variants(files, ["a", "b"]).first().variants] == [("a", "1"), ("b", "2")]

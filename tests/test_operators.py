@@ -118,7 +118,22 @@ def test_captions(spark):
     blocks = F.array(block(10.0, "Figure 1: patterns of"), block(22.0, "all samples."), block(34.0, "Figure 2: other"))
     assert value(spark, layout.assemble_caption(blocks, F.lit(1), F.lit(800.0))) == "Figure 1: patterns of all samples."
     assert value(spark, layout.nearby_text(blocks, F.lit(1), F.lit(800.0))) == "all samples."
-    assert value(spark, layout.is_footer(F.lit(790.0), F.lit(800.0), F.lit("12")))
+    footer = lambda y, t: value(spark, layout.is_footer(F.lit(y), F.lit(800.0), F.lit(t)))
+    assert [footer(790.0, t) for t in ("12", "Page 12", "x" * 200 + " ISSN 1", "in 1999", "in 1999 " + "x" * 120)] == [False, True, True, True, False]
+    assert not footer(600.0, "Copyright")
+    score = lambda t, y, n=1: value(spark, layout.caption_score(F.lit(t), F.lit(y), F.lit(n)))
+    assert [score("Figure 1: x", 49.9), score("Figure 1: x", 130.0), score("see fig. 1", 0.0), score("Figure 2, see Figure 1", 0.0), score("none", 0.0)] == [60, 58, 46, None, None]
+    far = F.array(block(10.0, "Figure 1: " + "x" * 60), block(40.0, "too far"))
+    assert value(spark, layout.assemble_caption(far, F.lit(1), F.lit(800.0))) == "Figure 1: " + "x" * 60
+    jump = F.array(block(10.0, "Figure 1:"), block(21.0, "beside", 300.0), block(40.0, "column", 300.0))
+    assert value(spark, layout.assemble_caption(jump, F.lit(1), F.lit(800.0))) == "Figure 1: beside"
+    full = F.array(block(10.0, "Figure 1: " + "x" * 690), block(21.0, "y"))
+    assert value(spark, layout.assemble_caption(full, F.lit(1), F.lit(800.0))) == "Figure 1: " + "x" * 690
+    after = F.array(block(10.0, "Figure 1"), block(790.0, "doi 10"), block(22.0, "a"), block(34.0, "Table 1 b"), block(46.0, "out"))
+    assert value(spark, layout.nearby_text(after, F.lit(1), F.lit(800.0), 3)) == "a\nTable 1 b"
+    assert value(spark, layout.figure_window(F.lit("Fig. 1. A b."), F.lit("C d.  E"), F.lit("t"))) == "Fig. 1. A b. C d. E\n\n[TABLES NEAR FIGURE]\nt"
+    assert value(spark, layout.figure_context(blocks, F.lit(2), F.lit("c"), F.lit("p"), 100)) == "all samples. Figure 2: other"
+    assert value(spark, layout.figure_context(blocks, F.lit(None).cast("int"), F.lit("c"), F.lit("page"), 3)) == "c p"
     assert value(spark, layout.paragraphs(F.lit("a\n b\n \nc"))) == ["a b", "c"]
     pages = spark.createDataFrame([(1, 2, "x peak"), (1, 1, "Peak peak"), (2, 1, "none")], "doc_id int, page int, text string")
     got = [(r.page, r.start, r.snippet) for r in layout.snippets(pages, "(?i)peak", most=2).orderBy("rank").collect()]
