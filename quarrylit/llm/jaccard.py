@@ -204,6 +204,8 @@ class _Once:
         return True
 
 
+#: First groups of a set that its rows tell of.
+KNOWN = 16
 #: Rounds of comparing sets with hubs.
 ROUNDS = 2
 #: Sampled shingles that a task holds before it hands them out, and about how many a fragment has.
@@ -405,7 +407,7 @@ def _likely(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
 def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule, likeliest: bool) -> Iterator[pa.RecordBatch]:
     """Sorted rows (key, i, j, place, sid, n, component, sketch, earlier) of blocks -> pairs that may be linked.
 
-    A pair comes out of the first open group that has both: no other one, of a lesser key, is among both sets' earlier ones."""
+    A pair comes out of no group if one of a lesser key is among the first ones of both sets, and out of few groups else."""
     held: list[tuple] = []
     key = None
     for batch in batches:
@@ -472,7 +474,7 @@ def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: R
     rows = _with_components(groups, components)
     open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("key", F.ceil(F.col("members") / F.lit(rule.block)).cast("int").alias("blocks"))
     rows = kept(rows.join(open_, "key"), "open")
-    keys = rows.groupBy("sid").agg(F.collect_list("key").alias("keys"))  # a set has no more of them than shingles in its sample
+    keys = rows.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list("key")), 1, KNOWN).alias("keys"))  # a set has no more of them than shingles in its sample
     rows = rows.join(keys, "sid").join(sketches, "sid")
     place = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     rows = rows.select("key", "sid", "n", "component", "sketch", "keys", "blocks", place.alias("place"))
