@@ -32,6 +32,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,7 @@ class Encoder:
     Pieces of ASCII and Latin-1 letters go straight to its BPE model; others to the whole tokenizer.
     At most MOST pieces are remembered, by their bytes; that bounds memory and changes no result."""
 
-    MOST = 150_000
+    MOST = 400_000
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     #: Fixed: the tokenizer file's splitting pattern.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -73,7 +74,7 @@ class Encoder:
             parts = json.load(f)["pre_tokenizer"].get("pretokenizers", [])
         # of another file every piece goes to the whole tokenizer
         self.known = bool(parts) and parts[0].get("pattern") == {"Regex": self.PATTERN}
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.symbol = {b: c for c, b in byte_symbols().items()}
         self.wide = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.end_id = end_id
@@ -87,17 +88,18 @@ class Encoder:
 
     def _piece(self, raw: bytes) -> list[int]:
         text = raw.decode("utf-8")
-        if not self.known or not self._PLAIN.fullmatch(text) or "<|" in text:
+        plain = text.isascii() and text.isprintable()  # stands for itself in the vocabulary, but for case
+        if not self.known or "<|" in text or not (plain or self._PLAIN.fullmatch(text)):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out = []
-        for part in self._SPLIT.findall(text.lower()):
+        low, out = text.lower(), None
+        for part in (low,) if plain and low.isalpha() else self._SPLIT.findall(low):
             got = self.split.get(part)
             if got is None:
-                got = [t.id for t in self.model.tokenize("".join([self.symbol[b] for b in part.encode()]))]
+                got = [t.id for t in self.tokenize(part if plain else "".join([self.symbol[b] for b in part.encode()]))]
                 if len(part) < 8 and len(self.split) < 50_000:
                     self.split[part] = got
-            out += got
-        return out
+            out = got if out is None else out + got
+        return out or []
 
     def encode(self, texts: at.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the texts' bounds in them."""
@@ -114,7 +116,7 @@ class Encoder:
             self.slot.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
             self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
             self.size = np.concatenate((self.size, size))
-            self.flat = np.concatenate((self.flat, np.fromiter((x for y in ids for x in y), self.wide, int(size.sum()))))
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), self.wide, int(size.sum()))))
         own = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))[back]
         own = np.insert(own, words.bounds[1:], 0)
         size = self.size[own]
