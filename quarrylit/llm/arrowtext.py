@@ -66,7 +66,11 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
 
 def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One span of each class of equal spans, and every span's class.  Equal hashes are verified by the bytes."""
-    _, first, back = np.unique(h, return_index=True, return_inverse=True)
+    order = np.argsort(h)
+    new = np.ones(len(h), bool)
+    new[1:] = h[order[1:]] != h[order[:-1]]
+    first, back = order[new], np.empty(len(h), np.int64)
+    back[order] = np.cumsum(new) - 1
     like, size = first[back], end - start
     wrong = size != size[like]
     eight = _eights(data)

@@ -59,7 +59,7 @@ class Encoder:
     Pieces of ASCII and Latin-1 letters go straight to its BPE model; others to the whole tokenizer.
     At most MOST pieces are remembered, by their bytes; that bounds memory and changes no result."""
 
-    MOST = 400_000
+    MOST = 300_000
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     #: Fixed: the tokenizer file's splitting pattern.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -82,6 +82,7 @@ class Encoder:
 
     def reset(self) -> None:
         self.slot: dict[bytes, int] = {}
+        self.met = np.zeros(1 << 23, bool)
         self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)  # slot 0: the end of a document
         self.flat = np.array([self.end_id], self.wide)
         self.split: dict[str, list[int]] = {}
@@ -101,6 +102,12 @@ class Encoder:
             out = got if out is None else out + got
         return out or []
 
+    def _with(self, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, size and ids of the remembered pieces and of some more."""
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        more = np.fromiter(chain.from_iterable(ids), self.wide, int(size.sum()))
+        return np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size)), np.concatenate((self.size, size)), np.concatenate((self.flat, more))
+
     def encode(self, texts: at.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the texts' bounds in them."""
         words = at.Words(texts, at.SPACED)
@@ -109,19 +116,24 @@ class Encoder:
             self.reset()
         raw = texts.data.tobytes()
         pieces = [raw[s:e] for s, e in zip(words.start[where].tolist(), words.end[where].tolist(), strict=True)]
-        new = [x for x in pieces if x not in self.slot]
-        if new:
-            ids = [self._piece(x) for x in new]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.slot.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
-            self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
-            self.size = np.concatenate((self.size, size))
-            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), self.wide, int(size.sum()))))
-        own = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))[back]
+        known = self.slot.get
+        own = np.array([known(x, -1) for x in pieces], np.int64)
+        new = np.flatnonzero(own < 0)
+        ids = [self._piece(pieces[i]) for i in new.tolist()]
+        own[new] = len(self.start) + np.arange(len(new))
+        start, size, flat = self._with(ids)
+        # most pieces never come again: one is remembered the second time it is new
+        bit = (words.hash[where[new]] % np.uint64(len(self.met))).astype(np.int64)
+        again = np.flatnonzero(self.met[bit]).tolist()
+        self.met[bit] = True
+        if again:
+            self.slot.update(zip((pieces[i] for i in new[again].tolist()), range(len(self.start), len(self.start) + len(again)), strict=True))
+            self.start, self.size, self.flat = self._with([ids[i] for i in again])
+        own = own[back]
         own = np.insert(own, words.bounds[1:], 0)
-        size = self.size[own]
+        size = size[own]
         upto = np.concatenate(([0], np.cumsum(size)))
-        flat = self.flat[np.repeat(self.start[own] - upto[:-1], size) + np.arange(upto[-1])]
+        flat = flat[np.repeat(start[own] - upto[:-1], size) + np.arange(upto[-1])]
         bounds = upto[np.concatenate(([0], words.bounds[1:] + np.arange(1, texts.n + 1)))]
         return flat, bounds
 
