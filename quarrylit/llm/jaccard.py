@@ -20,7 +20,7 @@ global order.  It is cut into fragments, and a set into one segment for each fra
 4. The rest.  Groups whose sets are still in several components are gone through pair by
    pair, in blocks of bounded size: a pair of one component needs no look, of others the
    sketches bound the overlap, and only pairs that may be linked go on to be verified.  A first
-   pass verifies only the likeliest pair of each set with each other component, so that few are
+   pass verifies only the likeliest pair of each set in a block, so that few are
    left for the second, which takes them all.  No link is lost, and a group of near copies makes
    no square of rows.
 5. Verification counts the overlap of each fragment separately and sums it per pair.
@@ -446,7 +446,7 @@ def _block_pairs(key: list, held: list[tuple], rule: Rule, likeliest: bool) -> I
                 for z, o in zip(y[fit].tolist(), bound[fit].tolist(), strict=True):
                     if held[x][5].isdisjoint(held[z][5]):
                         share = o / (n[x] + n[z] - o)
-                        to = component[z] if likeliest else z
+                        to = -1 if likeliest else z
                         near[to] = max(near.get(to, (0.0, 0)), (share, z))
         out += [(sid[min(x, z)], sid[max(x, z)]) for _, z in near.values()]
     if out:
@@ -470,7 +470,7 @@ def _stars(groups: DataFrame, components: DataFrame, salt: int) -> DataFrame:
 
 
 def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: Rule, likeliest: bool) -> DataFrame:
-    """Pairs of different components that share a group and may be linked: all, or a block's likeliest one of a set and a component."""
+    """Pairs of different components that share a group and may be linked: all, or a block's likeliest one of each set."""
     rows = _with_components(groups, components)
     open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("key", F.ceil(F.col("members") / F.lit(rule.block)).cast("int").alias("blocks"))
     rows = kept(rows.join(open_, "key"), "open")
