@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylit import agents, providers
 from quarrylit.functions import fields, text
 from quarrylit.operators import figures, geometry, jsons, layout, linkage, records, screening, usage, validate
 from quarrylit.plans import report
@@ -648,3 +649,33 @@ def figure_candidates(spark, sf_dir):
 def titles_and_materials(spark, sf_dir):
     d = _table(spark, sf_dir, "documents")
     return d.select("doc_id", records.text_title(F.col("text")).alias("title"), records.guessed_material(F.lit(""), F.col("text")).alias("material"))
+
+
+# ---- models: replies' usage, and a tool loop with a scripted model --------------------------------------------
+
+
+@query("SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE event_id % 1000 END AS input_tokens, CASE WHEN user_id % 3 = 0 THEN 0 ELSE event_id % 77 END AS output_tokens FROM events")
+def reply_usage(spark, sf_dir):
+    said = F.format_string('{"usage":{"input_tokens":%s,"output_tokens":%s}}', (F.col("event_id") % 1000).cast("string"), (F.col("event_id") % 77).cast("string"))
+    reply = F.when(F.col("user_id") % 3 == 0, '{"usage":null}').otherwise(said)
+    return _table(spark, sf_dir, "events").select("event_id", providers.usage_of(reply, "claude").alias("u")).select("event_id", "u.input_tokens", "u.output_tokens")
+
+
+class _Searcher:
+    """A scripted model: searches for a pattern, then keeps what has a hit."""
+
+    def __init__(self, pattern: str):
+        self.pattern = pattern
+
+    def turn(self, messages: list[dict], tools: list[str]) -> agents.Turn:
+        if messages[-1]["role"] == "user":
+            return agents.Turn((agents.Call("search_pdf", {"pattern": self.pattern}),), 10, 1)
+        found = messages[-1]["content"] != "(no matches)"
+        return agents.Turn((agents.Call("finalize", {"decision": "keep" if found else "reject", "reason": "confidence: 0.5"}),), 20, 2)
+
+
+@query("SELECT doc_id, CASE WHEN regexp_matches(lower(coalesce(text, '')), 'learn|query') THEN 'keep' ELSE 'reject' END AS decision, 2 AS steps_used, CAST(30 AS BIGINT) AS tokens FROM documents")
+def screening_loop(spark, sf_dir):
+    requests = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), F.array("text").alias("pages"), F.lit("screen").alias("task"), F.lit(None).cast("string").alias("candidate"))
+    done = agents.run(requests, agents.SCREENING, _Searcher("learn|query"))
+    return done.select(F.col("key").cast("long").alias("doc_id"), F.get_json_object("final", "$.decision").alias("decision"), "steps_used", F.col("input_tokens").alias("tokens"))

@@ -172,7 +172,7 @@ def licence(answer: Column) -> Column:
 
 def is_open_licence(url: Column) -> Column:
     """True, false, or null where the licence is unknown: a failed lookup is no decision."""
-    return F.contains(F.lower(url), F.lit("creativecommons.org"))
+    return F.contains(F.lower(url), F.lit("creativecommons")) | F.contains(F.lower(url), F.lit("/cc/"))
 
 
 # ---- slim records ---------------------------------------------------------------------------------------------
