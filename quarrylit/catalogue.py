@@ -674,8 +674,8 @@ class _Searcher:
         return agents.Turn((agents.Call("finalize", {"decision": "keep" if found else "reject", "reason": "confidence: 0.5"}),), 20, 2)
 
 
-@query("SELECT doc_id, CASE WHEN regexp_matches(lower(coalesce(text, '')), 'learn|query') THEN 'keep' ELSE 'reject' END AS decision, 2 AS steps_used, CAST(30 AS BIGINT) AS tokens FROM documents")
+@query("SELECT doc_id, CASE WHEN regexp_matches(lower(coalesce(text, '')), 'that|from') THEN 'keep' ELSE 'reject' END AS decision, 2 AS steps_used, CAST(30 AS BIGINT) AS tokens FROM documents")
 def screening_loop(spark, sf_dir):
     requests = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), F.array("text").alias("pages"), F.lit("screen").alias("task"), F.lit(None).cast("string").alias("candidate"))
-    done = agents.run(requests, agents.SCREENING, _Searcher("learn|query"))
+    done = agents.run(requests, agents.SCREENING, _Searcher("that|from"))
     return done.select(F.col("key").cast("long").alias("doc_id"), F.get_json_object("final", "$.decision").alias("decision"), "steps_used", F.col("input_tokens").alias("tokens"))
