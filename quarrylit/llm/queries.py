@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fst, jaccard, langid, packing, quality, repetition, secrets, toxicity, warc
+from . import decontaminate, fingerprints, fst, interactions, jaccard, langid, packing, phrases, quality, repetition, secrets, toxicity, warc
 from .shared import documents
 
 
@@ -62,6 +62,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fst.counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.interactions(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbours(documents(spark, sf_dir))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -107,6 +119,41 @@ SELECT d.doc_id AS doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coale
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) m ON d.doc_id = m.a"""
 
 
+#: Five filters' bits of each document, and every document under every order.
+_OP11 = """
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY x) AS least FROM t),
+m AS (SELECT w.doc_id AS doc_id, part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+    [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w), 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * length(x), regexp_matches(x, '[#$%&*|]'), coalesce(least < w.doc_id, false)] AS f
+  FROM w LEFT JOIN (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id) l ON l.doc_id = w.doc_id),
+c AS (SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM m GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT concat(a.c, b.c, d.c, e.c, f.c) AS o FROM letter a, letter b, letter d, letter e, letter f WHERE len(list_distinct([a.c, b.c, d.c, e.c, f.c])) = 5),
+steps AS (SELECT o, unnest(range(1, 6)) AS k FROM orders),
+s AS (SELECT part, o, k, o[k] AS own, n, good, toxic, f[ascii(o[k]) - 64] AS fails, len(list_filter(range(1, 6), lambda i: f[i] AND contains(o[:k - 1], chr(cast(64 + i AS INTEGER))))) > 0 AS gone, len(list_filter(f, lambda y: y)) AS failures FROM c, steps),
+r AS (SELECT part, o AS filter_order, cast(k AS INTEGER) AS step, own, coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS kept, coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS removed, coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE fails AND failures = 1), 0) AS unique_fails, coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS toxic_lost FROM s GROUP BY ALL)
+SELECT part, filter_order, step, cast(kept AS BIGINT) AS kept, cast(removed AS BIGINT) AS removed, cast(redundant AS BIGINT) AS redundant, cast(unique_fails AS BIGINT) AS unique_fails, cast(good_lost AS BIGINT) AS good_lost, cast(toxic_lost AS BIGINT) AS toxic_lost,
+  cast(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
+
+#: Every phrase's count, the lowest-scoring cut of each, and what stands in longer ones.
+_OP13 = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex({_FOLD.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]') AS ps FROM documents),
+p AS (SELECT lang, regexp_extract_all(x, '[^\\x20\\x09]+') AS w FROM (SELECT lang, unnest(ps) AS x FROM d)),
+totals AS (SELECT lang, cast(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT lang, phrase, a, w, unnest(range(1, k)) AS j FROM c),
+s AS (SELECT cuts.lang AS lang, cuts.phrase AS phrase, cuts.a AS a, j, x.a AS l, y.a AS r, cast((2000000::HUGEINT * cuts.a) // (x.a::HUGEINT + y.a) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[1:j], ' ') JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[j + 1:], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM s),
+longer AS (SELECT lang, k, a, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS phrase FROM c, (SELECT unnest([2, 3]) AS m) WHERE k > m)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT b.lang AS lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score FROM b JOIN totals t ON t.lang = b.lang
+  WHERE o = 1 AND NOT EXISTS (SELECT 1 FROM longer z WHERE z.lang = b.lang AND z.phrase = b.phrase AND 100 * z.a >= 80 * b.a)) WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The operators that SQL can express as a whole; the others are tested against brute force."""
-    return {"op1_decontaminate": _OP1, "op2_warc": _OP2, "op4_jaccard_join": _OP4}
+    return {"op1_decontaminate": _OP1, "op2_warc": _OP2, "op4_jaccard_join": _OP4, "op11_filter_interactions": _OP11, "op13_collocations": _OP13}
