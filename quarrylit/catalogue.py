@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from quarrylit import agents, providers
 from quarrylit.functions import fields, text
-from quarrylit.operators import figures, geometry, jsons, layout, linkage, records, screening, usage, validate
+from quarrylit.operators import figures, geometry, jsons, layout, linkage, ordered, records, screening, usage, validate
 from quarrylit.plans import report
 from quarrylit.plans.corpus import ORACLE as CORPUS
 from quarrylit.plans.corpus import corpus
-from quarrylit.streaming import logs
+from quarrylit.session import shared_folder
+from quarrylit.sources import ledger, literature
+from quarrylit.streaming import logs, phases
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -679,3 +681,65 @@ def screening_loop(spark, sf_dir):
     requests = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), F.array("text").alias("pages"), F.lit("screen").alias("task"), F.lit(None).cast("string").alias("candidate"))
     done = agents.run(requests, agents.SCREENING, _Searcher("that|from"))
     return done.select(F.col("key").cast("long").alias("doc_id"), F.get_json_object("final", "$.decision").alias("decision"), "steps_used", F.col("input_tokens").alias("tokens"))
+
+
+# ---- sources and sinks as data sources ------------------------------------------------------------------------------
+
+
+@query(
+    "WITH s AS (SELECT page_id, url, row_number() OVER (ORDER BY page_id) - 1 AS seq FROM pages) SELECT cast(seq // 25 AS INTEGER) AS page, seq, concat('J', cast(page_id % 5 AS VARCHAR)) AS journal, cast(2000 + page_id % 25 AS INTEGER) AS year, url "
+    "FROM s WHERE page_id % 5 IN (1, 4) AND page_id % 25 >= 10"
+)
+def literature_pages(spark, sf_dir):
+    """A search that finds every row of pages, asked page by page: the store is a folder a page, which tasks read."""
+    folder = shared_folder(spark, "literature")
+    found = _table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("J"), (F.col("page_id") % 5).cast("string")).alias("publicationName"), (2000 + F.col("page_id") % 25).cast("string").alias("publicationDate"), "url")
+    rows = ordered.numbered(found, ["page_id"], f"{folder}/ordered").withColumn("n", F.floor(F.col("seq") / 25).cast("int"))
+    rows.repartition("n").write.partitionBy("n").parquet(f"{folder}/store")
+    count = rows.count()
+
+    def fetch(asked: str, start: int, size: int) -> list[dict]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        files, path = fs.FileSystem.from_uri(f"{folder}/store/n={start // size}")
+        there = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
+        tables = [pq.read_table(files.open_input_file(i.path)) for i in there if i.base_name.endswith(".parquet")]
+        return sorted((r for t in tables for r in t.to_pylist()), key=lambda r: r["seq"])
+
+    literature.register(spark, {"elsevier": literature.Store(fetch, lambda asked: count)})
+    pages = spark.read.format("literature").option("source", "elsevier").option("query", "any").option("target", max(1, count)).load()
+    some = pages.where(F.col("journal").isin("J1", "J4") & (F.col("year") >= 2010))
+    return literature.complete(some).select("page", "seq", "journal", "year", F.get_json_object("record", "$.url").alias("url"))
+
+
+@query("SELECT user_id, event_type, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM events GROUP BY ALL")
+def ledger_appends(spark, sf_dir):
+    """Even users' events, then all, then all again: what an earlier append holds is not added."""
+    folder = f"{shared_folder(spark, 'ledger')}/events"
+    events = _table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    for part in (events.where("user_id % 2 = 0"), events, events):
+        ledger.append(part, folder, ["user_id", "event_type"])
+    return spark.read.format("ledger").load(folder).groupBy("user_id", "event_type").agg(F.count("*").alias("rows"), F.sum("event_id").alias("ids"))
+
+
+@query("SELECT c.event_id AS event_id, c.event_type AS event_type, m.pdf AS pdf FROM (SELECT *, user_id % 3 AS worker FROM events WHERE event_type <> 'view') c ASOF LEFT JOIN (SELECT user_id % 3 AS worker, ts, concat('doc', cast(user_id AS VARCHAR)) AS pdf FROM events WHERE event_type = 'view') m ON c.worker = m.worker AND c.ts >= m.ts")
+def attributed_calls(spark, sf_dir):
+    """Every call of a worker belongs to the document that the worker opened last."""
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type", "ts", (F.col("user_id") % 3).alias("worker"), F.concat(F.lit("doc"), F.col("user_id").cast("string")).alias("pdf"))
+    is_mark = F.col("event_type") == "view"
+    return ordered.attributed(events.where(~is_mark).drop("pdf"), events.where(is_mark).select("worker", "ts", "pdf"), by="worker", at="ts", value="pdf").select("event_id", "event_type", "pdf")
+
+
+_SAID = ("Starting arXiv download phase", "noise", "Starting Phase 0", "Phase 0 skipped", "[OK] Downloaded x.pdf", "Starting JSON verify agent", "JSON Clean Agent skipped", "noise", "Starting phase 2", "Pipeline completed")
+
+
+@query(
+    f"WITH l AS (SELECT user_id AS run, event_id AS line, lower({list(_SAID)}[cast(event_id * 7 % 10 AS INTEGER) + 1]) AS m FROM events), c AS (SELECT run, max(line) FILTER (WHERE contains(m, 'pipeline completed')) AS completed FROM l GROUP BY run), "
+    "s AS (SELECT run, line, CASE WHEN contains(m, 'download') THEN 'download' WHEN contains(m, 'phase 0') THEN 'phase0' WHEN contains(m, 'verify') THEN 'verifier' WHEN contains(m, 'clean') THEN 'cleaner' WHEN contains(m, 'phase 2') THEN 'phase2' END AS phase, CASE WHEN contains(m, 'skipped') THEN 'Skipped' ELSE 'Running' END AS status FROM l), "
+    "t AS (SELECT run, phase, max(line) AS line, arg_max(status, line) AS status FROM s WHERE phase IS NOT NULL GROUP BY ALL), p AS (SELECT unnest(['download', 'phase0', 'phase1', 'phase2', 'cleaner', 'verifier']) AS phase) "
+    "SELECT c.run AS run, p.phase AS phase, CASE WHEN t.status = 'Running' AND c.completed > t.line THEN 'Done' ELSE coalesce(t.status, 'Idle') END AS status FROM c CROSS JOIN p LEFT JOIN t ON t.run = c.run AND t.phase = p.phase"
+)
+def phase_states(spark, sf_dir):
+    said = F.array(*(F.lit(x) for x in _SAID))[(F.col("event_id") * 7 % 10).cast("int")]
+    return phases.statuses(_table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("line"), said.alias("message")))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +22,15 @@ def session(app: str = "quarrylit", master: str | None = None, **conf: str) -> S
     for k, v in settings.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir, which driver and executors share; a session that is all on this machine may do
+    without that setting and gets a folder of its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='quarrylit-')}"
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

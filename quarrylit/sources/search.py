@@ -1,7 +1,7 @@
 """Literature sources behind injected fetchers: paged searches become candidates, candidates become documents.
 
-A fetcher is the network: `fetch(query, start, size)` gives a page of records, `get(url)` a status, a type and bytes. There
-are a handful of sources, each with some tens of targets' worth of candidates, so a source is one task's work."""
+A fetcher is the network: `fetch(query, start, size)` gives a page of records.  `search` goes through one search in one task;
+`literature` has a partition a page, and downloads."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrylit.operators.records import FILE_BYTES, is_open_licence
+from quarrylit.operators.records import is_open_licence
 from quarrylit.operators.screening import last_wins
 
 Fetch = Callable[[str, int, int], list[dict]]
@@ -125,32 +125,3 @@ def pdf_url(source: str, record: Column) -> Column:
             page = filled(F.get_json_object(record, "$.entry_id"))
             return F.coalesce(filled(F.get_json_object(record, "$.pdf_url")), F.concat(F.replace(page, F.lit("/abs/"), F.lit("/pdf/")), F.lit(".pdf")))
     raise ValueError(f"no source {source!r}")
-
-
-def download(candidates: DataFrame, get: Callable[[str], tuple[int, str, bytes]], target: int, existing: DataFrame | None = None) -> DataFrame:
-    """Candidates (source, seq, name, url) tried in order until a source has its target: source, seq, name, status, content.
-    Names that exist count and aren't fetched; what fails, or isn't a PDF by its type (and size, where a source tells), is
-    `refused` and the next is tried."""
-    rows = candidates.select("source", "seq", "name", "url")
-    there = existing.select("name").distinct().withColumn("there", F.lit(True)) if existing is not None else None
-    rows = rows.join(there, "name", "left") if there is not None else rows.withColumn("there", F.lit(None).cast("boolean"))
-
-    def one(source: str, url: str | None) -> tuple[str, bytes | None]:
-        try:
-            status, kind, content = get(url) if url else (0, "", b"")
-        except Exception:
-            return "refused", None
-        good = status == 200 and "pdf" in (kind or "").lower() and (source not in SIZED or len(content) > FILE_BYTES)
-        return ("kept", content) if good else ("refused", None)
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        out, got = [], 0
-        for r in group.sort_values(["seq", "name"], kind="stable").itertuples():
-            if got >= target:
-                break
-            status, content = ("exists", None) if r.there is True else one(r.source, r.url)
-            got += status != "refused"
-            out.append((r.source, r.seq, r.name, status, content))
-        return pd.DataFrame(out, columns=["source", "seq", "name", "status", "content"])
-
-    return rows.groupBy("source").applyInPandas(run, "source string, seq long, name string, status string, content binary")

@@ -1,10 +1,9 @@
-"""Paged searches, licences, PDF places and downloads, by fetchers that are lists."""
+"""Paged searches, licences and PDF places, by fetchers that are lists."""
 
 import json
 
 from pyspark.sql import functions as F
 
-from quarrylit.operators.records import FILE_BYTES
 from quarrylit.sources import search
 
 
@@ -78,15 +77,3 @@ def test_licences_and_places(spark):
         ("arxiv", {"entry_id": "http://arxiv.org/abs/1"}, "http://arxiv.org/pdf/1.pdf"),
     ]
     assert [one(spark, search.pdf_url, s, r) for s, r, _ in cases] == [x for *_, x in cases]
-
-
-def test_download(spark):
-    big = b"x" * (FILE_BYTES + 1)
-    answers = {"good": (200, "application/PDF", big), "html": (200, "text/html", big), "small": (200, "application/pdf", b"x"), "gone": (404, "application/pdf", big)}
-    names = ["there", "html", "small", "gone", "fails", None, "good", "good"]
-    rows = spark.createDataFrame([(s, i, n or "null", n) for s in ("arxiv", "springer") for i, n in enumerate(names)], "source string, seq long, name string, url string")
-    got = search.download(rows, answers.__getitem__, 2, spark.createDataFrame([("there",), ("there",)], "name string")).collect()
-    by = {s: [(r.name, r.status) for r in sorted(got, key=lambda r: r.seq) if r.source == s] for s in ("arxiv", "springer")}
-    assert by["arxiv"] == [("there", "exists"), ("html", "refused"), ("small", "refused"), ("gone", "refused"), ("fails", "refused"), ("null", "refused"), ("good", "kept")]
-    assert by["springer"] == [("there", "exists"), ("html", "refused"), ("small", "kept")]
-    assert search.download(rows.limit(0), answers.__getitem__, 2).count() == 0
