@@ -38,7 +38,7 @@ KEY_BITS, BITMAP = 40, 26
 RANGE_BYTES = 8 << 20
 #: Parts that a language's phrases are ranked in before its first ones are.
 SPREAD = 64
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 
 _WORDS = at.byte_table(separators=b" \t.,;:!?\n\x0b\x0c\r", lower=True)
 _WORDS[0] = 1  # NUL is a word character; the table's 0 means none.  Where words are spelled, the bytes themselves are
