@@ -10,9 +10,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quarrylit.llm import arrowtext as at
-from quarrylit.llm import components, decontaminate, fst, jaccard, langid, packing, quality, repetition, secrets, toxicity, warc
+from quarrylit.llm import components, decontaminate, fingerprints, fst, interactions, jaccard, langid, packing, phrases, quality, repetition, secrets, toxicity, warc
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -572,3 +573,182 @@ def test_oracles(spark, name):
     assert sorted(names) == sorted(got.columns)
     order = sorted(names)
     assert sorted((tuple(r[c] for c in order) for r in got.collect()), key=repr) == sorted((tuple(r[names.index(c)] for c in order) for r in cursor.fetchall()), key=repr)
+
+
+# ---- 11 ---------------------------------------------------------------------------------------------------
+
+PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def filter_masks(rows):
+    """(part, set of failed letters, good, toxic) of each (doc_id, text, lang), with labels as a map."""
+    for key, text, lang, good, toxic in rows:
+        x = text or ""
+        words = PLAIN.findall(x)
+        tests = {
+            "A": len(words) < 100, "B": 100 * len(set(words)) < 80 * len(words), "C": 100 * sum("A" <= c <= "Z" for c in x) > 10 * len(x), "D": any(c in "#$%&*|" for c in x),
+            "E": key is not None and any(k is not None and k < key and (t or "") == x for k, t, *_ in rows),
+        }
+        yield lang or "", {k for k, v in tests.items() if v}, good, toxic
+
+
+def audited(rows):
+    import itertools
+
+    masks, out = list(filter_masks(rows)), {}
+    for part in {m[0] for m in masks}:
+        own = [m[1:] for m in masks if m[0] == part]
+        totals = collections.Counter()
+        for order in itertools.permutations("ABCDE"):
+            left = own
+            for step, c in enumerate(order, 1):
+                gone = [m for m in left if c in m[0]]
+                left = [m for m in left if c not in m[0]]
+                totals[c] += len(gone)
+                redundant = sum(c in m[0] for m in own) - len(gone)
+                out[part, "".join(order), step] = [len(left), len(gone), redundant, sum(m[0] == {c} for m in own), sum(m[1] for m in gone), sum(m[2] for m in gone)]
+        for (p, order, step), v in out.items():
+            if p == part:
+                v.append(totals[order[step - 1]])
+    return out
+
+
+def test_filter_interactions(spark):
+    rng = random.Random(11)
+    words = lambda n, kinds: " ".join(f"w{rng.randrange(kinds)}" for _ in range(n))
+    texts = [None, "", " \t\n", "\x00 a", "A", "é" * 200, "É " * 150, words(120, 10**6), words(120, 60), words(120, 10**6) + " 100 %", "ABC " * 99, LONG, "x|y", "same words", "Same words"]
+    rows = []
+    for i in range(120):
+        rows.append((i // 2 if i % 10 == 0 else i, rng.choice(texts), rng.choice(["en", "de", None, ""]), rng.random() < 0.5, rng.random() < 0.2))
+    rows += [(None, "same words", "en", False, False), (None, "same words", "en", False, False), (5000, "only here", "xx", False, False)]
+    # an id that stands twice has one label, and labels that stand twice count once
+    marks = {k: (g, t) for k, _, _, g, t in rows if k is not None}
+    rows = [(k, x, lang, *marks.get(k, (False, False))) for k, x, lang, _, _ in rows]
+    labels = [(k, int(g), int(t)) for k, (g, t) in marks.items()] + [(k, 0, None) for k in list(marks)[:20]] + [(None, 1, 1)]
+    docs = spark.createDataFrame([r[:3] + ("7",) for r in rows], "doc_id long, text string, lang string, mask string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {(r.part, r.filter_order, r.step): list(r)[3:] for r in interactions.interactions(docs, labels).collect()}
+    assert got == audited(rows) and len(got) == 4 * 600
+    assert interactions.interactions(empty(spark), labels).count() == 0
+    assert interactions.interactions(docs, labels.limit(0)).where("good_lost > 0 or toxic_lost > 0").count() == 0
+    two = interactions.audit(interactions.cells(docs, labels, {"P": F.col("lang") == "en"}), "PQ")
+    assert {r.filter_order for r in two.select("filter_order").distinct().collect()} == {"PQ", "QP"}
+    with pytest.raises(ValueError):
+        interactions.cells(docs, labels, {str(i): F.lit(True) for i in range(8)})
+
+
+# ---- 12 ---------------------------------------------------------------------------------------------------
+
+
+def fingerprint_codes(text, buckets):
+    """Triplets counted one by one."""
+    tables, data = fingerprints._tables(buckets), text.encode()
+    counts = [0] * buckets
+    for i in range(len(data) - 2):
+        counts[tables[0][data[i]] ^ tables[1][data[i + 1]] ^ tables[2][data[i + 2]]] += 1
+    quartiles = [sorted(counts)[k * buckets // 4 - 1] for k in (1, 2, 3)]
+    return [sum(c > q for q in quartiles) for c in counts] + [round(8 * np.log2(1 + len(data)))]
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_fingerprints(spark, partitions):
+    rng = random.Random(12)
+    texts = [None, "", "a", "ab", "é", "x" * 5000, LONG, *("".join(rng.choice("abcé 語\n") for _ in range(rng.randint(0, 300))) for _ in range(60)), "same text here", "same text here"]
+    ids = [None, None, *rng.sample(range(-50, 500), len(texts) - 2)]
+    docs = spark.createDataFrame([(k, t, "z") for k, t in zip(ids, texts, strict=True)], "doc_id long, text string, fingerprint string")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = fingerprints.neighbours(docs).toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert len(got) == len(texts)
+    order = sorted(zip(ids, texts, strict=True), key=lambda r: (r[0] is not None, r[0] or 0))
+    got = got[got.doc_id.notna()].set_index("doc_id")
+    tables = fingerprints._tables(fingerprints.BUCKETS)
+    for i, (key, text) in enumerate(order):
+        if key is None:
+            continue
+        after = order[(i + 1) % len(order)][1]
+        if i + 1 == len(order):
+            continue  # followed by one of the two null ids, whose order is their hashes'
+        text, after, row = text or "", after or "", got.loc[key]
+        changed = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert row.n_chars == len(text) and row.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        own, other, following = (fingerprints.codes(t, tables) for t in (text, changed, after))
+        assert row.fingerprint == fingerprints.digest(own) and row.edited_fingerprint == fingerprints.digest(other)
+        assert row.near_edited == fingerprints.likeness(own, other) and row.near_next == fingerprints.likeness(own, following)
+        assert 0 <= row.near_edited <= 1 and 0 <= row.near_next <= 1
+        if len(text) < 400:
+            assert own.tolist() == fingerprint_codes(text, fingerprints.BUCKETS)
+            assert fingerprints.decoded(row.fingerprint).tolist() == own.tolist()
+    same = [got.loc[k].fingerprint for k, t in zip(ids, texts, strict=True) if t == "same text here"]
+    assert same[0] == same[1]
+    one = fingerprints.neighbours(docs.where("text = 'ab'")).toPandas()
+    assert one.near_next.tolist() == [1.0] and one.edited_sha256[0] == hashlib.sha256(b"aa").hexdigest()
+    assert fingerprints.neighbours(empty(spark)).count() == 0
+
+
+def test_fingerprints_tell_edits_from_strangers():
+    """Half of a text kept is nearer than another text over the same words; chunks count as whole texts do."""
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(20, 600))) for _ in range(200)]
+    tables = fingerprints._tables(fingerprints.BUCKETS)
+    found = [fingerprints.codes(t, tables) for t in texts]
+    nearer = sum(fingerprints.likeness(found[i], fingerprints.codes(fingerprints.edited(texts[i], texts[i + 1]), tables)) > fingerprints.likeness(found[i], found[i + 1]) for i in range(199))
+    assert nearer >= 197
+    assert fingerprints.codes(LONG * 8, tables).tolist() == fingerprint_codes(LONG * 8, fingerprints.BUCKETS)
+
+
+# ---- 13 ---------------------------------------------------------------------------------------------------
+
+
+def collocations(rows, max_n, least, percent, top):
+    f, totals = collections.Counter(), collections.Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in range(1, max_n + 1):
+                for i in range(len(words) - n + 1):
+                    f[lang, tuple(words[i : i + n])] += 1
+    candidates = {k: a for k, a in f.items() if len(k[1]) > 1 and a >= least}
+    out = collections.defaultdict(list)
+    for (lang, p), a in candidates.items():
+        longer = (b for (other, q), b in candidates.items() if other == lang and len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q))))
+        if any(100 * b >= percent * a for b in longer):
+            continue
+        score, _, left, right = min((2000000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p)))
+        out[lang].append((-score, -a, " ".join(p).encode(), left, right))
+    return {(lang, i): (p.decode(), -a, left, right, totals[lang], -s) for lang, found in out.items() for i, (s, a, p, left, right) in enumerate(sorted(found)[:top], 1)}
+
+
+@pytest.mark.parametrize("least, top", [(30, 2000), (3, 2000), (3, 5)])
+def test_collocations(spark, least, top):
+    rng = random.Random(13)
+    kinds = ["New", "york", "city", "é", "É", "\x00", "\x01", "語", "new"]
+    sentence = lambda: "".join(rng.choice(kinds) + rng.choice([" ", " ", " ", "\t", "  ", ", ", ".\n", "\x0b", "\r\n"]) for _ in range(rng.randint(0, 60)))
+    rows = [(sentence(), rng.choice(["en", "de", None, "und"])) for _ in range(150)] + [(None, "en"), ("", None), (" \t ", "xx"), (". , ;", "yy"), ("ab " * 20_000, "long"), ("y" * 70_000 + " z", "en")]
+    rows += [("New York city hall", "en")] * 40 + [("a b c d", "zz")] * 40 + [("b c", "zz")] * 5
+    docs = spark.createDataFrame([(i, t, lang, 1) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string, rank int").repartition(5)
+    got = phrases.mine(docs, least=least, top=top).toPandas()
+    assert {(r.lang, r["rank"]): tuple(r.iloc[2:]) for _, r in got.iterrows()} == collocations(rows, 4, least, 80, top)
+    assert phrases.mine(empty(spark)).count() == 0
+
+
+def test_collocation_scores_pass_64_bits(spark):
+    """Counts whose products don't fit into a long are scored exactly, next to a whole number too."""
+    big = 4 * 10**15
+    rows = [("en", 1, "a", big + 1), ("en", 1, "b", big - 1), ("en", 2, "a b", big - 1), ("en", 1, "c", 2 * big), ("en", 2, "c a", 3), ("en", 2, "b c", big // 3)]
+    got = {r.phrase: r.score for r in phrases.scored(spark.createDataFrame(rows, "lang string, n int, phrase string, a long")).collect()}
+    assert got == {"a b": 2000000 * (big - 1) // (2 * big), "c a": 0, "b c": 2000000 * (big // 3) // (3 * big - 1)}
+
+
+def test_collocations_with_a_full_bitmap(spark, monkeypatch):
+    """Where every place of the bitmap is taken, the rows are more and the result the same."""
+    monkeypatch.setattr(phrases, "_bitmap", lambda *a: np.full(1 << phrases.BITMAP - 3, 255, np.uint8))
+    rows = [("a b a b c", "en")] * 3 + [("c d", "en"), ("a b", "de")]
+    got = phrases.mine(spark.createDataFrame(rows, "text string, lang string"), least=2).toPandas()
+    assert {(r.lang, r["rank"]): tuple(r.iloc[2:]) for _, r in got.iterrows()} == collocations(rows, 4, 2, 80, 2000)
