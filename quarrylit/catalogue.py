@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrylit import agents, providers
 from quarrylit.functions import fields, text
-from quarrylit.operators import figures, geometry, jsons, layout, linkage, ordered, records, screening, usage, validate
+from quarrylit.operators import crops, figures, geometry, hints, jsons, layout, linkage, ordered, records, references, screening, usage, validate, verification
 from quarrylit.plans import report
 from quarrylit.plans.corpus import ORACLE as CORPUS
 from quarrylit.plans.corpus import corpus
@@ -631,11 +631,31 @@ def first_of_path(spark, sf_dir):
     return records.first_of_path(rows, "path", "doc_id").select("source", "doc_id")
 
 
-@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'Fe2O3' WHEN p_size % 3 = 0 THEN 'NiO' WHEN p_size % 5 = 0 THEN 'TiO2' ELSE '' END AS material, concat('t', cast(p_partkey AS VARCHAR)) AS title, cast(p_size AS INTEGER) AS figure_number FROM part")
+_SLIM = (
+    "concat('{\"pdf\":\"/p/', p_partkey, '.pdf\",\"title\":\"t', p_partkey, '\",\"doi\":\"', CASE WHEN p_size % 4 = 0 THEN '10.1/x' ELSE '' END, '\"', CASE WHEN p_size % 7 = 0 THEN ',\"main_material\":\" Main  X \"' ELSE '' END, "
+    "',\"global_xrd_text\":{\"verified\":{\"radiation\":{\"value\":\"Cu Ka\"},\"fwhm\":{\"value\":[]},\"skipped\":{\"note\":1}},\"regex_candidate\":{\"fwhm\":[\"0.1\"],\"cell_volume\":', CASE WHEN p_size % 3 = 0 THEN '\"\"' ELSE '\"150\"' END, ',\"other\":\"no\"}}"
+    ",\"xrd_figures\":[{\"figure_id\":\"f', p_size, '\",\"matched_fig_num\":', p_size, ',\"page\":', p_size % 9, ',\"matched_caption_text\":\"cap\",\"plot_info\":{\"x_axis_label\":\"2theta\",\"reported_materials\":[\" \"', CASE WHEN p_size % 3 = 0 THEN ',\"NiO\",\"nio\"' ELSE '' END, "
+    "'],\"is_multi_panel\":true', CASE WHEN p_size % 6 = 0 THEN '' ELSE concat(',\"lattice_parameters\":{\"a\":\"5.', p_size, '\"},\"legend_entries\":[{\"label\":\"L\",\"color\":\"red\",\"linestyle\":\"--\",\"temperature\":\"', p_size, ' C\",\"material\":\"', CASE WHEN p_size % 5 = 0 THEN ' TiO2 ' ELSE '' END, '\"}]') END, "
+    "'},\"phase2_xrd_text\":{\"verified\":{\"space_group\":{\"value\":[\"Fm-3m\"]},\"gone\":3},\"regex_candidate\":{\"material_systems\":[', CASE WHEN p_size % 2 = 0 THEN '\"Fe2O3\"' ELSE '' END, ']}}}]}')"
+)
+_SLIM_MATERIAL = "CASE WHEN p_size % 2 = 0 THEN 'Fe2O3' WHEN p_size % 3 = 0 THEN 'NiO' WHEN p_size % 5 = 0 AND p_size % 6 <> 0 THEN 'TiO2' ELSE '' END"
+
+
+@query(
+    f"SELECT p_partkey, concat('/p/', p_partkey, '.pdf') AS pdf, concat('t', cast(p_partkey AS VARCHAR)) AS title, CASE WHEN p_size % 4 = 0 THEN '10.1/x' ELSE '' END AS doi, CASE WHEN p_size % 7 = 0 THEN 'Main X' ELSE concat('t', p_partkey) END AS main_material, "
+    "concat('fwhm=[]|radiation=\"Cu Ka\"', CASE WHEN p_size % 3 = 0 THEN '' ELSE '|cell_volume=\"150\"' END) AS paper, cast(p_size AS INTEGER) AS figure_number, cast(p_size % 9 AS INTEGER) AS page, concat('f', p_size, '/cap/2theta/true') AS figure, "
+    f"{_SLIM_MATERIAL} AS material, 'space_group=[\"Fm-3m\"]' AS verified, CASE WHEN p_size % 6 = 0 THEN '' ELSE concat('5.', p_size) END AS edge, CASE WHEN p_size % 6 = 0 THEN '' ELSE concat('L/red/--/', p_size, ' C/', CASE WHEN p_size % 5 = 0 THEN ' TiO2 ' ELSE '' END) END AS legend FROM part"
+)
 def slim_records(spark, sf_dir):
-    r = "concat('{\"title\":\"t', p_partkey, '\",\"xrd_figures\":[{\"matched_fig_num\":', p_size, ',\"plot_info\":{\"reported_materials\":[\" \"', CASE WHEN p_size % 3 = 0 THEN ',\"NiO\",\"nio\"' ELSE '' END, '],\"legend_entries\":[{\"material\":\"', CASE WHEN p_size % 5 = 0 THEN ' TiO2 ' ELSE '' END, '\"}]},\"phase2_xrd_text\":{\"regex_candidate\":{\"material_systems\":[', CASE WHEN p_size % 2 = 0 THEN '\"Fe2O3\"' ELSE '' END, ']}}}]}')"
-    out = records.slim(_table(spark, sf_dir, "part").select("p_partkey", F.expr(r).alias("record")))
-    return out.select("p_partkey", "title", F.explode("figures").alias("f")).select("p_partkey", "f.material", "title", "f.figure_number")
+    out = records.slim(_table(spark, sf_dir, "part").select("p_partkey", "p_size", F.expr(_SLIM).alias("record")))
+    said = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    got = out.withColumn("f", F.explode("figures")).withColumn("plot", F.col("f.plot_info"))
+    legend = F.array_join(F.transform("plot.legend_entries", lambda e: F.concat_ws("/", e["label"], e["color"], e["linestyle"], e["temperature"], e["material"])), "|")
+    ordered_paper = F.concat_ws("|", said(F.map_filter("global", lambda k, _: k == "fwhm")), F.nullif(said(F.map_filter("global", lambda k, _: k == "radiation")), F.lit("")), F.nullif(said(F.map_filter("global", lambda k, _: ~k.isin("fwhm", "radiation"))), F.lit("")))
+    return got.select(
+        "p_partkey", "pdf", "title", "doi", "main_material", ordered_paper.alias("paper"), "f.figure_number", "f.page", F.concat_ws("/", "f.figure_id", "f.caption", "plot.x_axis_label", F.col("f.is_multi_panel").cast("string")).alias("figure"),
+        "f.material", said(F.col("f.xrd_metadata")).alias("verified"), F.coalesce(F.try_element_at("plot.lattice_parameters", F.lit("a")), F.lit("")).alias("edge"), legend.alias("legend"),
+    )
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, least(1.0, (CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END + CASE WHEN l_quantity >= 25 THEN 1 ELSE 0 END + CASE WHEN l_partkey % 2 = 0 THEN 1 ELSE 0 END + CASE l_returnflag WHEN 'A' THEN 2 WHEN 'R' THEN 1 ELSE 0 END) / 5.0) AS score, l_partkey % 2 = 0 AND NOT (l_returnflag = 'N' AND l_linestatus = 'O') AS call FROM lineitem")
@@ -743,3 +763,129 @@ _SAID = ("Starting arXiv download phase", "noise", "Starting Phase 0", "Phase 0
 def phase_states(spark, sf_dir):
     said = F.array(*(F.lit(x) for x in _SAID))[(F.col("event_id") * 7 % 10).cast("int")]
     return phases.statuses(_table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("line"), said.alias("message")))
+
+
+# ---- verification, references, pictures, links -----------------------------------------------------------------------
+
+_GROUPS = {"Fm-3m": 225, "P6_3/mmc": 194, "I4/mmm": 139}
+_BLOCK_FIELDS = {
+    "title": "'\"T\"'",
+    "space_group": "CASE WHEN doc_id % 2 = 0 THEN '[\"Fm-3m\"]' ELSE '\"P6_3/mmc\"' END",
+    "space_group_number": "CASE doc_id % 3 WHEN 0 THEN '225' WHEN 1 THEN '\"No. 194\"' END",
+    "crystal_structure": "CASE doc_id % 4 WHEN 0 THEN '[\"fcc\"]' WHEN 1 THEN '\"hexagonal\"' WHEN 2 THEN '[\"anatase\",\"Rutile\"]' ELSE '[\"fcc\",\"hcp\"]' END",
+    "lattice_parameters": "CASE WHEN doc_id % 5 = 0 THEN '{\"a\":\"5.0 A\",\"b\":\"5.1 A\",\"gamma\":\"90\"}' ELSE '{\"a\":\"5.0 A\",\"b\":\"5.0 A\"}' END",
+    "radiation": "'\"Cu Ka\"'",
+    "radiation_wavelength": "CASE WHEN doc_id % 7 = 0 THEN '\"1.60 A\"' WHEN doc_id % 7 = 1 THEN '\"1.5444 A\"' ELSE '\"1.5418\"' END",
+}
+
+
+class _Verifier:
+    """Answers the first three open fields of a request: from the labels, with the first words of the document as evidence."""
+
+    def __init__(self, labels: DataFrame):
+        self.labels = labels
+
+    def __call__(self, requests: DataFrame) -> DataFrame:
+        some = requests.join(self.labels, "doc_id").select("doc_id", "scope", "quality", "toxic", "context", F.explode(F.slice("fields", 1, 3)).alias("f"))
+        field = F.col("f.field")
+        status = F.when((field == "title") & (F.col("toxic") == 1), "unsupported").when((field == "radiation") & (F.col("quality") == 0), "unclear").otherwise("supported")
+        corrected = F.when(field == "title", F.lit('"U"')).when(field == "lattice_parameters", F.lit("[]"))
+        return some.select("doc_id", "scope", field.alias("field"), status.alias("status"), corrected.alias("corrected"), F.substring("context", 1, 8).alias("evidence"))
+
+
+@query(
+    "WITH l AS (SELECT doc_id, quality, toxic FROM labels), c AS (SELECT l.*, substring(d.text, 1, 8) AS span, CASE doc_id % 4 WHEN 0 THEN 'cubic' WHEN 1 THEN 'hexagonal' WHEN 2 THEN 'tetragonal' END AS system, CASE WHEN doc_id % 2 = 0 THEN 'Fm-3m' ELSE 'P6_3/mmc' END AS symbol, CASE doc_id % 3 WHEN 0 THEN 225 WHEN 1 THEN 194 ELSE CASE WHEN doc_id % 2 = 0 THEN 225 ELSE 194 END END AS number FROM l JOIN documents d USING (doc_id)), "
+    "n AS (SELECT *, CASE WHEN system <> CASE number WHEN 225 THEN 'cubic' ELSE 'hexagonal' END THEN concat('POST-FINALIZE: ', symbol, ' (#', number, ') belongs to ', CASE number WHEN 225 THEN 'cubic' ELSE 'hexagonal' END, ', not ', system) END AS group_note, "
+    "CASE WHEN doc_id % 5 = 0 AND system = 'cubic' THEN 'POST-FINALIZE: cubic requires a=b, got a=5.0, b=5.1' WHEN doc_id % 5 = 0 AND system = 'tetragonal' THEN 'POST-FINALIZE: tetragonal requires a=b, got a=5.0, b=5.1' WHEN doc_id % 5 = 0 AND system = 'hexagonal' THEN 'POST-FINALIZE: hexagonal requires a=b, got a=5.0, b=5.1; hexagonal requires gamma=120, got 90.0' END AS lattice_note, "
+    "CASE doc_id % 7 WHEN 0 THEN 'POST-FINALIZE: Reported wavelength does not match any known line for this source' WHEN 1 THEN 'POST-FINALIZE: Value 1.5444 matches CU ka2 (1.5444), not ka (1.5418)' END AS wave_note FROM c), "
+    "f AS (SELECT doc_id, span, unnest([{'field': 'title', 'status': CASE WHEN toxic = 1 THEN 'unsupported' ELSE 'supported' END, 'note': NULL}, {'field': 'space_group', 'status': 'supported', 'note': group_note}, {'field': 'space_group_number', 'status': CASE WHEN doc_id % 3 < 2 THEN 'supported' END, 'note': NULL}, {'field': 'crystal_structure', 'status': 'supported', 'note': group_note}, "
+    "{'field': 'lattice_parameters', 'status': 'supported', 'note': lattice_note}, {'field': 'radiation', 'status': CASE WHEN quality = 0 THEN 'unclear' ELSE 'supported' END, 'note': wave_note}, {'field': 'radiation_wavelength', 'status': 'supported', 'note': wave_note}]) AS f FROM n) "
+    "SELECT doc_id, f.field AS field, CASE WHEN f.status = 'supported' AND f.note IS NOT NULL THEN 'unsupported' ELSE f.status END AS status, CASE WHEN f.status = 'supported' AND f.note IS NOT NULL THEN f.note ELSE span END AS evidence FROM f WHERE f.status IS NOT NULL"
+)
+def verified_fields(spark, sf_dir):
+    """Blocks of six or seven fields, asked about three at a time until none is open or rounds are over, then checked."""
+    labels = _table(spark, sf_dir, "labels")
+    entry = F.array(*(F.struct(F.lit(k).alias("field"), F.expr(v).alias("candidate")) for k, v in _BLOCK_FIELDS.items()))
+    fields_ = labels.select("doc_id", F.lit("methods").alias("scope"), F.explode(entry).alias("e")).select("doc_id", "scope", "e.field", "e.candidate").where("candidate IS NOT NULL")
+    contexts = _table(spark, sf_dir, "documents").select("doc_id", F.lit("methods").alias("scope"), F.col("text").alias("context"))
+    said = verification.asked(fields_, contexts, _Verifier(labels), shared_folder(spark, "verification"))
+    return verification.post_checked(said, _GROUPS).select("doc_id", "field", "status", "evidence")
+
+
+@query(
+    "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'T0' WHEN p_size % 3 = 0 THEN 'T1' ELSE '' END AS title, CASE WHEN p_size % 5 = 0 THEN 0.5 ELSE 0.9 END AS confidence, CASE WHEN p_size % 7 = 0 THEN 'x|y' ELSE 'z' END AS tags, CASE WHEN p_size % 11 = 0 THEN 'a=1' ELSE 'b=2' END AS cell FROM part"
+)
+def merged_records(spark, sf_dir):
+    """Each field from the first of three sources that fills it: a text, a number, a list and a map, from different ones."""
+    source = lambda n, sql: _table(spark, sf_dir, "part").select("p_partkey", F.lit(n).alias("priority"), F.expr(sql).alias("record"))
+    rows = source(0, "concat('{\"title\":\"', CASE WHEN p_size % 2 = 0 THEN ' T0 ' ELSE ' ' END, '\",\"confidence\":', CASE WHEN p_size % 5 = 0 THEN '0.5' ELSE '0' END, ',\"tags\":[]}')")
+    rows = rows.unionByName(source(1, "concat('{\"title\":', CASE WHEN p_size % 3 = 0 THEN '\"T1\"' ELSE 'null' END, ',\"tags\":', CASE WHEN p_size % 7 = 0 THEN '[\"x\",\"y\"]' ELSE '[]' END, ',\"cell\":', CASE WHEN p_size % 11 = 0 THEN '{\"a\":\"1\"}' ELSE '{}' END, ',\"confidence\":0.9}')"))
+    rows = rows.unionByName(source(2, "'{\"tags\":[\"z\"],\"cell\":{\"b\":\"2\"}}'"))
+    kinds = {"title": references.Field("$.title"), "confidence": references.Field("$.confidence", "double"), "tags": references.Field("$.tags", "array<string>"), "cell": references.Field("$.cell", "map<string,string>")}
+    got = references.merged(rows, "p_partkey", "priority", "record", kinds)
+    return got.select("p_partkey", "title", "confidence", F.array_join("tags", "|").alias("tags"), F.array_join(F.transform(F.map_entries("cell"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|").alias("cell"))
+
+
+@query(
+    "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN concat('Own ', p_partkey) WHEN 1 THEN 'Methods' WHEN 2 THEN '' ELSE 'Sibling' END AS title, CASE p_size % 4 WHEN 0 THEN '10.1/own' WHEN 1 THEN '10.1/global' WHEN 2 THEN concat('10.48550/arXiv.2401.', 10000 + p_partkey) ELSE '10.1/sibling' END AS doi, "
+    "CASE WHEN p_size % 4 = 2 THEN concat('2401.', 10000 + p_partkey, 'v2') ELSE '' END AS arxiv_id, CASE p_size % 4 WHEN 2 THEN 'arxiv' WHEN 3 THEN 'springer' ELSE 'unknown' END AS source_type, CASE WHEN p_size % 4 = 2 THEN 'arxiv' ELSE '' END AS doi_source, CASE p_size % 4 WHEN 2 THEN concat('2401.', 10000 + p_partkey, 'v2.pdf') WHEN 3 THEN concat(p_partkey, '.pdf') ELSE concat(p_partkey, '.json') END AS pdf_name FROM part"
+)
+def merged_references(spark, sf_dir):
+    """Two records of each paper: DOI and title of the record's own, of its blocks, of its sibling, or from an arXiv id in its path."""
+    own = F.expr(
+        "CASE p_size % 4 WHEN 0 THEN concat('{\"title\":\" Own ', p_partkey, '\",\"doi\":\"10.1/own\",\"global\":{\"title\":\"no\"}}') WHEN 1 THEN '{\"title\":\"\",\"global\":{\"title\":\"Global\",\"doi\":\"10.1/global\"},\"methods\":{\"title\":\"Methods\",\"doi\":\"10.1/methods\"}}' "
+        "WHEN 2 THEN concat('{\"pdf\":\"/arxiv/arXiv 2401.', 10000 + p_partkey, 'v2/2401.', 10000 + p_partkey, 'v2.pdf\"}') ELSE 'broken' END"
+    )
+    sibling = F.expr("CASE WHEN p_size % 4 = 3 THEN concat('{\"title\":\"Sibling\",\"doi\":\"10.1/sibling\",\"pdf\":\"/Springer/', p_partkey, '.pdf\"}') END")
+    p = _table(spark, sf_dir, "part")
+    rows = p.select("p_partkey", F.lit(0).alias("priority"), own.alias("record")).unionByName(p.select("p_partkey", F.lit(1).alias("priority"), sibling.alias("record")))
+    got = references.reference(rows, "p_partkey", "priority", "record", F.concat(F.col("p_partkey").cast("string"), F.lit(".json")))
+    return got.select("p_partkey", "title", "doi", "arxiv_id", "source_type", "doi_source", "pdf_name")
+
+
+@query(
+    "WITH p AS (SELECT p_partkey AS k, p_partkey % 5 AS level FROM part) SELECT k AS id, cast(1 AS INTEGER) AS place, CASE level WHEN 0 THEN concat('/crops/', k, '.png') WHEN 1 THEN concat('/crops/', k, '.png') WHEN 2 THEN concat('/crops/', k, '.png') WHEN 3 THEN concat('/out/b', k, '__XRD_ONLY/x.png') ELSE concat('/out/q', k, '__XRD_ONLY/x.png') END AS path, "
+    "CASE WHEN level < 3 THEN concat('Figure ', k, ' • page 2 • cap') ELSE 'x.png' END AS caption, cast(level + 1 AS INTEGER) AS level FROM p UNION ALL SELECT k, 2, concat('/out/b', k, '__XRD_ONLY/x.png'), 'x.png', 4 FROM p WHERE level = 0"
+)
+def crop_pictures(spark, sf_dir):
+    """Each fifth of the records finds its picture another way; some find one by two."""
+    k = F.col("p_partkey").cast("string")
+    p = _table(spark, sf_dir, "part").withColumn("level", F.col("p_partkey") % 5)
+    wanted = p.select(F.col("p_partkey").alias("id"), F.concat(F.lit("/out/b"), k, F.lit("__final.json")).alias("json_path"), F.concat(F.lit("b"), k).alias("base"), F.concat(F.lit("/in/P"), k, F.lit(".PDF")).alias("pdf"))
+    shown = F.array(F.struct(F.concat(F.lit("/crops/"), k, F.lit(".png")).alias("path"), F.col("p_partkey").cast("int").alias("number"), F.lit(2).alias("page"), F.lit(" cap ").alias("caption")), F.struct(F.lit("/gone.png").alias("path"), F.lit(1).alias("number"), F.lit(1).alias("page"), F.lit("").alias("caption")))
+    at = F.when(F.col("level") == 0, F.concat(F.lit("/out/b"), k, F.lit("__final.json"))).when(F.col("level") == 1, F.concat(F.lit("/out/b"), k, F.lit("__phase2_enriched.json"))).when(F.col("level") == 2, F.concat(F.lit("/out/other"), k, F.lit("__phase1_raw.json"))).when(F.col("level") == 4, F.concat(F.lit("/out/q"), k, F.lit("__phase1_raw.json")))
+    pdf = F.concat(F.lit("/elsewhere/p"), k, F.lit(".pdf"))
+    rows = p.where("level <> 3").select(at.alias("json_path"), pdf.alias("pdf"), F.when(F.col("level") < 4, shown).otherwise(F.slice(shown, 2, 1)).alias("figures"))
+    folder = F.when(F.col("level").isin(0, 3), F.concat(F.lit("/out/b"), k, F.lit("__XRD_ONLY/x.png"))).when(F.col("level") == 4, F.concat(F.lit("/out/q"), k, F.lit("__XRD_ONLY/x.png")))
+    files = p.select(F.concat(F.lit("/crops/"), k, F.lit(".png")).alias("path")).unionByName(p.select(folder.alias("path")).where("path IS NOT NULL"))
+    return crops.pictures(wanted, rows, files)
+
+
+@query("SELECT p_partkey AS id, min(p_partkey) OVER (PARTITION BY p_name) AS candidate_id, 1.0 AS score FROM part")
+def title_links(spark, sf_dir):
+    """The paper of each title, without a block: of equal titles the first."""
+    part = _table(spark, sf_dir, "part")
+    wanted = part.select(F.col("p_partkey").alias("id"), F.upper("p_name").alias("title"), F.lit("Doe, J.").alias("authors"))
+    candidates = part.select(F.col("p_partkey").alias("candidate_id"), F.col("p_partkey").alias("seq"), F.col("p_name").alias("candidate_title"), F.lit("J. Doe; Doe, J.").alias("candidate_authors"))
+    return linkage.linked(wanted, candidates).withColumn("score", F.round("score", 9))
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'NaCl|Fe2O3' ELSE 'TiO2' END AS formulas, CASE WHEN event_id % 2 = 0 THEN 'cubic|hexagonal' ELSE '' END AS phases, 'P 63/mmc' AS groups, CASE WHEN event_id % 3 = 0 THEN 'NaCl' ELSE 'TiO2' END AS formula FROM events"
+)
+def search_hints(spark, sf_dir):
+    """Hints of nested records in the order of their leaves; without a key that promises a formula, one from any text."""
+    named = '"figures":[{"phase":"NaCl"},{"z":{"composition_a":" Fe2 O3 "}},{"phase":"NaCl"}],'
+    record = F.concat(F.lit('{"b":{"note":"group P  63/mmc"},"k":null,'), F.when(F.col("event_id") % 3 == 0, F.lit(named)).otherwise(F.lit('"list":[["TiO2"]],')), F.when(F.col("event_id") % 2 == 0, F.lit('"c":["a cubic one","hexagonal, Cubic"],')).otherwise(F.lit("")), F.lit('"a":1}'))
+    got = hints.hints(_table(spark, sf_dir, "events").select("event_id", record.alias("record")), "record", {})
+    first = hints.search_defaults(F.lit(" "), F.lit(None), F.col("formulas"), F.col("phases"), F.col("groups"))
+    return got.select("event_id", F.array_join("formulas", "|").alias("formulas"), F.array_join("phases", "|").alias("phases"), F.array_join("groups", "|").alias("groups"), first["formula"].alias("formula"))
+
+
+@query()
+def turn_differences(spark, sf_dir):
+    """Each conversation's turns against the one before of the same speaker, line by line."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    before = turns.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("text").alias("old"))
+    pairs = turns.join(before, ["conv_id", "turn"]).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "old", F.col("text").alias("new"))
+    return hints.differences(pairs, "id", "old", "new")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrylit.functions.text import match_key, overlap, similarity, surnames
@@ -31,6 +31,64 @@ def link(records: DataFrame, candidates: DataFrame, *, weights: tuple[float, flo
     return met.groupBy("id").agg(best.alias("m")).select("id", F.col("m.candidate_id").alias("candidate_id"), F.col("m.score").alias("score"))
 
 
+# ---- without a block ------------------------------------------------------------------------------------------------
+
+#: Of two titles' words, the share that a match shares at least; the rest of each title's rarest words are its keys.
+SHARED = 0.25
+_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def _profile(title: Column) -> Column:
+    """How often each letter stands in a match key."""
+    return F.array(*(F.length(title) - F.length(F.replace(title, F.lit(c), F.lit(""))) for c in _LETTERS))
+
+
+def title_pairs(titles: DataFrame, others: DataFrame, least_ratio: float, shared: float = SHARED) -> DataFrame:
+    """Pairs (title, other) of distinct match keys whose ratio may reach the least one.
+
+    Titles meet in a rare word: of n words, the n - ceil(shared n) + 1 rarest, as two titles that share that many must
+    share one of these.  A pair then has to pass two bounds on the ratio, by both lengths and by how often each letter stands
+    in both.  Titles that share fewer words, misspelt in most of them, don't meet."""
+    words = lambda df, c: df.select(c, F.array_distinct(F.filter(F.split(c, " "), lambda w: w != "")).alias("words"))
+    left, right = words(titles, "title"), words(others, "other")
+    both = left.select(F.explode("words").alias("word")).unionByName(right.select(F.explode("words").alias("word")))
+    counts = both.groupBy("word").agg(F.count("*").alias("n"))
+
+    def keys(df: DataFrame, c: str) -> DataFrame:
+        own = df.select(c, F.explode("words").alias("word")).join(counts, "word")
+        ranked = own.groupBy(c).agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("w"))  # a title's words
+        many = F.size("w") - F.ceil(F.size("w") * shared).cast("int") + 1
+        return ranked.select(c, F.explode(F.slice("w", 1, many)).alias("k")).select(c, "k.word")
+
+    met = keys(left, "title").join(keys(right, "other"), "word").select("title", "other").distinct()
+    a, b = F.length("title"), F.length("other")
+    met = met.where(2 * F.least(a, b) >= least_ratio * (a + b))
+    inside = F.aggregate(F.zip_with(_profile(F.col("title")), _profile(F.col("other")), lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+    return met.where(2 * inside >= least_ratio * (a + b))
+
+
+def linked(records: DataFrame, candidates: DataFrame, *, weights: tuple[float, float, float, float] = CROSSREF, shared: float = SHARED) -> DataFrame:
+    """As `link`, without a block of the caller's: records (id, title, authors) and candidates (candidate_id, seq,
+    candidate_title, candidate_authors), with arxiv_id and candidate_arxiv_id where both have them.
+
+    Distinct titles are paired and compared once; records and candidates that are alike in all that is scored stand for one."""
+    title, author, by_id, least = weights
+    ids = "arxiv_id" in records.columns and "candidate_arxiv_id" in candidates.columns
+    own = records.select("id", match_key(F.col("title")).alias("title"), F.coalesce("authors", F.lit("")).alias("authors"), (F.coalesce("arxiv_id", F.lit("")) if ids else F.lit("")).alias("arxiv_id"))
+    other = candidates.select("candidate_id", "seq", match_key(F.col("candidate_title")).alias("other"), F.coalesce("candidate_authors", F.lit("")).alias("candidate_authors"), (F.coalesce("candidate_arxiv_id", F.lit("")) if ids else F.lit("")).alias("candidate_arxiv_id"))
+    kinds = own.groupBy("title", "authors", "arxiv_id").agg(F.count("*").alias("n")).drop("n")
+    firsts = other.groupBy("other", "candidate_authors", "candidate_arxiv_id").agg(F.min(F.struct("seq", "candidate_id")).alias("c"))
+    pairs = title_pairs(kinds.select("title").distinct(), firsts.select("other").distinct(), (least - author - by_id) / title, shared)
+    scored = pairs.withColumn("title_score", similarity(F.col("title"), F.col("other"))).where(title * F.col("title_score") + author + by_id >= least)
+    met = scored.join(kinds, "title").join(firsts, "other")
+    hint = F.nullif(F.replace(F.lower("arxiv_id"), F.lit("arxiv:"), F.lit("")), F.lit(""))
+    same = F.when(F.startswith(F.lower("candidate_arxiv_id"), hint), 1.0).otherwise(0.0)
+    score = by_id * same + title * F.col("title_score") + author * overlap(surnames(F.col("authors")), surnames(F.col("candidate_authors")))
+    met = met.withColumn("score", score).where(F.col("score") >= least)
+    best = met.groupBy("title", "authors", "arxiv_id").agg(F.max_by(F.struct("c.candidate_id", "score"), F.struct("score", (-F.col("c.seq")).alias("first"))).alias("m"))
+    return own.join(best, ["title", "authors", "arxiv_id"]).select("id", F.col("m.candidate_id").alias("candidate_id"), F.col("m.score").alias("score"))
+
+
 def structure_scores(hits: DataFrame, formula: str, group: int | None, system: str) -> DataFrame:
     """Points of candidate structures for a wanted formula, group and system, with stability."""
     points = F.when(F.col("formula") == formula, 100).when(F.lower("formula") == formula.lower(), 90).otherwise(0)

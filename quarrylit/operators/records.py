@@ -178,19 +178,45 @@ def is_open_licence(url: Column) -> Column:
 # ---- slim records ---------------------------------------------------------------------------------------------
 
 _PLOT = (
-    "struct<x_axis_label: string, y_axis_label: string, legend_entries: array<struct<label: string, material: string>>, reported_temperatures: array<string>, reported_materials: array<string>, "
+    "struct<x_axis_label: string, y_axis_label: string, legend_entries: array<struct<label: string, color: string, linestyle: string, temperature: string, material: string>>, reported_temperatures: array<string>, reported_materials: array<string>, "
     "reported_phases: array<string>, lattice_parameters: map<string, string>, profile_function: string, peak_positions_2theta: array<string>, fwhm: array<string>, notes: string, is_multi_panel: boolean, sub_panel_labels: array<string>>"
 )
 _FIGURE = (
-    f"struct<figure_id: string, matched_fig_num: int, page: int, matched_caption_text: string, plot_info: {_PLOT}, phase2_xrd_text: struct<regex_candidate: struct<material_systems: array<string>>>, "
+    f"struct<figure_id: string, matched_fig_num: int, page: int, matched_caption_text: string, plot_info: {_PLOT}, phase2_xrd_text: struct<regex_candidate: struct<material_systems: array<string>>, verified: string>, "
     "metadata_provenance: map<string, struct<sources: array<string>, verified_status: string>>>"
 )
-RECORD = f"pdf string, pdf_resolved string, title string, doi string, author string, source_type string, arxiv_id string, doi_source string, published_doi string, xrd_figures array<{_FIGURE}>"
+_TEXTS = ("title", "doi", "author", "source_type", "arxiv_id", "doi_source", "published_doi")
+RECORD = f"pdf string, pdf_resolved string, {', '.join(f'{c} string' for c in _TEXTS)}, main_material string, material string, paper_material_system string, abstract string, global_xrd_text struct<verified: string, regex_candidate: string>, xrd_figures array<{_FIGURE}>"
+# Fields of a paper that a pattern found, which stand in where no verified value is.
+PATTERN_FIELDS = (
+    "lattice_parameters", "reported_phases", "profile_function", "peak_positions_2theta", "fwhm", "formula_units_Z", "chemical_formula", "database_refs",
+    "xray_density", "cell_volume", "space_group_number", "formula_weight", "radiation_wavelength", "wyckoff_positions", "miller_indices",
+)
+_MAP = "map<string, string>"
+
+
+def verified_block(block: Column) -> Column:
+    """A block of verified fields (JSON, each with a value) as field to value (JSON text); what has no value is gone."""
+    parsed = F.try_variant_get(F.try_parse_json(block), "$", "map<string, variant>")
+    has = lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT")) & F.array_contains(F.json_object_keys(F.to_json(v)), "value")
+    kept = F.map_filter(parsed, lambda _, v: F.coalesce(has(v), F.lit(False)))
+    return F.coalesce(F.transform_values(kept, lambda _, v: F.coalesce(F.to_json(F.try_variant_get(v, "$.value", "variant")), F.lit("null"))), F.create_map().cast(_MAP))
+
+
+def paper_fields(verified: Column, found: Column) -> Column:
+    """A paper's verified fields, with what patterns found of those that verification says nothing of."""
+    own = verified_block(verified)
+    parsed = F.try_variant_get(F.try_parse_json(found), "$", "map<string, variant>")
+    values = F.transform_values(F.map_filter(parsed, lambda k, _: k.isin(*PATTERN_FIELDS)), lambda _, v: F.to_json(v))
+    filled = F.map_filter(values, lambda k, v: v.isNotNull() & ~v.isin('""', "[]", "{}", "null") & ~F.map_contains_key(own, k))
+    return F.map_concat(own, F.coalesce(filled, F.create_map().cast(_MAP)))
 
 
 def slim(rows: DataFrame, record: str = "record") -> DataFrame:
-    """Records (JSON) as the fields that later steps need, with defaults; figures are slim too, each with one material."""
+    """Records (JSON) as the fields that later steps need, with defaults: the paper's texts, its main material, its verified fields
+    as `global`, and its figures, each with one material, its own verified fields and its plot.  Verified values are JSON texts."""
     empty = F.array().cast("array<string>")
+    legend_type = "array<struct<label: string, color: string, linestyle: string, temperature: string, material: string>>"
 
     def figure(f: Column) -> Column:
         plot = f["plot_info"]
@@ -199,14 +225,19 @@ def slim(rows: DataFrame, record: str = "record") -> DataFrame:
         legend = F.transform(plot["legend_entries"], lambda e: F.trim(e["material"]))
         return F.struct(
             F.coalesce(f["figure_id"], F.lit("")).alias("figure_id"), f["matched_fig_num"].alias("figure_number"), f["page"].alias("page"), f["matched_caption_text"].alias("caption"),
-            figure_material(f["phase2_xrd_text"]["regex_candidate"]["material_systems"], plot["reported_materials"], legend).alias("material"),
-            F.struct(*own, plot["legend_entries"].alias("legend_entries"), plot["lattice_parameters"].alias("lattice_parameters")).alias("plot_info"),
+            figure_material(f["phase2_xrd_text"]["regex_candidate"]["material_systems"], plot["reported_materials"], legend).alias("material"), verified_block(f["phase2_xrd_text"]["verified"]).alias("xrd_metadata"),
+            F.struct(*own, F.coalesce(plot["legend_entries"], F.array().cast(legend_type)).alias("legend_entries"), F.coalesce(plot["lattice_parameters"], F.create_map().cast(_MAP)).alias("lattice_parameters")).alias("plot_info"),
             F.coalesce(plot["is_multi_panel"], F.lit(False)).alias("is_multi_panel"), F.coalesce(plot["sub_panel_labels"], empty).alias("sub_panel_labels"), f["metadata_provenance"].alias("metadata_provenance"),
         )
 
     r = rows.withColumn("__r", F.from_json(record, RECORD))
-    texts = [F.coalesce(F.col(f"__r.{c}"), F.lit("")).alias(c) for c in ("title", "doi", "author", "source_type", "arxiv_id", "doi_source", "published_doi")]
-    return r.select(*(c for c in rows.columns if c != record), F.coalesce("__r.pdf_resolved", "__r.pdf").alias("pdf"), *texts, F.transform(F.coalesce("__r.xrd_figures", F.array()), figure).alias("figures"))
+    texts = [F.coalesce(F.col(f"__r.{c}"), F.lit("")).alias(c) for c in _TEXTS]
+    figures = F.transform(F.coalesce("__r.xrd_figures", F.array()), figure)
+    r = r.select(*(c for c in rows.columns if c != record), "__r", F.coalesce("__r.pdf_resolved", "__r.pdf").alias("pdf"), *texts, figures.alias("figures"))
+    named = [_squeezed(F.coalesce(F.col(f"__r.{c}"), F.lit(""))) for c in ("main_material", "material", "paper_material_system", "title", "abstract")]
+    of_figures = _first(F.filter(F.transform("figures", lambda f: f["material"]), lambda m: m != ""))
+    main = F.coalesce(*(F.nullif(c, F.lit("")) for c in named), of_figures, F.lit(""))
+    return r.select(*(c for c in r.columns if c not in ("__r", "figures")), main.alias("main_material"), paper_fields(F.col("__r.global_xrd_text.verified"), F.col("__r.global_xrd_text.regex_candidate")).alias("global"), "figures")
 
 
 def trimmed_trace(trace: Column, most: int = OBSERVATION["report"]) -> Column:
