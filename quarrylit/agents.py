@@ -48,7 +48,7 @@ class ToolClient(Protocol):
     def turn(self, messages: list[dict], tools: list[str]) -> Turn: ...
 
 
-def retried(call: Callable[[], Turn], retries: int = 4, pause: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> Turn:
+def retried(call: Callable[[], Turn], retries: int = 3, pause: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> Turn:
     """The call's answer; failures are tried again after pauses that double, and the last one is raised."""
     for attempt in range(retries):
         try:
@@ -83,7 +83,9 @@ def search_pages(pages: list[str], args: dict) -> str:
 
 def page_text(pages: list[str], args: dict) -> str:
     """One page by its number from 1."""
-    n = int(args.get("page", 0))
+    n = args.get("page")
+    if not isinstance(n, int):
+        return "(error: page must be int)"
     if not 1 <= n <= len(pages):
         return f"(error: page {n} out of range 1..{len(pages)})"
     return _squeezed(pages[n - 1])[:PAGE] or f"(page {n} empty)"
@@ -188,7 +190,8 @@ def audited(args: dict, candidate: dict) -> dict:
 @dataclass(frozen=True)
 class Kind:
     """A loop's rules: `finish` makes the result of finalize's arguments; `used_up` is what an unfinished loop's arguments
-    are taken to be; a failed call ends a `lenient` loop as if steps were used up, and is the row's error otherwise."""
+    are taken to be; a failed call ends a `lenient` loop as if steps were used up, and is the row's error otherwise; a `single_pass`
+    loop that never finalized, for whatever reason, may be decided in one go."""
 
     name: str
     tools: dict[str, Tool]
@@ -196,21 +199,22 @@ class Kind:
     used_up: Callable[[int], dict] = lambda used: {}
     lenient: bool = False
     nudges: int = 0
+    single_pass: bool = False
 
     @property
     def steps(self) -> int:
         return STEPS[self.name]
 
 
-SCREENING = Kind("screening", SCREENING_TOOLS, screened, lambda used: {"decision": "reject", "confidence": 0.0, "reason": f"Budget exhausted after {used} tool calls."})
+SCREENING = Kind("screening", SCREENING_TOOLS, screened, lambda used: {"decision": "reject", "confidence": 0.0, "reason": f"Budget exhausted after {used} tool calls."}, single_pass=True)
 FIGURE = Kind("figure", {"get_page_text": page_text}, figure_found, lambda used: {"reason_match": f"Budget exhausted after {used} steps."})
 VERIFY = Kind("verify", {"search_text": search_pages, "get_page_text": page_text}, verified, lenient=True)
 AUDIT = Kind("audit", {"search_pdf": search_pages, "get_page_text": page_text}, audited, lenient=True)
 
 
 def converse(kind: Kind, client: ToolClient, pages: list[str], task: str, candidate: dict, single: Callable[[list[str]], dict] | None = None, **retry) -> dict:
-    """One document's loop. Where a model answers by text it is nudged as often as `kind` allows; then, if it never
-    finalized, `single` may decide from the pages in one go."""
+    """One document's loop. Where a model answers by text it is nudged as often as `kind` allows; where it never
+    finalized, `single`, given for providers that need it, decides from the pages in one go if `kind` may."""
     messages, trace, final, spent, nudged = [{"role": "user", "content": task}], [], None, [0, 0], 0
     for step in range(1, kind.steps + 1):
         try:
@@ -237,7 +241,7 @@ def converse(kind: Kind, client: ToolClient, pages: list[str], task: str, candid
             trace.append((step, call.tool, json.dumps(call.args, ensure_ascii=False, default=str), said[:OBSERVED]))
         if final is not None:
             break
-    if final is None and single and nudged:
+    if final is None and single and kind.single_pass:
         final = kind.finish(single(pages), candidate)
         final["reason"] = f"[single-pass fallback] {final.get('reason', '')}"
         trace.append((len(trace) + 1, "(single-pass-fallback)", "{}", final["reason"][:1000]))

@@ -134,15 +134,36 @@ def complete(pages: DataFrame) -> DataFrame:
     return rows.where("record IS NOT NULL OR error IS NOT NULL").drop("__end", "ends")
 
 
+def looked_up(records: DataFrame, lookup: Callable[[str], dict | None], at: str = "$.DOI") -> DataFrame:
+    """Records of an index as what a second service answers of their DOI, at the same places; without DOI or answer they go.
+
+    One DOI a call, where the record's row is; what fails is no answer."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            answers = []
+            for key in batch["doi"]:
+                try:
+                    answers.append(lookup(key))
+                except Exception:
+                    answers.append(None)
+            batch = batch.assign(record=[json.dumps(a, ensure_ascii=False) if a else None for a in answers])
+            yield batch[batch["record"].notna()]
+
+    keyed = records.where("record IS NOT NULL").select("source", "query", "seq", F.nullif(F.get_json_object("record", at), F.lit("")).alias("doi")).where("doi IS NOT NULL")
+    return keyed.mapInPandas(run, "source string, query string, seq long, doi string, record string")
+
+
 def download(candidates: DataFrame, get: Callable[[str], tuple[int, str, bytes]], target: int, folder: str, existing: DataFrame | None = None) -> DataFrame:
-    """Candidates (source, seq, name, url) tried in order until a source has its target: source, seq, name, status, content.
+    """Candidates (source, seq, name, url or urls: an array to try in order) until a source has its target: source, seq, name, status, content.
 
     Waves of candidates are fetched, one file a task, into tables below `folder`; a wave has as many of a source as it still
     lacks, or as were tried before if that is more, so there are few waves and less than twice the fetches needed.  A rank over
     what came then ends each source at its target.  Names that exist count and aren't fetched; what fails, or isn't a PDF by
     its type (and size, where a source tells), is `refused`.  The driver holds two numbers a source."""
     spark = candidates.sparkSession
-    rows = candidates.select("source", "seq", "name", "url")
+    urls = F.col("urls") if "urls" in candidates.columns else F.array_compact(F.array("url"))
+    rows = candidates.select("source", "seq", "name", urls.alias("urls"))
     there = existing.select("name").distinct().withColumn("there", F.lit(True)) if existing is not None else None
     rows = rows.join(there, "name", "left") if there is not None else rows.withColumn("there", F.lit(None).cast("boolean"))
     rank = F.row_number().over(Window.partitionBy("source").orderBy("seq", "name"))
@@ -150,20 +171,22 @@ def download(candidates: DataFrame, get: Callable[[str], tuple[int, str, bytes]]
     queue = spark.read.parquet(f"{folder}/queue")
     fields = "source string, seq long, name string, rank int, status string, content binary"
 
-    def one(source: str, url: str | None, there: bool | None) -> tuple[str, bytes | None]:
+    def one(source: str, urls: list[str] | None, there: bool | None) -> tuple[str, bytes | None]:
         if there is True:
             return "exists", None
-        try:
-            status, kind, content = get(url) if url else (0, "", b"")
-        except Exception:
-            return "refused", None
-        good = status == 200 and "pdf" in (kind or "").lower() and (source not in SIZED or len(content) > FILE_BYTES)
-        return ("kept", content) if good else ("refused", None)
+        for url in urls if urls is not None else ():
+            try:
+                status, kind, content = get(url)
+            except Exception:
+                continue
+            if status == 200 and "pdf" in (kind or "").lower() and (source not in SIZED or len(content) > FILE_BYTES):
+                return "kept", content
+        return "refused", None
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                yield pd.DataFrame([(r.source, r.seq, r.name, r.rank, *one(r.source, r.url, r.there))], columns=["source", "seq", "name", "rank", "status", "content"])
+                yield pd.DataFrame([(r.source, r.seq, r.name, r.rank, *one(r.source, r.urls, r.there))], columns=["source", "seq", "name", "rank", "status", "content"])
 
     state = {r.source: [0, 0, r.n] for r in queue.groupBy("source").agg(F.count("*").alias("n")).collect()}
     wave = 0

@@ -73,9 +73,10 @@ def search(requests: DataFrame, fetchers: dict[str, Fetch]) -> DataFrame:
 
 
 def unique(records: DataFrame) -> DataFrame:
-    """A publisher's records by DOI, else title: the last one, at the place of the first; without either they go."""
+    """Each publisher's records by DOI, else title: the last one, at the place of the first; without either they go."""
     at = lambda path: F.nullif(F.get_json_object("record", path), F.lit(""))
     keyed = records.withColumn("__key", F.coalesce(at("$['prism:doi']"), at("$['dc:title']"))).where("__key IS NOT NULL")
+    keyed = keyed.withColumn("__key", F.struct("source", "__key"))
     first = keyed.groupBy("__key").agg(F.min("seq").alias("__first"))
     return last_wins(keyed, "__key", "seq").join(first, "__key").drop("__key", "seq").withColumnRenamed("__first", "seq")
 
@@ -125,3 +126,30 @@ def pdf_url(source: str, record: Column) -> Column:
             page = filled(F.get_json_object(record, "$.entry_id"))
             return F.coalesce(filled(F.get_json_object(record, "$.pdf_url")), F.concat(F.replace(page, F.lit("/abs/"), F.lit("/pdf/")), F.lit(".pdf")))
     raise ValueError(f"no source {source!r}")
+
+
+# Where an article's PDF may be by its DOI, and the host of a link without one.
+SPRINGER_PLACES = ("https://link.springer.com/article/{}/pdf", "https://link.springer.com/article/{}/pdf?pdf=button", "https://link.springer.com/content/pdf/{}.pdf", "https://rd.springer.com/content/pdf/{}.pdf")
+ARTICLE_HOST = "https://www.nature.com"
+
+
+def article_urls(record: Column) -> Column:
+    """All addresses of a Springer record, in order."""
+    return F.filter(F.transform(F.from_json(F.get_json_object(record, "$.url"), "array<struct<value: string>>"), lambda u: u["value"]), lambda u: u.isNotNull())
+
+
+def page_link(page: Column) -> Column:
+    """The first link to a PDF of an article's page (HTML), null without any; a link without a host is the publisher's."""
+    link = F.nullif(F.regexp_extract(page, r"""(?is)<a\b[^>]*?\shref\s*=\s*["']?([^"'>\s]*\.pdf(?:\?[^"'>\s]*)?)["'\s>]""", 1), F.lit(""))
+    return F.when(F.startswith(link, F.lit("http")), link).otherwise(F.concat(F.lit(ARTICLE_HOST), link))
+
+
+def candidate_urls(source: str, record: Column, page: Column | None = None) -> Column:
+    """Where a record's PDF may be, in the order to try: its own link, for Springer else that of its article page, then by DOI."""
+    own = pdf_url(source, record)
+    if source != "springer":
+        return F.array_compact(F.array(own))
+    urls = article_urls(record)
+    doi = F.nullif(F.regexp_extract(F.array_join(F.coalesce(urls, F.array().cast("array<string>")), " "), r"(?i)10\.\d{4,9}/[-._;()/:A-Z0-9]+", 0), F.lit(""))
+    linked = F.coalesce(own, page_link(page)) if page is not None else own
+    return F.array_compact(F.array(linked, *(F.concat(F.lit(a), doi, F.lit(b)) for a, b in (x.split("{}") for x in SPRINGER_PLACES))))

@@ -37,7 +37,8 @@ def test_tools():
     see = lambda tool, **args: agents.observed(agents.SCREENING_TOOLS, PAGES, Call(tool, args))
     assert see("get_abstract") == "We measured XRD of NiO."
     assert see("get_page_text", page=2) == "(page 2 empty)" and see("get_page_text", page=4) == "(error: page 4 out of range 1..3)"
-    assert see("get_page_text", page="x").startswith("(error: tool get_page_text failed:") and see("other") == "(error: unknown tool other)"
+    assert [see("get_page_text", **a) for a in ({"page": "2"}, {"page": 1.7}, {"page": None}, {})] == ["(error: page must be int)"] * 4 and see("get_page_text", page=0) == "(error: page 0 out of range 1..3)"
+    assert see("other") == "(error: unknown tool other)"
     assert [h["page"] for h in json.loads(see("search_pdf", pattern="xrd"))] == [1, 3] and see("search_pdf", pattern="nothing") == "(no matches)"
     assert see("search_pdf") == "(error: empty pattern)" and see("search_pdf", pattern="(").startswith("(error: bad regex:")
     assert len(json.loads(see("search_pdf", pattern="x"))) == agents.HITS
@@ -61,10 +62,26 @@ def test_failures_and_nudges():
     with pytest.raises(ValueError, match="twice"):
         loop(SCREENING, ValueError("once"), ValueError("twice"))
     assert loop(VERIFY, ValueError("once"), ValueError("twice"), candidate={"a": ["x"]})["final"] == {"a": {"value": [], "evidence_span": ""}}
-    nudged = agents.Kind("screening", agents.SCREENING_TOOLS, agents.screened, SCREENING.used_up, nudges=agents.NUDGES)
+    nudged = agents.Kind("screening", agents.SCREENING_TOOLS, agents.screened, SCREENING.used_up, nudges=agents.NUDGES, single_pass=True)
     got = loop(nudged, single=lambda pages: {"decision": "keep", "confidence": 0.5, "reason": "r"})
     assert got["final"] == {"decision": "keep", "confidence": 0.5, "reason": "[single-pass fallback] r"}
     assert [t[1] for t in got["trace"]] == ["(nudge)", "(nudge)", "(single-pass-fallback)"]
+    got = loop(SCREENING, *[calls(("get_toc", {}))] * 9, single=lambda pages: {"decision": "keep", "confidence": 0.5, "reason": "r"})
+    assert got["final"]["reason"] == "[single-pass fallback] r" and len(got["trace"]) == 7  # all steps used, never finalized
+    assert loop(AUDIT, single=lambda pages: {}, candidate={"a": "x"})["final"]["verified_fields"]["a"]["status"] == "unclear"
+
+
+def test_retries():
+    """Three tries after the first."""
+    tried = []
+
+    def fails():
+        tried.append(1)
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        agents.retried(fails, pause=0, sleep=lambda s: None)
+    assert len(tried) == 4
 
 
 def test_what_finalize_becomes():

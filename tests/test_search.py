@@ -47,6 +47,21 @@ def test_unique(spark):
     assert [(r.seq, json.loads(r.record)["v"]) for r in search.unique(rows).orderBy("seq").collect()] == [(0, 3), (1, 4)]
 
 
+def test_unique_by_source(spark):
+    rows = spark.createDataFrame([(s, i, json.dumps({"prism:doi": "d", "v": s + str(i)})) for s in ("elsevier", "springer") for i in range(2)], "source string, seq long, record string")
+    assert sorted((r.source, r.seq, json.loads(r.record)["v"]) for r in search.unique(rows).collect()) == [("elsevier", 0, "elsevier1"), ("springer", 0, "springer1")]
+
+
+def test_springer_candidates(spark):
+    record = json.dumps({"url": [{"value": "http://x/10.1007/a-b"}, {"value": "http://y"}]})
+    pages = {'<a class="c" href="/articles/s1.pdf?x=1">': "https://www.nature.com/articles/s1.pdf?x=1", "<A HREF='http://h/a.pdf'>": "http://h/a.pdf", '<a href="/a.html">': None, None: None}
+    for page, link in pages.items():
+        frame = spark.createDataFrame([(record, page)], "r string, page string")
+        got = frame.select(search.candidate_urls("springer", F.col("r"), F.col("page")).alias("u")).first().u
+        assert got == [link] * (link is not None) + [p.format("10.1007/a-b") for p in search.SPRINGER_PLACES]
+    assert one(spark, search.candidate_urls, "springer", {"url": []}) == [] and one(spark, search.candidate_urls, "arxiv", {"pdf_url": "p"}) == ["p"]
+
+
 def one(spark, f, source, record):
     text = record if isinstance(record, str) else json.dumps(record)
     return spark.createDataFrame([(text,)], "r string").select(f(source, F.col("r")).alias("x")).first().x

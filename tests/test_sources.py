@@ -51,9 +51,18 @@ def test_download_waves(spark, tmp_path):
     assert by["springer"] == [("there", "exists"), ("html", "refused"), ("small", "kept")]
     assert all((r.content is not None) == (r.status == "kept") for r in got)
     assert spark.read.parquet(f"{tmp_path}/a/files").where("source = 'arxiv'").count() <= 2 * 7  # fetches, against those needed
+    several = rows.limit(1).withColumn("urls", F.array(F.lit("gone"), F.lit("fails"), F.lit("good"))).drop("url")
+    assert [r.status for r in literature.download(several, answers.__getitem__, 1, f"{tmp_path}/c").collect()] == ["kept"]
     assert literature.download(rows.limit(0), answers.__getitem__, 2, f"{tmp_path}/b").count() == 0
 
 
+def test_second_lookup(spark):
+    records = spark.createDataFrame([("crossref", "q", i, json.dumps(r)) for i, r in enumerate([{"DOI": "10.1/a"}, {"DOI": ""}, {}, {"DOI": "10.1/none"}, {"DOI": "10.1/fails"}])] + [("crossref", "q", 9, None)], "source string, query string, seq long, record string")
+    answers = {"10.1/a": {"best_oa_location": {"url_for_pdf": "u", "license": "cc-by"}}, "10.1/none": None}
+    got = literature.looked_up(records, answers.__getitem__).collect()
+    assert [(r.seq, r.doi, json.loads(r.record)) for r in got] == [(0, "10.1/a", answers["10.1/a"])]
+
+
 def test_ledger(spark, tmp_path):
     path = f"file://{tmp_path}/ledger"
     ledger.register(spark)
