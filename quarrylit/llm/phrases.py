@@ -35,10 +35,10 @@ from .shared import kept
 #: Bits of the hashes that are counted, and the logarithm of the bitmap's bits.
 KEY_BITS, BITMAP = 40, 26
 #: Bytes of text whose n-grams a range of hashes holds, about; ranges are 256 to 2^20.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
 #: Parts that a language's phrases are ranked in before its first ones are.
 SPREAD = 64
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 
 _WORDS = at.byte_table(separators=b" \t.,;:!?\n\x0b\x0c\r", lower=True)
 _WORDS[0] = 1  # NUL is a word character; the table's 0 means none.  Where words are spelled, the bytes themselves are
@@ -91,7 +91,7 @@ def _packed(key: np.ndarray, count: np.ndarray) -> bytes:
     return gaps.view(np.uint8).reshape(-1, 4).T.tobytes() + count.tobytes()
 
 
-def _unpacked(blob: bytes, base: int) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(blob: pa.Buffer, base: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(blob) // 5
     gaps = np.frombuffer(blob, np.uint8, 4 * n).reshape(4, n).T.copy().view("<u4").ravel()
     return np.cumsum(gaps, dtype=np.uint64) + np.uint64(base), np.frombuffer(blob, np.uint8, n, 4 * n)
@@ -133,7 +133,8 @@ def _bitmap(docs: DataFrame, max_n: int, least: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array([at_range], pa.int32()), pa.array([np.packbits(dense, bitorder="little").tobytes()], pa.binary())], ["range", "bits"])
 
         for batch in batches:
-            for r, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for r, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                blob = value.as_buffer()
                 if r != at_range and parts:
                     yield bits()
                     parts, held = [], 0
@@ -141,9 +142,10 @@ def _bitmap(docs: DataFrame, max_n: int, least: int) -> np.ndarray:
                 # gaps are told from the last multiple of 2^32 before the range
                 parts.append(_unpacked(blob, r * width >> 32 << 32))
                 held += len(parts[-1][0])
-                if held > 4_000_000 and len(parts) > 1:
+                if held > 1_000_000 and len(parts) > 1:
                     parts = [merged()]
                     held = len(parts[0][0]) // 2
+            at.return_memory()
         if parts:
             yield bits()
 
