@@ -338,6 +338,27 @@ def test_toxicity_learns_what_only_a_pair_tells(spark):
     assert got.score[1600] == got.score[0]
 
 
+def test_toxicity_learns_rare_pairs(spark):
+    """Two words of a twelfth of the rows tell only together, among 2,000 words that are more frequent than either; long texts, ties and null ids are scored."""
+    rng = random.Random(9)
+    texts, y = [], []
+    for i in range(1500):
+        has = (i % 12 < 2, i % 12 in (1, 2))
+        words = [f"filler{rng.randrange(2000)}" for _ in range(400)] + ["grumble"] * has[0] + ["villagers"] * has[1]
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        y.append(int(all(has)))
+    docs = frame(spark, texts + [LONG, LONG]).unionByName(frame(spark, ["grumble villagers"]).withColumn("doc_id", F.lit(None).cast("long")))
+    labels = spark.createDataFrame([(i, y[i]) for i in range(1500)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.terms(at.Texts.of(pa.array(["grumble villagers"])))[1]
+    assert (model.index(rows) >= 0).any() and len(model.known) <= toxicity.TERMS
+    got = toxicity.score(docs, model).toPandas().set_index("doc_id").sort_index()
+    held = [i for i in range(1500) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert np.mean([got.score[i] > 0.5 for i in held if y[i]]) > 0.85 and np.mean([got.score[i] < 0.5 for i in held if not y[i]]) > 0.95
+    assert got.score[1500] == got.score[1501] and not got.held_out[got.index.isna()].any()
+
+
 # ---- 8 ----------------------------------------------------------------------------------------------------
 
 
