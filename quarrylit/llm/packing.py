@@ -4,25 +4,27 @@
    and remembered), kept as a table in the shared folder with each document's place in its
    own partition's part of its source's queue.
 2. Sums of these parts over partitions give every document its place in the whole queue.
-3. Round-robin service: each window credits every queue that still has tokens with its
-   target share of the window; whole tokens are served, and what is left of the credit is
-   carried to the next window.  Service repeats after PERIOD windows, so where a queue's
-   token stands after any number of windows has a closed form: the schedule is a short list
-   of segments, and every task computes the pieces of its own documents from it.  Credits
-   thus carry over windows and partitions without a sequential pass.
-4. A queue that runs out leaves its share to the rest.  Only the last window can be short.
-
-Memory: a schedule on the driver has at most MAX_QUEUES queues.  With more sources than that
-every source still is a queue of its own, and the schedule is a table: queues are cut into
-quanta of their share of a window, and quanta are served in the order of the share of the
-source's credit that they use up (stride scheduling), so a queue that runs out leaves its
-share to the rest there too.  A source whose share is less than a MAX_QUEUES-th of a window is
-served that many tokens at a time, not in every window, and is never further from its target
-than about that many.  A source with a third of all rows is one queue, read by as many tasks
-as its rows have.
+3. Round-robin service: each round credits every queue that still has tokens with its
+   target share of a window; whole tokens are served, and what is left of the credit is
+   carried to the next round.  The rounds, one after the other, are cut into windows, so all of
+   these are full but the last, and a window has each queue's service of one round.
+4. A queue that runs out leaves its share to the rest: rounds are shorter then, and a window
+   has more of them.
+
+Credits are whole numbers of 1/2^SCALE of a token, so what a queue has been served after any number
+of rounds is a product, and where a token stands a sum of such products over the queues: every task
+computes the pieces of its own documents from the queues' lengths and credits alone, however
+many sources there are and wherever its documents stand.  Credits thus carry over windows and
+partitions without a sequential pass.  A source with a third of all rows is one queue, read by as
+many tasks as its rows have.
+
+Memory: the driver and each task hold two numbers a source; a task goes through the rounds that its
+documents are served in, a bounded number of (round, source) cells at a time.
 
 Defined cases: a null or empty text is just the end token; a null source is a queue of its
-own, which targets name None; documents that repeat are packed each for itself; no documents give no pieces.
+own, which targets name None; a target of a source that no document has is an error, and so are targets
+below 0 or beyond 1 together; documents that repeat are packed each for itself, and so are those without id;
+no documents give no pieces.  Columns beside the three that are named don't matter.
 """
 
 from __future__ import annotations
@@ -46,9 +48,10 @@ from .fst import byte_symbols
 from .shared import kept
 
 WINDOW = 4096
-#: Windows after which service repeats.
-PERIOD = 64
-MAX_QUEUES = 64
+#: Credits are in parts of 2^SCALE of a token.
+SCALE = 16
+#: (round, source) cells, and tokens of documents, that a task goes through at once.
+CELLS = TOKENS = 1 << 20
 END_ID = 2
 
 
@@ -161,104 +164,74 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
 
 
 @dataclass
-class Segment:
-    """Windows from `first` on, `times` repetitions of the rows of `serve` (tokens of each queue in each window)."""
+class Service:
+    """The whole service of queues with so many tokens, by their credits a round."""
 
-    first: int
-    times: int
-    serve: np.ndarray
-    done: np.ndarray  # tokens of each queue before it
+    tokens: np.ndarray
+    credit: np.ndarray
+    window: int
+
+    @classmethod
+    def of(cls, tokens: list[int], weights: list[float], window: int = WINDOW) -> Service:
+        weight = np.maximum(np.array(weights, float), 1e-300)
+        credit = np.ceil(weight / weight.sum() * window * (1 << SCALE)) if len(weight) else weight
+        return cls(np.array(tokens, np.int64), np.maximum(1, credit).astype(np.int64), window)
 
     def __post_init__(self):
-        zero = np.zeros((1, self.serve.shape[1]), np.int64)
-        self.upto = np.concatenate((zero, np.cumsum(self.serve, 0)))
-        self.offset = np.cumsum(self.serve, 1) - self.serve
-
-
-def _shares(weight: np.ndarray, alive: np.ndarray, total: int) -> np.ndarray:
-    """Integers in proportion to the weights that sum to the total; queues that are alive get one at least."""
-    w = np.where(alive, np.maximum(weight, 1e-12), 0)
-    exact = w / w.sum() * total
-    out = np.where(alive, np.maximum(1, np.floor(exact)), 0).astype(np.int64)
-    order = np.argsort(-(exact - out), kind="stable")
-    left = total - int(out.sum())
-    if left > 0:
-        np.add.at(out, order[np.arange(left) % int(alive.sum())], 1)
-    while left < 0:
-        out[np.argmax(out)] -= 1
-        left += 1
-    return out
-
-
-def _period(weight: np.ndarray, alive: np.ndarray, window: int, period: int) -> np.ndarray:
-    """Service over a period: each window credits a queue with its share, serves whole tokens and carries the rest."""
-    share = _shares(weight, alive, window * period)
-    credit, out = np.zeros(len(share), np.int64), np.zeros((period, len(share)), np.int64)
-    for w in range(period):
-        credit += share  # in parts of 1/period of a token
-        out[w] = np.maximum(0, credit // period)
-        credit -= out[w] * period
-        while (left := window - int(out[w].sum())) > 0:
-            most = np.argsort(-np.where(alive, credit, -(1 << 60)), kind="stable")[: min(left, int(alive.sum()))]
-            out[w][most] += 1
-            credit[most] -= period
-        while left < 0:
-            least = int(np.argmin(np.where(out[w] > 0, credit, 1 << 60)))
-            out[w][least] -= 1
-            credit[least] += period
-            left += 1
-    return out
-
-
-def schedule(tokens: list[int], weights: list[float] | None = None, *, window: int = WINDOW, period: int = PERIOD) -> list[Segment]:
-    """The whole service of queues with so many tokens, as segments.  Weights: target shares; by default the queues' own."""
-    rest = np.array(tokens, np.int64)
-    weight = np.array(weights if weights is not None else tokens, float)
-    done, first, out = np.zeros(len(rest), np.int64), 0, []
-
-    def add(times: int, serve: np.ndarray) -> None:
-        nonlocal first, rest, done
-        out.append(Segment(first, times, serve, done))
-        served = serve.sum(0) * times
-        first, rest, done = first + times * len(serve), rest - served, done + served
-
-    while rest.sum():
-        alive = rest > 0
-        serve = _period(weight, alive, window, period)
-        total = serve.sum(0)
-        if times := int((rest[total > 0] // total[total > 0]).min()):
-            add(times, serve)
-        for row in serve:
-            if not rest.sum():
-                break
-            take = np.minimum(row, rest)
-            while (left := min(window, int(rest.sum())) - int(take.sum())) > 0:  # what a queue that runs out leaves
-                more = rest > take
-                extra = np.where(more, np.maximum(1, np.floor(left * weight / max(1e-12, weight[more].sum()))), 0).astype(np.int64)
-                extra = np.minimum(extra, rest - take)
-                take = take + np.minimum(extra, np.maximum(0, left - (np.cumsum(extra) - extra)))
-            ended = (take == rest) & alive
-            add(1, take[None])
-            if ended.any():
-                break
-    return out
-
-
-def cuts(segments: list[Segment], queue: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where in the queue's tokens [low, high) windows begin: (token, window, offset in the window), in order."""
-    token, window, offset = [], [], []
-    for s in segments:
-        total = int(s.upto[-1, queue])
-        begin = int(s.done[queue])
-        if not total or begin >= high or begin + total * s.times <= low:
-            continue
-        a, b = max(0, (low - begin) // total), min(s.times, -(-(high - begin) // total))
-        rows = np.flatnonzero(s.serve[:, queue])
-        turn = np.arange(a, b)[:, None]
-        token.append((begin + turn * total + s.upto[rows, queue]).ravel())
-        window.append((s.first + turn * len(s.serve) + rows).ravel())
-        offset.append(np.broadcast_to(s.offset[rows, queue], (b - a, len(rows))).ravel())
-    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (token, window, offset))
+        # parts of a token that queues begin with, so that those of less than a token a round don't all get theirs in one
+        self.phase = np.cumsum(self.credit) - self.credit & (1 << SCALE) - 1
+        self.rounds = -((self.phase - (self.tokens << SCALE)) // self.credit)  # until each queue has run out
+
+    def served(self, queue: np.ndarray | slice, rounds: np.ndarray) -> np.ndarray:
+        """Tokens of queues that so many rounds have served."""
+        return np.minimum(self.tokens[queue], np.minimum(rounds, self.rounds[queue]) * self.credit[queue] + self.phase[queue] >> SCALE)
+
+    def round_of(self, queue: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """The round, from 0, that serves a token of a queue."""
+        return -((self.phase[queue] - ((token + 1) << SCALE)) // self.credit[queue]) - 1
+
+    def begins(self, queue: np.ndarray, rounds: np.ndarray) -> np.ndarray:
+        """Where in all of the service a queue's part of a round begins."""
+        out = np.empty(len(queue), np.int64)
+        order = np.argsort(rounds, kind="stable")
+        own, first = np.unique(rounds[order], return_index=True)
+        bounds = np.append(first, len(order))
+        step = max(1, CELLS // max(1, len(self.tokens)))
+        for i in range(0, len(own), step):
+            some = own[i : i + step, None]
+            before, after = self.served(slice(None), some), self.served(slice(None), some + 1)
+            # the queues before it have had this round, the others have not
+            upto = np.cumsum(after - before, axis=1) - (after - before) + before.sum(1)[:, None]
+            at_ = order[bounds[i] : bounds[min(i + step, len(own))]]
+            out[at_] = upto[np.searchsorted(own[i : i + step], rounds[at_]), queue[at_]]
+        return out
+
+    def pieces(self, queue: np.ndarray, low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, start, length, window, offset) of documents, by their queues, places in them and sizes."""
+        credit = self.credit[queue]
+        first, last = self.round_of(queue, low), self.round_of(queue, low + size - 1)
+        slow = credit < 1 << SCALE  # a queue of less than a token a round: each token has a round of its own
+        count = np.where(slow, size, last - first + 1)
+        row = np.repeat(np.arange(len(queue)), count)
+        k = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        q = queue[row]
+        turn = np.where(slow[row], self.round_of(q, low[row] + k), first[row] + k)
+        begin = self.served(q, turn)
+        start = np.maximum(low[row], begin)
+        end = np.append(start[1:], 0)
+        end = np.where(np.append(row[1:] != row[:-1], True), (low + size)[row], end)
+        at_ = self.begins(q, turn) + start - begin
+        # services that follow each other without another queue's between are one
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (at_[1:] != at_[:-1] + end[:-1] - start[:-1])
+        head = np.flatnonzero(new)
+        row, start, at_, end = row[head], start[head], at_[head], end[np.append(head[1:] - 1, len(end) - 1)] if len(head) else end
+        windows = (at_ + end - start - 1) // self.window - at_ // self.window + 1
+        of = np.repeat(np.arange(len(row)), windows)
+        window = at_[of] // self.window + np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        begin = np.maximum(at_[of], window * self.window)
+        length = np.minimum((at_ + end - start)[of], (window + 1) * self.window) - begin
+        return row[of], (start - low[row])[of] + begin - at_[of], length, window, begin - window * self.window
 
 
 _PIECES = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -266,117 +239,28 @@ _PIECES = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
 
 def _pieces(batches: Iterator[pa.RecordBatch], plan, wide: int, id_column: str) -> Iterator[pa.RecordBatch]:
     """(id, queue, at, n, ids) -> pieces."""
-    names, segments = plan.value
-    for batch in batches:
-        queue = np.array([names[q] for q in batch.column(1).to_pylist()], np.int64)
-        where, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        ids = batch.column(4)
-        for q in np.unique(queue).tolist():
-            rows = np.flatnonzero(queue == q)
-            rows = rows[np.argsort(where[rows], kind="stable")]
-            begin, size = where[rows], n[rows]
-            token, window, offset = cuts(segments, q, int(begin[0]), int((begin + size).max()))
-            inner = token[(token > begin[0]) & (token < (begin + size).max())]
-            # a cut matters only inside a document; rows of other partitions may stand between those of a batch
-            doc = np.searchsorted(begin, inner, "right") - 1
-            inside = (inner > begin[doc]) & (inner < begin[doc] + size[doc])
-            at0 = np.concatenate((begin, inner[inside]))
-            of = np.concatenate((np.arange(len(rows)), doc[inside]))
-            order = np.argsort(at0, kind="stable")
-            at0, of = at0[order], of[order]
-            own_end = begin[of] + size[of]
-            end = np.where(np.append(of[1:] == of[:-1], False), np.append(at0[1:], 0), own_end)
-            w = np.searchsorted(token, at0, "right") - 1
-            start = at0 - begin[of]
-            length = end - at0
-            crc = np.zeros(len(at0), np.int64)
-            held, held_of = None, -1
-            for i, (d, s, k) in enumerate(zip(of.tolist(), start.tolist(), length.tolist(), strict=True)):
+    names, service = plan.value
+    for whole in batches:
+        upto = np.cumsum(whole.column(3).to_numpy())
+        at_row = 0
+        while at_row < whole.num_rows:
+            to = max(at_row + 1, int(np.searchsorted(upto, (upto[at_row - 1] if at_row else 0) + TOKENS, "right")))
+            batch, at_row = whole.slice(at_row, to - at_row), to
+            queue = np.array([names[q] for q in batch.column(1).to_pylist()], np.int64)
+            size = batch.column(3).to_numpy()
+            row, start, length, window, offset = service.pieces(queue, batch.column(2).to_numpy(), size)
+            ids, crc, held, held_of = batch.column(4), np.zeros(len(row), np.int64), None, -1
+            for i, (d, s, k) in enumerate(zip(row.tolist(), start.tolist(), length.tolist(), strict=True)):
                 if d != held_of:
-                    held, held_of = np.frombuffer(ids[int(rows[d])].as_buffer(), f"<u{wide}").astype("<u4"), d
+                    held, held_of = np.frombuffer(ids[d].as_buffer(), f"<u{wide}").astype("<u4"), d
                 crc[i] = zlib.crc32(held[s : s + k])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows[of])), *(pa.array(x.astype(np.int64)) for x in (start, length, crc, size[of], window[w], offset[w] + at0 - token[w]))], names=[id_column, *_PIECES])
-
-
-def _crcs(batches: Iterator[pa.RecordBatch], wide: int, id_column: str) -> Iterator[pa.RecordBatch]:
-    """(id, n, ids, cuts) -> pieces; cuts that follow each other in a window are one piece."""
-    for batch in batches:
-        row, out = [], []
-        for i, (n, own) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            held, made = np.frombuffer(batch.column(2)[i].as_buffer(), f"<u{wide}").astype("<u4"), []
-            for c in own:
-                start, length, window, offset = c["start"], c["length"], c["window"], c["offset"]
-                if made and made[-1][2] == window and made[-1][3] + made[-1][1] == offset:
-                    made[-1][1] += length
-                else:
-                    made.append([start, length, window, offset])
-            row += [i] * len(made)
-            out += [(s, k, zlib.crc32(held[s : s + k]), n, w, o) for s, k, w, o in made]
-        columns = np.array(out, np.int64).reshape(-1, len(_PIECES)).T
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *(pa.array(x) for x in columns)], names=[id_column, *_PIECES])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *(pa.array(x) for x in (start, length, crc, size[row], window, offset))], names=[id_column, *_PIECES])
 
 
 def _named(key: str | None) -> str:
     return "null" if key is None else f"s:{key}"
 
 
-def _quanta(parts: DataFrame, targets: dict[str | None, float] | None, window: int) -> DataFrame:
-    """(queue, k, size, pos): the quanta of all queues, of `size` tokens each (a queue's last may be shorter), and where
-    they begin in the whole service."""
-    spark = parts.sparkSession
-    totals = parts.groupBy("queue").agg(F.sum("n").alias("total"))
-    wanted = spark.createDataFrame([(_named(k), float(v)) for k, v in (targets or {}).items()], "queue string, target double")
-    totals = kept(totals.join(F.broadcast(wanted), "queue", "left"), "totals")
-    target, others = totals.agg(F.sum("target"), F.sum(F.when(F.col("target").isNull(), F.col("total")))).first()
-    weight = F.coalesce(F.col("target"), F.col("total") * F.lit(_rest_share(target or 0.0) / (others or 1)))
-    totals = totals.withColumn("weight", F.greatest(weight, F.lit(1e-12)))
-    every = totals.agg(F.sum("weight")).first()[0]
-    size = F.greatest(F.lit(max(1, window // MAX_QUEUES)), F.floor(F.col("weight") / F.lit(every) * F.lit(window))).cast("long")
-    totals = totals.withColumn("size", size)
-    # quanta that begin in a part of the queue
-    first = F.ceil(F.col("base") / F.col("size")).cast("long")
-    last = F.ceil((F.col("base") + F.col("n")) / F.col("size")).cast("long") - 1
-    own = parts.join(totals, "queue").where(first <= last).select("queue", "total", "weight", "size", F.explode(F.sequence(first, last)).alias("k"))
-    own = own.withColumn("length", F.least("size", F.col("total") - F.col("k") * F.col("size")))
-    # a point of the quantum, the same in all of a queue's, so that small queues don't all come at once
-    phase = F.pmod(F.xxhash64("queue"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    own = own.withColumn("turn", (F.col("k") * F.col("size") + phase * F.col("length")) / F.col("weight"))
-    order = ["turn", "queue", "k"]
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    own = kept(own.select(*order, "size", "length").repartitionByRange(n, *order).withColumn("slice", F.spark_partition_id()), "quanta")
-    slices = own.groupBy("slice").agg(F.sum("length").alias("sum")).collect()  # a row a partition
-    base, upto = [], 0
-    for r in sorted(slices, key=lambda r: r["slice"]):
-        base.append((r["slice"], upto))
-        upto += r["sum"]
-    before = F.coalesce(F.sum("length").over(Window.partitionBy("slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return own.select("*", before.alias("before")).join(F.broadcast(spark.createDataFrame(base, "slice int, first long")), "slice").select("queue", "k", "size", (F.col("first") + F.col("before")).alias("pos"))
-
-
-def _pieces_of_many(encoded: DataFrame, parts: DataFrame, targets: dict[str | None, float] | None, window: int, wide: int, id_column: str, out: T.StructType) -> DataFrame:
-    """The pieces, with the schedule as a table.  A document's key is (queue, part, before): it holds a token at least."""
-    quanta = kept(_quanta(parts, targets, window), "service")
-    sizes = quanta.where("k = 0").select("queue", "size")
-    key = ["queue", "part", "before"]
-    places = encoded.select(*key, "n").join(parts.select("queue", "part", "base"), ["queue", "part"]).join(sizes, "queue")
-    low = F.col("base") + F.col("before")
-    places = places.select(*key, low.alias("low"), (low + F.col("n")).alias("high"), "size").withColumn("k", F.explode(F.sequence(F.floor(F.col("low") / F.col("size")), F.floor((F.col("high") - 1) / F.col("size")))))
-    met = places.join(quanta.select("queue", "k", "pos"), ["queue", "k"])
-    start = F.greatest("low", F.col("k") * F.col("size"))
-    met = met.select(*key, (start - F.col("low")).alias("start"), (F.least("high", (F.col("k") + 1) * F.col("size")) - start).alias("length"), (F.col("pos") + start - F.col("k") * F.col("size")).alias("at"))
-    w = F.lit(window)
-    met = met.withColumn("window", F.explode(F.sequence(F.floor(F.col("at") / w), F.floor((F.col("at") + F.col("length") - 1) / w))))
-    begin = F.greatest("at", F.col("window") * w)
-    cut = F.struct(
-        (F.col("start") + begin - F.col("at")).alias("start"),
-        (F.least(F.col("at") + F.col("length"), (F.col("window") + 1) * w) - begin).alias("length"),
-        F.col("window"),
-        (begin - F.col("window") * w).alias("offset"),
-    )
-    cut_up = met.groupBy(*key).agg(F.array_sort(F.collect_list(cut)).alias("cuts"))
-    return encoded.join(cut_up, key).select("id", "n", "ids", "cuts").mapInArrow(lambda it: _crcs(it, wide, id_column), out)
-
-
 def _rest_share(target: float) -> float:
     """What targets leave to the sources that have none; where they leave nothing, so little that these follow at the end."""
     return 1 - target if target < 1 else 1e-6
@@ -385,6 +269,11 @@ def _rest_share(target: float) -> float:
 def _weights(totals: list[tuple[str, int]], targets: dict[str | None, float] | None) -> list[float]:
     """Shares of the queues: those with a target have it, the rest share what is left in proportion to their tokens."""
     wanted = {_named(k): float(v) for k, v in (targets or {}).items()}
+    there = {q for q, _ in totals}
+    if there and (unknown := [k for k in targets or {} if _named(k) not in there]):
+        raise ValueError(f"no document has the source {', '.join(map(repr, unknown))}")
+    if min(wanted.values(), default=0) < 0 or sum(wanted.values()) > 1 + 1e-9:
+        raise ValueError(f"targets {targets} are not shares")
     others = sum(n for q, n in totals if q not in wanted)
     rest = _rest_share(sum(wanted[q] for q, _ in totals if q in wanted))
     return [wanted[q] if q in wanted else (n * rest / others if wanted else float(n)) for q, n in totals]
@@ -397,7 +286,6 @@ def pack(docs: DataFrame, path: str, *, targets: dict[str | None, float] | None
     proportion to what they bring); by default every window has the whole input's mixture."""
     spark = docs.sparkSession
     name: Column = F.coalesce(F.concat(F.lit("s:"), F.col(source).cast("string")), F.lit("null"))
-    many = docs.select(name.alias("q")).distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES
     id_type = docs.schema[id_column].dataType
     schema = T.StructType([T.StructField("id", id_type)]).add("part", "integer").add("queue", "string").add("before", "long").add("n", "long").add("ids", "binary")
     encoded = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), name.alias("queue")).mapInArrow(lambda it: _encode(it, path, end_id), schema)
@@ -409,11 +297,9 @@ def pack(docs: DataFrame, path: str, *, targets: dict[str | None, float] | None
     out = T.StructType([T.StructField(id_column, id_type)])
     for c in _PIECES:
         out = out.add(c, "long")
-    if many:
-        return _pieces_of_many(encoded, parts, targets, window, wide, id_column, out)
-    totals = sorted((r["queue"], r["n"]) for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).collect())  # MAX_QUEUES rows at most
+    totals = sorted((r["queue"], r["n"]) for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).collect())  # a row a source
     names = {q: i for i, (q, _) in enumerate(totals)}
-    plan = spark.sparkContext.broadcast((names, schedule([n for _, n in totals], _weights(totals, targets), window=window)))
+    plan = spark.sparkContext.broadcast((names, Service.of([n for _, n in totals], _weights(totals, targets), window)))
     placed = encoded.join(parts.select("queue", "part", "base"), ["queue", "part"]).select("id", "queue", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
     return placed.mapInArrow(lambda it: _pieces(it, plan, wide, id_column), out)
 
