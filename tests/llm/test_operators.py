@@ -449,14 +449,19 @@ def test_packing(spark):
         assert at_ <= 512
     assert got.doc_id.nunique() == len(texts) and short <= 1
     assert packing.pack(empty(spark), path).count() == 0
-    many = packing.pack(frame(spark, [f"t{i}" for i in range(90)], source=[f"s{i}" for i in range(90)]), path)  # more sources than queues
-    assert many.count() >= 90
+    for targets in ({"a": 0.5, "nosuch": 0.3}, {"a": 0.7, "b": 0.5}, {"a": -0.1}):
+        with pytest.raises(ValueError):
+            packing.pack(frame(spark, texts, source=source), path, targets=targets)
+    clash = frame(spark, texts[:20], source=source[:20], start=["x"] * 20, length=["x"] * 20).withColumn("doc_id", F.when(F.col("doc_id") > 3, F.col("doc_id")))
+    assert packing.pack(clash, path).groupBy().agg(F.sum("length")).first()[0] == sum(map(len, ids[:20]))  # four documents have no id
 
 
-def test_packing_holds_shares_of_many_sources(spark, monkeypatch):
-    """A hot source, one with a target, a null one and 90 small ones: shares hold in every window, whatever the number of sources."""
+@pytest.mark.parametrize("sources", [3, 65, 1000])
+def test_packing_holds_shares_of_any_number_of_sources(spark, sources):
+    """A hot source, one with a target, a null one and small ones: every window has each source's share to within two tokens of
+    what a round serves, whatever the number of sources, until the first runs out."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    source = ["hot"] * 200 + ["aim"] * 80 + [None] * 40 + [f"s{i}" for i in range(90)]
+    source = ["hot"] * 400 + ["aim"] * 160 + [None] * 80 + [f"s{i}" for i in range(sources - 3)]
     docs = frame(spark, ["cat " * (20 if str(s).startswith("s") else 99) for s in source], source=source)
     name = pd.Series(source).fillna("none")
 
@@ -470,18 +475,15 @@ def test_packing_holds_shares_of_many_sources(spark, monkeypatch):
         return own.assign(source=own.doc_id.map(name)).pivot_table(index="sequence_id", columns="source", values="length", aggfunc="sum", fill_value=0)
 
     one = zlib.crc32(np.array(encoded_ids(path, "cat " * 20), "<u4").tobytes())
-    for most in (64, 100):
-        monkeypatch.setattr(packing, "MAX_QUEUES", most)
-        got = packing.pack(docs, path, window=512).toPandas()
-        assert (got[(got.doc_tokens == got.length) & got.doc_id.map(name).str.startswith("s")].ids_crc32 == one).all()
-        table = served(got, 512)
-        share = table.sum() / table.sum().sum()
-        for s in ("hot", "aim", "none"):
-            assert (table[s].iloc[:-1] - 512 * share[s]).abs().max() <= 0.15 * 512, (most, s)
-        table = served(packing.pack(docs, path, targets={"aim": 0.5, None: 0.25}, window=512).toPandas(), 512)
-        first = table.iloc[: int(table["aim"].sum() / 256) - 2]
-        assert len(first) > 10 and abs(first["aim"].mean() - 256) < 16 and abs(first["none"].iloc[:10].mean() - 128) < 16, most
-        assert (first["aim"] > 128).all() and (first["hot"] > 0).all()
+    got = packing.pack(docs, path, window=512).toPandas()
+    assert (got[(got.doc_tokens == got.length) & got.doc_id.map(name).str.startswith("s")].ids_crc32 == one).all()
+    table = served(got, 512)
+    share = table.sum() / table.sum().sum()
+    assert ((table.iloc[:-2] - 512 * share).abs() <= 2).all(axis=None)
+    table = served(packing.pack(docs, path, targets={"aim": 0.5, None: 0.25}, window=512).toPandas(), 512)
+    first = table.iloc[: int(table["aim"].sum() / 256) - 2]
+    none = first.iloc[: int(table["none"].sum() / 128) - 2]
+    assert len(first) > 20 and ((first["aim"].iloc[: len(none)] - 256).abs() <= 2).all() and ((none["none"] - 128).abs() <= 2).all() and (first["hot"] > 0).all()
 
 
 def encoded_ids(path, text):
@@ -490,13 +492,35 @@ def encoded_ids(path, text):
     return [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
 
 
-@pytest.mark.parametrize("weights", [None, [1.0, 5.0, 1.0, 1.0]])
-def test_schedule_serves_all(weights):
-    tokens = [90_000, 10, 0, 33_333]
-    plan = packing.schedule(tokens, weights)
-    assert sum(s.serve.sum(0) * s.times for s in plan).tolist() == tokens
-    sizes = [row.sum() for s in plan for _ in range(s.times) for row in s.serve]
-    assert all(x == 4096 for x in sizes[:-1]) and sizes[-1] <= 4096
+def rounds(tokens, credit, phase, window):
+    """Deficit round-robin, token by token."""
+    out, done, deficit = [], [0] * len(tokens), list(phase)
+    while any(d < n for d, n in zip(done, tokens)):
+        for q, c in enumerate(credit):
+            deficit[q] += c
+            while deficit[q] >= 1 << packing.SCALE and done[q] < tokens[q]:
+                deficit[q] -= 1 << packing.SCALE
+                out.append((q, done[q]))
+                done[q] += 1
+    return {key: (i // window, i % window) for i, key in enumerate(out)}
+
+
+@pytest.mark.parametrize("tokens, weights", [([900, 10, 1, 333], None), ([900, 10, 1, 333], [1.0, 5.0, 1.0, 1e-9]), ([700], None), ([3] * 300, None), ([500, 500], [1.0, 0.001])])
+def test_service(monkeypatch, tokens, weights):
+    monkeypatch.setattr(packing, "CELLS", 64)
+    service = packing.Service.of(tokens, weights or [float(n) for n in tokens], window=64)
+    if service.rounds.max() > 10**6:
+        service.credit = np.maximum(service.credit, 1 << 6)  # as a share that small would take a round a token, and this test's loop too long
+        service.__post_init__()
+    want = rounds(tokens, service.credit.tolist(), service.phase.tolist(), 64)
+    rng, got = random.Random(1), {}
+    for q, n in enumerate(tokens):
+        at_ = sorted({0, *(rng.randrange(n) for _ in range(5))})
+        size = np.diff([*at_, n])
+        row, start, length, window, offset = service.pieces(np.full(len(size), q), np.array(at_), size)
+        for r, s, k, w, o in zip(row, start, length, window, offset):
+            got |= {(q, at_[r] + s + i): (w, o + i) for i in range(k)}
+    assert got == want
 
 
 # ---- 10 ---------------------------------------------------------------------------------------------------
