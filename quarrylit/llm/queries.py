@@ -74,8 +74,54 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(documents(spark, sf_dir))
 
 
+# What SQL can say of the operators whose whole result is beyond it.
+
+
+def base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op3's base findings."""
+    return op3_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def base_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op8's base rule."""
+    return op8_repetition(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def scored_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows op5, op6 and op7 may not learn from, and that each has a score and a prediction by its threshold."""
+    q, g, x = op5_quality(spark, sf_dir), op6_langid(spark, sf_dir), op7_toxicity(spark, sf_dir)
+    fits = lambda limit: (F.col("score").between(0, 1) & ((F.col("score") >= limit).cast("int") == F.col("predicted")))
+    q = q.select("doc_id", F.col("held_out").alias("quality_held_out"), fits(0.3).alias("quality_fits"))
+    x = x.select("doc_id", F.col("held_out").alias("toxic_held_out"), fits(0.7).alias("toxic_fits"))
+    g = g.select("doc_id", F.col("held_out").alias("lang_held_out"), (F.col("lang_pred") == "und").alias("und"))
+    return q.join(g, "doc_id").join(x, "doc_id")
+
+
+def text_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10's bytes, and that a text has tokens if and only if it has bytes, no more of them, and is over the limit by them."""
+    t = op10_token_counts(spark, sf_dir)
+    fits = ((F.col("n_tokens") > 0) == (F.col("n_bytes") > 0)) & (F.col("n_tokens") <= F.col("n_bytes")) & (F.col("over_limit") == (F.col("n_tokens") > 512))
+    return t.select("doc_id", "n_bytes", fits.alias("fits"))
+
+
+def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9's pieces: each document's add up to its tokens, and each window's to its size but the last."""
+    pieces = op9_packing(spark, sf_dir)
+    docs = pieces.groupBy("doc_id").agg((F.sum("length") == F.first("doc_tokens")).alias("whole"), F.min("start").alias("first"))
+    full = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.count_if(F.col("n") > 4096).alias("over"), F.count_if(F.col("n") < 4096).alias("short"))
+    return docs.crossJoin(F.broadcast(full)).select("doc_id", "whole", "first", "over", (F.col("short") <= 1).alias("one_short"))  # one row on the right
+
+
+def fingerprint_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op12's edited texts, and that equal texts have equal fingerprints and likenesses are shares."""
+    got = op12_fingerprints(spark, sf_dir)
+    fits = F.col("near_edited").between(0, 1) & F.col("near_next").between(0, 1) & ((F.col("fingerprint") != F.col("edited_fingerprint")) | (F.col("near_edited") == 1))
+    return got.select("doc_id", "n_chars", "edited_sha256", fits.alias("fits"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
+    parts = (base_secrets, base_repetition, scored_folds, text_bytes, packed_documents, fingerprint_texts)
+    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)} | {f.__name__: f for f in parts}
 
 
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -154,6 +200,49 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
   WHERE o = 1 AND NOT EXISTS (SELECT 1 FROM longer z WHERE z.lang = b.lang AND z.phrase = b.phrase AND 100 * z.a >= 80 * b.a)) WHERE rank <= 2000"""
 
 
+#: A match begins behind the parts of the text between matches and the matches before it.
+_FOUND = """{kind}_m AS (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS g, list_transform(string_split_regex(t, '{pattern}'), lambda x: length(x)) AS gaps FROM d),
+{kind}_at AS (SELECT doc_id, m, g, gaps, unnest(range(1, len(m) + 1)) AS i FROM {kind}_m),
+{kind} AS (SELECT doc_id, {order} AS kind_order, '{kind}' AS kind, list_sum(gaps[:i]) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0) AS start, list_sum(gaps[:i]) + list_sum(list_transform(m[:i], lambda x: length(x))) AS stop FROM {kind}_at WHERE length(g[i]) >= {least})"""
+_KINDS = (("assign", "(?i:(password|passwd|secret|token|api_?key))[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32))
+_BASE_SECRETS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{", ".join(_FOUND.format(kind=k, pattern=p, group=g, least=n, order=i) for i, (k, p, g, n) in enumerate(_KINDS))},
+s AS (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hex),
+c AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg(concat(kind, ':', cast(start AS BIGINT), ':', cast(stop AS BIGINT)), ',' ORDER BY start, kind_order) AS spans FROM s GROUP BY doc_id)
+SELECT d.doc_id AS doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256 FROM d LEFT JOIN c ON d.doc_id = c.doc_id"""
+
+_BASE_REPETITION = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n FROM win) WHERE n > 1),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM rep) GROUP BY doc_id),
+lines AS (SELECT doc_id, cast(sum(n - 1) AS BIGINT) AS n FROM (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '{_SPACED}') GROUP BY ALL) GROUP BY doc_id),
+b AS (SELECT d.doc_id AS doc_id, cast(len(w) AS BIGINT) AS n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN words r ON r.doc_id = d.doc_id LEFT JOIN lines l ON l.doc_id = d.doc_id)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b"""
+
+#: CRC-32 of a document's number, digit by digit: table entries come of eight shifts of a byte.
+_FOLDS = """
+WITH RECURSIVE shifts AS (SELECT i AS byte, i AS c, 0 AS k FROM range(256) t(i) UNION ALL SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM shifts WHERE k < 8),
+tab AS (SELECT list(c ORDER BY byte) AS t FROM shifts WHERE k = 8),
+crc AS (SELECT doc_id, cast(doc_id AS VARCHAR) AS s, 4294967295::BIGINT AS c, 0 AS k FROM documents
+  UNION ALL SELECT doc_id, s, xor((SELECT t FROM tab)[cast((xor(c, ascii(s[k + 1]))) & 255 AS INTEGER) + 1], c >> 8), k + 1 FROM crc WHERE k < length(s)),
+h AS (SELECT doc_id, xor(c, 4294967295::BIGINT) AS h FROM crc WHERE k = length(s))
+SELECT d.doc_id AS doc_id, h % 5 = 0 AS quality_held_out, true AS quality_fits, h % 5 = 0 AS lang_held_out, NOT regexp_matches(coalesce(text, ''), '[\\p{L}]') AS und, h % 3 = 1 AS toxic_held_out, true AS toxic_fits FROM documents d JOIN h ON h.doc_id = d.doc_id"""
+
+_FINGERPRINT_TEXTS = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id), first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS following FROM documents)
+SELECT doc_id, cast(length(t) AS BIGINT) AS n_chars, sha256(concat(substring(t, 1, length(t) - length(t) // 2), substring(following, 1, length(t) // 2))) AS edited_sha256, true AS fits FROM d"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The operators that SQL can express as a whole; the others are tested against brute force."""
-    return {"op1_decontaminate": _OP1, "op2_warc": _OP2, "op4_jaccard_join": _OP4, "op11_filter_interactions": _OP11, "op13_collocations": _OP13}
+    return {"op1_decontaminate": _OP1, "op2_warc": _OP2, "op4_jaccard_join": _OP4, "op11_filter_interactions": _OP11, "op13_collocations": _OP13} | {
+        "base_secrets": _BASE_SECRETS,
+        "base_repetition": _BASE_REPETITION,
+        "scored_folds": _FOLDS,
+        "fingerprint_texts": _FINGERPRINT_TEXTS,
+        "text_bytes": "SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes, true AS fits FROM documents",
+        "packed_documents": "SELECT doc_id, true AS whole, 0::BIGINT AS first, 0::BIGINT AS over, true AS one_short FROM documents",
+    }
