@@ -813,7 +813,7 @@ def verified_fields(spark, sf_dir):
 
 
 @query(
-    "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'T0' WHEN p_size % 3 = 0 THEN 'T1' ELSE '' END AS title, CASE WHEN p_size % 5 = 0 THEN 0.5 ELSE 0.9 END AS confidence, CASE WHEN p_size % 7 = 0 THEN 'x|y' ELSE 'z' END AS tags, CASE WHEN p_size % 11 = 0 THEN 'a=1' ELSE 'b=2' END AS cell FROM part"
+    "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'T0' WHEN p_size % 3 = 0 THEN 'T1' ELSE '' END AS title, cast(CASE WHEN p_size % 5 = 0 THEN 0.5 ELSE 0.9 END AS DOUBLE) AS confidence, CASE WHEN p_size % 7 = 0 THEN 'x|y' ELSE 'z' END AS tags, CASE WHEN p_size % 11 = 0 THEN 'a=1' ELSE 'b=2' END AS cell FROM part"
 )
 def merged_records(spark, sf_dir):
     """Each field from the first of three sources that fills it: a text, a number, a list and a map, from different ones."""
@@ -861,7 +861,7 @@ def crop_pictures(spark, sf_dir):
     return crops.pictures(wanted, rows, files)
 
 
-@query("SELECT p_partkey AS id, min(p_partkey) OVER (PARTITION BY p_name) AS candidate_id, 1.0 AS score FROM part")
+@query("SELECT p_partkey AS id, min(p_partkey) OVER (PARTITION BY p_name) AS candidate_id, cast(1 AS DOUBLE) AS score FROM part")
 def title_links(spark, sf_dir):
     """The paper of each title, without a block: of equal titles the first."""
     part = _table(spark, sf_dir, "part")
