@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrylit import agents, providers
@@ -14,7 +14,7 @@ from quarrylit.plans import report
 from quarrylit.plans.corpus import ORACLE as CORPUS
 from quarrylit.plans.corpus import corpus
 from quarrylit.session import shared_folder
-from quarrylit.sources import ledger, literature
+from quarrylit.sources import ledger, literature, search, stages
 from quarrylit.streaming import logs, phases
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -383,7 +383,7 @@ def title_link_top1(spark, sf_dir):
 
 @query("WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z0-9. ]', '-', 'g'), '\\s+', ' ', 'g') AS t0 FROM documents), u AS (SELECT doc_id, trim(trim(t0), '._ ') AS t FROM t) SELECT doc_id, CASE WHEN t = '' THEN 'paper' WHEN length(t) > 60 THEN concat(rtrim(substring(t, 1, 49), ' ._'), '_', substring(sha1(t), 1, 10)) ELSE t END AS stem FROM u")
 def safe_stem(spark, sf_dir):
-    line = F.regexp_replace(F.split("text", "\n")[0], "[^A-Za-z0-9. ]", "-")
+    line = F.regexp_replace(F.substring_index("text", "\n", 1), "[^A-Za-z0-9. ]", "-")
     return _table(spark, sf_dir, "documents").select("doc_id", text.safe_stem(line).alias("stem"))
 
 
@@ -414,7 +414,7 @@ def json_diff(spark, sf_dir):
     return jsons.difference(jsons.leaves(e, "user_id", "a"), jsons.leaves(e, "user_id", "b"), "user_id")
 
 
-@query()
+@query("SELECT event_id, props AS object FROM events")
 def first_json_object(spark, sf_dir):
     e = _table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("Reply: "), F.col("props"), F.lit(" and {\"x\": 1}")).alias("reply"))
     return e.select("event_id", text.first_json(F.col("reply")).alias("object"))
@@ -889,3 +889,119 @@ def turn_differences(spark, sf_dir):
     before = turns.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("text").alias("old"))
     pairs = turns.join(before, ["conv_id", "turn"]).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "old", F.col("text").alias("new"))
     return hints.differences(pairs, "id", "old", "new")
+
+
+# ---- fields, gates and parts of the report that no query above has -----------------------------------------------------
+
+
+@query("SELECT doc_id, list_transform(list_filter(list_transform(regexp_split_to_array(text, '\\n\\s*\\n'), lambda p: trim(regexp_replace(p, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))), lambda p: p <> ''), lambda p: length(p)) AS lengths FROM documents")
+def paragraph_lengths(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.transform(layout.paragraphs(F.col("text")), F.length).cast("array<bigint>").alias("lengths"))
+
+
+@query("SELECT decision, count(*) AS rows, count(DISTINCT doc_id) AS documents FROM (SELECT d.doc_id AS doc_id, CASE WHEN quality = 1 THEN 'keep' ELSE 'reject' END AS decision FROM documents d JOIN labels l ON d.doc_id = l.doc_id) GROUP BY decision")
+def routed_records(spark, sf_dir):
+    """Decisions written as JSON in a folder for each, twice, and read back: what is written again is replaced."""
+    folder = shared_folder(spark, "routed")
+    rows = _screen(spark, sf_dir).where("decision IS NOT NULL").select("doc_id", "decision")
+    for _ in range(2):
+        stages.write_records(rows, folder)
+    read = spark.read.json(folder)
+    return read.groupBy("decision").agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("documents"))
+
+
+@query(
+    "SELECT p_partkey, CASE WHEN p_size >= 10 AND p_size % 4 <> 0 THEN true ELSE false END AS run, concat_ws('|', CASE WHEN p_size < 10 THEN 'few_signals' END, CASE WHEN p_size % 4 = 0 THEN 'enriched' END) AS reasons, cast((CASE WHEN p_size % 3 = 0 THEN 0 ELSE 1 END) + 1 + (CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS filled, "
+    "CASE WHEN p_size % 2 = 0 THEN concat('v', p_size) ELSE 'none' END AS inner_value, CASE WHEN p_size % 3 = 0 THEN '' ELSE 'phase 2 addition' END AS tag, concat('n=', p_size) AS flat FROM part"
+)
+def record_gates(spark, sf_dir):
+    size = F.col("p_size")
+    name, list_, gate = F.when(size % 3 == 0, "  ").otherwise("x"), F.when(size % 2 == 0, F.array(F.lit("a"))), screening.verify_gate(size, F.lit(10), enriched=size % 4 == 0)
+    record = F.when(size % 2 == 0, F.concat(F.lit('{"a":{"b c":"v'), size.cast("string"), F.lit('"}}'))).otherwise('{"a":3}')
+    flat = screening.flatten_verified(F.create_map(F.lit("n"), F.struct(size.cast("string").alias("value"), F.lit("e").alias("evidence_span"))))
+    kept = [figures.filled(name, "string"), figures.filled(F.col("p_name"), "string"), figures.filled(list_, "list")]
+    return _table(spark, sf_dir, "part").select(
+        "p_partkey", gate["run"].alias("run"), F.array_join(gate["reasons"], "|").alias("reasons"), screening.filled_count(kept).alias("filled"), records.nested(record, "a", "b c", default="none").alias("inner_value"),
+        records.evidence_tag(name).alias("tag"), F.concat(F.lit("n="), flat["n"]).alias("flat"),
+    )
+
+
+@query(
+    "SELECT p_partkey, concat('(keyword:\"', p_brand, '\" OR keyword:\"', p_type, '\") AND (keyword:\"', p_name, '\" OR keyword:\"XRD\")') AS q, CASE p_size % 4 WHEN 0 THEN 'Fe2O3' WHEN 1 THEN 'Fe' WHEN 2 THEN 'TiO2' ELSE '' END AS formula, concat('I4/m', p_size, '-3m') AS symbol, "
+    "cast(p_size % 3 AS INTEGER) AS failures, concat(p_partkey, '__fig', p_size, '_p2') AS figure, CASE WHEN p_size % 2 = 0 THEN 'global_regex|figure_vision_phase1|caption' ELSE 'global_regex|caption|llm_verification' END AS sources, CASE WHEN p_size % 2 = 0 THEN 'not_verified' ELSE 'supported' END AS verdict FROM part"
+)
+def record_texts(spark, sf_dir):
+    size, key = F.col("p_size"), F.col("p_partkey").cast("string")
+    said = F.when(size % 4 == 0, " Fe2 O3 ").when(size % 4 == 1, "Iron").when(size % 4 == 2, "film of TiO2 x").otherwise("none, at all")
+    log = F.when(size % 3 == 0, "all fine, failures").when(size % 3 == 1, "Error in x").otherwise("Traceback: failed")
+    where = figures.provenance(F.lit(True), size % 2 == 0, F.when(size % 2 == 0, "").otherwise("supported"), F.lit("a caption"), "reported_phases")
+    return _table(spark, sf_dir, "part").select(
+        "p_partkey", records.keyword_query(F.concat_ws(" OR ", "p_brand", "p_type"), F.concat(F.lit("'"), "p_name", F.lit("' OR \"XRD\""))).alias("q"), figures.formula_like(said, {"iron": "Fe"}).alias("formula"),
+        records.symbol_text(F.concat(F.lit(" I4/m"), size.cast("string"), F.lit("\u22123m "))).alias("symbol"), logs.failure_count(log).alias("failures"), figures.figure_id(key, size, F.lit(2)).alias("figure"), F.array_join(where["sources"], "|").alias("sources"), where["verified_status"].alias("verdict"),
+    )
+
+
+@query(
+    "WITH c AS (SELECT l_orderkey AS stem, l_linenumber AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq, l_partkey AS figure FROM lineitem), f AS (SELECT stem, page, arg_min(figure, seq) AS figure_number FROM c GROUP BY ALL) "
+    "SELECT c.stem AS stem, c.seq AS crop, coalesce(f.figure_number, -1) AS figure_number FROM c LEFT JOIN f ON f.stem = c.stem AND f.page = c.page + 1"
+)
+def first_figures_of_pages(spark, sf_dir):
+    own = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("stem"), F.col("l_linenumber").alias("page"), F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")).cast("long").alias("seq"), F.col("l_partkey").alias("figure_number"))
+    return report.first_on_page(own.select("stem", (F.col("page") + 1).alias("page"), F.col("seq").alias("crop")), own).select("stem", "crop", F.coalesce("figure_number", F.lit(-1)).alias("figure_number"))
+
+
+@query(
+    "SELECT conv_id, count(*) FILTER (WHERE turn % 2 = 0) AS si_count, array_to_string(list(turn ORDER BY turn) FILTER (WHERE turn % 2 = 0), '|') AS si_pages, least(20, count(*)) AS refs, count(*) FILTER (WHERE turn % 2 = 0) > 0 AS has_si FROM conversations GROUP BY conv_id"
+)
+def supporting_information(spark, sf_dir):
+    """Pages of supporting information, and references to its figures: one a page here."""
+    c = _table(spark, sf_dir, "conversations")
+    words = F.concat(F.when(F.col("turn") % 2 == 0, "Supporting Information\n").otherwise("Results\n"), F.lit("see Figure S"), F.col("turn").cast("string"), F.lit(" there"))
+    got = fields.supporting_pages(c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), words.alias("text")))
+    return got.select(F.col("doc_id").alias("conv_id"), F.size("si_pages").cast("long").alias("si_count"), F.array_join(F.col("si_pages").cast("array<string>"), "|").alias("si_pages"), F.size("si_figure_refs").cast("long").alias("refs"), F.col("has_si_section").alias("has_si"))
+
+
+@query(f"WITH {CORPUS} SELECT doc_id, concat(20 + p_size, ' °C') AS temperature, '120°' AS gamma, CASE WHEN p_size % 2 = 0 THEN 'P 63/mmc' ELSE '' END AS space_group FROM corpus")
+def fields_temperature(spark, sf_dir):
+    """Temperatures, angles and a group of the corpus' rows, in sentences of their own."""
+    group = F.when(F.col("p_size") % 2 == 0, "; space group P 63/mmc.").otherwise("")
+    x = fields.extractors(F.concat(F.lit("measured at "), (20 + F.col("p_size")).cast("string"), F.lit(" °C; gamma = 120 deg"), group))
+    return corpus(spark, sf_dir).select("doc_id", F.array_join(x["context_temperature"], "|").alias("temperature"), x["lattice_parameters"]["γ"].alias("gamma"), F.array_join(x["space_group"], "|").alias("space_group"))
+
+
+@query(
+    "SELECT l_orderkey, array_to_string(list(concat(l_returnflag, l_partkey) ORDER BY l_linenumber * 10.0, l_quantity, l_linenumber * 10.0 + 9, concat(l_returnflag, l_partkey)), ' ') AS words FROM lineitem GROUP BY l_orderkey"
+)
+def page_reading_order(spark, sf_dir):
+    r = _table(spark, sf_dir, "lineitem")
+    y0 = F.col("l_linenumber") * 10.0
+    block = F.struct(F.col("l_quantity").alias("x0"), y0.alias("y0"), (y0 + 9).alias("y1"), F.concat("l_returnflag", F.col("l_partkey").cast("string")).alias("text"))
+    got = r.groupBy("l_orderkey").agg(F.collect_list(block).alias("blocks"))
+    return got.select("l_orderkey", F.array_join(F.transform(layout.reading_order(F.col("blocks")), lambda b: b["text"]), " ").alias("words"))
+
+
+@query(
+    "SELECT conv_id, cast(count(*) AS INTEGER) AS figures, array_to_string(list_slice(list_distinct_ordered, 1, 5), ', ') AS materials FROM (SELECT conv_id, count(*) AS n, list(role ORDER BY first) AS list_distinct_ordered, 0 AS z FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY ALL) GROUP BY conv_id) JOIN conversations USING (conv_id) GROUP BY conv_id, list_distinct_ordered"
+)
+def comparison_summary(spark, sf_dir):
+    c = _table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("stem")).agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: F.struct(F.concat(F.lit(" "), x["role"]).alias("material"))).alias("figures"))
+    return figures.summary(c.withColumn("methods", F.create_map().cast("map<string,string>"))).select(F.col("stem").alias("conv_id"), "figures", "materials")
+
+
+@query("SELECT 'key' || (event_id % 5) AS credential, array_to_string(list(DISTINCT event_type ORDER BY event_type), '|') AS stages FROM events WHERE event_type <> 'view' AND event_id % 5 <> 2 GROUP BY 1")
+def missing_keys(spark, sf_dir):
+    """Enabled stages whose credential nobody has; a blank one counts as none."""
+    e = _table(spark, sf_dir, "events").select(F.concat(F.lit("key"), (F.col("event_id") % 5).cast("string")).alias("credential"), F.col("event_type").alias("stage")).distinct()
+    needs = e.select("stage", F.col("stage").alias("seq"), "credential", (F.col("stage") != "view").alias("enabled"))
+    held = spark.range(1).select(F.explode(F.array(F.struct(F.lit("key2").alias("credential"), F.lit("x").alias("value")), F.struct(F.lit("key3").alias("credential"), F.lit(" ").alias("value"))))).select("col.*")
+    return records.missing_credentials(needs, held).select("credential", F.array_join("stages", "|").alias("stages"))
+
+
+@query("SELECT page_id, concat('10.1007/', page_id) AS doi, CASE WHEN page_id % 2 = 0 THEN concat('https://www.nature.com/articles/s', page_id, '.pdf') ELSE concat('https://link.springer.com/article/10.1007/', page_id, '/pdf') END AS first_url, cast(CASE WHEN page_id % 2 = 0 THEN 5 ELSE 4 END AS INTEGER) AS urls FROM pages")
+def springer_urls(spark, sf_dir):
+    """Where to try for an article's PDF: by a link of its page, else by its DOI."""
+    k = F.col("page_id").cast("string")
+    record = F.concat(F.lit('{"url":[{"value":"http://x/10.1007/'), k, F.lit('"}]}'))
+    page = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('<p><a class="x" href="/articles/s'), k, F.lit('.pdf">PDF</a>'))).otherwise(F.lit('<a href="/about.html">'))
+    urls = search.candidate_urls("springer", record, page)
+    return _table(spark, sf_dir, "pages").select("page_id", F.regexp_extract(F.element_at(urls, -1), r"(10\.1007/\d+)", 1).alias("doi"), F.get(urls, F.lit(0)).alias("first_url"), F.size(urls).alias("urls"))

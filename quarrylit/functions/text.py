@@ -47,10 +47,12 @@ def _unreserved(c: Column) -> Column:
 
 def safe_stem(c: Column, longest: int = 60) -> Column:
     """A short file stem; a longer name keeps its head and gets the first ten digits of its SHA-1.  Null and empty are `paper`."""
-    text = _file_safe(F.trim(F.coalesce(c, F.lit(""))))
-    text = F.when(text == "", F.lit("paper")).otherwise(text)
-    head = F.regexp_replace(F.substring(text, 1, longest - 11), "[ ._]+$", "")
-    return _unreserved(F.when(F.length(text) > longest, F.concat(head, F.lit("_"), F.substring(F.sha1(text), 1, 10))).otherwise(text))
+
+    def stem(text: Column) -> Column:
+        head = F.regexp_replace(F.substring(text, 1, longest - 11), "[ ._]+$", "")
+        return _unreserved(F.when(text == "", F.lit("paper")).when(F.length(text) > longest, F.concat(head, F.lit("_"), F.substring(F.sha1(text), 1, 10))).otherwise(text))
+
+    return F.transform(F.array(_file_safe(F.trim(F.coalesce(c, F.lit(""))))), stem)[0]  # an array of one, so that the text is made once
 
 
 def safe_title(title: Column, fallback: Column, unique: Column | None = None, longest: int = 80) -> Column:
