@@ -156,18 +156,25 @@ def word_vectors(docs: DataFrame, *, text: str = "text") -> np.ndarray:
     return np.concatenate((near, index_vectors() / np.sqrt(NONZERO)), 1).astype(np.float32)
 
 
+def _summed(owner: np.ndarray, row: np.ndarray, n: int, tables: list[np.ndarray]) -> list[np.ndarray]:
+    """Of n texts the sums of their words' rows in each table; a row that a text has several times is taken once, times its count."""
+    key, count = np.unique(owner * ROWS + row, return_counts=True)
+    own, row = key // ROWS, key % ROWS
+    out = [np.zeros((n, t.shape[1])) for t in tables]
+    start = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else own
+    for total, table in zip(out, tables, strict=True):
+        if len(own):
+            total[own[start]] = np.add.reduceat(table[row] * count[:, None].astype(float), start)
+    return out
+
+
 def pool(texts: at.Texts, vectors: np.ndarray) -> np.ndarray:
     """Per text: the mean of its words' vectors, of their squares, and its length's logarithm."""
-    core, shape, _, bounds = words_of(texts)
+    core, shape, owner, bounds = words_of(texts)
     size = np.maximum(1, np.diff(bounds))[:, None]
     out = np.zeros((texts.n, 6 * WIDTH + 1))
-    full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        at0 = bounds[:-1][full]
-        a, b = vectors[core], vectors[shape]
-        out[full, : 2 * WIDTH] = np.add.reduceat(a, at0, dtype=np.float64)
-        out[full, 2 * WIDTH : 4 * WIDTH] = np.add.reduceat(b, at0, dtype=np.float64)
-        out[full, 4 * WIDTH : 6 * WIDTH] = np.add.reduceat(b * b, at0, dtype=np.float64)
+    out[:, : 2 * WIDTH] = _summed(owner, core, texts.n, [vectors])[0]
+    out[:, 2 * WIDTH : 4 * WIDTH], out[:, 4 * WIDTH : 6 * WIDTH] = _summed(owner, shape, texts.n, [vectors, vectors * vectors])
     out[:, :-1] /= size
     out[:, -1] = np.log1p(np.diff(bounds)) / 10
     return out
