@@ -22,8 +22,9 @@ may stand side by side is a known property of BPE (each prefix's encoding ends i
 longest token that is compatible with the encoding of what precedes it).
 
 Defined cases: a null text is empty; an empty text has no tokens; special strings inside a
-text are what the tokenizer file says (one token each); columns beside the text and id
-don't matter.
+text are what the tokenizer file says (one token each); rows that repeat and rows without id are
+counted each for itself; columns beside the text and id, whatever their names, don't matter; an empty table
+has no rows.
 """
 
 from __future__ import annotations

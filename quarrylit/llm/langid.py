@@ -12,7 +12,8 @@ most and LEAST at least, so that no value is left out.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and rejected;
 without any labelled row every prediction is `und`; rows that repeat are judged alike; a null
-id is never learned from and not held out; columns beside text, lang and id don't matter.
+id is never learned from and not held out; columns beside text, lang and id, whatever their names, don't
+matter; very long texts are read whole; an empty table has no rows.
 """
 
 from __future__ import annotations

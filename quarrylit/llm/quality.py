@@ -13,7 +13,10 @@ The word vectors cover all documents; the network is fitted on a bounded sample
 labelled rows (PER_LABEL of each label, in learn.py).
 
 Defined cases: a null or empty text is the zero vector; without labels of both kinds every
-score is the share of label 1 (0.5 without any label).
+score is the share of label 1 (0.5 without any label); rows that repeat are scored alike; a null
+id is never learned from and not held out; columns beside the text and id, whatever their names, aren't
+read; very long texts are scored whole; an empty table has no rows.  Rows of words are told by hashes that
+words may share, as the table of vectors is of fixed size.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Row by row, no shuffle; memory follows the slice (about 100 bytes a word, and 4
 doubling).  Hashes only find what may be equal: words, lines and repeats are verified.
 
 Defined cases: a null or empty text has no words and fails for having too few; ties and
-repeated rows are judged alike, each on its own; other columns pass through ``keep``.
+repeated rows and rows without id are judged alike, each on its own; other columns, whatever their names,
+pass through ``keep``; very long texts are judged whole; an empty table has no rows.
 """
 
 from __future__ import annotations
