@@ -3,6 +3,11 @@ decontamination, secret redaction, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
 read again as the next one's docs.  All but the last return the columns of documents.
+
+Defined cases: each stage takes what its operator's module states.  In short: a null text is empty, which the
+quality rules reject for having too few words; ties and repeated rows are judged alike, of near duplicates the
+row of the smallest id stays; columns of documents pass through whatever their names; of an empty table
+every stage makes an empty one.
 """
 
 from __future__ import annotations
