@@ -1005,3 +1005,61 @@ def springer_urls(spark, sf_dir):
     page = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('<p><a class="x" href="/articles/s'), k, F.lit('.pdf">PDF</a>'))).otherwise(F.lit('<a href="/about.html">'))
     urls = search.candidate_urls("springer", record, page)
     return _table(spark, sf_dir, "pages").select("page_id", F.regexp_extract(F.element_at(urls, -1), r"(10\.1007/\d+)", 1).alias("doi"), F.get(urls, F.lit(0)).alias("first_url"), F.size(urls).alias("urls"))
+
+
+_LOG = ("Starting phase 1", "noise", "JSON verify agent: starting", "[OK] Downloaded a.pdf", "File already exists", "pipeline completed", "Starting JSON clean agent", "x", "Starting Phase 2", "y")
+
+
+@query(
+    f"WITH l AS (SELECT user_id AS run, event_id AS line, {list(_LOG)}[cast(event_id * 7 % 10 AS INTEGER) + 1] AS m FROM events WHERE event_id * 7 % 10 <> 3 OR user_id % 2 = 0), d AS (SELECT run, string_agg(concat(chr(10), '- ', m), '' ORDER BY line) AS shown FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY line DESC) AS n FROM l WHERE m LIKE '%Downloaded%') WHERE n <= 8 GROUP BY run), "
+    "f AS (SELECT run, bool_or(m LIKE '%already%') AS there, bool_or(m = 'Starting phase 1') AS one, bool_or(m = 'Starting Phase 2') AS two, bool_or(m LIKE '%clean agent') AS clean, bool_or(m LIKE '%verify%') AS verify, bool_or(m LIKE '%completed') AS done FROM l GROUP BY run) "
+    "SELECT f.run AS run, concat(CASE WHEN d.shown IS NOT NULL THEN concat('Downloaded files:', d.shown) WHEN there THEN concat('Download phase:', chr(10), '- Files already exist.', chr(10), '- See the detailed log below for file names.') ELSE 'No completed downloads yet.' END, chr(10), chr(10), 'Framework progress:', chr(10), '- Step I: ', CASE WHEN one THEN 'started' ELSE 'not started' END, chr(10), "
+    "'- Step II: ', CASE WHEN two THEN 'started' ELSE 'not started' END, chr(10), '- JSON cleaner: ', CASE WHEN clean THEN 'started' ELSE 'not started' END, chr(10), '- JSON verifier: ', CASE WHEN verify THEN 'started' ELSE 'not started' END, chr(10), '- Pipeline: ', CASE WHEN done THEN 'completed' ELSE 'running' END) AS summary FROM f LEFT JOIN d ON d.run = f.run"
+)
+def log_summaries(spark, sf_dir):
+    said = F.array(*(F.lit(x) for x in _LOG))[(F.col("event_id") * 7 % 10).cast("int")]
+    rows = _table(spark, sf_dir, "events").where("event_id * 7 % 10 <> 3 OR user_id % 2 = 0")
+    return phases.summaries(rows.select(F.col("user_id").alias("run"), F.col("event_id").alias("line"), said.alias("message")))
+
+
+_FILES_SAID = (
+    ('{"decision":{"decision":"keep"}}', "KEEP", None), ('{"decision":{"decision":"error"}}', "ERROR", None), ('{"decision":null}', "REJECT", None), ('{"other":[1]}', "REJECT", None), ("{broken", "REJECT", "parse_failed"),
+    ('{"decision":"keep"}', "REJECT", "parse_failed"), ('{"decision":{"decision":5}}', "REJECT", "parse_failed"), ("[1]", "REJECT", "parse_failed"), ('{"decision":{"decision":""}}', "REJECT", None),
+)
+
+
+@query(f"SELECT page_id, {[d for _, d, _ in _FILES_SAID]}[cast(page_id % 9 AS INTEGER) + 1] AS decision, nullif({[e or '' for *_, e in _FILES_SAID]}[cast(page_id % 9 AS INTEGER) + 1], '') AS error FROM pages")
+def screening_files(spark, sf_dir):
+    """Files of the reject folder: recorded decisions count before it, and what can't be read stays a row."""
+    value = F.array(*(F.lit(x) for x, *_ in _FILES_SAID))[(F.col("page_id") % 9).cast("int")]
+    return screening.decisions(_table(spark, sf_dir, "pages").select("page_id", value.alias("value"), F.lit("REJECT").alias("folder")))
+
+
+@query(
+    "WITH r AS (SELECT l_orderkey, concat(l_returnflag, ' | ', cast(l_partkey AS VARCHAR)) AS t, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS n FROM lineitem), u AS (SELECT *, sum(length(t) + 1) OVER (PARTITION BY l_orderkey ORDER BY n ROWS UNBOUNDED PRECEDING) AS used FROM r) "
+    "SELECT l_orderkey, concat_ws(chr(10), string_agg(t, chr(10) ORDER BY n) FILTER (WHERE used <= 40), CASE WHEN max(used) > 40 THEN '... (truncated)' END) AS text FROM u GROUP BY l_orderkey"
+)
+def table_texts(spark, sf_dir):
+    r = _table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate").alias("seq"), F.concat_ws(" | ", "l_returnflag", F.col("l_partkey").cast("string")).alias("row"))
+    return layout.budget_text(r, "l_orderkey", "seq", "row", 40)
+
+
+@query(
+    "WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS k FROM events) SELECT event_id, unnest(['k', 'n.a[0]', 'n.a[1].b c', 'n.a[2][0]', 'n.z']) AS path, unnest([k, cast(event_id AS VARCHAR), 'x', 'true', 'y']) AS value FROM e UNION ALL SELECT event_id, 'n.deep.deep.deep.v', k FROM e WHERE event_id % 2 = 0"
+)
+def json_nested_walk(spark, sf_dir):
+    """Leaves of lists in records in lists, as deep as each row goes."""
+    deep = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(',"deep":{"deep":{"deep":{"v":'), F.get_json_object("props", "$.k"), F.lit("}}}"))).otherwise("")
+    record = F.concat(F.lit('{"k":'), F.get_json_object("props", "$.k"), F.lit(',"n":{"a":['), F.col("event_id").cast("string"), F.lit(',{"b c":"x"},[true],[],{}],"z":"y"'), deep, F.lit("}}"))
+    return jsons.leaves(_table(spark, sf_dir, "events").select("event_id", record.alias("record")), "event_id", "record")
+
+
+@query(
+    "SELECT event_id, CASE event_id % 5 WHEN 0 THEN event_id % 1000 ELSE 0 END AS claude, CASE event_id % 5 WHEN 1 THEN event_id % 1000 ELSE 0 END AS gemini FROM events"
+)
+def odd_replies(spark, sf_dir):
+    """Usage of replies of two providers, of which some are broken, empty or another's."""
+    n = (F.col("event_id") % 1000).cast("string")
+    kind = F.col("event_id") % 5
+    reply = F.when(kind == 0, F.format_string('{"usage":{"input_tokens":%s}}', n)).when(kind == 1, F.format_string('{"usageMetadata":{"promptTokenCount":%s}}', n)).when(kind == 2, "not json").when(kind == 3, '{"usage":{"input_tokens":"many"}}')
+    return _table(spark, sf_dir, "events").select("event_id", *(providers.usage_of(reply, p)["input_tokens"].alias(p) for p in ("claude", "gemini")))

@@ -120,6 +120,19 @@ def within_budget(rows: DataFrame, key: str, seq: str, text: str, most: int) ->
     return rows.withColumn("used", used).withColumn("truncated", total > most).where(F.col("used") <= most)
 
 
+TRUNCATED = "... (truncated)"  # fixed value
+
+
+def budget_text(rows: DataFrame, key: str, seq: str, text: str, most: int) -> DataFrame:
+    """(key, text): the rows of each key, in order, as lines while they are within a budget, and a last line that tells of a cut."""
+    w = Window.partitionBy(key).orderBy(seq)
+    used = F.sum(F.length(text) + 1).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    kept = F.when(F.col("used") <= most, F.struct(F.col(seq).alias("seq"), F.col(text).alias("line")))
+    lines = rows.withColumn("used", used).groupBy(key).agg(F.array_sort(F.collect_list(kept)).alias("l"), F.max("used").alias("total"))
+    cut = F.when(F.col("total") > most, F.array(F.lit(TRUNCATED))).otherwise(F.array().cast("array<string>"))
+    return lines.select(key, F.array_join(F.concat(F.transform("l", lambda x: x["line"]), cut), "\n").alias("text"))
+
+
 def on_adjacent_pages(figures: DataFrame, tables: DataFrame) -> DataFrame:
     """Tables on a figure's page or one next to it: a range join as three equal ones."""
     near = figures.withColumn("table_page", F.explode(F.array(F.col("page") - 1, F.col("page"), F.col("page") + 1)))

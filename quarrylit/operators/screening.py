@@ -14,6 +14,22 @@ def consolidate(results: DataFrame, folder: str = "folder") -> DataFrame:
     return results.select(decision.alias("d")).agg(F.count("*").alias("total"), F.count_if(F.col("d") == "KEEP").alias("kept"), F.count_if(F.col("d") == "REJECT").alias("rejected"), F.count_if(~F.col("d").isin("KEEP", "REJECT") | F.col("d").isNull()).alias("errors"))
 
 
+def decisions(files: DataFrame, text: str = "value", folder: str = "folder") -> DataFrame:
+    """The screening files (their text, the label of their folder, other columns kept) with decision and error.
+
+    A recorded decision, in capitals, counts before the folder's; a file that isn't a record, or whose decision isn't a text in a
+    record of its own, stays a row, with its folder's decision and `parse_failed`."""
+    v = F.try_parse_json(text)
+    kind = lambda c: F.coalesce(F.schema_of_variant(c), F.lit("VOID"))
+    at = lambda path: F.try_variant_get(v, path, "variant")
+    empty = lambda c: (kind(c) == "VOID") | F.coalesce(F.to_json(c), F.lit("null")).isin('""', "[]", "{}", "0", "0.0", "false", "null")
+    inner, said = at("$.decision"), at("$.decision.decision")
+    is_object = lambda c: F.startswith(kind(c), F.lit("OBJECT"))
+    readable = is_object(v) & (empty(inner) | (is_object(inner) & (empty(said) | (kind(said) == "STRING"))))
+    recorded = F.when(readable & ~empty(said), F.upper(F.try_variant_get(v, "$.decision.decision", "string")))
+    return files.select(*(c for c in files.columns if c not in (text, folder)), F.coalesce(recorded, F.col(folder)).alias("decision"), F.when(~F.coalesce(readable, F.lit(False)), "parse_failed").alias("error"))
+
+
 def first_per(rows: DataFrame, key: str, order: list[Column], n: int) -> DataFrame:
     """The first n rows of each key in an order that ties must not leave open (a window group limit)."""
     return rows.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("__rank") <= n).drop("__rank")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -53,6 +53,42 @@ def statuses(lines: DataFrame, run: str = "run", line: str = "line", message: st
     return out.select("run", "p.phase", _now(F.col("p.m.status"), F.col("p.m.line"), F.col("completed")).alias("status"))
 
 
+# What the summary of a log says, and what marks an error in one.
+DOWNLOADED = ("[ok] downloaded", "downloaded oa pdf", "downloaded arxiv pdf")
+PROGRESS = (("Step I", ("starting phase 1",)), ("Step II", ("starting phase 2",)), ("JSON cleaner", ("starting json clean",)), ("JSON verifier", ("starting json verify",)))
+AGENTS = {"JSON cleaner": "json clean agent", "JSON verifier": "json verify agent"}
+ERRORS = ("traceback", "runtimeerror", "exception", "pipeline failed")
+SHOWN = 8
+
+
+def summaries(lines: DataFrame, run: str = "run", line: str = "line", message: str = "message") -> DataFrame:
+    """(run, summary): the last downloads of each run, and how far its steps have come, as text.
+
+    Flags are told by partial aggregates; of downloads the last eight are kept where the lines are, before any are brought together."""
+    text = F.coalesce(F.col(message), F.lit(""))
+    low = F.lower(text)
+    has = lambda t: F.contains(low, F.lit(t))
+    any_of = lambda ts: F.array_contains(F.array(*(has(t) for t in ts)), True)
+    began = {n: any_of(ts) | (has(AGENTS[n]) & has("starting") if n in AGENTS else F.lit(False)) for n, ts in PROGRESS}
+    rows = lines.select(F.col(run).alias("run"), F.col(line).alias("line"), text.alias("message"), any_of(DOWNLOADED).alias("got"), has("already exists").alias("there"), has(COMPLETED).alias("done"), *(c.alias(n) for n, c in began.items()))
+    flags = rows.groupBy("run").agg(*(F.bool_or(c).alias(c) for c in ("got", "there", "done", *began)))
+    part = F.pmod(F.xxhash64("line"), F.lit(32))
+    first = F.row_number().over(Window.partitionBy("run", part).orderBy(F.desc("line")))
+    some = rows.where("got").withColumn("n", first).where(F.col("n") <= SHOWN)  # a run's lines in parts, eight of each at most
+    some = some.withColumn("n", F.row_number().over(Window.partitionBy("run").orderBy(F.desc("line")))).where(F.col("n") <= SHOWN)
+    shown = some.groupBy("run").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", "message"))), lambda x: F.concat(F.lit("- "), x["message"])).alias("shown"))
+    head = F.when(F.col("got"), F.concat(F.array(F.lit("Downloaded files:")), F.col("shown"))).when(F.col("there"), F.array(*(F.lit(x) for x in ("Download phase:", "- Files already exist.", "- See the detailed log below for file names.")))).otherwise(F.array(F.lit("No completed downloads yet.")))
+    state = [F.concat(F.lit(f"- {n}: "), F.when(F.col(n), "started").otherwise("not started")) for n, _ in PROGRESS]
+    tail = F.array(F.lit(""), F.lit("Framework progress:"), *state, F.concat(F.lit("- Pipeline: "), F.when(F.col("done"), "completed").otherwise("running")))
+    return flags.join(shown, "run", "left").select("run", F.array_join(F.concat(head, tail), "\n").alias("summary"))
+
+
+def failed(text: Column, return_code: Column) -> Column:
+    """Whether a run's text tells of an error; a run that returned 0 has none."""
+    told = F.array_contains(F.array(*(F.contains(F.lower(text), F.lit(t)) for t in ERRORS)), True)
+    return F.coalesce(told, F.lit(False)) & ~F.coalesce(return_code == 0, F.lit(False))
+
+
 class _Phases(StatefulProcessor):
     """Per run, each phase's last line and status, and the last completion; given up some time after a completion."""
 
