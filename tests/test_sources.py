@@ -154,3 +154,9 @@ def test_phases(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", was)
     assert got == {k: v for k, v in want.items() if k[0] != "c"}  # a run without marks has no state
+
+
+def test_failed(spark):
+    cases = [("Traceback (most recent call last)", 1, True), ("RuntimeError: x", None, True), ("an Exception", 0, False), ("Pipeline failed", 2, True), ("all errors fixed", 1, False), ("", 1, False), (None, None, False)]
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t string, code int, want boolean")
+    assert all(r.got == r.want for r in rows.withColumn("got", phases.failed(F.col("t"), F.col("code"))).collect())
