@@ -35,3 +35,21 @@ def test_stages(spark, tmp_path):
     assert sorted(redacted.index) == clean and (redacted.text.str.len() == redacted.n_chars).all() and not redacted.text.str.contains("abcdefgh12345").any()
     assert set(seen[4].doc_id) == set(clean) and seen[4].groupby("doc_id").length.sum().eq(seen[4].groupby("doc_id").doc_tokens.first()).all()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(seen[4])
+
+
+def test_stages_bear_awkward_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, columns of clashing names; and no rows at all."""
+    prose = " ".join(f"word{k * k % 997}" for k in range(90))
+    rows = [(1, prose), (1, prose), (None, prose + " other tail"), (None, None), (3, ""), (4, " ".join(f"other{k * k % 887}" for k in range(70)))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_words string, spans string, kept string"
+    frame = spark.createDataFrame([(k, t, None, None, len(t or ""), "7", "7", "7") for k, t in rows], schema)
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, docs in (("some", frame), ("none", frame.limit(0))):
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            made = stage(spark, docs, str(tmp_path))
+            made.write.parquet(f"{tmp_path}/{name}{i}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}{i}")
+            if i < 4:
+                assert docs.columns == frame.columns
+        got = docs.toPandas()
+        assert (4 in set(got.doc_id) and got.length.sum() > 0) if name == "some" else got.empty
