@@ -68,8 +68,9 @@ class Rule:
     over: int = 100
     #: Fragments of a set that verification counts separately.
     fragments: int = 4
-    #: Sets of a block when a group is gone through pair by pair.
-    block: int = 512
+    #: Sets of a block, at most, when a group is gone through pair by pair; and their shingles, which bound a block's sketches.
+    block: int = 4096
+    block_shingles: int = 1 << 22
 
     #: Shingles of a sample for each one that a linked set may lack.
     sample: int = 2
@@ -297,7 +298,7 @@ def _count_sets(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[p
 
 
 def candidate_keys(docs: DataFrame, sets: DataFrame, rule: Rule, text: str, id_column: str) -> DataFrame:
-    """(key, sid, lo): the shingles in which each set may meet a linked one, without those that it alone has."""
+    """(key, sid, lo, n): the shingles in which each set may meet a linked one, without those that it alone has."""
     texts = docs.where(F.col(id_column).isNotNull()).select(F.col(text).alias("text"))
     size = sets.agg(F.count("*").alias("sets"), F.sum("sampled").alias("sampled")).first()
     fragments = (size["sampled"] or 0) // FRAGMENT + 1
@@ -322,7 +323,7 @@ def candidate_keys(docs: DataFrame, sets: DataFrame, rule: Rule, text: str, id_c
     met = shared.join(sets.select("lo", "sid", "n", "sampled", "met"), "lo")
     met = met.select("*", F.row_number().over(own.orderBy("sets", "shingle")).alias("place"), F.count("*").over(own).alias("shared"))
     # the shingles that nobody else has come first in the order of counts
-    return met.where("place <= sampled - met + 1 - (sampled - shared)").select(F.col("shingle").alias("key"), "sid", "lo")
+    return met.where("place <= sampled - met + 1 - (sampled - shared)").select(F.col("shingle").alias("key"), "sid", "lo", "n")
 
 
 #: Bits of the filter that keeps sets which no later step asks for out of the shuffle: 8 MB at any size of input.
@@ -379,6 +380,16 @@ def verified(pairs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
             partial = np.fromiter((_common(np.frombuffer(left[i].as_buffer(), "<u8"), np.frombuffer(right[i].as_buffer(), "<u8")) for i in range(batch.num_rows)), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(partial)], names=["a", "b", "na", "nb", "partial"])
 
+    # only what pairs ask for is shuffled: a filter's false positives go with the join
+    needed = _filter(pairs.select(F.explode(F.array("a", "b")).alias("sid")).select(F.xxhash64("sid").alias("lo")))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, lo = batch.columns
+            keep = pa.array(_maybe(needed.value, lo.to_numpy().view(np.uint64)))
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1]).filter(keep)
+
+    tokens = tokens.select("sid", "fragment", "n", "shingles", F.xxhash64("sid").alias("lo")).mapInArrow(asked, "sid binary, fragment int, n long, shingles binary")
     one = tokens.select(F.col("sid").alias("a"), "fragment", F.col("n").alias("na"), F.col("shingles").alias("sa"))
     two = tokens.select(F.col("sid").alias("b"), F.col("fragment").alias("fb"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     met = pairs.join(one, "a").join(two, (pairs["b"] == two["b"]) & (F.col("fragment") == F.col("fb"))).select("a", pairs["b"], "na", "nb", "sa", "sb")
@@ -416,7 +427,7 @@ def _rest_pairs(batches: Iterator[pa.RecordBatch], rule: Rule, likeliest: bool)
                 yield from _block_pairs(key, held, rule, likeliest)
                 held = []
             key = now
-            held.append((place, sid, n, component, np.frombuffer(bits, np.uint8), frozenset(k for k in keys if k < now[0])))
+            held.append((place, sid, n, component, np.frombuffer(bits, np.uint8), frozenset(keys)))
     if held:
         yield from _block_pairs(key, held, rule, likeliest)
 
@@ -454,7 +465,7 @@ def _block_pairs(key: list, held: list[tuple], rule: Rule, likeliest: bool) -> I
 
 
 def _with_components(groups: DataFrame, components: DataFrame) -> DataFrame:
-    return groups.join(components.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", F.coalesce("component", "sid").alias("component"))
+    return groups.join(components.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("component", "sid").alias("component"))
 
 
 def _stars(groups: DataFrame, components: DataFrame, salt: int) -> DataFrame:
@@ -472,15 +483,16 @@ def _stars(groups: DataFrame, components: DataFrame, salt: int) -> DataFrame:
 def _rest(groups: DataFrame, sketches: DataFrame, components: DataFrame, rule: Rule, likeliest: bool) -> DataFrame:
     """Pairs of different components that share a group and may be linked: all, or a block's likeliest one of each set."""
     rows = _with_components(groups, components)
-    open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi").select("key", F.ceil(F.col("members") / F.lit(rule.block)).cast("int").alias("blocks"))
+    open_ = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"), F.sum("n").alias("shingles")).where("lo <> hi")
+    open_ = open_.select("key", F.ceil(F.greatest(F.col("members") / F.lit(rule.block), F.col("shingles") / F.lit(rule.block_shingles))).cast("int").alias("blocks"))
     rows = kept(rows.join(open_, "key"), "open")
     keys = rows.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list("key")), 1, KNOWN).alias("keys"))  # a set has no more of them than shingles in its sample
-    rows = rows.join(keys, "sid").join(sketches, "sid")
+    rows = rows.join(keys, "sid").join(sketches.select("sid", "sketch"), "sid")
     place = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     rows = rows.select("key", "sid", "n", "component", "sketch", "keys", "blocks", place.alias("place"))
     # a block meets itself and every other one: each pair of blocks is a unit of work of two blocks at most
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("key", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "sid", "n", "component", "sketch", "keys")
+    rows = rows.select("key", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), "place", "sid", "n", "component", "sketch", F.filter("keys", lambda k: k < F.col("key")).alias("earlier"))
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return rows.mapInArrow(lambda it: _rest_pairs(it, rule, likeliest), "a binary, b binary").distinct()
 
@@ -508,7 +520,7 @@ def _set_components(docs: DataFrame, sets: DataFrame, rule: Rule, text: str, id_
     met = keys.groupBy("key").agg(*every).where("members > 1").groupBy("first", "last", "members", "all").agg(F.min("key").alias("key"))
     groups = kept(keys.join(met.select("key"), "key", "left_semi"), "groups")
     wanted = kept(groups.groupBy("sid").agg(F.min("lo").alias("lo")), "wanted")
-    groups = groups.select("key", "sid")
+    groups = groups.select("key", "sid", "n")
     tokens = kept(_tokens(docs, wanted, rule, text, id_column), "tokens")
     sketches = tokens.where("fragment = 0").select("sid", "n", "sketch")
     one, two = (sketches.select(F.col("sid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
