@@ -33,6 +33,12 @@ def test_reference(spark):
     assert (got["doi"], got["doi_source"], got["arxiv_id"], got["source_type"]) == ("10.48550/arXiv.cond-mat/0101001", "arxiv", "cond-mat/0101001v1", "arxiv")
 
 
+def test_references_keep_whole_arxiv_numbers(spark):
+    rows = spark.createDataFrame([(1, 0, '{"pdf":"/arxiv/arXiv 2401.100087v2/2401.100087v2.pdf"}')], "k int, p int, record string")
+    got = references.reference(rows, "k", "p", "record", F.lit("x.json")).first()
+    assert (got.arxiv_id, got.doi, got.pdf_name) == ("2401.100087v2", "10.48550/arXiv.2401.100087", "2401.100087v2.pdf")
+
+
 def test_assembled(spark):
     text = "A rather long title of a paper on NiFe2O4\nJ. Doe, University of X\nAbstract\nWe made NiFe2O4.\nIntroduction\nSee 10.1000/ab.c). And arXiv:2401.12345v2"
     none = (None,) * 5
