@@ -6,6 +6,8 @@ pattern and no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,12 +63,19 @@ def _all(t: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(t, F.lit(pattern), group)
 
 
-def _both(t: Column, pattern: str, *groups: int) -> Column:
-    """Per match the first of the groups that took part."""
-    out = _all(t, pattern, groups[0])
-    for g in groups[1:]:
-        out = F.zip_with(out, _all(t, pattern, g), lambda a, b: F.when(a != "", a).otherwise(b))
-    return out
+def _once(value: Column, made: Callable[[Column], Column]) -> Column:
+    """made(value), with the value made once however often it is asked for: an array of one."""
+    return F.transform(F.array(value), made)[0]
+
+
+def _matches(t: Column, pattern: str, made: Callable[[Column], Column]) -> Column:
+    """made(match) of every match: the text is gone through once, whatever is then taken from a match."""
+    return F.transform(_all(t, pattern, 0), made)
+
+
+def _either(match: Column, pattern: str, *groups: int) -> Column:
+    """The first of the groups that took part in a match."""
+    return F.coalesce(*(first_group(match, pattern, g) for g in groups), F.lit(""))
 
 
 def _sorted(values: Column, most: int | None = None) -> Column:
@@ -83,18 +92,29 @@ def float_text(x: Column) -> Column:
     return x.cast("double").cast("string")
 
 
-def last_per_key(keys: Column, values: Column) -> Column:
-    """A map of each key's last value."""
-    at = F.sequence(F.lit(1), F.size(keys))
-    kept = F.filter(F.when(F.size(keys) > 0, at).otherwise(F.array().cast("array<int>")), lambda i: ~F.array_contains(F.slice(keys, i + 1, F.greatest(F.lit(0), F.size(keys) - i)), keys[i - 1]))
-    return F.map_from_arrays(F.transform(kept, lambda i: keys[i - 1]), F.transform(kept, lambda i: values[i - 1]))
+def last_per_key(pairs: Column) -> Column:
+    """A map of each key's last value, of an array of (k, v)."""
+
+    def made(back: Column) -> Column:
+        keys = F.array_distinct(back["k"])
+        return F.map_from_entries(F.reverse(F.transform(keys, lambda k: F.struct(k, F.element_at(back["v"], F.array_position(back["k"], k).cast("int"))))))
+
+    return _once(F.reverse(pairs), made)
 
 
 def formula_mode(t: Column) -> Column:
     """The most frequent formula of 4 characters or more with a digit, the first seen of equally frequent ones."""
     found = F.filter(_all(t, cased(FORMULA_CASED)), lambda x: (F.length(x) >= 4) & x.rlike("[0-9]"))
-    ranked = F.transform(F.array_distinct(found), lambda x: F.struct((-F.size(F.filter(found, lambda y: y == x))).alias("n"), F.array_position(found, x).alias("at"), x.alias("x")))
-    return F.coalesce(F.array_min(ranked)["x"], F.lit(""))
+    seen = F.array_sort(F.transform(found, lambda x, i: F.struct(x.alias("x"), i.alias("at"))))  # equal ones together, the first seen first
+    mode = lambda n, at, x: F.struct(n.alias("n"), at.alias("at"), x.alias("x"))
+
+    def count(run: Column, one: Column) -> Column:
+        same = run["now"]["x"] == one["x"]
+        now = mode(F.when(same, run["now"]["n"] - 1).otherwise(-1), F.when(same, run["now"]["at"]).otherwise(one["at"]), one["x"])
+        return _once(now, lambda r: F.struct(r.alias("now"), F.least(run["best"], r).alias("best")))
+
+    none = mode(F.lit(0), F.lit(0), F.lit(""))
+    return F.coalesce(F.aggregate(seen, F.struct(none.alias("now"), none.alias("best")), count)["best"]["x"], F.lit(""))
 
 
 def extractors(t: Column) -> dict[str, Column]:
@@ -104,15 +124,13 @@ def extractors(t: Column) -> dict[str, Column]:
     wave = first_group(t, ci(WAVELENGTH))
     step = first_group(t, ci(STEP))
     number = F.coalesce(first_group(t, ci(GROUP_NUMBER), 1), first_group(t, ci(GROUP_NUMBER), 2))
-    axis = F.transform(_all(t, ci(EDGE), 1), lambda x: F.lower(x))
-    edge = F.zip_with(_all(t, ci(EDGE), 2), _all(t, ci(EDGE), 3), lambda v, e: F.concat(v, F.when(e != "", F.concat(F.lit("("), e, F.lit(")"))).otherwise(""), F.lit(" Å")))
+    said = lambda m, p, unit: F.concat(F.regexp_extract(m, p, 2), F.coalesce(F.concat(F.lit("("), first_group(m, p, 3), F.lit(")")), F.lit("")), F.lit(unit)).alias("v")
+    edges = _matches(t, ci(EDGE), lambda m: F.struct(F.lower(F.regexp_extract(m, ci(EDGE), 1)).alias("k"), said(m, ci(EDGE), " Å")))
     greek = F.create_map(*(F.lit(x) for kv in (("alpha", "α"), ("beta", "β"), ("gamma", "γ")) for x in kv))
-    angle = F.transform(_all(t, ci(ANGLE), 1), lambda x: F.coalesce(greek[F.lower(x)], F.lower(x)))
-    degree = F.zip_with(_all(t, ci(ANGLE), 2), _all(t, ci(ANGLE), 3), lambda v, e: F.concat(v, F.when(e != "", F.concat(F.lit("("), e, F.lit(")"))).otherwise(""), F.lit("°")))
+    named = lambda m: F.lower(F.regexp_extract(m, ci(ANGLE), 1))
+    angles = _matches(t, ci(ANGLE), lambda m: F.struct(F.coalesce(greek[named(m)], named(m)).alias("k"), said(m, ci(ANGLE), "°")))
     peaks = F.filter(F.transform(_all(t, ci(PEAK)), lambda x: x.cast("double")), lambda x: x.between(5, 120))
-    hkl = F.zip_with(
-        F.zip_with(_both(t, MILLER_CASED, 1, 4), _both(t, MILLER_CASED, 2, 5), lambda a, b: F.concat(a, b)), _both(t, MILLER_CASED, 3, 6), lambda a, b: F.concat(F.lit("("), a, b, F.lit(")"))
-    )
+    hkl = _matches(t, MILLER_CASED, lambda m: F.concat(F.lit("("), F.regexp_replace(m, "[^0-9]", ""), F.lit(")")))
     return {
         "scan_range_2theta": F.coalesce(F.concat(first_group(t, ci(TWO_THETA), 1), F.lit("–"), first_group(t, ci(TWO_THETA), 2), F.lit("° 2θ")), F.lit("")),
         "step_size": _with_unit(step, "°"),
@@ -123,7 +141,7 @@ def extractors(t: Column) -> dict[str, Column]:
         "crystal_structure": _sorted(F.transform(_all(t, ci(STRUCTURE)), lambda x: F.lower(x))),
         "space_group": _sorted(F.transform(_all(t, ci(SPACE_GROUP)), lambda x: F.trim(x))),
         "space_group_number": F.when(number.try_cast("int").between(1, 230), number).otherwise(""),
-        "lattice_parameters": F.map_concat(last_per_key(axis, edge), last_per_key(angle, degree)),
+        "lattice_parameters": F.map_concat(last_per_key(edges), last_per_key(angles)),
         "reported_phases": _sorted(F.concat(F.transform(_all(t, ci(ICDD)), lambda x: F.concat(F.lit("ICDD "), x)), _all(t, ci(PHASE)))),
         "profile_function": F.coalesce(first_group(t, ci(PROFILE)), F.lit("")),
         "peak_positions_2theta": F.transform(_sorted(peaks, 30), lambda x: F.concat(float_text(x), F.lit("°"))),
@@ -134,7 +152,7 @@ def extractors(t: Column) -> dict[str, Column]:
         "xray_density": _with_unit(first_group(t, ci(DENSITY)), " g/cm³"),
         "cell_volume": _with_unit(first_group(t, ci(VOLUME)), VOLUME_UNIT),
         "formula_weight": _with_unit(first_group(t, ci(WEIGHT)), " g/mol"),
-        "wyckoff_positions": _sorted(_both(t, ci(WYCKOFF), 1, 2), 20),
+        "wyckoff_positions": _sorted(_matches(t, ci(WYCKOFF), lambda m: _either(m, ci(WYCKOFF), 1, 2)), 20),
         "miller_indices": _sorted(hkl, 30),
     }
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarrylit.session import spread
+
 _SQL = """SELECT p_partkey AS doc_id, p_size, p_retailprice, concat(
   'XRD with Cu Ka radiation, lambda = 1.', cast(5000 + p_partkey % 900 AS {s}), ' A. 2theta = ', cast(5 + p_size % 10 AS {s}), ' to ', cast(80 + p_size AS {s}),
   ' deg, step size 0.0', cast(1 + p_size % 9 AS {s}), ' deg. Space group No. ', cast(p_size * 5 - 4 AS {s}), '. ',
@@ -20,4 +22,5 @@ ORACLE = "corpus AS (" + _SQL.format(s="VARCHAR") + ")"
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_SQL.format(s="STRING").replace("FROM part", "FROM {part}"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    part = spread(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", "p_retailprice"), "p_partkey")
+    return spark.sql(_SQL.format(s="STRING").replace("FROM part", "FROM {part}"), part=part)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "quarrylit", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,3 +34,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = f"file://{tempfile.mkdtemp(prefix='quarrylit-')}"
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """The rows in four tasks a core.  For rows that are few bytes but cost much: files are split by their bytes, so that a small
+    file is one task whatever its rows cost."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, key)

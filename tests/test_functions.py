@@ -48,6 +48,26 @@ def test_fields(spark, field, sample, want):
     assert one(spark, fields.extractors(F.col("t"))[field], t=sample) == want
 
 
+def passes(spark, field):
+    """How often a field's expression goes through the text."""
+    plan = spark.createDataFrame([("",)], "t string").select(fields.extractors(F.col("t"))[field])._jdf.queryExecution().analyzed().toString()
+    return plan.count("regexp_extract_all(t#")
+
+
+def test_cells_go_through_a_text_once_a_pattern(spark):
+    assert passes(spark, "lattice_parameters") == 2
+    many = "".join(f"{'abc'[i % 3]} = {i}.5({i % 9 + 1}) A, α = {i % 180} deg. " for i in range(3000))
+    assert one(spark, fields.extractors(F.col("t"))["lattice_parameters"], t=many) == {"a": "2997.5(1) Å", "b": "2998.5(2) Å", "c": "2999.5(3) Å", "α": "119°"}
+
+
+def test_costly_rows_of_a_small_file_are_spread(spark, tmp_path):
+    from quarrylit.plans.corpus import corpus
+
+    spark.range(100).selectExpr("id AS p_partkey", "cast(id % 50 AS int) AS p_size", "1.5D AS p_retailprice").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert corpus(spark, str(tmp_path)).rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert corpus(spark, str(tmp_path)).count() == 100
+
+
 def test_fields_of_nothing(spark):
     rows = fields.extract(spark.createDataFrame([(1, None), (2, "")], "doc_id int, text string")).collect()
     assert all(not r[f] for r in rows for f in fields.extractors(F.lit("")))
