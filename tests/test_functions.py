@@ -60,6 +60,13 @@ def test_cells_go_through_a_text_once_a_pattern(spark):
     assert one(spark, fields.extractors(F.col("t"))["lattice_parameters"], t=many) == {"a": "2997.5(1) Å", "b": "2998.5(2) Å", "c": "2999.5(3) Å", "α": "119°"}
 
 
+def test_formulas_are_counted_in_one_pass(spark):
+    assert passes(spark, "chemical_formula") == 1
+    many = " and ".join([f"Fe{i}O{i}" for i in range(2000)] + ["Ni2O3", "Al2O3", "Al2O3", "Ni2O3"])
+    assert one(spark, fields.extractors(F.col("t"))["chemical_formula"], t=many) == "Ni2O3"
+    assert one(spark, fields.formula_mode(F.col("t")), t=None) == ""
+
+
 def test_costly_rows_of_a_small_file_are_spread(spark, tmp_path):
     from quarrylit.plans.corpus import corpus
 
