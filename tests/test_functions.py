@@ -67,6 +67,11 @@ def test_formulas_are_counted_in_one_pass(spark):
     assert one(spark, fields.formula_mode(F.col("t")), t=None) == ""
 
 
+def test_list_fields_go_through_a_text_once(spark):
+    assert [passes(spark, f) for f in ("miller_indices", "wyckoff_positions", "reported_phases", "database_refs")] == [1, 1, 2, 3]
+    assert one(spark, fields.extractors(F.col("t"))["wyckoff_positions"], t="4a site, Wyckoff site 12B and 8c positions") == ["12B", "4a", "8c"]
+
+
 def test_costly_rows_of_a_small_file_are_spread(spark, tmp_path):
     from quarrylit.plans.corpus import corpus
 
