@@ -107,6 +107,30 @@ def test_boxes():
     assert geometry.regions(np.zeros((0, 4)), 10, 10).shape == (0, 4)
 
 
+def test_regions_of_pages_are_those_of_each():
+    rng = np.random.default_rng(4)
+    for least in (1, 4, 60, 300):
+        sizes = [3, 1, 8, 199, 30, 201, 2]
+        p = rng.uniform(-5, 75, (sum(sizes), 2))
+        shapes = np.concatenate((p, p + rng.uniform(-1, 9, p.shape)), 1)
+        begins = np.cumsum([0, *sizes[:-1]])
+        limits = {"cells": 90, "least": least, "pad": 1.0, "most": 0.9}
+        got, of = geometry.regions_of_pages(shapes, begins, 70.0, 90.0, **limits)
+        for i, page in enumerate(np.split(shapes, begins[1:])):
+            assert (got[of == i] == geometry.regions(page, 70.0, 90.0, **limits)).all()
+
+
+def test_pages_across_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        rows = [(p, float(i * 9), 0.0, float(i * 9 + 5), 5.0) for p, n in (("a", 1), ("b", 7), ("c", 2), (None, 3)) for i in range(n)]
+        boxes = spark.createDataFrame(rows, "page string, x0 double, y0 double, x1 double, y1 double")
+        got = geometry.vector_regions(boxes, width=70.0, height=90.0, cells=90, least=4, pad=0.0, most=0.9).groupBy("page").agg(F.sort_array(F.collect_list("region")).alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r.page: r.n for r in got} == {"a": [0], "b": list(range(7)), "c": [0, 1], None: [0, 1, 2]}
+
+
 def test_overlap_is_symmetric(spark):
     a, b = (F.struct(*(F.lit(float(v)).alias(k) for k, v in zip(("x0", "y0", "x1", "y1"), box, strict=True))) for box in ((0, 0, 4, 4), (2, 2, 6, 6)))
     assert value(spark, geometry.iou(a, b)) == value(spark, geometry.iou(b, a)) == 4 / 28
