@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def depth(json: Column) -> Column:
+    """How deep the objects and lists of a JSON text are nested, told from its brackets outside of strings."""
+    brackets = F.regexp_replace(F.regexp_replace(json, r'(?s)"(?:[^"\\]++|\\.)*+"', ""), r"[^{}\[\]]", "")
+    step = lambda n, c: n["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)
+    return F.aggregate(F.filter(F.split(brackets, ""), lambda c: c != ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda n, c: F.struct(step(n, c).alias("now"), F.greatest(n["most"], step(n, c)).alias("most")))["most"]
+
+
 def leaves(docs: DataFrame, key: str, json: str) -> DataFrame:
-    """(key, path, value) of every scalar of a document, however deep.
-
-    One explode a level until nothing is nested, which a look at each level tells; documents that don't parse have none."""
-    level = docs.select(key, F.lit("").alias("path"), F.try_parse_json(json).alias("v")).where("v is not null")
-    out = None
-    while True:
-        level = level.select(key, "path", "v", F.schema_of_variant("v").alias("kind"))
-        nested = F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")
-        scalar = level.where(~nested).select(key, "path", F.try_variant_get("v", "$", "string").alias("value"))
-        out = scalar if out is None else out.unionByName(scalar)
-        below = level.where(nested)
-        if below.isEmpty():
-            return out
+    """(key, path, value) of every scalar of a document, however deep; documents that don't parse have none.
+
+    One explode a level, as many as the deepest document needs, which one pass over the texts tells; what is a scalar already
+    goes through the levels below as it is, so that a document is parsed once."""
+    v = F.try_parse_json(json)
+    levels = docs.agg(F.max(F.when(v.isNotNull(), depth(F.col(json))))).first()[0] or 0
+    level = docs.select(key, F.lit("").alias("path"), v.alias("v")).where("v is not null")
+    for _ in range(levels):
+        kind = F.schema_of_variant("v")
         name = f"__leaves_{id(level)}"
-        below.createOrReplaceTempView(name)
-        level = docs.sparkSession.sql(f"select `{key}`, concat(path, case when e.key is null then concat('[', e.pos, ']') when path = '' then e.key else concat('.', e.key) end) as path, e.value as v from {name}, lateral variant_explode(v) as e")
+        level.withColumn("nested", F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))).createOrReplaceTempView(name)
+        level = docs.sparkSession.sql(
+            f"select `{key}`, case when not nested then path when e.key is null then concat(path, '[', e.pos, ']') when path = '' then e.key else concat(path, '.', e.key) end as path, if(nested, e.value, v) as v "
+            f"from {name}, lateral variant_explode_outer(if(nested, v, null)) as e where not nested or e.pos is not null"
+        )
         docs.sparkSession.catalog.dropTempView(name)
+    return level.select(key, "path", F.try_variant_get("v", "$", "string").alias("value"))
 
 
 def difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

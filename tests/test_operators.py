@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +81,21 @@ def test_linkage_prefers_the_earlier(spark):
     assert sorted(r.score for r in linkage.structure_scores(hits, "TiO2", 136, "tetragonal").collect()) == [90.0, 180.0]
 
 
+def test_equal_titles_are_compared_once(spark, monkeypatch):
+    compared = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def counted(a: pd.Series, b: pd.Series) -> pd.Series:
+        compared.add(len(a))
+        return (a == b).astype(float)
+
+    monkeypatch.setattr(linkage, "similarity", counted)
+    records = spark.range(50).selectExpr("id", "concat('On iron ', id % 2) AS title", "'Doe' AS authors", "'b' AS block")
+    other = spark.range(60).selectExpr("id AS candidate_id", "id AS seq", "concat('on iron ', id % 3) AS candidate_title", "'Doe' AS candidate_authors", "'b' AS block")
+    assert sorted((r.id, r.candidate_id, r.score) for r in linkage.link(records, other).collect()) == [(i, i % 2, 1.0) for i in range(50)]
+    assert compared.value <= 2 * 2 * 3  # a pair that passes may be asked for twice
+
+
 def test_json_leaves_below_eight_levels(spark):
     deep = '{"a":' * 12 + "[7]" + "}" * 12
     a = spark.createDataFrame([(1, deep), (2, '{"b": 1}'), (3, "{"), (4, None)], "k int, j string")
@@ -87,6 +103,14 @@ def test_json_leaves_below_eight_levels(spark):
     assert jsons.leaves(a.limit(0), "k", "j").count() == 0
 
 
+def test_json_documents_are_parsed_once(spark):
+    a = spark.createDataFrame([(1, '{"a}": {"b": ["]]]", {}, [[true]]]}, "c\\"[": 1}'), (2, "[" * 50), (3, "5")], "k int, j string")
+    got = jsons.leaves(a, "k", "j")
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "Union" not in plan and plan.count("try_parse_json") + plan.count("parse_json(") <= 2 and plan.count("Generate") == 5
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a}.b[0]", "]]]"), (1, "a}.b[2][0][0]", "true"), (1, 'c"[', "1"), (3, "", "5")]
+
+
 def test_json(spark):
     a = spark.createDataFrame([(1, '{"x": {"y": [1, 2]}, "z": null}'), (2, "broken")], "k int, j string")
     got = {(r.k, r.path): r.value for r in jsons.leaves(a, "k", "j").collect()}
