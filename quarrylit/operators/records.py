@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +33,15 @@ def _first(items: Column) -> Column:
     return F.get(items, F.lit(0))
 
 
+def _once(value: Column, made: Callable[[Column], Column]) -> Column:
+    """made(value), with the value made once however often it is asked for: an array of one."""
+    return F.transform(F.array(value), made)[0]
+
+
 def uniq_clean(items: Column) -> Column:
     """The first spelling of each entry, squeezed, whatever its case; without empty ones."""
     clean = F.filter(F.transform(F.coalesce(items, F.array().cast("array<string>")), _squeezed), lambda s: s != "")
-    lower = F.transform(clean, F.lower)
-    return F.filter(clean, lambda s, i: F.array_position(lower, F.lower(s)) == i + 1)
+    return _once(clean, lambda c: _once(F.transform(c, F.lower), lambda lower: F.filter(c, lambda s, i: F.array_position(lower, lower[i]) == i + 1)))
 
 
 # ---- titles and materials -------------------------------------------------------------------------------------
@@ -205,11 +211,10 @@ def verified_block(block: Column) -> Column:
 
 def paper_fields(verified: Column, found: Column) -> Column:
     """A paper's verified fields, with what patterns found of those that verification says nothing of."""
-    own = verified_block(verified)
     parsed = F.try_variant_get(F.try_parse_json(found), "$", "map<string, variant>")
     values = F.transform_values(F.map_filter(parsed, lambda k, _: k.isin(*PATTERN_FIELDS)), lambda _, v: F.to_json(v))
-    filled = F.map_filter(values, lambda k, v: v.isNotNull() & ~v.isin('""', "[]", "{}", "null") & ~F.map_contains_key(own, k))
-    return F.map_concat(own, F.coalesce(filled, F.create_map().cast(_MAP)))
+    filled = lambda own: F.map_filter(values, lambda k, v: v.isNotNull() & ~v.isin('""', "[]", "{}", "null") & ~F.map_contains_key(own, k))
+    return _once(verified_block(verified), lambda own: F.map_concat(own, F.coalesce(filled(own), F.create_map().cast(_MAP))))
 
 
 def slim(rows: DataFrame, record: str = "record") -> DataFrame:

@@ -83,3 +83,11 @@ def test_manifest_and_archive(spark, tmp_path):
     files = spark.createDataFrame([("/r/b/2.txt", b"two"), ("/r/a.txt", b"one")], "path string, content binary")
     with zipfile.ZipFile(io.BytesIO(stages.zipped(files, "/r"))) as z:
         assert z.namelist() == ["a.txt", "b/2.txt"] and z.read("b/2.txt") == b"two"
+
+
+def test_blocks_and_lists_are_made_once(spark):
+    rows = spark.createDataFrame([(["B  x", "b x", "a", "B x", " "], '{"fwhm":{"value":1}}', '{"fwhm":[2],"cell_volume":"3","other":4}')], "items array<string>, own string, found string")
+    got = rows.select(records.uniq_clean(F.col("items")).alias("items"), records.paper_fields(F.col("own"), F.col("found")).alias("fields"))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert plan.count("coalesce(items#") == 1 and plan.count("(own#") == 1
+    assert got.first() == (["B x", "a"], {"fwhm": "1", "cell_volume": '"3"'})
