@@ -25,6 +25,19 @@ def _base(path: Column) -> Column:
     return out
 
 
+#: The most figures of one path that are sent to one task.
+FREQUENT = 1000
+
+
+def _existing(figures: DataFrame, files: DataFrame) -> DataFrame:
+    """The figures whose path is among the files.  A path that very many figures name would come into one task with all of them, so
+    such paths, few as they are, are looked up by themselves and told to every task."""
+    often = figures.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > FREQUENT).select("path")
+    there = often.join(files, "path", "left_semi")
+    rest = figures.join(F.broadcast(often), "path", "left_anti").join(files, "path", "left_semi")
+    return rest.unionByName(figures.join(F.broadcast(there), "path", "left_semi"))
+
+
 def pictures(wanted: DataFrame, records: DataFrame, files: DataFrame) -> DataFrame:
     """(id, place, path, caption, level) of every picture of the wanted records, in order.
 
@@ -37,7 +50,8 @@ def pictures(wanted: DataFrame, records: DataFrame, files: DataFrame) -> DataFra
     may add is told from the ways before it, by an aggregate over the record's matches."""
     figures = records.select("json_path", "pdf", F.posexplode("figures").alias("at", "f"))
     label = F.array_join(F.array_compact(F.array(F.concat(F.lit("Figure "), F.nullif(F.col("f.number").cast("string"), F.lit(""))), F.concat(F.lit("page "), F.nullif(F.col("f.page").cast("string"), F.lit(""))), F.nullif(F.trim("f.caption"), F.lit("")))), " • ")
-    figures = figures.select("json_path", "pdf", "at", F.col("f.path").alias("path"), label.alias("label")).join(files.select("path").distinct(), "path", "left_semi")
+    figures = figures.select("json_path", "pdf", "at", F.col("f.path").alias("path"), label.alias("label"))
+    figures = _existing(figures, files.select("path").distinct())
     stage = _stage(F.col("json_path"))
     caption = F.coalesce(F.nullif(F.col("label"), F.lit("")), F.regexp_extract("path", r"([^/]*)$", 1)).alias("caption")
     order = F.struct(F.coalesce(stage, F.lit(-1)).alias("stage"), F.col("json_path").alias("file"), F.col("at").alias("at")).alias("order")

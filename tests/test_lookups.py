@@ -182,3 +182,10 @@ def test_differences(spark):
         assert len(a) - removed == subsequence(a, b)  # and leave as much as can be left
     plain = list(difflib.unified_diff(["a", "b", "c", "d", "e", "f", "g", "h"], ["a", "b", "c", "d", "x", "f", "g", "h"], lineterm="", n=3))[3:]
     assert hints.hunks(list("abcdefgh"), list("abcdxfgh"))[0][4] == plain
+
+
+def test_a_missing_path_that_many_name_is_not_one_task(spark):
+    figures = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN '/gone.png' WHEN id % 3 = 1 THEN '/all.png' ELSE concat('/', id, '.png') END AS path")
+    files = spark.createDataFrame([("/all.png",), ("/2.png",)], "path string")
+    got = crops._existing(figures.where("id < 3000").unionByName(figures), files)
+    assert sorted((r.path, r["count"]) for r in got.groupBy("path").count().collect()) == [("/2.png", 2), ("/all.png", 2000)]
