@@ -13,20 +13,21 @@ from pyspark.sql import functions as F
 
 from .text import first_group
 
-# The patterns that define the fields (case-insensitive unless the name ends in _CASED).
+# The patterns that define the fields (case-insensitive unless the name ends in _CASED).  Those of several alternatives look
+# at the first character before anything else: most places of a text end there, and matches stay the same.
 TWO_THETA = r"(?:2θ|2theta|two\s*theta)\s*(?:=|from)?\s*(\d+(?:\.\d+)?)\s*(?:°|deg)?\s*(?:-|to)\s*(\d+(?:\.\d+)?)\s*(?:°|deg)?"
 STEP = r"(?:step\s*(?:size|width)?|increment)\s*(?:=|:)?\s*(\d+(?:\.\d+)?)\s*(?:°|deg)"
 RADIATION = r"\b(Cu|Mo|Co|Fe)\s*[- ]?\s*K\s*(?:α|a)\b"
 WAVELENGTH = r"(?:λ|lambda)\s*(?:=|:)?\s*(\d+(?:\.\d+)?)\s*(?:Å|A)\b"
-SOFTWARE = r"\b(FullProf(?:\s*Suite)?|GSAS-?II|TOPAS(?:-Academic)?|MAUD|JANA2006|HighScore(?:\s*Plus)?)\b"
+SOFTWARE = r"(?=[FGTMJH])\b(FullProf(?:\s*Suite)?|GSAS-?II|TOPAS(?:-Academic)?|MAUD|JANA2006|HighScore(?:\s*Plus)?)\b"
 TEMPERATURE = r"\b(\d+(?:\.\d+)?)\s*(?:°C|C)\b"
-STRUCTURE = r"\b(fcc|bcc|hcp|cubic|tetragonal|orthorhombic|monoclinic|triclinic|trigonal|rhombohedral|hexagonal)\b"
+STRUCTURE = r"(?=[bcfhmort])\b(fcc|bcc|hcp|cubic|tetragonal|orthorhombic|monoclinic|triclinic|trigonal|rhombohedral|hexagonal)\b"
 SPACE_GROUP = r"\b(?:space\s*group\s*[:=]?\s*)?([PIFRCA]\s*[0-9]{1,3}(?:/[a-zA-Z0-9\-]+)?)\b"
 EDGE = r"\b([abc])\s*=\s*(\d+(?:\.\d+)?)\s*(?:\((\d+)\))?\s*(?:Å|A|angstrom)\b"
 ANGLE = r"\b(α|β|γ|alpha|beta|gamma)\s*=\s*(\d+(?:\.\d+)?)\s*(?:\((\d+)\))?\s*(?:°|deg)\b"
-ICDD = r"\b(?:ICDD|JCPDS|PDF)[- #]*(\d{2}[-–]\d{3,4})\b"
+ICDD = r"(?=[IJP])\b(?:ICDD|JCPDS|PDF)[- #]*(\d{2}[-–]\d{3,4})\b"
 PHASE = (
-    r"\b(anatase|rutile|brookite|calcite|aragonite|vaterite|quartz|corundum|hematite|magnetite|goethite|wustite|ferrite|perovskite|spinel"
+    r"\b(?=[abcdfghmpqrsvwzαβγ])(anatase|rutile|brookite|calcite|aragonite|vaterite|quartz|corundum|hematite|magnetite|goethite|wustite|ferrite|perovskite|spinel"
     r"|wurtzite|zincblende|halite|fluorite|pyrite|austenite|martensite|bainite|cementite|graphite|diamond"
     r"|α-Fe2O3|γ-Fe2O3|α-Al2O3|γ-Al2O3|β-SiC|α-SiC|α-phase|β-phase|γ-phase)\b"
 )
@@ -40,10 +41,10 @@ DENSITY = r"(?:x[- ]?ray\s+density|ρ_?x|d_?x)\s*(?:=|:)\s*(\d+(?:\.\d+)?)\s*(?:
 VOLUME = r"\b(?:V|V_?0|cell\s*volume|unit\s*cell\s*volume)\s*(?:=|:)\s*(\d+(?:\.\d+)?)\s*(?:\(\d+\))?\s*(?:Å3|Å³|A3|angstrom3|angstroms3|nm3)"
 GROUP_NUMBER = r"(?:(?:space\s*group|SG)\s*(?:No\.?|number|#)\s*(\d{1,3})|(?:space\s*group\s*[:=]?\s*\S+)\s*\((\d{1,3})\))"
 WEIGHT = r"(?:M(?:_?w)?|molecular\s*weight|formula\s*weight|molar\s*mass)\s*(?:=|:)\s*(\d+(?:\.\d+)?)\s*(?:g\s*/?\s*mol|g\s*mol|amu)?"
-WYCKOFF = r"(?:Wyckoff\s+(?:position|site|symbol|notation|letter)s?\s*[:=]?\s*(\d{1,3}[a-zA-Z])|\b(\d{1,3}[a-j])\s+(?:site|position)s?\b)"
-MILLER_CASED = r"(?<!\d)\(\s*(\d)\s+(\d)\s+(\d)\s*\)|(?<!\d)\(([0-9])([0-9])([0-9])\)(?!\d)"
-PEAK = r"(?:2θ|2theta|peak)\s*(?:=|at|:)?\s*(\d{1,3}(?:\.\d+)?)\s*(?:°|deg)"
-FWHM = r"(?:FWHM|full\s*width\s*at\s*half\s*max(?:imum)?)\s*(?:=|:)?\s*(\d+(?:\.\d+)?)\s*(?:°|deg)?"
+WYCKOFF = r"(?=[W\d])(?:Wyckoff\s+(?:position|site|symbol|notation|letter)s?\s*[:=]?\s*(\d{1,3}[a-zA-Z])|\b(\d{1,3}[a-j])\s+(?:site|position)s?\b)"
+MILLER_CASED = r"\((?<!\d\()(?:\s*(\d)\s+(\d)\s+(\d)\s*\)|([0-9])([0-9])([0-9])\)(?!\d))"
+PEAK = r"(?=[2p])(?:2θ|2theta|peak)\s*(?:=|at|:)?\s*(\d{1,3}(?:\.\d+)?)\s*(?:°|deg)"
+FWHM = r"(?=F)(?:FWHM|full\s*width\s*at\s*half\s*max(?:imum)?)\s*(?:=|:)?\s*(\d+(?:\.\d+)?)\s*(?:°|deg)?"
 FIGURE = r"(fig\.|figure)\s*(\d+)\s*[:.\-]?\s*"
 SI_HEADING = r"(?:^|\n)\s*(?:S(?:upporting|upplementary)\s+(?:Information|Materials?|Data|Figures?|Tables?)|(?:Appendix|ESI|SI)\b|S\d+\.\s)[^\n]{0,120}"
 SI_FIGURE = r"\b(?:(?:Fig(?:ure)?|Table)\s*S\d+|(?:S(?:upplementary|upporting)\s+(?:Fig|Table))\s*\d+)"

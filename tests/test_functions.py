@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,15 @@ def test_unify(spark):
     assert one(spark, text.abstract(F.col("t")), t="Title\nAbstract: We measure.\nKeywords: x") == "We measure."
     assert one(spark, text.inferred_confidence(F.lit(None).cast("double"), F.col("t")), t="confidence of 0.4") == 0.4
     assert one(spark, text.redact(F.col("t"), {"KEY": "secret-value", "S": "short"}), t="a secret-value short") == "a <KEY redacted> short"
+
+
+@pytest.mark.parametrize("name", ["SOFTWARE", "STRUCTURE", "ICDD", "PHASE", "WYCKOFF", "PEAK", "FWHM"])
+def test_first_characters_leave_every_match(spark, name):
+    """The look at the first character is there, and takes no match away: not of other cases, nor of letters that only fold to one of it."""
+    pattern = getattr(fields, name)
+    plain = re.sub(r"\(\?=\[?[^)]*\)", "", pattern, count=1)
+    assert plain != pattern
+    odd = "JANA2006 gsas-II fullprof suite, topas-academic xMAUD HighScore Plus ſpinel SPINEL quartZ α-fe2o3 Β-SIC γ-phase xrutile hcp FCC trigonal-cubic pdf 21-1276 JCPDS-21-1276 wyckoff Site: 4a, ٣a site 12j positions, 2THETA = 25 deg PEAK at 3.5° 2θ 7 deg fwhm 0.1 Full Width At Half Maximum = 2"
+    both = [F.regexp_extract_all(F.lit(odd), F.lit(fields.either_case(p)), 0) for p in (pattern, plain)]
+    got, want = spark.range(1).select(*(c.alias(n) for c, n in zip(both, "ab", strict=True))).first()
+    assert got == want and got
