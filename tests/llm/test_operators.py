@@ -254,6 +254,31 @@ def test_jaccard_join(spark, width, share):
     assert left.columns == ["doc_id", "text", "component_id"] and sorted(r[0] for r in left.select("doc_id").collect()) == sorted(set(want))
 
 
+def test_jaccard_second_pass_takes_groups_with_a_pair(spark, monkeypatch):
+    """Pairs that share 12 of 20 words meet and are not linked: the first pass over their groups finds no pair, the second has no group left."""
+    texts = [" ".join([f"w{i}x{k}" for k in range(12)] + [f"v{i}y{j}z{k}" for k in range(8)]) for i in range(40) for j in range(2)]
+    seen, rest = [], jaccard._rest
+    monkeypatch.setattr(jaccard, "_rest", lambda groups, *more: seen.append(groups.count()) or rest(groups, *more))
+    got = jaccard.components(frame(spark, texts), jaccard.Rule(width=1, share=80)).collect()
+    assert all(r.component_id == r.doc_id for r in got)
+    assert seen[0] > 0 and seen[1] == 0
+
+
+def test_jaccard_sets_move_once_for_both_sides(spark):
+    tokens = spark.createDataFrame([(bytes([i]) * 16, f, 8, bytes(8), None) for i in range(3) for f in range(4)], "sid binary, fragment int, n long, shingles binary, sketch binary")
+    pairs = spark.createDataFrame([(bytes([0]) * 16, bytes([1]) * 16)], "a binary, b binary")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plan = jaccard.verified(pairs, tokens, jaccard.Rule())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "ReusedExchange" in plan
+
+
 def test_jaccard_awkward_rows(spark):
     assert jaccard.components(empty(spark)).count() == 0
     rows = [(None, "a b c d e"), (3, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (5, None)]
