@@ -555,10 +555,22 @@ def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The documents without those linked, directly or over others, with one of a smaller id.
 
-    Rows with a null id stay.  Of rows that share the smallest id of their component one stays for each text."""
-    found = components(docs, rule, text=text, id_column=id_column).select(F.col(id_column).alias("__id"), "component_id")
-    stay = kept(found.where("__id = component_id").groupBy("__id").agg(F.count("*").alias("__rows")), "stay")
-    known = docs.where(F.col(id_column).isNotNull()).join(stay, F.col(id_column) == F.col("__id"))
-    if stay.where("__rows > 1").limit(1).count():
-        known = known.where("__rows = 1").unionByName(known.where("__rows > 1").dropDuplicates([id_column, text]))
-    return known.drop("__id", "__rows").unionByName(docs.where(F.col(id_column).isNull()))
+    Rows with a null id stay.  Of rows that share the smallest id of their component one stays for each text.
+
+    Whole rows move only where a bitmap of the ids that go, or have several rows, can't rule theirs out: those ids'
+    own and the bitmap's false positives, which a join tells apart.  The others stay where they are."""
+    found = components(docs, rule, text=text, id_column=id_column).select(F.col(id_column).alias("__id"), "component_id").where("__id is not null")
+    fate = found.groupBy("__id").agg(F.count("*").alias("__n"), F.count_if(F.col("__id") == F.col("component_id")).alias("__rows"))
+    unsure = kept(fate.where("__n > 1 or __rows = 0").select("__id", "__rows"), "unsure")
+    listed = _filter(unsure.select(F.xxhash64("__id").alias("lo")))
+
+    @F.arrow_udf("boolean")
+    def maybe(lo: pa.Array) -> pa.Array:
+        return pa.array(_maybe(listed.value, lo.to_numpy().view(np.uint64)))
+
+    moves = F.col(id_column).isNotNull() & maybe(F.xxhash64(id_column))
+    met = docs.where(moves).join(unsure, F.col(id_column) == F.col("__id"), "left")
+    known = met.where("__rows is null or __rows = 1")
+    if unsure.where("__rows > 1").limit(1).count():
+        known = known.unionByName(met.where("__rows > 1").dropDuplicates([id_column, text]))
+    return docs.where(~moves).unionByName(known.drop("__id", "__rows"))

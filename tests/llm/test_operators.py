@@ -279,6 +279,38 @@ def test_jaccard_sets_move_once_for_both_sides(spark):
     assert "ReusedExchange" in plan
 
 
+@pytest.mark.parametrize("full", [False, True])
+def test_one_of_each_moves_few_texts(spark, monkeypatch, full):
+    """Documents without a copy stay where they are; a bitmap that rules nothing out (full) changes what moves, never what stays."""
+    prose = [" ".join(f"w{i}x{k}" for k in range(200)) for i in range(60)]
+    rows = [(i, t, i) for i, t in enumerate(prose)]
+    rows += [(70, prose[7], 7), (71, prose[8] + " tail", 8), (72, prose[59], 59), (72, prose[59], 59), (80, "one text", 80), (80, "one text", 80), (80, "another text", 80), (90, None, 90), (None, prose[9], None), (None, None, None)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, component_id long").repartition(3).localCheckpoint()
+    monkeypatch.setattr(jaccard, "components", lambda *_, **__: known.select("doc_id", "component_id"))
+    if full:
+        monkeypatch.setattr(jaccard, "_filter", lambda wanted: spark.sparkContext.broadcast(np.full(1 << jaccard.FILTER_BITS - 5, 0xFFFFFFFF, np.uint32)))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = jaccard.one_of_each(known.select("doc_id", "text"))
+        run = left._jdf.queryExecution()
+        run.toRdd().count()
+        nodes, moved = [run.executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+            moved += node.metrics().apply("dataSize").value() if node.nodeName() == "Exchange" else 0
+        got = [(r.doc_id, r.text) for r in left.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = [*enumerate(prose), (80, "one text"), (80, "another text"), (None, prose[9]), (None, None), (90, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert full or moved < sum(map(len, prose)) / 4
+
+
 def test_jaccard_awkward_rows(spark):
     assert jaccard.components(empty(spark)).count() == 0
     rows = [(None, "a b c d e"), (3, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (5, None)]
